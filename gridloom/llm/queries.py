@@ -1,19 +1,45 @@
 """The thin queries: each applies one operator to its whole table and derives the contract's columns."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import quality
+from gridloom.llm import huffman, langid, packing, quality, warc
 from gridloom.llm.common import read
 
+LIBRARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
+
+
+def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), LIBRARY_FILE, PATTERN, end_id=1)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = huffman.write_corpus(read(spark, sf_dir, "documents"), LIBRARY_FILE, PATTERN, end_id=2)
+    return huffman.read_corpus(spark, root)
+
+
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents")).drop("host")
 
 
 QUERIES = {
+    "op2_vector_packing": op2_vector_packing,
+    "op6_language_id": op6_language_id,
+    "op8_token_files": op8_token_files,
+    "op9_warc_round_trip": op9_warc_round_trip,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES = {
+    "op9_warc_round_trip": warc.ORACLE,
     "op10_quality_rules": quality.ORACLE,
 }
