@@ -3,17 +3,27 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import huffman, langid, packing, quality, warc
+from gridloom.llm import bpe, huffman, langid, maxscore, packing, quality, warc
 from gridloom.llm.common import read
 
+RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 LIBRARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(read(spark, sf_dir, "documents"), RANK_FILE, PATTERN)
+
+
 def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), LIBRARY_FILE, PATTERN, end_id=1)
 
 
+def op4_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = maxscore.quantised(read(spark, sf_dir, "embeddings"))
+    return maxscore.top_k(vectors, vectors.where("key % 20 = 0"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
@@ -32,7 +42,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_vector_packing": op2_vector_packing,
+    "op4_maxscore_top_k": op4_maxscore_top_k,
     "op6_language_id": op6_language_id,
     "op8_token_files": op8_token_files,
     "op9_warc_round_trip": op9_warc_round_trip,
@@ -40,6 +52,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_maxscore_top_k": maxscore.ORACLE,
     "op9_warc_round_trip": warc.ORACLE,
     "op10_quality_rules": quality.ORACLE,
 }
