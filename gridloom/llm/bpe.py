@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.tokens import PIECE, WordCache
+from gridloom.llm.tokens import PIECE, WordCache, is_narrow, narrow
 
 #: Words of at most so many bytes are leaves: merged directly.
 LEAF = 24
@@ -43,7 +43,7 @@ class Codec:
         self.tokens = [b""] * self.size
         for t, r in self.ranks.items():
             self.tokens[r] = t
-        self.split = regex.compile(pattern).findall
+        self.split, self.split_any = narrow(pattern), regex.compile(pattern).findall
         self.pairs: dict[tuple[int, int], bool] = {}
         self.cache = WordCache()
 
@@ -128,12 +128,9 @@ class Codec:
         return out + self._group(group)
 
     def _group(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) for t in texts]
-        young = self.cache.young
-        for word in (new := self.cache.missing(set().union(*split))):
-            young = self.cache.young
-            young[word] = np.array(self.encode(word.encode()), "<u4").tobytes()
-        del new
+        split = [self.split(t) if is_narrow(t) else self.split_any(t) for t in texts]
+        for word in self.cache.missing(set().union(*split)):
+            self.cache.young[word] = np.array(self.encode(word.encode()), "<u4").tobytes()
         find = self.cache.young.__getitem__
         return [np.frombuffer(b"".join(map(find, w)), "<u4") for w in split]
 

@@ -60,24 +60,25 @@ class Packer:
         need = np.array([[n, 1, n * d] for _, _, n, d in self.items], float).reshape(-1, 3)
         order = np.lexsort((np.arange(len(need)), -need[:, 2], -need[:, 0]))
         need, items = need[order], [self.items[k] for k in order]
-        scaled, waits, left = need / self.limits**2, np.ones(len(need), bool), len(need)
+        scaled, waits, left, total = need / self.limits**2, np.ones(len(need), bool), len(need), need.sum(0)
         while left > keep:
-            if not self.cut and keep == 0 and not left:
-                break
             room, offset = self.limits.copy(), 0
-            total = need[waits, 0].sum()
-            if self.cut and total < self.limits[0] and need[waits, 2].sum() <= self.limits[2]:
+            if self.cut and total[0] < self.limits[0] and total[2] <= self.limits[2]:
                 self._tail([items[k] for k in np.flatnonzero(waits)])
                 waits[:] = False
                 break
             while left:
-                fits = waits & (need <= room + 1e-9).all(1)
-                if fits.any():
-                    k = int(np.argmax(np.where(fits, scaled @ room, -1.0)))
+                # examples lie in falling order of tokens: those that are too long come first
+                first = int(np.searchsorted(-need[:, 0], -room[0] - 1e-9))
+                score = scaled[first:] @ room if room[1] >= 1 else scaled[:0, 0]
+                score[~waits[first : first + len(score)] | (need[first : first + len(score), 2] > room[2] + 1e-9)] = -1
+                k = first + int(np.argmax(score)) if len(score) else -1
+                if k >= 0 and score[k - first] >= 0:
                     item, skip, n, _ = items[k]
                     self.out(item, skip, n, self.sequence, offset)
                     waits[k] = False
                     left -= 1
+                    total -= need[k]
                     room -= need[k]
                     offset += n
                     continue
@@ -87,9 +88,15 @@ class Packer:
                     part = min(n - 1, int(room[0]), int(room[2] / d) if d else n)
                     if part > 0:
                         self.out(item, skip, part, self.sequence, offset)
-                        items[k] = (item, skip + part, n - part, d)
-                        need[k] = (n - part, 1, (n - part) * d)
-                        scaled[k] = need[k] / self.limits**2
+                        total -= (part, 0, part * d)
+                        # what is left of it moves to its place in the order
+                        to = int(np.searchsorted(-need[:, 0], -(n - part), side="right")) - 1
+                        for x in (need, scaled, waits):
+                            x[k:to] = x[k + 1 : to + 1]
+                        items[k:to] = items[k + 1 : to + 1]
+                        items[to] = (item, skip + part, n - part, d)
+                        need[to], waits[to] = (n - part, 1, (n - part) * d), True
+                        scaled[to] = need[to] / self.limits**2
                 break
             self.sequence += 1
         self.items = [items[k] for k in np.flatnonzero(waits)]
