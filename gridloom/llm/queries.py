@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import bpe, huffman, langid, maxscore, packing, quality, warc
+from gridloom.llm import bpe, huffman, langid, maxscore, ngrams, packing, quality, substrings, warc
 from gridloom.llm.common import read
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -19,15 +19,29 @@ def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), LIBRARY_FILE, PATTERN, end_id=1)
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op4_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = maxscore.quantised(read(spark, sf_dir, "embeddings"))
     return maxscore.top_k(vectors, vectors.where("key % 20 = 0"))
 
 
+def op5_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.by_words(read(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("n", "n_words").select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.by_bytes(read(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("n", "n_bytes").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = huffman.write_corpus(read(spark, sf_dir, "documents"), LIBRARY_FILE, PATTERN, end_id=2)
     return huffman.read_corpus(spark, root)
@@ -44,14 +58,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_vector_packing": op2_vector_packing,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_maxscore_top_k": op4_maxscore_top_k,
+    "op5_suffix_tree_dedup": op5_suffix_tree_dedup,
     "op6_language_id": op6_language_id,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_token_files": op8_token_files,
     "op9_warc_round_trip": op9_warc_round_trip,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES = {
+    "op3_ngram_jaccard": ngrams.ORACLE,
     "op4_maxscore_top_k": maxscore.ORACLE,
     "op9_warc_round_trip": warc.ORACLE,
     "op10_quality_rules": quality.ORACLE,
