@@ -9,7 +9,10 @@ document's or a hash's entries anywhere but in blocks.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridloom.llm.common import lean
 
 #: Documents in one message at most: their index takes a byte.
 DOCS = 256
@@ -45,6 +48,18 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def part_keys(spark: SparkSession, n: int) -> list[int]:
+    """A number for each of n parts, such that Spark's hash partitioning sends each to a partition
+    of its own: plain numbers would collide, and leave some tasks with several parts and some with none."""
+    found: dict[int, int] = {}
+    size = 8 * n
+    while len(found) < n:
+        rows = spark.range(size).select(F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("at"), F.col("id").cast("int").alias("id"))
+        found = {r["at"]: r["id"] for r in rows.groupBy("at").agg(F.min("id").alias("id")).collect()}  # a row a part
+        size *= 2
+    return [found[k] for k in range(n)]
+
+
 def by_part(part: np.ndarray, n: int):
     """(part, indices of its entries) for each part that has any."""
     order = np.argsort(part, kind="stable")
@@ -53,10 +68,10 @@ def by_part(part: np.ndarray, n: int):
         yield int(p), order[ends[p] : ends[p + 1]]
 
 
-def messages(h: np.ndarray, doc: np.ndarray, ids: np.ndarray, dst: int, n: int):
+def messages(h: np.ndarray, doc: np.ndarray, ids: np.ndarray, dst: int, keys: list[int]):
     """Batches of MESSAGE rows for entries of at most DOCS documents; doc indexes ids."""
     head = np.asarray(ids, "<i8").tobytes()
-    rows = [(p, dst, head, doc[at].astype(np.uint8).tobytes(), pack48(h[at]), None) for p, at in by_part(part_of(h, n), n)]
+    rows = [(keys[p], dst, head, doc[at].astype(np.uint8).tobytes(), pack48(h[at]), None) for p, at in by_part(part_of(h, len(keys)), len(keys))]
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _MESSAGE, strict=True)], schema=_MESSAGE)
 
@@ -83,14 +98,17 @@ def shared_entries(sent: DataFrame, n: int) -> DataFrame:
         if not rows:
             return
         low = unpack48(b"".join(r[3] for r in rows))
+        rows = [r[:3] for r in rows]
         order = np.argsort(low)
         s = low[order]
         starts = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
         runs = np.diff(np.append(starts, len(s)))
+        del s
         df = np.zeros(len(low), np.uint32)
-        df[order] = np.repeat(runs, runs)
+        df[order] = np.repeat(runs.astype(np.uint32), runs)
+        del order
         at, out = 0, []
-        for dst, ids, doc, data in rows:
+        for dst, ids, doc in rows:
             d = df[at : at + len(doc)]
             keep = d > 1
             if keep.any():
@@ -102,7 +120,7 @@ def shared_entries(sent: DataFrame, n: int) -> DataFrame:
         if out:
             yield _answer(out)
 
-    return sent.repartition(n, "p").mapInArrow(run, ANSWER)
+    return sent.repartition(n, "p").mapInArrow(lean(run), ANSWER)
 
 
 def _answer(rows):

@@ -9,9 +9,9 @@ depth form blocks; a block that falls apart at depth h has common prefixes of h
 between its parts, and the blocks that are left at the depth of a window are the intervals of
 windows that repeat.
 
-A symbol is two neighbouring bytes and the suffix after it starts two bytes on, so that a window
-of 50 bytes takes 25 passes; every byte starts a suffix all the same. Each string ends in a symbol
-of its own kind, smaller than all others.
+A symbol is a run of neighbouring bytes (ten for windows of 50) and the suffix after it starts as
+many bytes on, so that a window takes few passes; every byte starts a suffix all the same. Each
+string ends in a symbol of its own kind, smaller than all others.
 """
 
 import numpy as np
@@ -19,36 +19,53 @@ import numpy as np
 SHARDS = 4
 
 
-class Transform:
-    """A shard: its rows' transform in suffix order, and the suffix (row number) of each."""
-
-    def __init__(self, symbol: np.ndarray, left: np.ndarray, step: int, depth: int):
-        n = len(symbol)
-        rank, have = symbol.astype(np.int64), 1
-        while have < depth:
-            # the next symbols to look at: as many again, or those that are still wanted
-            more = min(have, depth - have)
-            ahead = np.zeros(n, np.int64)
-            # rows that end before have no symbols there; nothing reaches beyond a string's end
-            on = np.flatnonzero(left >= more)
-            ahead[on] = rank[on + more * step]
-            key = rank * (int(rank.max(initial=0)) + 1) + ahead
-            self.order = np.argsort(key, kind="stable")
-            s = key[self.order]
-            rank = np.empty(n, np.int64)
-            rank[self.order] = np.cumsum(np.append(False, s[1:] != s[:-1]))
-            have += more
-        if depth == 1:
-            self.order = np.argsort(rank, kind="stable")
-        self.symbol = symbol
-        self.step = step
-
-    def column(self, start: np.ndarray) -> np.ndarray:
-        """The symbol before each row, in suffix order; 0 before a string's first rows."""
-        before = np.zeros(len(self.symbol), self.symbol.dtype)
-        before[self.step :] = self.symbol[: -self.step]
-        before[start] = 0
-        return before[self.order]
+def ordered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of non-negative integers, and the integers in that order.
+
+    Where key and place fit 64 bits together, one sort of plain numbers does it.
+    """
+    if not len(key):
+        return np.zeros(0, np.int64), key
+    bits = (len(key) - 1).bit_length()
+    if bits + int(key.max()).bit_length() <= 64:
+        both = (key.astype(np.uint64) << np.uint64(bits)) | np.arange(len(key), dtype=np.uint64)
+        both.sort()
+        return (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
+
+
+def ranked(key: np.ndarray) -> np.ndarray:
+    """Each value's place among the distinct values."""
+    order, s = ordered(key)
+    out = np.empty(len(key), np.int64)
+    out[order] = np.cumsum(np.append(False, s[1:] != s[:-1]))[: len(s)]
+    return out
+
+
+def suffix_order(symbol: np.ndarray, left: np.ndarray, step: int, depth: int) -> np.ndarray:
+    """Rows in the order of their first depth symbols; left counts a row's symbols before its end."""
+    rank, have = symbol.astype(np.int64), 1
+    order = ordered(rank)[0]
+    while have < depth:
+        # the next symbols to look at: as many again, or those that are still wanted
+        more = min(have, depth - have)
+        ahead = np.zeros(len(symbol), np.int64)
+        # rows that end before have no symbols there; nothing reaches beyond a string's end
+        on = np.flatnonzero(left >= more)
+        ahead[on] = rank[on + more * step]
+        order, s = ordered(rank * (int(rank.max(initial=0)) + 1) + ahead)
+        rank[order] = np.cumsum(np.append(False, s[1:] != s[:-1]))[: len(s)]
+        have += more
+    return order
+
+
+def transform(symbol: np.ndarray, order: np.ndarray, starts: np.ndarray, step: int) -> np.ndarray:
+    """The symbol before each row, in suffix order; 0 before a string's first rows."""
+    before = np.zeros(len(symbol), symbol.dtype)
+    before[step:] = symbol[:-step]
+    before[starts] = 0
+    return before[order]
 
 
 def merge(columns: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,50 +77,52 @@ def merge(columns: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray
     for _ in range(depth):
         # the rows of a shard lie in its own order: they take its transform's symbols one by one
         symbol[np.argsort(source, kind="stable")] = all_
-        dealt = np.argsort(symbol, kind="stable")
-        source, block, symbol_now = source[dealt], block[dealt], symbol[dealt]
-        edge = (symbol_now[1:] != symbol_now[:-1]) | (block[1:] != block[:-1])
+        dealt, now = ordered(symbol)
+        source, block = source[dealt], block[dealt]
+        edge = (now[1:] != now[:-1]) | (block[1:] != block[:-1])
         np.cumsum(edge, out=block[1:])
         block[:1] = 0
     return source, block
 
 
+def _alphabet(data: np.ndarray, n: int, step: int) -> np.ndarray:
+    """For each of the first n rows, the number of the step bytes that start there, from 1."""
+    if step == 10:
+        five = _alphabet(data, n + 5, 5)
+        return ranked(five[:n] * (int(five.max(initial=0)) + 1) + five[5:]) + 1
+    key = np.zeros(n, np.int64)
+    for k in range(step):
+        key = (key << 8) | data[k : k + n]
+    return ranked(key) + 1
+
+
 def window_classes(strings: list[bytes], width: int, shards: int = SHARDS) -> list[np.ndarray]:
     """For each string, a class number for each of its windows of width bytes.
 
     Two windows have the same class exactly if they are equal. Strings shorter than width have none.
     """
-    step = 2 if width % 2 == 0 else 1
+    step = max(s for s in (1, 2, 3, 4, 5, 10) if width % s == 0)
     depth = width // step
     sizes = np.array([len(s) + step for s in strings], np.int64)
     firsts = np.cumsum(sizes) - sizes
-    data = np.frombuffer((b"\0" * step).join(strings) + b"\0" * (2 * step), np.uint8)
+    data = np.frombuffer((b"\0" * step).join(strings) + b"\0" * (3 * step), np.uint8)
     n = int(sizes.sum())
-    code = data[:n].astype(np.int32)
-    if step == 2:
-        code = (code << 8) | data[1 : n + 1]
     ends = firsts + sizes
     # symbols from a row to its string's end; the last step rows of a string are its end
     left = (np.repeat(ends - step, sizes) - np.arange(n) + step - 1) // step
-    stop = left <= 0
+    symbol = np.where(left <= 0, 0, _alphabet(data, n, step)).astype(np.int32)
     left = np.maximum(left, 0)
-    known = np.zeros(1 << (8 * step), bool)
-    known[code[~stop]] = True
-    dense = np.cumsum(known)
-    symbol = np.where(stop, 0, dense[code]).astype(np.uint16 if dense[-1] < 1 << 16 else np.int32)
     out = np.zeros(n, np.int32)
     bounds = np.searchsorted(ends, np.linspace(0, n, shards + 1)[1:-1])
-    cuts = [0, *firsts[np.minimum(bounds, len(firsts) - 1)].tolist(), n]
-    cuts = sorted(set(cuts))
-    parts = []
+    cuts = sorted({0, n, *firsts[np.minimum(bounds, len(firsts) - 1)].tolist()})
+    orders, columns = [], []
     for a, b in zip(cuts, cuts[1:], strict=False):
-        t = Transform(symbol[a:b], left[a:b], step, depth)
+        orders.append(suffix_order(symbol[a:b], left[a:b], step, depth))
         own = firsts[(firsts >= a) & (firsts < b)] - a
-        parts.append((a, t, t.column((own[:, None] + np.arange(step)).reshape(-1))))
-    source, block = merge([c for _, _, c in parts], depth)
-    by = np.argsort(source, kind="stable")
-    at = 0
-    for a, t, c in parts:
-        out[a + t.order] = block[by[at : at + len(c)]]
-        at += len(c)
+        columns.append(transform(symbol[a:b], orders[-1], (own[:, None] + np.arange(step)).reshape(-1), step))
+    source, block = merge(columns, depth)
+    by, at = np.argsort(source, kind="stable"), 0
+    for a, order in zip(cuts, orders, strict=False):
+        out[a + order] = block[by[at : at + len(order)]]
+        at += len(order)
     return [out[f : f + max(0, len(s) - width + 1)] for f, s in zip(firsts, strings, strict=True)]

@@ -1,7 +1,9 @@
 """What the corpus operators share: staging through the shared folder, and access to it from Python workers."""
 
+import ctypes
 import os
 import tempfile
+from functools import wraps
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +43,28 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def lean(run):
+    """A batch function that hands free memory back at the end of each task, as workers live on."""
+
+    @wraps(run)
+    def trimmed(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library than glibc
+
+    return trimmed
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

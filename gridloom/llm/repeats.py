@@ -27,12 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, low48, messages, mix, pack48, part_of, per_document, runs, shared_entries, unpack48
-from gridloom.llm.common import one_row_per_id, partitions, stage
+from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, low48, messages, mix, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
+from gridloom.llm.common import lean, one_row_per_id, partitions, stage
 from gridloom.llm.words import _BASE, _BYTE, _SPACE, Words
 
 #: Bytes of text whose symbols are looked at together, and bytes of strings that a method gets at once.
-CHUNK, GROUP = 1 << 19, 1 << 20
+CHUNK, GROUP = 1 << 19, 3 << 18
 _MAX = np.uint64((1 << 64) - 1)
 
 
@@ -126,7 +126,7 @@ def _groups(batches, columns):
         yield rows
 
 
-def _send_anchors(docs: DataFrame, kind: Kind, n: int) -> DataFrame:
+def _send_anchors(docs: DataFrame, kind: Kind, keys: list[int]) -> DataFrame:
     def run(batches):
         dst = TaskContext.get().partitionId()
         for rows in _groups(batches, ["doc_id", "text"]):
@@ -137,9 +137,9 @@ def _send_anchors(docs: DataFrame, kind: Kind, n: int) -> DataFrame:
             order = np.lexsort((h, doc))
             h, doc = h[order], doc[order]
             fresh = np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))[: len(h)]
-            yield from messages(h[fresh], doc[fresh], np.array([i for i, _ in rows], np.int64), dst, n)
+            yield from messages(h[fresh], doc[fresh], np.array([i for i, _ in rows], np.int64), dst, keys)
 
-    return docs.mapInArrow(run, MESSAGE)
+    return docs.mapInArrow(lean(run), MESSAGE)
 
 
 def _repeating(answers: DataFrame, n: int) -> DataFrame:
@@ -151,13 +151,13 @@ def _repeating(answers: DataFrame, n: int) -> DataFrame:
         for at in range(0, len(out), 4096):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[at : at + 4096], strict=True), (pa.int64(), pa.binary()), strict=True)], names=["doc_id", "low"])
 
-    return answers.repartition(n, "dst").mapInArrow(run, "doc_id long, low binary")
+    return answers.repartition(n, "dst").mapInArrow(lean(run), "doc_id long, low binary")
 
 
 STRINGS = "p int, dst int, ids binary, doc binary, start binary, size binary, gram binary, body binary"
 
 
-def _send_strings(docs: DataFrame, kind: Kind, n: int) -> DataFrame:
+def _send_strings(docs: DataFrame, kind: Kind, keys: list[int]) -> DataFrame:
     """The runs of windows that share a repeating anchor, from (doc_id, low, text) rows."""
     names = [c.split()[0] for c in STRINGS.split(", ")]
     types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
@@ -180,13 +180,13 @@ def _send_strings(docs: DataFrame, kind: Kind, n: int) -> DataFrame:
             h, doc = mix(gram[anchor[found]]), x.doc[first]
             begin, until = x.begin[first], x.until[last]
             ids, out = np.array([i for i, _, _ in rows], "<i8").tobytes(), []
-            for p, at in by_part(part_of(h, n), n):
+            for p, at in by_part(part_of(h, len(keys)), len(keys)):
                 body = b"".join([x.data[a:b] for a, b in zip(begin[at].tolist(), until[at].tolist(), strict=True)])
-                out.append((p, dst, ids, doc[at].astype(np.uint8).tobytes(), (first[at] - x.first[doc[at]]).astype("<u4").tobytes(), (until[at] - begin[at]).astype("<u4").tobytes(), h[at].tobytes(), body))
+                out.append((keys[p], dst, ids, doc[at].astype(np.uint8).tobytes(), (first[at] - x.first[doc[at]]).astype("<u4").tobytes(), (until[at] - begin[at]).astype("<u4").tobytes(), h[at].tobytes(), body))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    return docs.mapInArrow(run, STRINGS)
+    return docs.mapInArrow(lean(run), STRINGS)
 
 
 RANGES = "dst int, ids binary, start binary, until binary"
@@ -256,7 +256,7 @@ def _judge(strings: DataFrame, kind: Kind, n: int) -> DataFrame:
                     x = owner[f]
                     yield pa.RecordBatch.from_pydict({"dst": pa.array([int(dsts[x[0]])], pa.int32()), "ids": [ids[x].tobytes()], "start": [(starts[x] + inside[f]).tobytes()], "until": [(starts[x] + inside[t] + kind.width).tobytes()]})
 
-    return strings.repartition(n, "p").mapInArrow(run, RANGES)
+    return strings.repartition(n, "p").mapInArrow(lean(run), RANGES)
 
 
 def _merged(ranges: DataFrame, n: int) -> DataFrame:
@@ -277,7 +277,7 @@ def _merged(ranges: DataFrame, n: int) -> DataFrame:
         for at in range(0, len(out), 4096):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[at : at + 4096], strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["doc_id", "start", "until"])
 
-    return ranges.repartition(n, "dst").mapInArrow(run, "doc_id long, start binary, until binary")
+    return ranges.repartition(n, "dst").mapInArrow(lean(run), "doc_id long, start binary, until binary")
 
 
 def lost_ranges(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -288,13 +288,15 @@ def lost_ranges(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "t
     count once (see one_row_per_id); null text has no symbols.
     """
     n = partitions(docs.sparkSession)
+    keys = part_keys(docs.sparkSession, n)
     given = one_row_per_id(docs, key, text).select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     named = stage(given.where("text is not null").select("doc_id", F.sha2("text", 256).alias("digest")))
     first = named.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).where("copies > 1").select("digest", "first")
     copies = stage(named.join(first, "digest").where("doc_id <> first").select("doc_id", F.lit(True).alias("copy")))
     dealt = given.repartition(n, "doc_id").join(copies.hint("shuffle_hash"), "doc_id", "left")
-    own = dealt.where("copy is null and text is not null").select("doc_id", "text")
-    low = _repeating(shared_entries(_send_anchors(own, kind, n), n), n)
-    strings = _send_strings(own.join(low.hint("shuffle_hash"), "doc_id").select("doc_id", "low", "text"), kind, n)
+    # no condition on text, which would reach the scan and make this another exchange
+    own = dealt.where("copy is null").select("doc_id", "text")
+    low = _repeating(shared_entries(_send_anchors(own, kind, keys), n), n)
+    strings = _send_strings(own.join(low.hint("shuffle_hash"), "doc_id").select("doc_id", "low", "text"), kind, keys)
     lost = _merged(_judge(strings, kind, n), n)
     return dealt.join(lost.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "start", "until")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import bwt, subtrees
+from gridloom.llm.common import lean
 from gridloom.llm.repeats import Kind, bytes_of, lost_ranges, words_of
 
 WORDS = Kind(13, 5, words_of, subtrees.window_classes)
@@ -40,7 +41,7 @@ def _apply(docs: DataFrame, kind: Kind, cut, with_text: bool) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if with_text else ""))
+    return docs.mapInArrow(lean(run), "doc_id long, n long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if with_text else ""))
 
 
 def _cut_words(data, copy, start, until, width):
