@@ -18,8 +18,22 @@ TARIFFS = (
 PEAK_WINDOWS = ((7, 9), (17, 20))
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}
+
+
+def struct(text: str) -> T.StructType:
+    """A schema from "name type, ..." with struct<...> for nesting; needs no running session."""
+    parts, depth, at = [], 0, 0
+    for k, c in enumerate(text + ","):
+        depth += (c == "<") - (c == ">")
+        if c == "," and depth == 0:
+            parts.append(text[at:k].strip())
+            at = k + 1
+    out = []
+    for part in parts:
+        name, _, kind = part.partition(" ")
+        out.append(T.StructField(name, struct(kind[len("struct<") : -1]) if kind.startswith("struct<") else _TYPES[kind]))
+    return T.StructType(out)
 
 
 LOCATION = "location struct<lat double, lon double, city string, country string>"
@@ -28,12 +42,12 @@ VEHICLE = "vehicle struct<brand string, model string, ev_id string>"
 FAULT = "fault struct<error_code string, component string>"
 
 #: The nested event, as producers send it in JSON.
-EVENT = _struct(
+EVENT = struct(
     "event_id string, event_type string, station_id string, connector_id int, session_id string, timestamp string, "
     f"operator_id string, {LOCATION}, {METER}, {VEHICLE}, tariff_id string, cost_eur double, {FAULT}, status string, is_peak_priced boolean"
 )
 #: The flat event, as it is stored: 27 columns, none of them null.
-CLEAN = _struct(
+CLEAN = struct(
     "event_id string, event_type string, station_id string, connector_id int, session_id string, "
     "timestamp timestamp, ingested_at timestamp, produced_at timestamp, operator_id string, lat double, lon double, "
     "city string, country string, power_kw float, energy_kwh float, voltage_v float, current_a float, soc_percent int, "
@@ -41,9 +55,9 @@ CLEAN = _struct(
     "component string, status string, is_peak_priced int"
 )
 CLEAN_COLUMNS = CLEAN.fieldNames()
-DEAD_LETTER = _struct("raw_payload string, error string, ingested_at timestamp")
-STATIONS = _struct("station_id string, operator_id string, city string, country string, lat double, lon double, num_connectors int, created_at timestamp")
-CONNECTORS = _struct("station_id string, connector_id int, power_kw_rating float, connector_type string")
-TARIFF = _struct("tariff_id string, name string, price_per_kwh_eur float, peak_multiplier float")
+DEAD_LETTER = struct("raw_payload string, error string, ingested_at timestamp")
+STATIONS = struct("station_id string, operator_id string, city string, country string, lat double, lon double, num_connectors int, created_at timestamp")
+CONNECTORS = struct("station_id string, connector_id int, power_kw_rating float, connector_type string")
+TARIFF = struct("tariff_id string, name string, price_per_kwh_eur float, peak_multiplier float")
 #: The columns that name a stored event; of rows that agree in them the last ingested counts.
 VERSION_KEY = ("station_id", "connector_id", "event_type", "timestamp", "event_id")

@@ -91,7 +91,7 @@ def freshness(raw: DataFrame, now: Column, hours: int = MAX_AGE_HOURS, time: str
     """newest, age_s, passed; an empty table fails."""
     newest = raw.agg(F.max(time).alias("newest"))
     age = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(F.col("newest").cast("timestamp"))
-    return newest.withColumn("age_s", F.greatest(age, F.lit(0))).withColumn("passed", F.coalesce(F.col("age_s") <= hours * 3600, F.lit(False)))
+    return newest.withColumn("age_s", F.when(F.col("newest").isNotNull(), F.greatest(age, F.lit(0)))).withColumn("passed", F.coalesce(F.col("age_s") <= hours * 3600, F.lit(False)))
 
 
 class GateFailed(ValueError):

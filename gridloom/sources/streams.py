@@ -1,10 +1,11 @@
 """Raw event streams: directories of files, or a broker where its connector is on the class path."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+
+from gridloom.functions.schema import struct
 
 #: What every source gives: key, value, when the producer wrote it, and the order of arrival.
-RAW = T.StructType.fromDDL("key string, value string, produced_at timestamp, offset long")
+RAW = struct("key string, value string, produced_at timestamp, offset long")
 
 
 def from_files(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:

@@ -47,7 +47,7 @@ class Analytics:
         try:
             valid, rejected = validate.split(rows)
             first = dedup.first_in_batch(valid.withColumn("event_id", F.col("event.event_id")), "event_id", "offset")
-            fresh = self._unseen(spark, first)
+            fresh = self._unseen(spark, first, batch)
             clean = flatten.flatten(fresh, F.col("ingested_at"), F.col("produced_at")).persist()
             clean.write.mode("overwrite").parquet(self.path("clean", batch))
             validate.dead_letters(rejected, ingested_at=F.col("ingested_at")).write.mode("overwrite").parquet(self.path("dead_letter", batch))
@@ -57,8 +57,9 @@ class Analytics:
         finally:
             rows.unpersist()
 
-    def _unseen(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
-        lately = [self.path("seen", b) for at, b in self._marks if self.clock() - at <= self.ttl_seconds]
+    def _unseen(self, spark: SparkSession, rows: DataFrame, batch: int) -> DataFrame:
+        # what this very batch marked when it ran before is not seen: it is about to be replaced
+        lately = [self.path("seen", b) for at, b in self._marks if b != batch and self.clock() - at <= self.ttl_seconds]
         if not lately:
             return rows
         try:
