@@ -23,8 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, low48, messages, mix, note, pack48, part_of, per_document, runs, shared_entries, unpack48
-from gridloom.llm.common import one_row_per_id, partitions, stage
+from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, low48, messages, mix, note, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
+from gridloom.llm.common import lean, one_row_per_id, partitions, stage
 from gridloom.llm.components import connected
 from gridloom.llm.words import Words, grams
 
@@ -32,7 +32,7 @@ NGRAM = 5
 #: A link needs 100 * overlap >= PERCENT * union.
 PERCENT = 75
 #: Bytes of text that are turned into n-grams at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _RECORD = np.dtype([("n", "<i8"), ("k1", "<u8"), ("k2", "<u8")])
 
 
@@ -71,7 +71,7 @@ def _groups(batches, columns):
         yield rows
 
 
-def _send(docs: DataFrame, n: int) -> DataFrame:
+def _send(docs: DataFrame, keys: list[int]) -> DataFrame:
     def run(batches):
         dst = TaskContext.get().partitionId()
         for k, rows in enumerate(_groups(batches, ["doc_id", "text"])):
@@ -81,11 +81,11 @@ def _send(docs: DataFrame, n: int) -> DataFrame:
             record["n"] = [len(x) for x in found]
             record["k1"] = [int(mix(x).sum(dtype=np.uint64)) for x in found]
             record["k2"] = [int(np.bitwise_xor.reduce(mix(x * np.uint64(0xA24BAED4963EE407) + np.uint64(1)))) if len(x) else 0 for x in found]
-            yield note(ids, record.tobytes(), dst, (dst + k) % n)
+            yield note(ids, record.tobytes(), dst, keys[(dst + k) % len(keys)])
             doc = np.repeat(np.arange(len(rows)), record["n"])
-            yield from messages(np.concatenate(found), doc, ids, dst, n)
+            yield from messages(np.concatenate(found), doc, ids, dst, keys)
 
-    return docs.mapInArrow(run, MESSAGE)
+    return docs.mapInArrow(lean(run), MESSAGE)
 
 
 ROWS = "doc_id long, n long, k1 long, k2 long, shared binary"
@@ -108,7 +108,7 @@ def _rows(answers: DataFrame, n: int) -> DataFrame:
                 out.append((i, int(r["n"]), int(r["k1"].astype(np.int64)), int(r["k2"].astype(np.int64)), kept))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 4 else pa.int64()) for k, c in enumerate(zip(*out, strict=True))], names=names)
 
-    return answers.repartition(n, "dst").mapInArrow(run, ROWS)
+    return answers.repartition(n, "dst").mapInArrow(lean(run), ROWS)
 
 
 CANDIDATES = "a long, b long, hub long, docs binary"
@@ -126,9 +126,9 @@ def _possible(n, pos, nx, px):
     return np.minimum(n - pos, nx - px) >= _needed(n, nx)
 
 
-def _candidates(rows: DataFrame, n: int) -> DataFrame:
+def _candidates(rows: DataFrame, keys: list[int]) -> DataFrame:
     """Pairs (a, b) to verify, with their hub; and, with null a and b, each hub's column of rows."""
-    entries = "p int, low binary, entry binary"
+    entries, n = "p int, low binary, entry binary", len(keys)
 
     def send(batches):
         for b in batches:
@@ -144,7 +144,7 @@ def _candidates(rows: DataFrame, n: int) -> DataFrame:
             if not lows:
                 continue
             h, rec = np.concatenate(lows), np.concatenate(recs)
-            out = [(p, pack48(h[at]), rec[at].tobytes()) for p, at in by_part(part_of(mix(h), n), n)]
+            out = [(keys[p], pack48(h[at]), rec[at].tobytes()) for p, at in by_part(part_of(mix(h), n), n)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["p", "low", "entry"])
 
@@ -197,7 +197,7 @@ def _candidates(rows: DataFrame, n: int) -> DataFrame:
         if pairs:
             yield _pairs(pairs)
 
-    return rows.mapInArrow(send, entries).repartition(n, "p").mapInArrow(pair, CANDIDATES)
+    return rows.mapInArrow(lean(send), entries).repartition(n, "p").mapInArrow(lean(pair), CANDIDATES)
 
 
 def _pairs(pairs):
@@ -218,7 +218,7 @@ def _linked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
                 got.append(100 * o >= PERCENT * (nx + ny - o))
             yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(got, pa.bool_())], names=["a", "b", "linked"])
 
-    return joined.select("a", "b", "na", "sa", "nb", "sb").mapInArrow(run, "a long, b long, linked boolean")
+    return joined.select("a", "b", "na", "sa", "nb", "sb").mapInArrow(lean(run), "a long, b long, linked boolean")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -229,15 +229,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     fewer than five words have one n-gram, all their words; it equals no five-word one.
     """
     spark = docs.sparkSession
-    n = partitions(spark)
+    n = 2 * partitions(spark)
+    keys = part_keys(spark, n)
     given = one_row_per_id(docs, key, text).select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    rows = stage(_rows(shared_entries(_send(given, n), n), n))
+    rows = stage(_rows(shared_entries(_send(given, keys), n), n))
     # equal sets: one representative each, by two 64-bit sums of mixed hashes and the size
     named = rows.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     same = stage(rows.select("doc_id", "n", "k1", "k2").join(named, ["n", "k1", "k2"]).where("doc_id <> rep").select("doc_id", "rep"))
     able = rows.where("shared is not null").select("doc_id", "n", "shared").join(same.select("doc_id"), "doc_id", "left_anti")
     able = stage(able)
-    found = stage(_candidates(able, n))
+    found = stage(_candidates(able, keys))
     pairs = found.where("a is not null").groupBy("a", "b").agg(F.max("hub").alias("hub"))
     checked = stage(_linked(pairs, able))
     missed = checked.where("not linked").select("a", "b")
@@ -267,7 +268,7 @@ def _residual(columns: DataFrame, lost: DataFrame) -> DataFrame:
                 k += 1
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), base + k)), pa.array(np.full(len(x), hub)), *(pa.array(x[c].astype(np.int64)) for c in ("doc", "n", "pos"))], names=["column", "hub", "doc", "n", "pos"])
 
-    entries = stage(columns.join(hubs, "hub", "left_semi").mapInArrow(spread, "column long, hub long, doc long, n long, pos long"))
+    entries = stage(columns.join(hubs, "hub", "left_semi").mapInArrow(lean(spread), "column long, hub long, doc long, n long, pos long"))
     x = entries.join(lost, ["hub", "doc"]).select("column", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"))
     both = x.join(entries.select("column", "doc", "n", "pos"), "column").where("x <> doc")
     needs = F.expr(f"ceil({PERCENT} * (n + nx) / {100 + PERCENT}D)")

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import lean
 from gridloom.llm.tokens import Encoder
 
 MAX_TOKENS = 2048
@@ -135,7 +136,7 @@ def pack_examples(examples: DataFrame, item: str, tokens: str = "tokens", loss:
         packer.close()
         yield from _examples(rows, base)
 
-    return given.mapInArrow(run, "item string, skip long, tokens long, sequence_id long, offset long").withColumnRenamed("item", item)
+    return given.mapInArrow(lean(run), "item string, skip long, tokens long, sequence_id long, offset long").withColumnRenamed("item", item)
 
 
 def _examples(rows: list, base: int):
@@ -185,4 +186,4 @@ def pack_documents(docs: DataFrame, path: str, pattern: str, end_id: int = 1, ke
         packer.close()
         yield from flush()
 
-    return given.mapInArrow(run, PIECES + (", ids array<int>" if with_ids else ""))
+    return given.mapInArrow(lean(run), PIECES + (", ids array<int>" if with_ids else ""))
