@@ -17,13 +17,15 @@ SIGMAS = 2
 LEAST_READINGS = 3
 
 
-def anchored(events: DataFrame, raw: DataFrame, days: int, time: str = "timestamp") -> DataFrame:
-    """events with win_start and win_end: the days before raw's newest event. No rows if raw has none.
+def bounds(raw: DataFrame, days: int, time: str = "timestamp") -> DataFrame:
+    """win_start, win_end: the days before raw's newest event, as one row; none if raw has no rows."""
+    end = raw.agg(F.max(time).alias("win_end")).where("win_end IS NOT NULL")
+    return end.select((F.col("win_end") - F.expr(f"INTERVAL {days} DAYS")).alias("win_start"), "win_end")
 
-    The bound is one row, so its broadcast is one row whatever the table.
-    """
-    bound = raw.agg(F.max(time).alias("win_end")).where("win_end IS NOT NULL").withColumn("win_start", F.col("win_end") - F.expr(f"INTERVAL {days} DAYS"))
-    return events.crossJoin(F.broadcast(bound))
+
+def anchored(events: DataFrame, raw: DataFrame, days: int, time: str = "timestamp") -> DataFrame:
+    """events with their bounds(); the broadcast is of one row, whatever the table."""
+    return events.crossJoin(F.broadcast(bounds(raw, days, time)))
 
 
 def register_deltas(events: DataFrame) -> DataFrame:
