@@ -1,6 +1,6 @@
 """Data quality: drift between two windows, dead-letter rate, freshness. Clocks are parameters."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import bucket_of, ratio
@@ -14,18 +14,18 @@ MAX_DEAD_LETTER_RATE = 0.05
 MAX_AGE_HOURS = 24
 
 
-def energy_deltas(raw: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """v: energy of each session that starts and stops within [lo, hi); other columns of the window are dropped."""
-    rows = latest_version(raw.where(F.col("event_type").isin(*SESSION_TYPES))).where(f"timestamp >= {lo} AND timestamp < {hi}")
+def energy_deltas(rows: DataFrame) -> DataFrame:
+    """side, v: energy of each session that starts and stops within its side's window."""
+    kept = latest_version(rows.where(F.col("event_type").isin(*SESSION_TYPES)))
     start = F.min(F.when(F.col("event_type") == "SESSION_START", F.col("timestamp")))
     stop = F.max(F.when(F.col("event_type") == "SESSION_STOP", F.col("timestamp")))
     energy = F.col("energy_kwh").cast("double")
-    return rows.groupBy("session_id").agg((F.max(energy) - F.min(energy)).alias("v"), start.alias("a"), stop.alias("b")).where("b >= a").select("v")
+    return kept.groupBy("side", "session_id").agg((F.max(energy) - F.min(energy)).alias("v"), start.alias("a"), stop.alias("b")).where("b >= a").select("side", "v")
 
 
-def meter_powers(raw: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    rows = latest_version(raw.where("event_type = 'METER_UPDATE'"))
-    return rows.where(f"power_kw > 0 AND timestamp >= {lo} AND timestamp < {hi}").select(F.col("power_kw").cast("double").alias("v"))
+def meter_powers(rows: DataFrame) -> DataFrame:
+    """side, v: power of each reading above 0."""
+    return latest_version(rows.where("event_type = 'METER_UPDATE' AND power_kw > 0")).select("side", F.col("power_kw").cast("double").alias("v"))
 
 
 METRICS = {"energy_delta": energy_deltas, "power_kw": meter_powers}
@@ -38,44 +38,49 @@ def drift_windows(raw: DataFrame) -> DataFrame:
     return end.select((F.col("act_end") - week - week).alias("exp_start"), (F.col("act_end") - week).alias("exp_end"), (F.col("act_end") - week).alias("act_start"), "act_end")
 
 
-def values(raw: DataFrame, metric: str, side: str) -> DataFrame:
-    """v of one metric in the expected ("exp") or actual ("act") window."""
-    bounds = F.broadcast(drift_windows(raw).selectExpr(f"{side}_start AS lo", f"{side}_end AS hi"))
-    return METRICS[metric](raw.crossJoin(bounds))
+def values(raw: DataFrame, metric: str) -> DataFrame:
+    """side ("exp" or "act"), v: one metric in both windows, from one scan.
+
+    The windows are applied before versions are resolved: event time is part of an event's key, so
+    that no version of it falls outside.
+    """
+    time = F.col("timestamp")
+    inside = lambda w: (time >= F.col(f"{w}_start")) & (time < F.col(f"{w}_end"))
+    rows = raw.crossJoin(F.broadcast(drift_windows(raw)))  # one row
+    rows = rows.withColumn("side", F.when(inside("act"), "act").when(inside("exp"), "exp")).where("side IS NOT NULL")
+    return METRICS[metric](rows.drop("exp_start", "exp_end", "act_start", "act_end"))
 
 
-def edges(expected: DataFrame, exact: bool = True) -> DataFrame:
-    """One row: the nine inner deciles; none if there are no values or fewer than two distinct edges.
+def edges(both: DataFrame, exact: bool = True) -> DataFrame:
+    """One row: the nine inner deciles of the expected side; none without values or two distinct edges.
 
     exact=False takes percentile_approx, whose memory is bounded, for windows of any size.
     """
     cuts = [k / BUCKETS for k in range(1, BUCKETS)]
     at = F.percentile("v", F.array(*map(F.lit, cuts))) if exact else F.percentile_approx("v", cuts, 10_000)
-    return expected.agg(at.alias("edges")).where("edges IS NOT NULL AND size(array_distinct(edges)) >= 2")
+    return both.where("side = 'exp'").agg(at.alias("edges")).where("edges IS NOT NULL AND size(array_distinct(edges)) >= 2")
 
 
-def bucket_counts(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """bucket, n for each of the buckets, empty ones too. cuts is one row of nine numbers."""
-    found = rows.crossJoin(F.broadcast(cuts)).groupBy(bucket_of(F.col("v"), F.col("edges")).alias("bucket")).agg(F.count("*").alias("n"))
-    spine = rows.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    return spine.join(F.broadcast(found), "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+def bucket_counts(both: DataFrame, cuts: DataFrame) -> DataFrame:
+    """side, bucket, n for each of the buckets, empty ones too. cuts is one row of nine numbers."""
+    found = both.crossJoin(F.broadcast(cuts)).groupBy("side", bucket_of(F.col("v"), F.col("edges")).alias("bucket")).agg(F.count("*").alias("n"))
+    spine = both.sparkSession.range(2 * BUCKETS).select(F.when(F.col("id") < BUCKETS, "exp").otherwise("act").alias("side"), (F.col("id") % BUCKETS).cast("int").alias("bucket"))
+    return spine.join(F.broadcast(found), ["side", "bucket"], "left").select("side", "bucket", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def psi(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """One row, psi: null if either side is empty. Shares are at least EPSILON."""
-    both = expected.select("bucket", F.col("n").alias("e")).join(actual.select("bucket", F.col("n").alias("a")), "bucket")
-    total = both.agg(F.sum("e").alias("es"), F.sum("a").alias("as_"))
-    share = lambda n, s: F.greatest(ratio(F.col(n), F.col(s)), F.lit(EPSILON))
-    x = both.crossJoin(F.broadcast(total)).select(share("e", "es").alias("p"), share("a", "as_").alias("q"), "es", "as_")
-    one = F.when((F.min("es") > 0) & (F.min("as_") > 0), F.sum((F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))))
-    return x.agg(one.alias("psi"))
+def psi(counts: DataFrame) -> DataFrame:
+    """One row, psi of bucket_counts(): null if either side is empty. Shares are at least EPSILON."""
+    total = Window.partitionBy("side")  # twenty rows
+    share = counts.withColumn("p", F.greatest(ratio(F.col("n"), F.sum("n").over(total)), F.lit(EPSILON))).withColumn("t", F.sum("n").over(total))
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    x = share.groupBy("bucket").agg(of("exp", "p").alias("e"), of("act", "p").alias("a"), F.min("t").alias("t"))
+    return x.agg(F.when(F.min("t") > 0, F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e")))).alias("psi"))
 
 
 def drift(raw: DataFrame, metric: str, exact: bool = True) -> DataFrame:
     """metric, psi, passed: no row where the expected window is too small to cut."""
-    expected = values(raw, metric, "exp")
-    cuts = edges(expected, exact)
-    score = psi(bucket_counts(expected, cuts), bucket_counts(values(raw, metric, "act"), cuts)).where("psi IS NOT NULL")
+    both = values(raw, metric)
+    score = psi(bucket_counts(both, edges(both, exact))).where("psi IS NOT NULL")
     return score.select(F.lit(metric).alias("metric"), "psi", (F.col("psi") <= MAX_PSI).alias("passed"))
 
 

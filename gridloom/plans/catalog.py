@@ -467,7 +467,7 @@ def _both(make) -> DataFrame:
 @query_with(_WINDOWS + _VALUES, f"SELECT 'energy_delta' AS metric, k AS edge, round({_CUTS}[k], 6) AS value FROM ev, range(1, 10) r(k) GROUP BY k UNION ALL SELECT 'power_kw', k, round({_CUTS}[k], 6) FROM ep, range(1, 10) r(k) GROUP BY k")
 def quantile_edges(spark, sf_dir):
     rows = raw(spark, sf_dir)
-    return _both(lambda m: gates.edges(gates.values(rows, m, "exp")).select(F.lit(m).alias("metric"), F.posexplode("edges").alias("edge", "value")).select("metric", (F.col("edge") + 1).cast("long").alias("edge"), F.round("value", 6).alias("value")))
+    return _both(lambda m: gates.edges(gates.values(rows, m)).select(F.lit(m).alias("metric"), F.posexplode("edges").alias("edge", "value")).select("metric", (F.col("edge") + 1).cast("long").alias("edge"), F.round("value", 6).alias("value")))
 
 
 @query_with(_WINDOWS + _VALUES + _COUNTS, "SELECT metric, side, bucket, n FROM ct")
@@ -475,9 +475,8 @@ def psi_buckets(spark, sf_dir):
     rows = raw(spark, sf_dir)
 
     def one(m):
-        cuts = gates.edges(gates.values(rows, m, "exp"))
-        sides = [gates.bucket_counts(gates.values(rows, m, s), cuts).select(F.lit(m).alias("metric"), F.lit(s).alias("side"), "bucket", "n") for s in ("exp", "act")]
-        return sides[0].unionByName(sides[1])
+        both = gates.values(rows, m)
+        return gates.bucket_counts(both, gates.edges(both)).select(F.lit(m).alias("metric"), "side", "bucket", "n")
 
     return _both(one)
 
