@@ -1,6 +1,7 @@
 """What the corpus operators share: staging through the shared folder, and access to it from Python workers."""
 
 import ctypes
+import gc
 import os
 import tempfile
 from functools import wraps
@@ -30,8 +31,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 def stage(df: DataFrame) -> DataFrame:
     """Write df below the shared folder and read it back: the lineage ends there, and a lost
-    executor costs no recomputation of what came before."""
+    executor costs no recomputation of what came before. Shuffle files of plans that nothing refers
+    to any more, such as those that earlier stages wrote, are given free first."""
     spark = df.sparkSession
+    gc.collect()
+    spark._jvm.System.gc()
     path = shared_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -51,8 +55,6 @@ def lean(run):
         try:
             yield from run(batches)
         finally:
-            import gc
-
             import pyarrow as pa
 
             gc.collect()

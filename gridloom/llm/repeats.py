@@ -128,7 +128,7 @@ def _groups(batches, columns):
 
 def _send_anchors(docs: DataFrame, kind: Kind, keys: list[int]) -> DataFrame:
     def run(batches):
-        dst = TaskContext.get().partitionId()
+        dst = keys[TaskContext.get().partitionId() % len(keys)]
         for rows in _groups(batches, ["doc_id", "text"]):
             x = kind.layout([t for _, t in rows])
             _, place, gram = anchors(x, kind)
@@ -163,7 +163,7 @@ def _send_strings(docs: DataFrame, kind: Kind, keys: list[int]) -> DataFrame:
     types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
 
     def run(batches):
-        dst = TaskContext.get().partitionId()
+        dst = keys[TaskContext.get().partitionId() % len(keys)]
         for rows in _groups(batches, ["doc_id", "low", "text"]):
             x = kind.layout([t for _, _, t in rows])
             start, place, gram = anchors(x, kind)
@@ -280,13 +280,8 @@ def _merged(ranges: DataFrame, n: int) -> DataFrame:
     return ranges.repartition(n, "dst").mapInArrow(lean(run), "doc_id long, start binary, until binary")
 
 
-def lost_ranges(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text, copy, start, until for every document of docs.
-
-    copy says that a document with a smaller id has the same text; such documents lose all windows
-    and have no ranges. start and until are null where nothing is lost. Rows that repeat a key
-    count once (see one_row_per_id); null text has no symbols.
-    """
+def _found(docs: DataFrame, kind: Kind, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """doc_id and text dealt out by id, with copy; the copies; and the ranges that others lose."""
     n = partitions(docs.sparkSession)
     keys = part_keys(docs.sparkSession, n)
     given = one_row_per_id(docs, key, text).select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
@@ -298,5 +293,25 @@ def lost_ranges(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "t
     own = dealt.where("copy is null").select("doc_id", "text")
     low = _repeating(shared_entries(_send_anchors(own, kind, keys), n), n)
     strings = _send_strings(own.join(low.hint("shuffle_hash"), "doc_id").select("doc_id", "low", "text"), kind, keys)
-    lost = _merged(_judge(strings, kind, n), n)
+    return dealt, copies, _merged(_judge(strings, kind, n), n)
+
+
+def lost_ranges(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text, copy, start, until for every document of docs.
+
+    copy says that a document with a smaller id has the same text; such documents lose all windows
+    and have no ranges. start and until are null where nothing is lost. Rows that repeat a key
+    count once (see one_row_per_id); null text has no symbols.
+    """
+    dealt, _, lost = _found(docs, kind, key, text)
     return dealt.join(lost.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "start", "until")
+
+
+def losses(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, copy, start, until of the documents that lose anything, written to the shared folder.
+
+    For callers that keep other columns: they join their rows to it.
+    """
+    _, copies, lost = _found(docs, kind, key, text)
+    none = F.lit(None).cast("binary")
+    return stage(lost.select("doc_id", F.lit(False).alias("copy"), "start", "until").unionByName(copies.select("doc_id", "copy", none.alias("start"), none.alias("until"))))

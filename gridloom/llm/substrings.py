@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import bwt, subtrees
 from gridloom.llm.common import lean
-from gridloom.llm.repeats import Kind, bytes_of, lost_ranges, words_of
+from gridloom.llm.repeats import Kind, bytes_of, losses, lost_ranges, words_of
 
 WORDS = Kind(13, 5, words_of, subtrees.window_classes)
 BYTES = Kind(50, 24, bytes_of, bwt.window_classes)
@@ -62,6 +62,8 @@ def _cut_bytes(data, copy, start, until, width):
     n = len(data)
     if copy and n >= width:
         return b"", n, n, 1
+    if len(until) and until[-1] > n:
+        return data, n, 0, 0  # ranges of another text with the same key
     kept, at = [], 0
     for a, b in zip(start.tolist(), until.tolist(), strict=True):
         kept.append(data[at:a])
@@ -91,12 +93,56 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     """docs with its columns and rows, repeated spans of 50 bytes cut from text.
 
     A character of which only some bytes remain is dropped. n_chars, where there is one, counts
-    what is left. Rows without a key stay as they are; rows that repeat a key all get its text.
+    what is left. Rows without a key stay as they are; rows that repeat a key are taken to repeat
+    its text as well, and lose the same ranges.
     """
     names = docs.columns
-    kept = by_bytes(docs, with_text=True).select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
-    wide = docs.where("doc_id is not null").select(*[F.col(f"`{c}`") if c != "text" else (F.col("text").isNull()).alias("text") for c in names])
-    wide = wide.join(kept, F.col("doc_id").cast("long") == F.col("_id")).withColumn("text", F.when(~F.col("text"), F.col("_kept")))
-    if "n_chars" in names:
-        wide = wide.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return wide.select(*[f"`{c}`" for c in names]).unionByName(docs.where("doc_id is null"))
+    found = losses(docs, BYTES).select(F.col("doc_id").alias("_id"), "copy", "start", "until")
+    wide = docs.join(found.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("_id"), "left")
+    wide = wide.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], "_id", "copy", "start", "until")
+    body, count = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
+    def run(batches):
+        for b in batches:
+            columns = list(b.columns[: len(names)])
+            texts = columns[body].to_pylist()
+            counts = columns[count].to_pylist() if count is not None else None
+            for r, (i, copy, start, until) in enumerate(zip(*(b[c].to_pylist() for c in ("_id", "copy", "start", "until")), strict=True)):
+                if i is not None and texts[r] is not None:
+                    kept, _, removed, _ = _cut_bytes(texts[r].encode("utf-8", "surrogatepass"), copy, *_ranges(start, until), BYTES.width)
+                    if removed:
+                        texts[r] = kept.decode("utf-8", "ignore")
+                        if counts is not None:
+                            counts[r] = len(texts[r])
+            columns[body] = pa.array(texts, columns[body].type)
+            if counts is not None:
+                columns[count] = pa.array(counts, columns[count].type)
+            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[: len(names)])
+
+    schema = ", ".join(f"c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(names))
+    return wide.mapInArrow(lean(run), schema).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+
+
+ORACLE_WORDS = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+m AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS f FROM g),
+r AS (SELECT DISTINCT doc_id, i + k AS p FROM m, range(13) t(k) WHERE f < doc_id),
+k AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+e AS (SELECT k.doc_id, count(*) AS n, count(r.p) AS gone, string_agg(word, ' ' ORDER BY k.p) FILTER (WHERE r.p IS NULL) AS kept
+      FROM k LEFT JOIN r ON r.doc_id = k.doc_id AND r.p = k.p GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN e ON e.doc_id = d.doc_id
+"""
+
+ORACLE_BYTES = """
+WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS h, length(hex(coalesce(text, ''))) // 2 AS n FROM documents),
+g AS (SELECT doc_id, unnest(range(1, n - 48)) AS i, unnest(list_transform(range(1, n - 48), lambda i: h[2 * i - 1:2 * i + 98])) AS s FROM d WHERE n >= 50),
+m AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS f FROM g) WHERE f < doc_id),
+o AS (SELECT doc_id, i, lag(i) OVER w AS p FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+q AS (SELECT doc_id, i, count(*) FILTER (WHERE p IS NULL OR p + 50 < i) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM o),
+r AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM q GROUP BY 1, 2),
+u AS (SELECT doc_id, a, b, lag(b, 1, 1) OVER w AS from_, k FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY a)),
+e AS (SELECT doc_id, count(*) AS s, sum(b - a) AS gone, string_agg(d.h[2 * from_ - 1:2 * (a - 1)], '' ORDER BY a) AS kept, max(b) AS last FROM u JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(s, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN s IS NULL THEN h ELSE concat(kept, h[2 * last - 1:]) END)) AS kept_sha256 FROM d LEFT JOIN e ON e.doc_id = d.doc_id
+"""
