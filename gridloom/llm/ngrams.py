@@ -73,7 +73,8 @@ def _groups(batches, columns):
 
 def _send(docs: DataFrame, keys: list[int]) -> DataFrame:
     def run(batches):
-        dst = TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
+        dst = keys[part % len(keys)]
         for k, rows in enumerate(_groups(batches, ["doc_id", "text"])):
             found = sets([t for _, t in rows])
             ids = np.array([i for i, _ in rows], np.int64)
@@ -81,7 +82,7 @@ def _send(docs: DataFrame, keys: list[int]) -> DataFrame:
             record["n"] = [len(x) for x in found]
             record["k1"] = [int(mix(x).sum(dtype=np.uint64)) for x in found]
             record["k2"] = [int(np.bitwise_xor.reduce(mix(x * np.uint64(0xA24BAED4963EE407) + np.uint64(1)))) if len(x) else 0 for x in found]
-            yield note(ids, record.tobytes(), dst, keys[(dst + k) % len(keys)])
+            yield note(ids, record.tobytes(), dst, keys[(part + k) % len(keys)])
             doc = np.repeat(np.arange(len(rows)), record["n"])
             yield from messages(np.concatenate(found), doc, ids, dst, keys)
 
