@@ -71,6 +71,8 @@ QUERIES = {
 ORACLES = {
     "op3_ngram_jaccard": ngrams.ORACLE,
     "op4_maxscore_top_k": maxscore.ORACLE,
+    "op5_suffix_tree_dedup": substrings.ORACLE_WORDS,
+    "op7_suffix_array_dedup": substrings.ORACLE_BYTES,
     "op9_warc_round_trip": warc.ORACLE,
     "op10_quality_rules": quality.ORACLE,
 }
