@@ -69,9 +69,12 @@ def by_part(part: np.ndarray, n: int):
 
 
 def messages(h: np.ndarray, doc: np.ndarray, ids: np.ndarray, dst: int, keys: list[int]):
-    """Batches of MESSAGE rows for entries of at most DOCS documents; doc indexes ids."""
+    """Batches of MESSAGE rows for entries of at most DOCS documents; doc indexes ids.
+
+    Hashes are mixed before they choose a part: those of anchors are the least of many.
+    """
     head = np.asarray(ids, "<i8").tobytes()
-    rows = [(keys[p], dst, head, doc[at].astype(np.uint8).tobytes(), pack48(h[at]), None) for p, at in by_part(part_of(h, len(keys)), len(keys))]
+    rows = [(keys[p], dst, head, doc[at].astype(np.uint8).tobytes(), pack48(h[at]), None) for p, at in by_part(part_of(mix(h), len(keys)), len(keys))]
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _MESSAGE, strict=True)], schema=_MESSAGE)
 

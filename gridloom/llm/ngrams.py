@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, low48, messages, mix, note, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
+from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, messages, mix, note, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
 from gridloom.llm.common import lean, one_row_per_id, partitions, stage
 from gridloom.llm.components import connected
 from gridloom.llm.words import Words, grams
