@@ -17,11 +17,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import partitions, remove, shared_folder
+from gridloom.llm.blocks import part_keys
+from gridloom.llm.common import lean, partitions, remove, shared_folder
 from gridloom.llm.tokens import Encoder
 
 MAX_BITS = 18
@@ -85,13 +85,16 @@ def encode_block(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tup
     ends = np.cumsum(size)
     starts = ends - size
     total = int(ends[-1]) if len(ids) else 0
-    # a code of up to 18 bits at any bit of a byte lies within 32 bits: four bytes, added up by place
-    word = codes[ids].astype(np.uint64) << (32 - size - (starts & 7)).astype(np.uint64)
-    first, n = starts >> 3, (total >> 3) + 5
-    out = np.zeros(n, np.int64)
-    for k in range(4):
-        out += np.bincount(first + k, ((word >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.float64), minlength=n).astype(np.int64)[:n]
-    return out[: (total + 7) >> 3].astype(np.uint8).tobytes(), starts[::STEP].astype("<u8")
+    # a code of up to 18 bits that starts within a cell of 32 bits ends in it or in the next; the
+    # codes that start in one cell lie together, and no two share a bit: a sum puts them in place
+    word = codes[ids].astype(np.uint64) << (64 - size - (starts & 31)).astype(np.uint64)
+    cell, out = starts >> 5, np.zeros((total >> 5) + 3, np.uint64)
+    if len(ids):
+        at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        both = np.add.reduceat(word, at)
+        out[cell[at]] += both >> np.uint64(32)
+        out[cell[at] + 1] += both & np.uint64(0xFFFFFFFF)
+    return out.astype(">u4").tobytes()[: (total + 7) >> 3], starts[::STEP].astype("<u8")
 
 
 def decode_blocks(blocks: list[tuple[bytes, np.ndarray, int]], table: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
@@ -113,26 +116,52 @@ def decode_blocks(blocks: list[tuple[bytes, np.ndarray, int]], table: tuple[np.n
     return [out[:, e - m : e].T.reshape(-1)[:n] for e, m, (_, _, n) in zip(ends, lanes, blocks, strict=True)]
 
 
-TOKENS = "part int, k long, seq long, ids binary"
+#: A document's ids; or, where first is not null, counts of COUNTED ids from there in n of a task.
+TOKENS = "part int, k long, seq long, n long, ids binary, first int"
+_TOKENS = pa.schema([("part", pa.int32()), ("k", pa.int64()), ("seq", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("first", pa.int32())])
+#: Ids whose counts travel in one row.
+COUNTED = 1 << 11
 
 
-def _tokenised(docs: DataFrame, path: str, pattern: str, end_id: int, n: int) -> DataFrame:
-    """part, k, seq, ids: whole documents in ascending key order; part numbers the range
-    partitions, seq is the number of ids before the document in its partition."""
-    rows = docs.repartitionByRange(n, "k").sortWithinPartitions("k")
-    schema = pa.schema([("part", pa.int32()), ("k", pa.int64()), ("seq", pa.int64()), ("ids", pa.binary())])
+def _in_order(docs: DataFrame, n: int) -> DataFrame:
+    """part, k, t: range partitions of about equal size in ascending key order, sorted within.
+
+    The bounds come from a sketch of the keys alone; Spark's own range partitioning would read all
+    texts to sample them.
+    """
+    spark = docs.sparkSession
+    bounds = sorted(set(docs.agg(F.percentile_approx("k", [i / n for i in range(1, n)] or [0.5], 10_000).alias("b")).first()["b"] or []))
+    keys = part_keys(spark, n)
+    part = F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("k"))), F.lit(0)) if bounds else F.lit(0)
+    rows = docs.withColumn("part", part).withColumn("_key", F.element_at(F.array(*map(F.lit, keys)), F.col("part") + 1))
+    return rows.repartition(n, "_key").sortWithinPartitions("part", "k").select("part", "k", "t")
+
+
+def _tokenised(docs: DataFrame, path: str, pattern: str, end_id: int, n: int, vocabulary: int) -> DataFrame:
+    """Whole documents in ascending key order (part numbers the range partitions, seq is the number
+    of ids before the document in its partition), and each task's counts of ids."""
 
     def run(batches):
-        part, encoder, seq = TaskContext.get().partitionId(), Encoder.of(path, pattern), 0
+        encoder = Encoder.of(path, pattern)
+        end, width, counts = np.array([end_id], encoder.dtype).tobytes(), encoder.dtype.itemsize, np.zeros(vocabulary, np.int64)
+        part, seq = None, 0
         for b in batches:
-            keys, texts = b["k"].to_pylist(), b["t"].to_pylist()
+            parts, keys, texts = (b[c].to_pylist() for c in ("part", "k", "t"))
             for at in range(0, len(texts), 256):
-                got = [np.append(x, np.array([end_id], x.dtype)).astype("<u4").tobytes() for x in encoder.encode(texts[at : at + 256])]
-                ends = seq + np.cumsum([len(x) // 4 for x in got])
-                starts, seq = np.append(seq, ends[:-1]), int(ends[-1])
-                yield pa.RecordBatch.from_arrays([pa.array([part] * len(got), pa.int32()), pa.array(keys[at : at + 256], pa.int64()), pa.array(starts, pa.int64()), pa.array(got, pa.binary())], schema=schema)
-
-    return rows.mapInArrow(run, TOKENS)
+                got = [x.tobytes() + end for x in encoder.encode(texts[at : at + 256])]
+                counts += np.bincount(np.frombuffer(b"".join(got), encoder.dtype), minlength=vocabulary)
+                sizes, starts, own = [len(x) // width for x in got], [], parts[at : at + 256]
+                for p, size in zip(own, sizes, strict=True):
+                    seq = seq if p == part else 0
+                    part = p
+                    starts.append(seq)
+                    seq += size
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((own, keys[at : at + 256], starts, sizes, got, [None] * len(got)), _TOKENS, strict=True)], schema=_TOKENS)
+        for first in range(0, vocabulary, COUNTED):
+            if counts[first : first + COUNTED].any():
+                yield pa.RecordBatch.from_pydict({"part": [None], "k": [None], "seq": [None], "n": [None], "ids": [counts[first : first + COUNTED].tobytes()], "first": [first]}, _TOKENS)
+
+    return _in_order(docs, n).mapInArrow(lean(run), TOKENS)
 
 
 def write_corpus(docs: DataFrame, path: str, pattern: str, end_id: int = 2, key: str = "doc_id", text: str = "text", vocabulary: int = 1 << 17) -> str:
@@ -145,27 +174,24 @@ def write_corpus(docs: DataFrame, path: str, pattern: str, end_id: int = 2, key:
     spark = docs.sparkSession
     given = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
     root, staged = shared_folder(spark), shared_folder(spark)
-    _tokenised(given, path, pattern, end_id, partitions(spark)).write.option("compression", "zstd").parquet(staged)
-    tokens = spark.read.schema(TOKENS).parquet(staged)
+    _tokenised(given, path, pattern, end_id, partitions(spark), vocabulary).write.option("compression", "zstd").parquet(staged)
+    read = spark.read.schema(TOKENS).parquet(staged)
+    tokens = read.where("first IS NULL")
+
+    width = Encoder.of(path, pattern).dtype
 
-    def count(batches):
-        total: dict[int, np.ndarray] = {}
+    def add(batches):
+        total = np.zeros(vocabulary, np.int64)
         for b in batches:
-            for part in set(b["part"].to_pylist()):
-                ids = [x for p, x in zip(b["part"].to_pylist(), b["ids"].to_pylist(), strict=True) if p == part]
-                total[part] = total.get(part, 0) + np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=vocabulary)
-        for part, n in total.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(at), pa.int32()), "id": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())})
-
-    counted = tokens.select("part", "ids").mapInArrow(count, "part int, id int, n long")
-    folder = shared_folder(spark)
-    counted.write.parquet(folder)
-    counted = spark.read.schema("part int, id int, n long").parquet(folder)
+            for first, n in zip(b["first"].to_pylist(), b["ids"].to_pylist(), strict=True):
+                total[first : first + COUNTED] += np.frombuffer(n, np.int64)
+        yield from _counts(total)
+
     counts = np.zeros(vocabulary, np.int64)
-    for r in counted.groupBy("id").agg(F.sum("n").alias("n")).collect():
-        counts[r["id"]] = r["n"]
-    counted.groupBy("part").agg(F.sum("n").alias("n")).write.parquet(f"{root}/parts")
+    parted = read.where("first IS NOT NULL").select("first", "ids").repartition(partitions(spark), "first")
+    for r in parted.mapInArrow(lean(add), "first int, n binary").collect():
+        counts[r["first"] : r["first"] + COUNTED] += np.frombuffer(bytes(r["n"]), np.int64)
+    tokens.groupBy("part").agg(F.sum("n").alias("n")).write.parquet(f"{root}/parts")
     lengths = code_lengths(counts)
     spark.createDataFrame([(bytearray(lengths.tobytes()), MAX_BITS)], "lengths binary, max_bits int").coalesce(1).write.parquet(f"{root}/code")
     code = spark.sparkContext.broadcast((lengths, canonical(lengths)))
@@ -182,17 +208,23 @@ def write_corpus(docs: DataFrame, path: str, pattern: str, end_id: int = 2, key:
                 if not keys:
                     part, first = p, seq
                 keys.append(k)
-                ids.append(np.frombuffer(x, "<u4"))
+                ids.append(np.frombuffer(x, width))
                 n += len(ids[-1])
         if keys:
             yield _block(part, first, keys, ids, size, codes)
 
-    tokens.mapInArrow(encode, BLOCKS).write.parquet(f"{root}/blocks")
+    tokens.select("part", "k", "seq", "ids").mapInArrow(lean(encode), BLOCKS).write.parquet(f"{root}/blocks")
     remove(spark, staged)
-    remove(spark, folder)
     return root
 
 
+def _counts(total: np.ndarray):
+    """Rows (first, n) for each run of COUNTED ids that has any."""
+    for first in range(0, len(total), COUNTED):
+        if total[first : first + COUNTED].any():
+            yield pa.RecordBatch.from_pydict({"first": pa.array([first], pa.int32()), "n": [total[first : first + COUNTED].tobytes()]})
+
+
 BLOCKS = "part int, first long, keys array<bigint>, sizes array<bigint>, bits binary, checkpoints binary"
 _BLOCK = pa.schema([("part", pa.int32()), ("first", pa.int64()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("bits", pa.binary()), ("checkpoints", pa.binary())])
 
@@ -217,8 +249,8 @@ def read_corpus(spark: SparkSession, root: str, with_ids: bool = False) -> DataF
         look = lookup(table.value)
         for b in batches:
             rows = list(zip(*(c.to_pylist() for c in b.columns), strict=True))
-            for at in range(0, len(rows), 16):
-                few = rows[at : at + 16]
+            for at in range(0, len(rows), 32):
+                few = rows[at : at + 32]
                 got = decode_blocks([(bits, np.frombuffer(marks, "<u8"), sum(sizes)) for _, _, _, sizes, bits, marks in few], look)
                 out: list = []
                 for (part, first, keys, sizes, _, _), ids in zip(few, got, strict=True):
@@ -235,4 +267,4 @@ def read_corpus(spark: SparkSession, root: str, with_ids: bool = False) -> DataF
         bases[r["part"]] = so_far
         so_far += r["n"]
     base = spark.sparkContext.broadcast(bases)
-    return blocks.select("part", "first", "keys", "sizes", "bits", "checkpoints").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else ""))
+    return blocks.select("part", "first", "keys", "sizes", "bits", "checkpoints").mapInArrow(lean(decode), "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else ""))
