@@ -45,7 +45,7 @@ class Codec:
             self.tokens[r] = t
         self.split, self.split_any = narrow(pattern), regex.compile(pattern).findall
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.cache = WordCache()
+        self.cache = WordCache(lambda words: [np.array(self.encode(w.encode()), "<u4").tobytes() for w in words])
 
     @classmethod
     def of(cls, path: str, pattern: str) -> "Codec":
@@ -129,10 +129,7 @@ class Codec:
 
     def _group(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split(t) if is_narrow(t) else self.split_any(t) for t in texts]
-        for word in self.cache.missing(set().union(*split)):
-            self.cache.young[word] = np.array(self.encode(word.encode()), "<u4").tobytes()
-        find = self.cache.young.__getitem__
-        return [np.frombuffer(b"".join(map(find, w)), "<u4") for w in split]
+        return [np.frombuffer(x, "<u4") for x in self.cache.ids(split)]
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:

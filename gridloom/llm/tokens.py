@@ -15,8 +15,8 @@ import numpy as np
 #: written out for the standard one, which is faster; texts with any other character are not split so.
 NARROW = 0x250
 _OTHER = re.compile(f"[^\x00-{chr(NARROW - 1)}]")
-#: Words kept by a worker in each of two generations; when the younger is full, the older goes.
-CACHE = 500_000
+#: Words kept by a worker, give or take those of one group of texts; beyond, it begins anew.
+CACHE = 1_000_000
 #: The words of so many characters are looked up at once.
 PIECE = 1 << 20
 
@@ -55,23 +55,24 @@ def is_narrow(text: str) -> bool:
 
 
 class WordCache:
-    """word -> bytes of its ids, in two generations, so that memory stays bounded."""
-
-    def __init__(self, size: int = CACHE):
-        self.size, self.young, self.old = size, {}, {}
-
-    def missing(self, words) -> list[str]:
-        """Those of the distinct words that aren't in the younger generation, without those the older has."""
-        if len(self.young) + len(words) > self.size:
-            self.old, self.young = self.young, {}
-        out = []
-        for w in words:
-            if w not in self.young:
-                if w in self.old:
-                    self.young[w] = self.old[w]
-                else:
-                    out.append(w)
-        return out
+    """word -> bytes of its ids, in bounded memory; encode(words) gives those of new ones."""
+
+    def __init__(self, encode, size: int = CACHE):
+        self.encode, self.size, self.known = encode, size, {}
+
+    def ids(self, split: list[list[str]]) -> list[bytes]:
+        """The ids of each list of words, as bytes: one look at every word, then the new ones."""
+        if len(self.known) > self.size:
+            self.known.clear()
+        known, get = self.known, self.known.get
+        found = [list(map(get, w)) for w in split]
+        holes = [[i for i, x in enumerate(f) if x is None] if None in f else () for f in found]
+        new = list({w[i] for w, h in zip(split, holes, strict=True) for i in h})
+        known.update(zip(new, self.encode(new), strict=True))
+        for w, f, h in zip(split, found, holes, strict=True):
+            for i in h:
+                f[i] = known[w[i]]
+        return [b"".join(f) for f in found]
 
 
 class Encoder:
@@ -87,7 +88,7 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.split = narrow(pattern)
-        self.cache = WordCache()
+        self.cache = WordCache(self._new)
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
 
     @classmethod
@@ -116,11 +117,11 @@ class Encoder:
 
     def _group(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split(t) if is_narrow(t) else None for t in texts]
-        new = self.cache.missing(set().union(*(w for w in split if w)))
-        ids = [x.ids for x in self.library.encode_batch_fast(new, add_special_tokens=False)]
-        flat, width, at = np.fromiter(chain.from_iterable(ids), np.uint32).astype(self.dtype).tobytes(), self.dtype.itemsize, 0
-        young = self.cache.young
-        for word, x in zip(new, ids, strict=True):
-            young[word] = flat[at : (at := at + width * len(x))]
-        find = self.cache.young.__getitem__
-        return [self.whole(t) if w is None else np.frombuffer(b"".join(map(find, w)), self.dtype) for t, w in zip(texts, split, strict=True)]
+        ids = iter(self.cache.ids([w for w in split if w is not None]))
+        return [self.whole(t) if w is None else np.frombuffer(next(ids), self.dtype) for t, w in zip(texts, split, strict=True)]
+
+    def _new(self, words: list[str]) -> list[bytes]:
+        ids = [x.ids for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        flat, width = np.fromiter(chain.from_iterable(ids), np.uint32).astype(self.dtype).tobytes(), self.dtype.itemsize
+        ends = np.cumsum([0, *map(len, ids)]) * width
+        return [flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
