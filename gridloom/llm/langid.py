@@ -3,9 +3,12 @@
 Subwords are byte n-grams (orders 3 and 4) of the lower-cased text inside word boundaries, hashed
 into a fixed number of buckets. A document is the mean of its buckets' embeddings; a linear layer
 and a softmax follow. Both matrices are trained by stochastic gradient descent in numpy on the
-driver, on a bounded sample of labelled documents; the temperature and the rejection threshold
+driver, on a bounded sample of labelled documents; the temperature and the rejection thresholds
 come from a part of that sample that training does not see. As mean and linear layer commute,
 prediction needs only the table embeddings @ weights: one row of logits for each bucket.
+
+A text is rejected if its score is low, or if too few of its n-grams were met in training: the
+softmax only weighs the learned languages against each other, and says nothing with one of them.
 """
 
 import numpy as np
@@ -22,8 +25,8 @@ EPOCHS = 6
 CHUNK = 1 << 20
 #: Accepted predictions must reach this accuracy on the calibration part.
 TARGET = 0.98
-#: The rejection threshold is never above this.
-MOST_THRESHOLD = 0.6
+#: The share of rightly predicted calibration texts that the rejection thresholds are taken below of.
+LOW = 0.002
 
 #: ASCII bytes that are not letters count as word boundaries.
 _BOUNDARY = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -69,19 +72,24 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Languages, the table of logits a bucket, temperature and threshold: what prediction needs."""
+    """Languages, the table of logits a bucket, temperature and thresholds: what prediction needs.
+
+    The table's last column is 1 for buckets met in training.
+    """
 
-    def __init__(self, langs: list[str], table: np.ndarray, temperature: float = 1.0, threshold: float = 0.0):
-        self.langs, self.table, self.temperature, self.threshold = langs, table.astype(np.float32), temperature, threshold
+    def __init__(self, langs: list[str], table: np.ndarray, met: np.ndarray, temperature: float = 1.0, threshold: float = 1.0, least_met: float = 1.0):
+        self.langs, self.table = langs, np.column_stack([table, met]).astype(np.float32)
+        self.temperature, self.threshold, self.least_met = temperature, threshold, least_met
 
-    def logits(self, texts: list) -> np.ndarray:
+    def means(self, texts: list) -> np.ndarray:
+        """A row for each text: logits, and the share of its n-grams that were met in training."""
         out, batch, size = [], [], 0
         for t in texts:
             data = _prepared(t)
             if len(data) > CHUNK:
                 out.append(self._of(batch))
                 batch, size = [], 0
-                total, n = np.zeros(len(self.langs)), 0
+                total, n = np.zeros(self.table.shape[1]), 0
                 for at in range(0, len(data), CHUNK):
                     s, k = self._sums([data[at : at + CHUNK]])
                     total, n = total + s[0], n + k[0]
@@ -97,31 +105,33 @@ class Model:
 
     def _of(self, batch: list[bytes]) -> np.ndarray:
         if not batch:
-            return np.zeros((0, len(self.langs)))
+            return np.zeros((0, self.table.shape[1]))
         sums, n = self._sums(batch)
         return sums / np.maximum(1, n)[:, None]
 
     def _sums(self, batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(x) for x in batch])
         starts = np.cumsum(sizes) - sizes
-        sums, n = np.zeros((len(batch), len(self.langs))), np.zeros(len(batch))
+        sums, n = np.zeros((len(batch), self.table.shape[1])), np.zeros(len(batch))
         for h in _buckets(b"".join(batch)):
             n += np.add.reduceat((h > 0).astype(np.float32), starts)
-            for k in range(len(self.langs)):
+            for k in range(self.table.shape[1]):
                 sums[:, k] += np.add.reduceat(self.table[:, k][h], starts)
         return sums, n
 
     def predict(self, texts: list) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, calibrated score and whether the score is below the threshold, for each text.
+        """Language, calibrated score and whether the text is rejected, for each text: its score is
+        below the threshold, or the share of its n-grams that were met in training is too low.
 
         Null texts, texts without a letter, and every text if no language was learned: ("und", 0, True).
         """
         if not self.langs:
             return ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        p = softmax(self.logits(texts) / self.temperature)
+        means = self.means(texts)
+        p = softmax(means[:, :-1] / self.temperature)
         best, known = p.argmax(1), np.array([has_letter(t) for t in texts], bool)
         score = np.where(known, p.max(1), 0.0) if len(texts) else np.zeros(0)
-        return [self.langs[k] if ok else "und" for k, ok in zip(best, known, strict=True)], score, ~known | (score < self.threshold)
+        return [self.langs[k] if ok else "und" for k, ok in zip(best, known, strict=True)], score, ~known | (score < self.threshold) | (means[:, -1] < self.least_met)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -133,7 +143,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, epochs:
     """Fit on (buckets, shares, language) rows; every tenth row calibrates instead."""
     langs = sorted({lang for _, _, lang in rows})
     if not langs:
-        return Model([], np.zeros((BUCKETS, 0)))
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros(BUCKETS))
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1, 1, (BUCKETS, DIM)) / DIM
     emb[0] = 0
@@ -159,14 +169,51 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, epochs:
     z = np.array([share @ table[ids] if len(ids) else np.zeros(len(langs)) for ids, share, _ in (rows[r] for r in held)])
     truth = np.array([number[rows[r][2]] for r in held])
     heats = np.geomspace(0.02, 20, 60)
-    loss = [-np.log(np.maximum(1e-12, softmax(z / t)[np.arange(len(truth)), truth])).mean() for t in heats]
+    # half of one text and half of another language's count as both: without them separable
+    # languages would drive the temperature to its least, and every score to 1
+    other = rng.permutation(len(truth))
+    both = truth != truth[other]
+    zs = np.concatenate([z, (z[both] + z[other][both]) / 2])
+    one, two = np.concatenate([truth, truth[both]]), np.concatenate([truth, truth[other][both]])
+    at = np.arange(len(zs))
+    loss = [-sum(np.log(np.maximum(1e-12, softmax(zs / t)[at, y])).mean() for y in (one, two)) for t in heats]
     heat = float(heats[int(np.argmin(loss))])
     p = softmax(z / heat)
     score, right = p.max(1), p.argmax(1) == truth
+    # texts a bucket; those that calibrate what they were fitted on do not count themselves
+    met = np.bincount(np.concatenate([rows[r][0] for r in fit]), minlength=BUCKETS)
+    own = held is fit
+    share_met = np.array([share[met[ids] > own].sum() for ids, share, _ in (rows[r] for r in held)])
+    return Model(langs, table, met > 0, heat, accept_from(score, right), least_met(share_met[right]))
+
+
+def accept_from(score: np.ndarray, right: np.ndarray) -> float:
+    """The score from which calibration texts are accepted; above 1 if no score reaches TARGET.
+
+    It is the least from which TARGET of them are right, but not below the low quantile of right
+    ones (with half its log-odds where it is better than even, as few texts tell little of a tail).
+    """
     down = np.argsort(-score, kind="stable")
-    reached = np.flatnonzero(np.cumsum(right[down]) / np.arange(1, len(down) + 1) >= TARGET)
-    threshold = MOST_THRESHOLD if not len(reached) else 0.0 if reached[-1] == len(down) - 1 else min(MOST_THRESHOLD, float(score[down[reached[-1]]]))
-    return Model(langs, table, heat, threshold)
+    ordered = score[down]
+    last = np.append(ordered[1:] < ordered[:-1], True)  # equal scores are accepted together
+    reached = np.flatnonzero(last & (np.cumsum(right[down]) / np.arange(1, len(down) + 1) >= TARGET))
+    if not len(reached):
+        return float(np.nextafter(1, 2))
+    low = float(np.quantile(score[right], LOW, method="lower"))
+    if low > 0.5:
+        odds = (low / max(1 - low, 1e-12)) ** 0.5
+        low = odds / (1 + odds)
+    at = [x for x in ordered[reached].tolist() if x >= low]
+    if not at:
+        return float(np.nextafter(1, 2))
+    return low if min(at) == score[score >= low].min() else min(at)
+
+
+def least_met(share: np.ndarray) -> float:
+    """The least share of n-grams met in training: twice the unmet ones of the low quantile are
+    allowed, but never none at all."""
+    low = float(np.quantile(share, LOW, method="lower")) if len(share) else 1.0
+    return max(2 * low - 1, np.finfo(np.float32).tiny)
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = SAMPLE_PER_LANG) -> Model:

@@ -8,6 +8,8 @@ from collections import Counter
 from gridloom.llm import langid, quality, warc
 from tests.llm.helpers import DOCS, awkward, with_clashes
 
+DOCS_COLUMNS = [c.split()[0] for c in DOCS.split(", ")]
+
 
 def brute(text):
     t = text or ""
@@ -62,6 +64,43 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang_pred"] == r["lang"] for r in rows) > 0.95 * len(rows)
 
 
+ALIEN = [
+    "Příliš žluťoučký kůň úpěl ďábelské ódy a všichni se dívali", "Wszystkie ludzkie istoty rodzą się wolne i równe w godności i prawach",
+    "Alle mennesker er født frie og med samme menneskeverd og menneskerettigheter", "Все люди рождаются свободными и равными",
+    "日本語のテキストです、これは", "xqzv kjwq zzxv qpwk vvbx jjqk wxzq", "asdkjh qwlekj zxmcnb qpwoei alskdj", "1 2 3 z!",
+]
+
+
+def test_foreign_texts_and_letter_junk_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*DOCS_COLUMNS)
+    texts = {r["lang"]: r["text"] for r in docs.where("length(text) between 600 and 2000").orderBy("doc_id").collect()}
+    mixed = [" ".join(t[:600] for t in texts.values())]
+    planted = spark.createDataFrame([(10**9 + i, t * k, None, "s", 1) for i, t in enumerate(ALIEN + mixed) for k in [1 if t in mixed else 3]], DOCS)
+    both = docs.unionByName(planted)
+    rows = langid.identify(both).collect()
+    assert all(r["rejected"] for r in rows if r["doc_id"] >= 10**9)
+    clean = [r["rejected"] for r in rows if r["doc_id"] < 10**9]
+    assert sum(clean) <= 0.01 * len(clean)
+    assert langid.kept_documents(both).where("doc_id >= 1000000000").count() == 0
+
+
+def test_foreign_texts_are_rejected_with_one_language():
+    words = "and the of ing tion her that ent ion for nde has nce edt tis oft sth men".split()
+    text = lambda k: " ".join(words[(k * 7 + j * (k + 3)) % len(words)] for j in range(30))
+    m = langid.train([(*langid.features(text(k)), "en") for k in range(40)])
+    assert m.predict([*ALIEN, text(50)])[2].tolist() == [True] * len(ALIEN) + [False]
+
+
+def test_accepted_calibration_texts_reach_the_target():
+    import numpy as np
+
+    score = np.array([0.99, 0.97, 0.95, 0.95, 0.9, 0.8, 0.7, 0.65, 0.4])
+    right = np.array([1, 1, 1, 0, 1, 1, 1, 1, 1], bool)
+    at = langid.accept_from(score, right)
+    assert right[score >= at].mean() >= langid.TARGET and (score >= at).sum() == 2
+    assert langid.accept_from(score, ~right) > 1 and langid.accept_from(score[:3], right[:3]) > 0.5
+
+
 def test_long_text_is_read_whole():
     ids, share = langid.features("ab " * 10 + "xyz " * 600_000)
     assert abs(share.sum() - 1) < 1e-5 and len(ids) > 2
