@@ -71,17 +71,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def one_row_per_id(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text) with one row for each non-null key.
+#: A row's own key, where ids don't tell rows apart (see rows_of).
+ROW = "__row"
 
-    Keys name documents. Rows that repeat a key collapse to the greatest text; rows without a
-    key are left out, since no result could name them. Tables without repeats (the check is a
-    count over the key column alone) pass through without a shuffle of their texts.
-    """
-    rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text))
-    if rows.groupBy(key).count().where("count > 1").limit(1).count():
-        rows = rows.groupBy(key).agg(F.max(text).alias(text))
-    return rows
+
+def repeats(df: DataFrame, key: str = "doc_id") -> bool:
+    """Whether rows share a non-null key: a count over the key column alone."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(1).count() > 0
+
+
+def rows_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """df with ROW, a number for each row in the order of key (nulls last) and text; written to the
+    shared folder, as the numbers must not change between readers."""
+    ordered = df.orderBy(F.col(key).cast("long").asc_nulls_last(), F.col(text).cast("string"))
+    return stage(ordered.withColumn(ROW, F.monotonically_increasing_id()))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

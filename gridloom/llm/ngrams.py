@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, messages, mix, note, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
-from gridloom.llm.common import lean, one_row_per_id, partitions, stage
+from gridloom.llm.common import ROW, lean, partitions, repeats, rows_of, stage
 from gridloom.llm.components import connected
 from gridloom.llm.words import Words, grams
 
@@ -57,13 +57,24 @@ def sets(texts: list, k: int = NGRAM) -> list[np.ndarray]:
     return [h[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
+def _united(texts: list) -> list[np.ndarray]:
+    """sets, where a document may be a list of texts: its set is the union of theirs."""
+    parts = [t if isinstance(t, list) else [t] for t in texts]
+    found, out, at = sets([x for t in parts for x in t]), [], 0
+    for t in parts:
+        few = found[at : at + len(t)]
+        out.append(few[0] if len(few) == 1 else np.unique(np.concatenate(few)) if few else np.zeros(0, np.uint64))
+        at += len(t)
+    return out
+
+
 def _groups(batches, columns):
     """Lists of rows of at most DOCS documents and about CHUNK bytes of text (the last column)."""
     rows, size = [], 0
     for b in batches:
         for row in zip(*(b[c].to_pylist() for c in columns), strict=True):
             rows.append(row)
-            size += len(row[-1] or "")
+            size += sum(map(len, row[-1])) if isinstance(row[-1], list) else len(row[-1] or "")
             if len(rows) == DOCS or size >= CHUNK:
                 yield rows
                 rows, size = [], 0
@@ -76,7 +87,7 @@ def _send(docs: DataFrame, keys: list[int]) -> DataFrame:
         part = TaskContext.get().partitionId()
         dst = keys[part % len(keys)]
         for k, rows in enumerate(_groups(batches, ["doc_id", "text"])):
-            found = sets([t for _, t in rows])
+            found = _united([t for _, t in rows])
             ids = np.array([i for i, _ in rows], np.int64)
             record = np.zeros(len(rows), _RECORD)
             record["n"] = [len(x) for x in found]
@@ -226,13 +237,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """doc_id, n_shingles, component_id for every document of docs.
 
     Null and empty texts, and those of white space alone, have empty sets and are linked with
-    nothing, not even each other. Rows that repeat a key count once (see one_row_per_id). Texts of
-    fewer than five words have one n-gram, all their words; it equals no five-word one.
+    nothing, not even each other. Rows that share a key are one document, whose set is the union of
+    theirs; rows without one name no document. Texts of fewer than five words have one n-gram, all
+    their words; it equals no five-word one.
     """
-    spark = docs.sparkSession
+    given = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return _components(given.groupBy("doc_id").agg(F.collect_set("text").alias("text")) if repeats(given) else given)
+
+
+def _components(given: DataFrame) -> DataFrame:
+    """jaccard_components of (doc_id, text) with unique ids; text may be an array of texts."""
+    spark = given.sparkSession
     n = 2 * partitions(spark)
     keys = part_keys(spark, n)
-    given = one_row_per_id(docs, key, text).select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     rows = stage(_rows(shared_entries(_send(given, keys), n), n))
     # equal sets: one representative each, by two 64-bit sums of mixed hashes and the size
     named = rows.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
@@ -278,13 +295,17 @@ def _residual(columns: DataFrame, lost: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs that are the first of their component: one document of each group stays.
+    """The rows of docs that are the first of their component: one row of each group stays.
 
-    Rows without a key belong to no group and stay.
+    Every row is judged by its own text, rows that share an id and rows without one too; the
+    first is the one with the smallest id, of those the one with the least text, and rows without
+    an id come last.
     """
-    parts = jaccard_components(docs)
+    alike = repeats(docs) or docs.where("doc_id is null").limit(1).count()
+    rows, key = (rows_of(docs), ROW) if alike else (docs, "doc_id")
+    parts = _components(rows.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     gone = parts.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return rows.join(gone, F.col(key).cast("long") == F.col("_gone"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 ORACLE = r"""

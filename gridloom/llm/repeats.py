@@ -16,6 +16,9 @@ it also starts in one with a smaller id. To bring equal windows together without
 Documents whose whole text equals that of one with a smaller id lose every window; the sequences
 above are those of the others alone. Texts are dealt out by document id once; anchors, strings
 and the final cut read that same exchange.
+
+Where rows share an id, each row goes through all this under a number of its own, with the id as
+its owner; what has the same owner does not lose to each other.
 """
 
 from collections.abc import Callable
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, low48, messages, mix, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
-from gridloom.llm.common import lean, one_row_per_id, partitions, stage
+from gridloom.llm.common import ROW, lean, partitions, repeats, rows_of, stage
 from gridloom.llm.words import _BASE, _BYTE, _SPACE, Words
 
 #: Bytes of text whose symbols are looked at together, and bytes of strings that a method gets at once.
@@ -154,22 +157,25 @@ def _repeating(answers: DataFrame, n: int) -> DataFrame:
     return answers.repartition(n, "dst").mapInArrow(lean(run), "doc_id long, low binary")
 
 
-STRINGS = "p int, dst int, ids binary, doc binary, start binary, size binary, gram binary, body binary"
+STRINGS = "p int, dst int, ids binary, owner binary, doc binary, start binary, size binary, gram binary, body binary"
 
 
 def _send_strings(docs: DataFrame, kind: Kind, keys: list[int]) -> DataFrame:
-    """The runs of windows that share a repeating anchor, from (doc_id, low, text) rows."""
+    """The runs of windows that share a repeating anchor, from (doc_id, low, text) rows; owner may
+    come after doc_id."""
+    columns = docs.columns
+    owned = "owner" in columns
     names = [c.split()[0] for c in STRINGS.split(", ")]
-    types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
+    types = [pa.int32(), pa.int32()] + [pa.binary()] * 7
 
     def run(batches):
         dst = keys[TaskContext.get().partitionId() % len(keys)]
-        for rows in _groups(batches, ["doc_id", "low", "text"]):
-            x = kind.layout([t for _, _, t in rows])
+        for rows in _groups(batches, columns):
+            x = kind.layout([r[-1] for r in rows])
             start, place, gram = anchors(x, kind)
             if not len(start):
                 continue
-            wanted = np.concatenate([unpack48(low) | np.uint64(k << 48) for k, (_, low, _) in enumerate(rows)])
+            wanted = np.concatenate([unpack48(low) | np.uint64(k << 48) for k, low in enumerate(r[-2] for r in rows)])
             wanted.sort()
             edge = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)))
             anchor = place[edge]
@@ -179,10 +185,11 @@ def _send_strings(docs: DataFrame, kind: Kind, keys: list[int]) -> DataFrame:
             last = start[np.append(edge[1:], len(start)) - 1][found] + kind.width - 1
             h, doc = mix(gram[anchor[found]]), x.doc[first]
             begin, until = x.begin[first], x.until[last]
-            ids, out = np.array([i for i, _, _ in rows], "<i8").tobytes(), []
+            ids, out = np.array([r[0] for r in rows], "<i8").tobytes(), []
+            owner = np.array([r[1] for r in rows], "<i8").tobytes() if owned else None
             for p, at in by_part(part_of(h, len(keys)), len(keys)):
                 body = b"".join([x.data[a:b] for a, b in zip(begin[at].tolist(), until[at].tolist(), strict=True)])
-                out.append((keys[p], dst, ids, doc[at].astype(np.uint8).tobytes(), (first[at] - x.first[doc[at]]).astype("<u4").tobytes(), (until[at] - begin[at]).astype("<u4").tobytes(), h[at].tobytes(), body))
+                out.append((keys[p], dst, ids, owner, doc[at].astype(np.uint8).tobytes(), (first[at] - x.first[doc[at]]).astype("<u4").tobytes(), (until[at] - begin[at]).astype("<u4").tobytes(), h[at].tobytes(), body))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
@@ -197,9 +204,9 @@ def _judge(strings: DataFrame, kind: Kind, n: int) -> DataFrame:
 
     def run(batches):
         number: dict[bytes, int] = {}
-        grams, which, ids, dsts, starts = [], [], [], [], []
+        grams, which, ids, owners, dsts, starts = [], [], [], [], [], []
         for b in batches:
-            for dst, i, doc, start, size, gram, body in zip(*(b[c].to_pylist() for c in ("dst", "ids", "doc", "start", "size", "gram", "body")), strict=True):
+            for dst, i, owner, doc, start, size, gram, body in zip(*(b[c].to_pylist() for c in ("dst", "ids", "owner", "doc", "start", "size", "gram", "body")), strict=True):
                 ends = np.cumsum(np.frombuffer(size, "<u4").astype(np.int64)).tolist()
                 at = 0
                 for end, g in zip(ends, np.frombuffer(gram, np.uint64).tolist(), strict=True):
@@ -209,6 +216,8 @@ def _judge(strings: DataFrame, kind: Kind, n: int) -> DataFrame:
                     which.append(k)
                     at = end
                 ids.append(np.frombuffer(i, "<i8")[np.frombuffer(doc, np.uint8)])
+                if owner is not None:
+                    owners.append(np.frombuffer(owner, "<i8")[np.frombuffer(doc, np.uint8)])
                 starts.append(np.frombuffer(start, "<u4").astype(np.int64))
                 dsts.append(np.full(len(starts[-1]), dst, np.int32))
         if not number:
@@ -216,8 +225,9 @@ def _judge(strings: DataFrame, kind: Kind, n: int) -> DataFrame:
         bodies, which = list(number), np.array(which)
         number.clear()
         ids, dsts, starts = np.concatenate(ids), np.concatenate(dsts), np.concatenate(starts)
+        owners = np.concatenate(owners) if owners else ids
         least = np.full(len(bodies), np.iinfo(np.int64).max)
-        np.minimum.at(least, which, ids)
+        np.minimum.at(least, which, owners)
         # the least document of each window's class, for all distinct strings, group by group
         order = np.argsort(np.array(grams, np.uint64), kind="stable")
         windows: list = [None] * len(bodies)
@@ -247,7 +257,7 @@ def _judge(strings: DataFrame, kind: Kind, n: int) -> DataFrame:
             for few in np.array_split(mine, max(1, len(mine) // 65536)):
                 c = counts[which[few]]
                 inside = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-                gone = windows[np.repeat(firsts[which[few]], c) + inside] < np.repeat(ids[few], c)
+                gone = windows[np.repeat(firsts[which[few]], c) + inside] < np.repeat(owners[few], c)
                 owner = np.repeat(few, c)
                 from_ = gone & ~(np.append(False, gone[:-1]) & (inside > 0))
                 to = gone & ~(np.append(gone[1:], False) & np.append(inside[1:] > 0, False))
@@ -280,38 +290,47 @@ def _merged(ranges: DataFrame, n: int) -> DataFrame:
     return ranges.repartition(n, "dst").mapInArrow(lean(run), "doc_id long, start binary, until binary")
 
 
-def _found(docs: DataFrame, kind: Kind, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """doc_id and text dealt out by id, with copy; the copies; and the ranges that others lose."""
+def _found(docs: DataFrame, kind: Kind, key: str, text: str, owner: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """doc_id (the key) and text dealt out by key, with copy; the copies; and the ranges that others lose.
+
+    Keys are unique. Where they are not the documents' ids, owner is, and is kept.
+    """
     n = partitions(docs.sparkSession)
     keys = part_keys(docs.sparkSession, n)
-    given = one_row_per_id(docs, key, text).select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    named = stage(given.where("text is not null").select("doc_id", F.sha2("text", 256).alias("digest")))
-    first = named.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).where("copies > 1").select("digest", "first")
-    copies = stage(named.join(first, "digest").where("doc_id <> first").select("doc_id", F.lit(True).alias("copy")))
+    own_id, names = ("owner", ["doc_id", "owner"]) if owner else ("doc_id", ["doc_id"])
+    given = docs.where(F.col(owner or key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), *([F.col(owner).cast("long").alias("owner")] if owner else []), F.col(text).cast("string").alias("text"))
+    named = stage(given.where("text is not null").select(*names, F.sha2("text", 256).alias("digest")))
+    first = named.groupBy("digest").agg(F.min(own_id).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("digest", "first")
+    copies = stage(named.join(first, "digest").where(f"{own_id} <> first").select("doc_id", F.lit(True).alias("copy")))
     dealt = given.repartition(n, "doc_id").join(copies.hint("shuffle_hash"), "doc_id", "left")
     # no condition on text, which would reach the scan and make this another exchange
-    own = dealt.where("copy is null").select("doc_id", "text")
+    own = dealt.where("copy is null").select(*names, "text")
     low = _repeating(shared_entries(_send_anchors(own, kind, keys), n), n)
-    strings = _send_strings(own.join(low.hint("shuffle_hash"), "doc_id").select("doc_id", "low", "text"), kind, keys)
+    strings = _send_strings(own.join(low.hint("shuffle_hash"), "doc_id").select(*names, "low", "text"), kind, keys)
     return dealt, copies, _merged(_judge(strings, kind, n), n)
 
 
 def lost_ranges(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text, copy, start, until for every document of docs.
+    """doc_id, text, copy, start, until for every row of docs that has a key.
 
-    copy says that a document with a smaller id has the same text; such documents lose all windows
-    and have no ranges. start and until are null where nothing is lost. Rows that repeat a key
-    count once (see one_row_per_id); null text has no symbols.
+    copy says that a document with a smaller id has the same text; such rows lose all windows
+    and have no ranges. start and until are null where nothing is lost. Rows that share a key do
+    not lose to each other, but each loses what documents with smaller ids have; null text has no
+    symbols.
     """
-    dealt, _, lost = _found(docs, kind, key, text)
-    return dealt.join(lost.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "start", "until")
+    docs = docs.where(F.col(key).isNotNull()).select(key, text)
+    alike = repeats(docs, key)
+    dealt, _, lost = _found(rows_of(docs, key, text), kind, ROW, text, key) if alike else _found(docs, kind, key, text, None)
+    out = dealt.join(lost.hint("shuffle_hash"), "doc_id", "left")
+    return out.select(F.col("owner" if alike else "doc_id").alias("doc_id"), "text", F.coalesce("copy", F.lit(False)).alias("copy"), "start", "until")
 
 
-def losses(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, copy, start, until of the documents that lose anything, written to the shared folder.
+def losses(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text", owner: str | None = None) -> DataFrame:
+    """doc_id (the key), copy, start, until of the rows that lose anything, written to the shared folder.
 
-    For callers that keep other columns: they join their rows to it.
+    For callers that keep other columns: they join their rows to it. Keys must be unique; where
+    rows share ids, key is ROW (see rows_of) and owner the id.
     """
-    _, copies, lost = _found(docs, kind, key, text)
+    _, copies, lost = _found(docs, kind, key, text, owner)
     none = F.lit(None).cast("binary")
     return stage(lost.select("doc_id", F.lit(False).alias("copy"), "start", "until").unionByName(copies.select("doc_id", "copy", none.alias("start"), none.alias("until"))))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import bwt, subtrees
-from gridloom.llm.common import lean
+from gridloom.llm.common import ROW, lean, repeats, rows_of
 from gridloom.llm.repeats import Kind, bytes_of, losses, lost_ranges, words_of
 
 WORDS = Kind(13, 5, words_of, subtrees.window_classes)
@@ -62,8 +62,6 @@ def _cut_bytes(data, copy, start, until, width):
     n = len(data)
     if copy and n >= width:
         return b"", n, n, 1
-    if len(until) and until[-1] > n:
-        return data, n, 0, 0  # ranges of another text with the same key
     kept, at = [], 0
     for a, b in zip(start.tolist(), until.tolist(), strict=True):
         kept.append(data[at:a])
@@ -93,12 +91,13 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     """docs with its columns and rows, repeated spans of 50 bytes cut from text.
 
     A character of which only some bytes remain is dropped. n_chars, where there is one, counts
-    what is left. Rows without a key stay as they are; rows that repeat a key are taken to repeat
-    its text as well, and lose the same ranges.
+    what is left. Rows without a key stay as they are; of rows that share one, each loses what
+    documents with smaller ids have of its own text.
     """
     names = docs.columns
-    found = losses(docs, BYTES).select(F.col("doc_id").alias("_id"), "copy", "start", "until")
-    wide = docs.join(found.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("_id"), "left")
+    rows, key, owner = (rows_of(docs), ROW, "doc_id") if repeats(docs) else (docs, "doc_id", None)
+    found = losses(rows, BYTES, key, owner=owner).select(F.col("doc_id").alias("_id"), "copy", "start", "until")
+    wide = rows.join(found.hint("shuffle_hash"), F.col(key).cast("long") == F.col("_id"), "left")
     wide = wide.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], "_id", "copy", "start", "until")
     body, count = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 

@@ -93,6 +93,59 @@ def test_dedup_of_repeated_rows_and_empty_tables(spark):
     assert substrings.by_bytes(empty).count() == substrings.by_words(empty).count() == substrings.cut_documents(empty).count() == 0
 
 
+def sharing_ids(rng):
+    """Rows of which many share an id with other texts, some repeat one, and some have none."""
+    rows = [r for r in planted(rng) if r[1]]
+    rows = [(r[0] // 12, *r[1:]) for r in rows]
+    return rows + rows[3:9]
+
+
+def by_row(rows, symbols, width, join):
+    """What each row loses to rows with smaller ids, by a pass over ids in order."""
+    seen, out = set(), []
+    for i in sorted({r[0] for r in rows}):
+        new = []
+        for t in [r[1] for r in rows if r[0] == i]:
+            x = symbols(t)
+            gone = [False] * len(x)
+            for j in range(len(x) - width + 1):
+                new.append(tuple(x[j : j + width]))
+                if new[-1] in seen:
+                    gone[j : j + width] = [True] * width
+            kept = join([a for a, g in zip(x, gone, strict=True) if not g])
+            out.append((i, len(x), sum(gone), hashlib.sha256(kept).hexdigest(), kept))
+        seen.update(new)
+    return sorted(out)
+
+
+def test_rows_that_share_an_id_are_judged_one_by_one(spark):
+    rows = sharing_ids(random.Random(8))
+    df = spark.createDataFrame(rows + [(None, rows[0][1], "en", "s", 1)], DOCS)
+    want = by_row(rows, lambda t: list(t.encode()), 50, bytes)
+    assert sorted((r["doc_id"], r["n"], r["n_removed"], r["kept_sha256"]) for r in substrings.by_bytes(df).collect()) == [x[:4] for x in want]
+    cut = substrings.cut_documents(df)
+    texts = [(i, k.decode("utf-8", "ignore")) for i, *_, k in want] + [(-1, rows[0][1])]
+    assert cut.columns == df.columns and sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in cut.collect()) == sorted(texts)
+    want = by_row(rows, lambda t: t.encode().split(), 13, b" ".join)
+    assert sorted((r["doc_id"], r["n"], r["n_removed"], r["kept_sha256"]) for r in substrings.by_words(df).collect()) == [x[:4] for x in want]
+
+
+def test_near_duplicates_among_rows_that_share_an_id(spark):
+    import duckdb
+
+    a, b, c, d = (" ".join(f"{x}{j}" for j in range(40)) for x in "abcd")
+    rows = [(1, a), (2, a + " z"), (2, b), (3, None), (3, c), (4, c), (4, c), (None, b + " y"), (None, d), (5, "two words"), (5, "")]
+    df = with_clashes(spark.createDataFrame([(*r, "en", "s", 1) for r in rows], DOCS))
+    kept = ngrams.kept_documents(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == sorted([(1, a), (2, b), (3, ""), (3, c), (0, d), (5, "two words"), (5, "")])
+    got = sorted(tuple(r) for r in ngrams.jaccard_components(df).collect())
+    documents = duckdb.connect()
+    documents.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    documents.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert got == sorted(documents.execute(ngrams.ORACLE).fetchall())
+
+
 def shingles(text):
     w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
