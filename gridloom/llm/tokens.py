@@ -76,7 +76,8 @@ class WordCache:
 
 
 class Encoder:
-    """ids of whole texts by a file of the tokenizers library, without special tokens."""
+    """ids of whole texts by a file of the tokenizers library; none are added, but the content of an
+    added token in a text is that token, as in the library's plain call. Texts with one go to it whole."""
 
     _loaded: dict[str, "Encoder"] = {}
 
@@ -84,10 +85,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.library.no_truncation()
         self.library.no_padding()
         self.split = narrow(pattern)
+        added = [re.escape(x.content) for x in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)).search if added else lambda text: None
         self.cache = WordCache(self._new)
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
 
@@ -116,7 +118,7 @@ class Encoder:
         return out + self._group(group)
 
     def _group(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) if is_narrow(t) else None for t in texts]
+        split = [self.split(t) if is_narrow(t) and not self.added(t) else None for t in texts]
         ids = iter(self.cache.ids([w for w in split if w is not None]))
         return [self.whole(t) if w is None else np.frombuffer(next(ids), self.dtype) for t, w in zip(texts, split, strict=True)]
 

@@ -29,6 +29,17 @@ def test_word_cache_equals_library(text):
     assert Encoder.of(FILE, P.PATTERN).encode([text, None])[0].tolist() == library().encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["a b<|endoftext|>c d", "<|endoftext|>", "x <|endoftext|> 日本<|endoftext|>", "<|endoftext |> <|endoftext|"])
+def test_added_tokens_in_texts_equal_the_plain_call(spark, text):
+    ids = Tokenizer.from_file(FILE).encode(text, add_special_tokens=False).ids
+    assert [x.tolist() for x in Encoder.of(FILE, P.PATTERN).encode(["a b", text])][1] == ids
+    assert (50256 in ids) == ("<|endoftext|>" in text)
+    df = spark.createDataFrame([(1, text, "en", "s", 1)], DOCS)
+    pieces = packing.pack_documents(df, FILE, P.PATTERN, with_ids=True).collect()
+    assert [x for r in sorted(pieces, key=lambda r: r["start"]) for x in r["ids"]] == [*ids, 1]
+    assert huffman.read_corpus(spark, huffman.write_corpus(df, FILE, P.PATTERN), with_ids=True).first()["ids"] == [*ids, 2]
+
+
 def expected_ids(df, end):
     t = library()
     return {r["doc_id"]: np.array(t.encode(r["text"] or "", add_special_tokens=False).ids + [end], "<u4") for r in df.collect()}
