@@ -103,16 +103,17 @@ class Packer:
         self.items = [items[k] for k in np.flatnonzero(waits)]
 
     def _tail(self, items: list) -> None:
-        """What is left is less than one sequence: powers of two, which need no padding."""
-        bits = [1 << b for b in range(int(self.limits[0]).bit_length(), -1, -1) if sum(n for _, _, n, _ in items) >> b & 1]
-        at, used = 0, 0
+        """What is left is less than one sequence: powers of two, which need no padding; a sequence
+        whose segments run out before ends there."""
+        left, used, pieces = sum(n for _, _, n, _ in items), 0, 0
+        goal = 1 << left.bit_length() >> 1
         for item, skip, n, _ in items:
             while n:
-                part = min(n, bits[at] - used)
+                part = min(n, goal - used)
                 self.out(item, skip, part, self.sequence, used)
-                skip, n, used = skip + part, n - part, used + part
-                if used == bits[at]:
-                    at, used, self.sequence = at + 1, 0, self.sequence + 1
+                skip, n, used, left, pieces = skip + part, n - part, used + part, left - part, pieces + 1
+                if used == goal or pieces >= self.limits[1]:
+                    goal, used, pieces, self.sequence = 1 << left.bit_length() >> 1, 0, 0, self.sequence + 1
 
     def close(self) -> None:
         self.pack()

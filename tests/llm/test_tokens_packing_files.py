@@ -95,6 +95,25 @@ def test_limits_hold_in_every_dimension(sizes, cut):
     assert dict(done) == {k: n for k, (n, _) in enumerate(items)}
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 120), st.integers(0, 120)), max_size=60), st.integers(1, 6))
+def test_segment_limit_holds_with_cuts(sizes, segments):
+    placed, done = defaultdict(list), defaultdict(int)
+    p = packing.Packer(lambda item, skip, n, s, o: placed[s].append((item, skip, n, o)), tokens=128, segments=segments, loss=90, cut=True, buffer=16)
+    items = [(n, min(n, y)) for n, y in sizes]
+    for k, (n, y) in enumerate(items):
+        p.add(k, n, y)
+    p.close()
+    for pieces in placed.values():
+        assert len(pieces) <= segments and sum(n for _, _, n, _ in pieces) <= 128
+        assert sum(n * items[k][1] / items[k][0] for k, _, n, _ in pieces) <= 90 + 1e-6
+        at = 0
+        for k, skip, n, offset in pieces:
+            assert (skip, offset) == (done[k], at) or skip > 0
+            at, done[k] = at + n, done[k] + n
+    assert dict(done) == {k: n for k, (n, _) in enumerate(items)}
+
+
 def test_pack_examples_keeps_whole_examples(spark):
     df = spark.createDataFrame([("a", 100, 50), ("b", 2000, None), ("c", None, None), ("d", 1900, 0)], "item string, tokens long, loss long")
     rows = packing.pack_examples(df.coalesce(1), "item").collect()
