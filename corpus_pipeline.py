@@ -32,8 +32,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, tokenised and packed into sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    """What is left, tokenised and packed into sequences: each piece with its token ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [

@@ -50,3 +50,14 @@ def test_stages(spark, tmp_path):
 
 def test_run_of_whole_pipeline(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_sequences_come_with_their_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    texts, t = {r["doc_id"]: r["text"] for r in docs.collect()}, library()
+    found = defaultdict(list)
+    for r in corpus_pipeline.pack(spark, docs, SF).collect():
+        assert len(r["ids"]) == r["length"]
+        found[r["doc_id"]].append((r["start"], r["ids"]))
+    for i, text in texts.items():
+        assert [x for _, ids in sorted(found[i]) for x in ids] == [*t.encode(text or "", add_special_tokens=False).ids, 1]
