@@ -123,10 +123,11 @@ class Model:
         """Language, calibrated score and whether the text is rejected, for each text: its score is
         below the threshold, or the share of its n-grams that were met in training is too low.
 
-        Null texts, texts without a letter, and every text if no language was learned: ("und", 0, True).
+        Null texts and texts without a letter: ("und", 0, True). If no language was learned nothing
+        can be judged, and every other text is ("und", 0, False).
         """
         if not self.langs:
-            return ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+            return ["und"] * len(texts), np.zeros(len(texts)), np.array([not has_letter(t) for t in texts], bool)
         means = self.means(texts)
         p = softmax(means[:, :-1] / self.temperature)
         best, known = p.argmax(1), np.array([has_letter(t) for t in texts], bool)
@@ -278,6 +279,12 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, whose language is recognised (not rejected)."""
-    names = tuple(docs.columns)
-    return with_language(docs, fit(docs), columns=names).where(~F.col("rejected")).select(*[f"`{c}`" for c in names])
+    """The rows of docs, with all their columns, whose language is recognised (not rejected).
+
+    Where no language was learned, those with a letter. An error, rather than no rows, where the
+    model accepts nothing.
+    """
+    names, model = tuple(docs.columns), fit(docs)
+    if model.langs and model.threshold > 1:
+        raise ValueError(f"no score of the language model makes {TARGET:.0%} of its predictions right: check the labels")
+    return with_language(docs, model, columns=names).where(~F.col("rejected")).select(*[f"`{c}`" for c in names])

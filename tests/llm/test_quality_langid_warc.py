@@ -84,6 +84,22 @@ def test_foreign_texts_and_letter_junk_are_rejected(spark):
     assert langid.kept_documents(both).where("doc_id >= 1000000000").count() == 0
 
 
+def test_unlabelled_corpora_are_kept(spark):
+    held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 4 == 2)
+    for rows in ([(1, "some words", None, "s", 1), (2, "12 !", None, "s", 1)], [(held, "some words", "en", "s", 1), (-1, None, "en", "s", 1)]):
+        df = spark.createDataFrame(rows, DOCS)
+        assert [r["text"] for r in langid.kept_documents(df).collect()] == ["some words"]
+        assert {r["lang_pred"] for r in langid.identify(df).collect()} == {"und"}
+
+
+def test_a_model_that_accepts_nothing_is_an_error(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(langid, "accept_from", lambda score, right: 1.5)
+    with pytest.raises(ValueError, match="check the labels"):
+        langid.kept_documents(spark.createDataFrame([(k, "some words", "en", "s", 1) for k in range(20)], DOCS))
+
+
 def test_foreign_texts_are_rejected_with_one_language():
     words = "and the of ing tion her that ent ion for nde has nce edt tis oft sth men".split()
     text = lambda k: " ".join(words[(k * 7 + j * (k + 3)) % len(words)] for j in range(30))
