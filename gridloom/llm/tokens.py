@@ -2,12 +2,12 @@
 
 A byte-level BPE splits a text into words by a fixed pattern and merges within each word, so the
 ids of a text are those of its words in order. Words repeat a great deal: each worker keeps the
-ids of the words it met and asks the library only for new ones, in batches.
+ids of the words it met and asks the library's model only for new ones.
 """
 
 import re
 import unicodedata
-from itertools import chain
+from array import array
 
 import numpy as np
 
@@ -15,10 +15,10 @@ import numpy as np
 #: written out for the standard one, which is faster; texts with any other character are not split so.
 NARROW = 0x250
 _OTHER = re.compile(f"[^\x00-{chr(NARROW - 1)}]")
-#: Words kept by a worker, give or take those of one group of texts; beyond, it begins anew.
+#: Words kept by a worker, give or take those of one text; beyond, it begins anew.
 CACHE = 1_000_000
-#: The words of so many characters are looked up at once.
-PIECE = 1 << 20
+#: Texts whose ids by words must equal the library's before words are used.
+_SAMPLES = ["It's a test,  of 3 words\n\n and we'll see: \t\"ÀÉîõü ßçñ\" \xa0x\x85y\x1fz 12345 a--b \x00\x7f", " leading and trailing  ", "\n", "don't DON'T 'em 's"]
 
 
 def _class(inside) -> str:
@@ -54,30 +54,41 @@ def is_narrow(text: str) -> bool:
     return not _OTHER.search(text)
 
 
-class WordCache:
-    """word -> bytes of its ids, in bounded memory; encode(words) gives those of new ones."""
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: its own character where that is
+    printable, else one from U+0100 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
+
+
+class WordCache(dict):
+    """word -> bytes of its ids, in bounded memory; encode(word) gives those of a new one."""
 
     def __init__(self, encode, size: int = CACHE):
-        self.encode, self.size, self.known = encode, size, {}
-
-    def ids(self, split: list[list[str]]) -> list[bytes]:
-        """The ids of each list of words, as bytes: one look at every word, then the new ones."""
-        if len(self.known) > self.size:
-            self.known.clear()
-        known, get = self.known, self.known.get
-        found = [list(map(get, w)) for w in split]
-        holes = [[i for i, x in enumerate(f) if x is None] if None in f else () for f in found]
-        new = list({w[i] for w, h in zip(split, holes, strict=True) for i in h})
-        known.update(zip(new, self.encode(new), strict=True))
-        for w, f, h in zip(split, found, holes, strict=True):
-            for i in h:
-                f[i] = known[w[i]]
-        return [b"".join(f) for f in found]
+        super().__init__()
+        self.encode, self.size = encode, size
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.encode(word)
+        return found
+
+    def ids(self, words: list[str]) -> bytes:
+        """The ids of a text's words, as bytes."""
+        if len(self) > self.size:
+            self.clear()
+        return b"".join(map(self.__getitem__, words))
 
 
 class Encoder:
     """ids of whole texts by a file of the tokenizers library; none are added, but the content of an
-    added token in a text is that token, as in the library's plain call. Texts with one go to it whole."""
+    added token in a text is that token, as in the library's plain call.
+
+    Texts with such content, or with characters from NARROW on, go to the library whole. Others are
+    split here and their words go one by one to the library's byte-level BPE model, past the steps
+    before and after it: it is asked whether the file has other steps than that split, and if so
+    every text goes whole.
+    """
 
     _loaded: dict[str, "Encoder"] = {}
 
@@ -88,10 +99,12 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.split = narrow(pattern)
-        added = [re.escape(x.content) for x in self.library.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(added)).search if added else lambda text: None
-        self.cache = WordCache(self._new)
+        self.added = [x.content for x in self.library.get_added_tokens_decoder().values()]
+        self.model, self.letters = self.library.model, byte_letters()
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.cache = WordCache(self._new)
+        self.plain = self.library.normalizer is None and all(b"".join(map(self._new, self.split(t))) == self.whole(t).tobytes() for t in _SAMPLES)
 
     @classmethod
     def of(cls, path: str, pattern: str) -> "Encoder":
@@ -107,23 +120,14 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).astype(self.dtype)
 
     def encode(self, texts: list) -> list[np.ndarray]:
-        """The ids of each text; null is empty. Words are looked up for about PIECE characters at a time."""
-        out, group, size = [], [], 0
-        for t in texts:
-            group.append(t or "")
-            size += len(group[-1])
-            if size >= PIECE:
-                out += self._group(group)
-                group, size = [], 0
-        return out + self._group(group)
-
-    def _group(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) if is_narrow(t) and not self.added(t) else None for t in texts]
-        ids = iter(self.cache.ids([w for w in split if w is not None]))
-        return [self.whole(t) if w is None else np.frombuffer(next(ids), self.dtype) for t, w in zip(texts, split, strict=True)]
-
-    def _new(self, words: list[str]) -> list[bytes]:
-        ids = [x.ids for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
-        flat, width = np.fromiter(chain.from_iterable(ids), np.uint32).astype(self.dtype).tobytes(), self.dtype.itemsize
-        ends = np.cumsum([0, *map(len, ids)]) * width
-        return [flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
+        """The ids of each text; null is empty."""
+        return [self._one(t) if t else np.zeros(0, self.dtype) for t in texts]
+
+    def _one(self, text: str) -> np.ndarray:
+        if not self.plain or not is_narrow(text) or any(x in text for x in self.added):
+            return self.whole(text)
+        return np.frombuffer(self.cache.ids(self.split(text)), self.dtype)
+
+    def _new(self, word: str) -> bytes:
+        """The model works on a letter for each byte."""
+        return array(self.code, [x.id for x in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
