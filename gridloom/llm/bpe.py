@@ -5,13 +5,17 @@ what it makes of theirs. So the encodings of two halves join by re-encoding a wi
 boundary and growing it until its outer tokens agree with their neighbours outside: all pairs
 outside the window are unchanged, all within come from one encoding, and the two at its rims are
 tested. The join is associative, with the empty sequence as its neutral element, so that any tree
-over the pieces gives the same ids; the tree here halves each word down to short leaves.
+over the pieces gives the same ids. The tree here halves every word that is no token itself, down
+to its tokens; short pieces and pairs of tokens, which come again and again, are remembered.
 
-The vocabulary must be one that merging can reach: every token encodes to itself.
+The vocabulary must be one that merging can reach: every token encodes to itself, and single bytes
+are tokens.
 """
 
 import base64
 import hashlib
+from array import array
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +23,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.tokens import PIECE, WordCache, is_narrow, narrow
+from gridloom.llm.tokens import WordCache, is_narrow, narrow
 
-#: Words of at most so many bytes are leaves: merged directly.
-LEAF = 24
-#: Tokens on either side of a boundary that the first window takes.
+#: Tokens on either side of a boundary that the first window takes: a pair, which is remembered.
 WINDOW = 1
-#: Pairs of tokens whose compatibility is remembered.
-PAIRS = 200_000
+#: Windows of up to so many bytes, and those that take in all of both sides, are merged directly.
+DIRECT = 192
+#: Direct merging looks through all pairs for the next up to so many bytes; beyond, a heap holds them.
+SCAN = 64
+#: Pieces of up to so many bytes are remembered, and so many of them, and of pairs of tokens.
+SHORT, KEPT = 8, 400_000
 #: Tokens that a leaf of the decoding tree looks up.
 DECODE_LEAF = 4096
 
@@ -44,8 +50,9 @@ class Codec:
         for t, r in self.ranks.items():
             self.tokens[r] = t
         self.split, self.split_any = narrow(pattern), regex.compile(pattern).findall
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.cache = WordCache(lambda words: [np.array(self.encode(w.encode()), "<u4").tobytes() for w in words])
+        self.pairs: dict[tuple[int, int], list[int]] = {}
+        self.pieces: dict[bytes, list[int]] = {}
+        self.cache = WordCache(lambda word: array("I", self.encode(word.encode())).tobytes())
 
     @classmethod
     def of(cls, path: str, pattern: str) -> "Codec":
@@ -58,6 +65,8 @@ class Codec:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
+        if len(data) > SCAN:
+            return self._heaped(data)
         rank, parts = self.ranks.get, [data[i : i + 1] for i in range(len(data))]
         scores = [rank(a + b) for a, b in zip(parts, parts[1:], strict=False)]
         while True:
@@ -74,32 +83,68 @@ class Codec:
             if at < len(scores):
                 scores[at] = rank(parts[at] + parts[at + 1])
 
+    def _heaped(self, data: bytes) -> list[int]:
+        """leaf, where looking through all pairs for each merge would take too long."""
+        rank, n = self.ranks.get, len(data)
+        # a part starts at i and ends where the next one starts; before[i] is where the last one does
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        waits = [(r, i, i + 2) for i in range(n - 1) if (r := rank(data[i : i + 2])) is not None]
+        heapify(waits)
+        while waits:
+            _, i, until = heappop(waits)
+            middle = after[i]
+            # entries of parts that have changed since are passed over
+            if middle <= i or middle >= n or after[middle] != until:
+                continue
+            after[i], after[middle] = until, -1
+            if until < n:
+                before[until] = i
+                if (r := rank(data[i : after[until]])) is not None:
+                    heappush(waits, (r, i, after[until]))
+            if i and (r := rank(data[before[i] : until])) is not None:
+                heappush(waits, (r, before[i], until))
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[data[i : after[i]]])
+            i = after[i]
+        return out
+
     def encode(self, data: bytes) -> list[int]:
         """The ids of one word: halves are encoded by themselves and joined."""
-        if len(data) <= LEAF:
-            return self.leaf(data) if data else []
-        middle = len(data) // 2
-        return self.join(self.encode(data[:middle]), self.encode(data[middle:]))
+        whole = self.ranks.get(data)
+        if whole is not None:
+            return [whole]
+        n = len(data)
+        if n > SHORT:
+            return self.join(self.encode(data[: n // 2]), self.encode(data[n // 2 :]))
+        known = self.pieces.get(data)
+        if known is None:
+            if len(self.pieces) >= KEPT:
+                self.pieces.clear()
+            known = self.pieces[data] = self.join(self.encode(data[: n // 2]), self.encode(data[n // 2 :])) if n else []
+        return known
 
-    def compatible(self, a: int, b: int) -> bool:
+    def pair(self, a: int, b: int) -> list[int]:
+        """What merging makes of the bytes of two tokens; they are compatible if it leaves them as they are."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) >= PAIRS:
+            if len(self.pairs) >= KEPT:
                 self.pairs.clear()
-            # a pair of long tokens is itself encoded directly: it has no third part to be joined with
-            known = self.pairs[a, b] = self.leaf(self.tokens[a] + self.tokens[b]) == [a, b]
+            known = self.pairs[a, b] = self.leaf(self.tokens[a] + self.tokens[b])
         return known
 
+    def compatible(self, a: int, b: int) -> bool:
+        return self.pair(a, b) == [a, b]
+
     def join(self, left: list[int], right: list[int]) -> list[int]:
-        """The ids of the concatenation of what left and right encode."""
+        """The ids of the concatenation of what left and right encode; neither is changed."""
         if not left or not right:
             return left or right
-        if self.compatible(left[-1], right[0]):
+        inner = self.pair(left[-1], right[0])
+        if inner == [left[-1], right[0]]:
             return left + right
-        i, j, step = max(0, len(left) - WINDOW), min(len(right), WINDOW), WINDOW
+        i, j, step = len(left) - WINDOW, WINDOW, WINDOW
         while True:
-            data = b"".join(self.tokens[t] for t in left[i:] + right[:j])
-            inner = self.leaf(data) if len(data) <= 8 * LEAF or i == 0 and j == len(right) else self.encode(data)
             grown = False
             if i and not self.compatible(left[i - 1], inner[0]):
                 i, grown = max(0, i - step), True
@@ -108,6 +153,8 @@ class Codec:
             if not grown:
                 return left[:i] + inner + right[j:]
             step *= 2
+            data = b"".join([self.tokens[t] for t in left[i:]] + [self.tokens[t] for t in right[:j]])
+            inner = self.leaf(data) if len(data) <= DIRECT or i == 0 and j == len(right) else self.encode(data)
 
     def decode(self, ids) -> bytes:
         """Bytes of ids: each half by itself, then concatenated, up the tree."""
@@ -118,18 +165,7 @@ class Codec:
 
     def encode_texts(self, texts: list) -> list[np.ndarray]:
         """Ids of whole texts: every match of the pattern is a word; new words are encoded once."""
-        out, group, size = [], [], 0
-        for t in texts:
-            group.append(t or "")
-            size += len(group[-1])
-            if size >= PIECE:
-                out += self._group(group)
-                group, size = [], 0
-        return out + self._group(group)
-
-    def _group(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) if is_narrow(t) else self.split_any(t) for t in texts]
-        return [np.frombuffer(x, "<u4") for x in self.cache.ids(split)]
+        return [np.frombuffer(self.cache.ids((self.split if is_narrow(t) else self.split_any)(t)) if t else b"", "<u4") for t in texts]
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
