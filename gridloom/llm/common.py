@@ -18,10 +18,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below spark.checkpoint.dir, which all executors see.
 
-    Where no session setting names one (single-machine tests), a temporary folder serves.
+    Where no session setting names one, a temporary folder serves if driver and executors are one
+    process (tests, single machines); on a cluster that is an error, as each executor would write
+    to a disk of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     if "://" not in root and not root.startswith("file:"):
@@ -32,13 +37,23 @@ def shared_folder(spark: SparkSession) -> str:
 def stage(df: DataFrame) -> DataFrame:
     """Write df below the shared folder and read it back: the lineage ends there, and a lost
     executor costs no recomputation of what came before. Shuffle files of plans that nothing refers
-    to any more, such as those that earlier stages wrote, are given free first."""
+    to any more, such as those that earlier stages wrote, are given free first, if the session has a
+    JVM at hand (the engine's own cleaner gets to them later otherwise)."""
     spark = df.sparkSession
     gc.collect()
-    spark._jvm.System.gc()
+    if hasattr(spark, "_jvm"):
+        spark._jvm.System.gc()
     path = shared_folder(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete what stage() wrote, once nothing reads it any more."""
+    for df in staged:
+        remove(df.sparkSession, df._staged)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import stage
+from gridloom.llm.common import release, stage
 
 
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -11,8 +11,9 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round links every node to the smallest of its neighbours and itself, first its larger
     neighbours, then its smaller ones; it ends when a round changes nothing, after about the
-    logarithm of the longest path. Rounds are written to the shared folder. A node's neighbours
-    are only ever summed up by their minimum, never gathered.
+    logarithm of the longest path. Rounds are written to the shared folder, each deleted after the
+    next. A node's neighbours are only ever summed up by their minimum, never gathered. No edges
+    give no rows; loops and repeated edges add nothing.
     """
     now = stage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     before = None
@@ -23,7 +24,8 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        now = stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        last, now = now, stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        release(last)
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             break

@@ -11,7 +11,9 @@ The product with its transpose holds the overlaps; it is never formed whole:
    of these columns give the candidate pairs, less those whose sizes and places in the order bound
    the overlap below what a link needs. A column's rows are first paired with one hub only; pairs
    with others are formed where the hub turns out not to link to a row.
-4. Candidates' overlaps are accumulated exactly, and compared as integers.
+4. The product's elements at candidates are then computed in tiles: block by block of columns the
+   overlaps of all elements of a tile are counted and added up, and an element is discarded as soon
+   as its count and the columns left cannot reach the bound. Counts are compared as integers.
 
 Equal sets count as one row until the end. Links give components; only counts and blocks of
 hashes move, and no column or component is gathered in one place.
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, messages, mix, note, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
-from gridloom.llm.common import ROW, lean, partitions, repeats, rows_of, stage
+from gridloom.llm.common import ROW, lean, partitions, release, repeats, rows_of, stage
 from gridloom.llm.components import connected
 from gridloom.llm.words import Words, grams
 
@@ -216,19 +218,74 @@ def _pairs(pairs):
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*pairs, strict=True), _CANDIDATES, strict=True)], schema=_CANDIDATES)
 
 
+#: Blocks of columns that a tile of the product is summed over, by the highest bits of their hashes.
+BLOCKS = 16
+#: Entries of both sides of a tile.
+TILE = 1 << 20
+
+
+def overlaps(sizes: np.ndarray, left: list[np.ndarray], right: list[np.ndarray], blocks: int = BLOCKS) -> tuple[np.ndarray, np.ndarray]:
+    """For each wanted element of the product, its overlap and the blocks of columns it was summed over.
+
+    left and right hold the shared columns (low 48 bits) of an element's two rows, sizes the rows'
+    whole sizes. Block by block of columns the overlaps of all elements are counted at once and
+    added up; an element goes as soon as its count and the columns that are left on its shorter side
+    cannot reach what its sizes need. Its count is then what it had so far.
+    """
+    m = len(left)
+    needs = _needed(sizes[:, 0], sizes[:, 1])
+    count, seen, alive = np.zeros(m, np.int64), np.zeros(m, np.int64), np.ones(m, bool)
+    shift = np.uint64(48 - (blocks - 1).bit_length())
+    sides, rest = [], []
+    for side in (left, right):
+        element = np.repeat(np.arange(m, dtype=np.uint64), [len(x) for x in side])
+        h = np.concatenate(side) if m else np.zeros(0, np.uint64)
+        block = (h >> shift).astype(np.int64)
+        order = np.argsort(block, kind="stable")
+        ends = np.searchsorted(block[order], np.arange(blocks + 1))
+        sides.append(((element[order] << np.uint64(48)) | h[order], ends))
+        rest.append(np.array([len(x) for x in side], np.int64))
+    for k in range(blocks):
+        part = []
+        for s, (entries, ends) in enumerate(sides):
+            x = entries[ends[k] : ends[k + 1]]
+            element = (x >> np.uint64(48)).astype(np.int64)
+            part.append(x[alive[element]])
+            rest[s] = rest[s] - np.bincount(element, minlength=m)
+        both = np.sort(np.concatenate(part))
+        twice = both[1:][both[1:] == both[:-1]]
+        count += np.bincount((twice >> np.uint64(48)).astype(np.int64), minlength=m)
+        seen[alive] = k + 1
+        alive &= count + np.minimum(*rest) >= needs
+        if not alive.any():
+            break
+    return count, seen
+
+
 def _linked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """a, b, linked for distinct pairs: exact overlaps of their sets' shared columns."""
+    """a, b, linked for distinct pairs: the wanted elements of the product, in tiles of bounded size.
+
+    A pair's rows come together by two joins, whose hot sides adaptive execution splits; elements
+    that lie together make a tile, whatever row they belong to.
+    """
     right = rows.select("doc_id", "n", "shared")
     joined = pairs.select("a", "b").join(right.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb")), "b")
     joined = joined.join(right.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa")), "a")
 
     def run(batches):
         for b in batches:
-            got = []
-            for nx, x, ny, y in zip(*(b[c].to_pylist() for c in ("na", "sa", "nb", "sb")), strict=True):
-                o = len(np.intersect1d(unpack48(x), unpack48(y), assume_unique=True)) if min(len(x), len(y)) // 6 >= _needed(nx, ny) else 0
-                got.append(100 * o >= PERCENT * (nx + ny - o))
-            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(got, pa.bool_())], names=["a", "b", "linked"])
+            na, x, nb, y = (b[c].to_pylist() for c in ("na", "sa", "nb", "sb"))
+            got, at = [], 0
+            while at < len(x):
+                size, end = 0, at
+                while end < len(x) and end - at < 1 << 15 and (size < TILE or end == at):
+                    size += (len(x[end]) + len(y[end])) // 6
+                    end += 1
+                sizes = np.array([na[at:end], nb[at:end]], np.int64).T
+                count, _ = overlaps(sizes, [unpack48(v) for v in x[at:end]], [unpack48(v) for v in y[at:end]])
+                got.append(100 * count >= PERCENT * (sizes.sum(1) - count))
+                at = end
+            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(np.concatenate(got) if got else [], pa.bool_())], names=["a", "b", "linked"])
 
     return joined.select("a", "b", "na", "sa", "nb", "sb").mapInArrow(lean(run), "a long, b long, linked boolean")
 
@@ -252,10 +309,12 @@ def _components(given: DataFrame) -> DataFrame:
     keys = part_keys(spark, n)
     rows = stage(_rows(shared_entries(_send(given, keys), n), n))
     # equal sets: one representative each, by two 64-bit sums of mixed hashes and the size
-    named = rows.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    named = stage(rows.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
+    # named is written, so that the join reads two plain exchanges, of which Spark can split a large set
     same = stage(rows.select("doc_id", "n", "k1", "k2").join(named, ["n", "k1", "k2"]).where("doc_id <> rep").select("doc_id", "rep"))
     able = rows.where("shared is not null").select("doc_id", "n", "shared").join(same.select("doc_id"), "doc_id", "left_anti")
     able = stage(able)
+    release(named)
     found = stage(_candidates(able, keys))
     pairs = found.where("a is not null").groupBy("a", "b").agg(F.max("hub").alias("hub"))
     checked = stage(_linked(pairs, able))
@@ -268,6 +327,7 @@ def _components(given: DataFrame) -> DataFrame:
         more = _residual(columns, lost).join(checked.select("a", "b"), ["a", "b"], "left_anti")
         links = links.unionByName(_linked(more, able).where("linked").select("a", "b"))
     parts = connected(links)
+    release(able, found, checked)  # the links are written
     top = parts.select(F.col("id").alias("rep"), "component")
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(same, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     return out.join(top, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
