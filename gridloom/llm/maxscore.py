@@ -7,19 +7,24 @@ not lift a candidate to the current k-th score are non-essential; the essential
 in full, the others are probed only for candidates that can still compete, best bounds first.
 A shard gives its own k best for each query; merging the shards' lists gives the exact answer.
 
-Queries and candidates meet in blocks: every block of candidates is dealt with each block of
-queries as a task's key of its own, so that no side is broadcast and no task grows with the table.
+Queries are written once to the shared folder; candidates are dealt out once, evenly, and a task
+takes them a shard at a time past all queries, which it reads in blocks. Neither side is copied by a
+shuffle or broadcast, no key decides where a row goes, and a task holds one shard and one block.
 """
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.dataset as ds
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import lean, partitions, stage
+
 K = 20
 SCALE = 64.0
-#: Queries and candidates in a block.
-QUERY_BLOCK, SHARD = 2048, 8192
+#: Queries in a block, and candidates in a shard.
+QUERY_BLOCK, SHARD = 4096, 32768
 #: Candidates that are scored together.
 TILE = 2048
 
@@ -55,7 +60,7 @@ class Shard:
             self.tiles.append((at, w, w.max(1, initial=0), w.min(1, initial=0), w.astype(np.float64)))
 
     def top(self, query: np.ndarray, own, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and scores of the k best candidates other than own, smaller keys first among ties."""
+        """Keys and scores of the k best candidates, but for the key own, smaller keys first among ties."""
         keys, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
         terms = np.flatnonzero(query[: self.width])
         exact = int(np.abs(query).max(initial=0)) * self.big * max(1, len(terms)) < 1 << 53
@@ -89,37 +94,70 @@ class Shard:
                 fits = score >= cut
                 score, alive = score[fits], alive[fits]
             new = self.keys[at + alive]
-            other = new != own
+            other = np.ones(len(new), bool) if own is None else new != own
             keys, scores = np.concatenate([keys, new[other]]), np.concatenate([scores, score[other]])
             best = np.lexsort((keys, -scores))[:k]
             keys, scores = keys[best], scores[best]
         return keys, scores
 
 
+FOUND = "q long, query_id long, vec_id long, score long, own boolean"
+_FOUND = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("own", pa.bool_())])
+
+
+def _flat(column: pa.ListArray) -> list[np.ndarray]:
+    """The vectors of a list column, without a Python number for each component."""
+    ends = column.offsets.to_numpy()
+    return np.split(column.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]], ends[1:-1] - ends[0]) if len(column) else []
+
+
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest inner products of each query over candidates.
 
-    Both frames have (key, v). A query's own key is no candidate of it. Candidates are dealt into
-    shards, and queries into blocks, by a hash of the key; each (shard, block) pair is one group.
+    Both frames have (key, v). Ties go to the smaller key. A query is one row: where rows repeat a
+    key each has a list of its own, and one candidate with its key and vector is the query itself and
+    takes no part; other rows of its key do. Vectors of different lengths meet in the components that
+    both have; an empty side gives no rows.
     """
     spark = candidates.sparkSession
-    shards, blocks = (max(1, -(-df.count() // n)) for df, n in ((candidates, shard), (queries, block)))
-    deal = lambda df, n, of: df.select(F.pmod(F.xxhash64("key"), F.lit(n)).alias(of), "key", "v")
-    left = deal(candidates, shards, "s").withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    right = deal(queries, blocks, "b").withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-
-    def meet(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(c) and len(q):
-            s = Shard(c["key"].to_numpy(np.int64), [np.asarray(v, np.int64) for v in c["v"]])
-            for key, v in zip(q["key"], q["v"], strict=True):
-                found, score = s.top(np.asarray(v, np.int64), key, k)
-                out.append(pd.DataFrame({"query_id": key, "vec_id": found, "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-
-    best = left.groupBy("s", "b").cogroup(right.select("s", "b", "key", "v").groupBy("s", "b")).applyInPandas(meet, "query_id long, vec_id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    asked = stage(queries.select(F.monotonically_increasing_id().alias("q"), "key", "v"))
+    where = asked._staged
+
+    def meet(batches):
+        store, path = fs.FileSystem.from_uri(where)
+        files = ds.dataset(path, filesystem=store, format="parquet", exclude_invalid_files=False)
+        keys: list = []
+        vectors: list = []
+
+        def best():
+            s = Shard(np.concatenate(keys), vectors)
+            for some in files.to_batches(columns=["q", "key", "v"], batch_size=block):
+                out = []
+                for q, key, v in zip(some["q"].to_pylist(), some["key"].to_pylist(), _flat(some["v"]), strict=True):
+                    # one more than asked for: the query itself may be among them
+                    found, score = s.top(v, None, k + 1)
+                    out.append((np.full(len(found), q), np.full(len(found), key), found, score, (found == key) & (score == int(v @ v))))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*out, strict=True), _FOUND, strict=True)], schema=_FOUND)
+
+        for b in batches:
+            for at in range(0, len(b), shard):
+                some = b.slice(at, shard)
+                keys.append(some["key"].to_numpy())
+                vectors += _flat(some["v"])
+                if len(vectors) >= shard:
+                    yield from best()
+                    keys, vectors = [], []
+        if vectors:
+            yield from best()
+
+    # round robin: no key, so none is hot
+    found = candidates.select("key", "v").repartition(partitions(spark)).mapInArrow(lean(meet), FOUND)
+    by = Window.partitionBy("q")
+    ranked = found.withColumn("r", F.row_number().over(by.orderBy(F.col("score").desc(), "vec_id"))).where(F.col("r") <= k + 1)
+    ranked = ranked.withColumn("self", F.min(F.when(F.col("own"), F.col("r"))).over(by)).where("self IS NULL OR r <> self")
+    rank = F.col("r") - F.when(F.col("r") > F.col("self"), 1).otherwise(0)
+    return ranked.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = """

@@ -105,3 +105,18 @@ def test_tiles_prune_without_loss():
         full = x @ x[q]
         order = [i for i in np.lexsort((np.arange(9000), -full)) if i != q][:7]
         assert keys.tolist() == order and scores.tolist() == full[order].tolist()
+
+
+def test_repeated_query_rows_have_lists_of_their_own(spark):
+    """Only the own row of a query is left out: others of its key are candidates."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6)], 0, 1, 2) for i in range(50)]
+    rows += [rows[20], rows[20], (40, rows[3][1], 0, 1, 2), (60, [], 0, 1, 2), (60, [0.0] * 6, 0, 1, 2)]
+    v = [(i, [int(np.floor(64 * np.float64(np.float32(x)))) for x in e]) for i, e, *_ in rows]
+    want = []
+    for at, (q, own) in enumerate(v):
+        if q % 20 == 0:
+            found = sorted((-sum(a * b for a, b in zip(own, c, strict=False)), i) for j, (i, c) in enumerate(v) if j != at)[:4]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found)]
+    df = spark.createDataFrame(rows, VECTORS)
+    assert run(df, 4) == run(df, 4, shard=7, block=2) == sorted(want)
