@@ -30,6 +30,21 @@ def parse_rfc3339(text: Column) -> Column:
     return F.when(text.rlike(_RFC3339), F.try_to_timestamp(text))
 
 
+def best_effort_time(text: Column) -> Column:
+    """Timestamp from the forms that producers use: RFC 3339 with T or a blank and with or without a
+    zone, a date alone, compact digits (YYYYMMDDhhmmss), day-first dates with dots, and Unix seconds
+    or milliseconds; null for anything else."""
+    t = F.trim(text)
+    digits = lambda low, high: t.rlike(rf"^\d{{{low},{high}}}$")
+    return (
+        F.when(digits(14, 14), F.try_to_timestamp(t, F.lit("yyyyMMddHHmmss")))
+        .when(digits(9, 10), F.timestamp_seconds(t.cast("long")))
+        .when(digits(12, 13), F.timestamp_millis(t.cast("long")))
+        .when(t.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}( \d{1,2}:\d{2}:\d{2})?$"), F.coalesce(F.try_to_timestamp(t, F.lit("d.M.yyyy H:mm:ss")), F.try_to_timestamp(t, F.lit("d.M.yyyy"))))
+        .when(t.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(t))
+    )
+
+
 def format_rfc3339(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 

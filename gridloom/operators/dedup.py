@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 from gridloom.functions.schema import VERSION_KEY
 
 
-def latest_version(events: DataFrame, key=VERSION_KEY, version: str = "ingested_at") -> DataFrame:
-    """One row for each key: the last ingested. Ties fall to the smaller row, so the choice is fixed.
+def latest_version(events: DataFrame, key=VERSION_KEY, version: str = "ingested_at", ties: tuple[str, ...] = ("produced_at",)) -> DataFrame:
+    """One row for each key: the last ingested, of those the last produced (where that is stored).
 
-    Ranking stops at one row a key, which Spark applies before the shuffle as well.
+    Rows that agree in all of these are deliveries of one message, and any of them serves. Only the
+    key, these two and what the caller goes on to use are read and shuffled. Ranking stops at one
+    row a key, which Spark applies before the shuffle as well.
     """
-    others = [c for c, kind in events.dtypes if c not in key and c != version and not kind.startswith("map")]
-    w = Window.partitionBy(*key).orderBy(F.col(version).desc(), *others)
+    order = [F.col(c).desc() for c in (version, *ties) if c in events.columns]
+    w = Window.partitionBy(*key).orderBy(*order)
     return events.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 

@@ -1,11 +1,14 @@
 """Data quality: drift between two windows, dead-letter rate, freshness. Clocks are parameters."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import bucket_of, ratio
 from gridloom.functions.schema import SESSION_TYPES
 from gridloom.operators.dedup import latest_version
+from gridloom.operators.storage import between, newest, shifted
 
 BUCKETS = 10
 EPSILON = 1e-6
@@ -41,31 +44,87 @@ def drift_windows(raw: DataFrame) -> DataFrame:
 def values(raw: DataFrame, metric: str) -> DataFrame:
     """side ("exp" or "act"), v: one metric in both windows, from one scan.
 
-    The windows are applied before versions are resolved: event time is part of an event's key, so
-    that no version of it falls outside.
+    The windows are literals, from a small job, and are applied before versions are resolved: event
+    time is part of an event's key, so that no version of it falls outside.
     """
-    time = F.col("timestamp")
-    inside = lambda w: (time >= F.col(f"{w}_start")) & (time < F.col(f"{w}_end"))
-    rows = raw.crossJoin(F.broadcast(drift_windows(raw)))  # one row
-    rows = rows.withColumn("side", F.when(inside("act"), "act").when(inside("exp"), "exp")).where("side IS NOT NULL")
-    return METRICS[metric](rows.drop("exp_start", "exp_end", "act_start", "act_end"))
+    end = newest(raw)
+    if end is None:
+        return METRICS[metric](raw.limit(0).withColumn("side", F.lit("exp")))
+    end = end[:19]  # whole seconds
+    start, middle = (shifted(raw, end, f"- INTERVAL {d} DAYS") for d in (14, 7))
+    rows = between(raw, start, end, until_open=True)
+    later = F.col("timestamp") >= F.lit(middle).cast(raw.schema["timestamp"].dataType)
+    return METRICS[metric](rows.withColumn("side", F.when(later, "act").otherwise("exp")))
+
+
+#: The sketch's ranks are within 1 / ACCURACY of the truth; brackets reach ten times as far.
+ACCURACY = 10_000
 
 
-def edges(both: DataFrame, exact: bool = True) -> DataFrame:
-    """One row: the nine inner deciles of the expected side; none without values or two distinct edges.
+def exact_quantiles(rows: DataFrame, column: str, cuts: list[float]) -> list[float] | None:
+    """The quantiles of a column, linear between neighbours; None without values.
 
-    exact=False takes percentile_approx, whose memory is bounded, for windows of any size.
+    A sketch brackets each cut between two values; a second pass counts what lies below each bracket,
+    and ranks the values inside, a five-hundredth of all. No task holds all values, and the answer is
+    that of a sort.
     """
-    cuts = [k / BUCKETS for k in range(1, BUCKETS)]
-    at = F.percentile("v", F.array(*map(F.lit, cuts))) if exact else F.percentile_approx("v", cuts, 10_000)
-    return both.where("side = 'exp'").agg(at.alias("edges")).where("edges IS NOT NULL AND size(array_distinct(edges)) >= 2")
+    v = F.col(column).cast("double")
+    n = rows.agg(F.count(v)).first()[0]
+    if not n:
+        return None
+    reach = 10 / ACCURACY + 2 / n  # and the neighbours on both sides
+    at = [x for q in cuts for x in (max(0.0, q - reach), min(1.0, q + reach))]
+    found = rows.agg(F.percentile_approx(v, at, ACCURACY)).first()[0]
+    brackets = list(zip(found[0::2], found[1::2], strict=True))
+    places = [(n - 1) * q for q in cuts]
+    within = F.filter(F.array(*[F.when((v >= lo) & (v <= hi), F.lit(k)) for k, (lo, hi) in enumerate(brackets)]), lambda k: k.isNotNull())
+    below = rows.agg(*[F.count_if(v < lo).alias(f"b{k}") for k, (lo, _) in enumerate(brackets)]).first()
+    tallies = rows.select(F.explode(within).alias("k"), v.alias("v")).groupBy("k", "v").agg(F.count("*").alias("c"))
+    # the last place of each value, from 0; each bracket's values are ranked by themselves
+    w = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    first = F.element_at(F.array(*[F.lit(below[f"b{k}"]) for k in range(len(cuts))]), F.col("k") + 1)
+    ranked = tallies.withColumn("last", first + F.sum("c").over(w) - 1).withColumn("first", F.col("last") - F.col("c") + 1)
+    needed = F.lit(False)
+    for k, p in enumerate(places):
+        for r in {math.floor(p), math.ceil(p)}:
+            needed = needed | ((F.col("k") == k) & (F.col("first") <= r) & (F.col("last") >= r))
+    held = ranked.where(needed).collect()  # two rows a cut at most
+
+    def value(k, r):
+        return next(x["v"] for x in held if x["k"] == k and x["first"] <= r <= x["last"])
+
+    return [value(k, math.floor(p)) * (1 - (p - math.floor(p))) + value(k, math.ceil(p)) * (p - math.floor(p)) for k, p in enumerate(places)]
+
+
+def edges(both: DataFrame, exact: bool = True) -> list[float] | None:
+    """The nine inner deciles of the expected side; None without values or two distinct edges.
+
+    exact=False takes the sketch's own answers, in one pass.
+    """
+    cuts, side = [k / BUCKETS for k in range(1, BUCKETS)], both.where("side = 'exp'")
+    found = exact_quantiles(side, "v", cuts) if exact else side.agg(F.percentile_approx("v", cuts, ACCURACY)).first()[0]
+    return found if found and len(set(found)) >= 2 else None
 
 
-def bucket_counts(both: DataFrame, cuts: DataFrame) -> DataFrame:
-    """side, bucket, n for each of the buckets, empty ones too. cuts is one row of nine numbers."""
-    found = both.crossJoin(F.broadcast(cuts)).groupBy("side", bucket_of(F.col("v"), F.col("edges")).alias("bucket")).agg(F.count("*").alias("n"))
+def bucket_counts(both: DataFrame, cuts: list[float] | None) -> DataFrame:
+    """side, bucket, n for each of the buckets, empty ones too (all of them, without cuts)."""
     spine = both.sparkSession.range(2 * BUCKETS).select(F.when(F.col("id") < BUCKETS, "exp").otherwise("act").alias("side"), (F.col("id") % BUCKETS).cast("int").alias("bucket"))
-    return spine.join(F.broadcast(found), ["side", "bucket"], "left").select("side", "bucket", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    if cuts is None:
+        return spine.withColumn("n", F.lit(0).cast("long"))
+    found = both.groupBy("side", bucket_of(F.col("v"), F.array(*map(F.lit, cuts))).alias("bucket")).agg(F.count("*").alias("n"))
+    return spine.join(F.broadcast(found), ["side", "bucket"], "left").select("side", "bucket", F.coalesce("n", F.lit(0)).cast("long").alias("n"))  # twenty rows
+
+
+def measured(raw: DataFrame, metric: str, exact: bool = True) -> tuple[list[float] | None, DataFrame]:
+    """A metric's edges and bucket counts. Its values are computed once and kept, on disk beyond memory,
+    until both are known."""
+    both = values(raw, metric).persist()
+    try:
+        cuts = edges(both, exact)
+        rows = [tuple(r) for r in bucket_counts(both, cuts).collect()]  # twenty
+    finally:
+        both.unpersist()
+    return cuts, raw.sparkSession.createDataFrame(rows, "side string, bucket int, n long")
 
 
 def psi(counts: DataFrame) -> DataFrame:
@@ -79,9 +138,9 @@ def psi(counts: DataFrame) -> DataFrame:
 
 def drift(raw: DataFrame, metric: str, exact: bool = True) -> DataFrame:
     """metric, psi, passed: no row where the expected window is too small to cut."""
-    both = values(raw, metric)
-    score = psi(bucket_counts(both, edges(both, exact))).where("psi IS NOT NULL")
-    return score.select(F.lit(metric).alias("metric"), "psi", (F.col("psi") <= MAX_PSI).alias("passed"))
+    cuts, counts = measured(raw, metric, exact)
+    score = psi(counts).where("psi IS NOT NULL")
+    return (score if cuts else score.limit(0)).select(F.lit(metric).alias("metric"), "psi", (F.col("psi") <= MAX_PSI).alias("passed"))
 
 
 def dead_letter_rate(dead: DataFrame, clean: DataFrame, now: Column, days: int = 7, time: str = "ingested_at") -> DataFrame:

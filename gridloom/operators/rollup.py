@@ -1,10 +1,16 @@
-"""The hourly revenue rollup: incremental and approximate, and its exact recomputation."""
+"""The hourly revenue rollup: incremental and approximate, its exact recomputation, and its stored form.
 
-from pyspark.sql import Column, DataFrame
+Stored parts lie by day; a stream adds the parts of each batch, and once a day the previous day's
+parts give way to exact ones.
+"""
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import hour_of
 from gridloom.operators.dedup import latest_version
+from gridloom.operators.storage import between, newest, shifted
+from gridloom.operators.versions import store_of
 
 KEY = ("hour", "operator_id", "city", "tariff_id", "is_peak")
 
@@ -33,10 +39,72 @@ def previous_day(raw: DataFrame) -> DataFrame:
     return raw.agg(end).where("day_end IS NOT NULL").select((F.col("day_end") - F.expr("INTERVAL 1 DAY")).alias("day_start"), "day_end")
 
 
+def day_before(raw: DataFrame) -> tuple[str, str] | None:
+    """previous_day() as text, for literal bounds; None if raw has no rows."""
+    end = newest(raw)
+    if end is None:
+        return None
+    end = f"{end[:10]} 00:00:00"
+    return shifted(raw, end, "- INTERVAL 1 DAY"), end
+
+
+def exact_day(raw: DataFrame, day: tuple[str, str]) -> DataFrame:
+    """The rollup of one day, every event once: the bounds reach the scan, below the removal of versions."""
+    return partial(latest_version(between(raw.where("event_type = 'SESSION_STOP'"), *day, until_open=True)))
+
+
 def reconciled(parts: DataFrame, raw: DataFrame) -> DataFrame:
     """The rollup with the previous day's rows replaced by exact ones."""
-    day = F.broadcast(previous_day(raw))
-    inside = (F.col("hour") >= F.col("day_start")) & (F.col("hour") < F.col("day_end"))
-    kept = merged(parts).crossJoin(day).where(~inside).select(*KEY, "revenue_eur", "sessions")
-    rows = latest_version(raw.where("event_type = 'SESSION_STOP'")).crossJoin(day).where("timestamp >= day_start AND timestamp < day_end")
-    return kept.unionByName(partial(rows))
+    day = day_before(raw)
+    if day is None:
+        return merged(parts)
+    kind = parts.schema["hour"].dataType
+    outside = (F.col("hour") < F.lit(day[0]).cast(kind)) | (F.col("hour") >= F.lit(day[1]).cast(kind))
+    return merged(parts.where(outside)).unionByName(exact_day(raw, day))
+
+
+def append_parts(parts: DataFrame, path: str, batch: int | None = None) -> None:
+    """Add parts to the stored rollup, a folder a day. The parts of a stream's batch bear its number
+    and replace what the same batch wrote before."""
+    rows = parts.withColumn("day", F.date_format("hour", "yyyy-MM-dd")).withColumn("part", F.lit(-1 if batch is None else batch))
+    # only the folders (day, part) that rows have are replaced
+    rows.repartition("day").write.mode("append" if batch is None else "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "part").parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The rollup as read: all parts, and exact days, summed up by key."""
+    recover_days(spark, path)
+    return merged(spark.read.parquet(path))
+
+
+def recover_days(spark: SparkSession, path: str) -> None:
+    """Undo or finish a replacement of a day that was cut off."""
+    store, of = store_of(spark, path)
+    for f in store.listStatus(of(path)) if store.exists(of(path)) else ():
+        name = f.getPath().getName()
+        if name.startswith("_aside_"):
+            place = of(f"{path.rstrip('/')}/day={name[len('_aside_') :]}")
+            if store.exists(place):
+                store.delete(f.getPath(), True)
+            else:
+                store.rename(f.getPath(), place)
+
+
+def overwrite_day(raw: DataFrame, path: str) -> tuple[str, str] | None:
+    """Put the exact rows of the previous day in place of its parts in the stored rollup; returns the day.
+
+    A day whose events are all gone loses its parts. A complete copy of the day exists at any moment.
+    """
+    spark, day = raw.sparkSession, day_before(raw)
+    if day is None:
+        return None
+    recover_days(spark, path)
+    store, of = store_of(spark, path)
+    root, name = path.rstrip("/"), day[0][:10]
+    exact_day(raw, day).withColumn("part", F.lit(-1)).coalesce(1).write.mode("overwrite").partitionBy("part").parquet(f"{root}/_fresh_{name}")
+    place, fresh, aside = (of(f"{root}/{n}") for n in (f"day={name}", f"_fresh_{name}", f"_aside_{name}"))
+    if store.exists(place):
+        store.rename(place, aside)
+    store.rename(fresh, place)
+    store.delete(aside, True)
+    return day

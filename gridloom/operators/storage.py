@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.scalars import year_month
 from gridloom.functions.schema import VERSION_KEY
 from gridloom.operators.dedup import latest_version
+from gridloom.operators.versions import store_of
 
 RETENTION_MONTHS = 13
 
@@ -20,14 +21,45 @@ def append(clean: DataFrame, path: str, time: str = "timestamp") -> None:
 
 def scan(spark: SparkSession, path: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
     """The table as stored. Bounds on event time prune whole months as well as rows."""
+    recover(spark, path)
     rows = spark.read.parquet(path)
-    for bound, op in ((since, ">="), (until, "<=")):
-        if bound is not None:
-            month = f"{bound:%Y%m}"
-            rows = rows.where(f"cast(yyyymm AS int) {op} {month}").where(f"timestamp {op} TIMESTAMP '{bound:%Y-%m-%d %H:%M:%S.%f}'")
+    since, until = (None if t is None else f"{t:%Y-%m-%d %H:%M:%S.%f}" for t in (since, until))
+    return between(rows, since, until)
+
+
+def newest(rows: DataFrame, time: str = "timestamp") -> str | None:
+    """The newest event time, as text in the session's time zone; None without rows.
+
+    One small job. In a table by month it reads that one column of the last month.
+    """
+    if "yyyymm" in rows.columns:
+        month = rows.agg(F.max("yyyymm")).first()[0]
+        rows = rows.where(F.col("yyyymm") == F.lit(month)) if month is not None else rows
+    return rows.agg(F.max(time).cast("string")).first()[0]
+
+
+def between(rows: DataFrame, since: str | None = None, until: str | None = None, time: str = "timestamp", until_open: bool = False) -> DataFrame:
+    """Rows within [since, until] (or [since, until)), by literals that reach the scan; in a table by
+    month, also by the months they lie in."""
+    kind = rows.schema[time].dataType
+    if since is not None:
+        rows = rows.where(F.col(time) >= F.lit(since).cast(kind))
+    if until is not None:
+        last = F.lit(until).cast(kind)
+        rows = rows.where(F.col(time) < last if until_open else F.col(time) <= last)
+    if "yyyymm" in rows.columns:
+        for bound, op in ((since, ">="), (until, "<=")):
+            if bound is not None:
+                rows = rows.where(f"cast(yyyymm AS int) {op} {bound[:4]}{bound[5:7]}")
     return rows
 
 
+def shifted(rows: DataFrame, at: str, interval: str, time: str = "timestamp") -> str:
+    """A time from newest(), moved by an interval such as '- INTERVAL 7 DAYS', as the engine counts."""
+    kind = rows.schema[time].dataType.simpleString()
+    return rows.sparkSession.range(1).select(F.expr(f"CAST(CAST('{at}' AS {kind}) {interval} AS string)")).first()[0]
+
+
 def parts(rows: DataFrame) -> DataFrame:
     """yyyymm, files, rows, oldest for each month of a scan."""
     by = rows.select("yyyymm", "timestamp", F.col("_metadata.file_path").alias("file")).groupBy("yyyymm")
@@ -44,21 +76,44 @@ def closed_month(now: datetime) -> str:
     return f"{now.year - (now.month == 1)}{(now.month - 2) % 12 + 1:02d}"
 
 
-def compact(spark: SparkSession, path: str, month: str) -> bool:
-    """Rewrite one month with its latest versions only; False if it is one file already.
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo a replacement of a month that was cut off: a month that was set aside comes
+    back if nothing took its place, and goes if something did."""
+    root = path.rstrip("/")
+    store, of = store_of(spark, root)
+    if not store.exists(of(root)):
+        return
+    for f in store.listStatus(of(root)):
+        name = f.getPath().getName()
+        if name.startswith("_aside_"):
+            month = of(f"{root}/yyyymm={name[len('_aside_') :]}")
+            if store.exists(month):
+                store.delete(f.getPath(), True)
+            else:
+                store.rename(f.getPath(), month)
+
+
+def replace_month(spark: SparkSession, path: str, month: str, rows: DataFrame) -> None:
+    """Put rows in place of a month. At any moment a complete copy of the month exists under a name
+    that recover() knows; Spark does not read names that begin with an underscore."""
+    root = path.rstrip("/")
+    recover(spark, root)
+    store, of = store_of(spark, root)
+    fresh, aside, place = (of(f"{root}/{n}") for n in (f"_fresh_{month}", f"_aside_{month}", f"yyyymm={month}"))
+    rows.repartition("station_id").sortWithinPartitions(*VERSION_KEY).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/_fresh_{month}")
+    if store.exists(place):
+        store.rename(place, aside)
+    store.rename(fresh, place)
+    store.delete(aside, True)
 
-    Rows go to a folder beside the table first, and replace the month when they are complete.
-    """
+
+def compact(spark: SparkSession, path: str, month: str) -> bool:
+    """Rewrite one month with its latest versions only; False if it is one file already."""
+    recover(spark, path)
     rows = spark.read.parquet(path).where(F.col("yyyymm").cast("string") == month)
     if rows.select(F.col("_metadata.file_path")).distinct().limit(2).count() < 2:
         return False
-    beside = f"{path.rstrip('/')}_compacting_{month}"
-    kept = latest_version(rows.drop("yyyymm"))
-    kept.repartition("station_id").sortWithinPartitions(*VERSION_KEY).write.mode("overwrite").option("compression", "zstd").parquet(beside)
-    where, source = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path.rstrip('/')}/yyyymm={month}", beside))
-    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.delete(where, True)
-    store.rename(source, where)
+    replace_month(spark, path, month, latest_version(rows.drop("yyyymm")))
     return True
 
 
@@ -83,8 +138,8 @@ def drop_expired(spark: SparkSession, path: str, now: datetime) -> list[str]:
     gone = []
     for r in spark.read.parquet(path).groupBy("yyyymm").agg(F.max("timestamp").alias("newest")).collect():  # a row a month
         if r["newest"].replace(tzinfo=None) < cutoff(now):
-            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/yyyymm={r['yyyymm']}")
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            store, of = store_of(spark, path)
+            store.delete(of(f"{path.rstrip('/')}/yyyymm={r['yyyymm']}"), True)
             gone.append(str(r["yyyymm"]))
     return sorted(gone)
 

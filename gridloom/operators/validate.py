@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.scalars import is_uuid, parse_rfc3339
+from gridloom.functions.scalars import best_effort_time, format_rfc3339, is_uuid, parse_rfc3339
 from gridloom.functions.schema import EVENT, EVENT_TYPES, STATUSES
 
 #: Coordinates may differ by so much from the station's.
@@ -127,6 +127,22 @@ def dead_letters(rejected: DataFrame, payload: str = "value", ingested_at: Colum
     return rejected.select(F.col(payload).cast("string").alias("raw_payload"), "error", (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"))
 
 
+def dead_letter_messages(rejected: DataFrame, payload: str = "value", ingested_at: Column | None = None) -> DataFrame:
+    """key, value of the dead-letter stream: the letter as JSON under its raw message's own key."""
+    at = F.current_timestamp() if ingested_at is None else ingested_at
+    body = F.struct(F.col(payload).cast("string").alias("raw_payload"), F.col("error"), format_rfc3339(at.cast("timestamp")).alias("ingested_at"))
+    key = F.col("key").cast("string") if "key" in rejected.columns else F.lit(None).cast("string")
+    return rejected.select(key.alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def read_dead_letters(messages: DataFrame) -> DataFrame:
+    """raw_payload, error, ingested_at from dead-letter messages. Malformed ones are left out, unknown
+    fields ignored, and times read in any of the forms of best_effort_time()."""
+    schema = "raw_payload string, error string, ingested_at string, _corrupt string"
+    rows = messages.select(F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r")).select("r.*")
+    return rows.where("_corrupt IS NULL AND raw_payload IS NOT NULL").select("raw_payload", "error", best_effort_time(F.col("ingested_at")).alias("ingested_at"))
+
+
 def reason(rule: Column) -> Column:
     """The coarse label of a rejection."""
     return F.when(rule == "invalid_json", "invalid_json").otherwise("validation")

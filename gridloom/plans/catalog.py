@@ -4,15 +4,17 @@ Queries take (spark, sf_dir) and read the generic tables through the telemetry v
 stand in for now, so that results depend on the data alone.
 """
 
-from datetime import datetime
+import json
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import scalars
-from gridloom.functions.schema import SESSION_TYPES
-from gridloom.operators import dedup, flatten, gates, rollup, state, storage, validate
-from gridloom.plans import reports
+from gridloom.functions.schema import EVENT_TYPES, SESSION_TYPES
+from gridloom.operators import dedup, flatten, gates, rollup, state, storage, validate, versions
+from gridloom.plans import daily, reports
 from gridloom.sources import adapter, registry
 from gridloom.streaming import metrics
 
@@ -339,8 +341,9 @@ def lead_segments(spark, sf_dir):
 @query_with(_with(7, ""), "SELECT station_id, connector_id, arg_max(status, timestamp) AS status, max(timestamp) AS since FROM final, b WHERE event_type = 'STATUS_CHANGE' AND timestamp < win_start GROUP BY 1, 2")
 def carry_forward_asof(spark, sf_dir):
     rows = raw(spark, sf_dir)
-    early = reports.anchored(dedup.latest_version(rows.where("event_type = 'STATUS_CHANGE'")), rows, 7).where("timestamp < win_start")
-    return early.groupBy("station_id", "connector_id").agg(F.max_by("status", F.struct("timestamp", "event_id")).alias("status"), F.max("timestamp").alias("since"))
+    at = reports.window(rows, 7)
+    early = storage.between(rows, until=at[0], until_open=True) if at else rows.limit(0)
+    return reports.last_status(early.where("event_type = 'STATUS_CHANGE'")).select("station_id", "connector_id", "status", "since")
 
 
 @query_with(_with(7, ""), "SELECT win_start, win_end FROM b", final=False)
@@ -423,11 +426,13 @@ def r5_liveness(spark, sf_dir):
     return state.current_state(state.writes(beats, "offset", F.lit(False))).select("key", "last_seen")
 
 
-@query("SELECT station_id, max(timestamp) AS last_seen FROM one GROUP BY 1 HAVING max(timestamp) >= (SELECT max(timestamp) FROM one) - INTERVAL '6' HOUR", final=False)
+@query_with(_ARRIVAL, """SELECT key, max(ts) AS last_seen FROM c WHERE applied GROUP BY key HAVING max(arrival) >= (SELECT max(arrival) FROM c WHERE applied) - 2000""", final=False)
 def state_ttl_live(spark, sf_dir):
-    rows = raw(spark, sf_dir).where("copy_no = 0")
-    seen = rows.groupBy("station_id").agg(F.max("timestamp").alias("last_seen"))
-    return state.live(reports.anchored(seen, rows, 1), F.col("win_end"), 6 * 3600, at="last_seen").select("station_id", "last_seen")
+    """Keys that an event refreshed among the last 2000 to arrive: here arrival is the clock, in seconds."""
+    held = state.current_state(state.writes(arrivals(spark, sf_dir), "offset"))
+    newest = held.agg(F.max("applied_at")).first()[0] or 0.0
+    clock = lambda c: F.timestamp_micros((c * 1e6).cast("long"))
+    return state.live(held.withColumn("applied_at", clock(F.col("applied_at"))), clock(F.lit(float(newest))), 2000).select("key", "last_seen")
 
 
 # ---- quality, storage, clocks
@@ -467,18 +472,14 @@ def _both(make) -> DataFrame:
 @query_with(_WINDOWS + _VALUES, f"SELECT 'energy_delta' AS metric, k AS edge, round({_CUTS}[k], 6) AS value FROM ev, range(1, 10) r(k) GROUP BY k UNION ALL SELECT 'power_kw', k, round({_CUTS}[k], 6) FROM ep, range(1, 10) r(k) GROUP BY k")
 def quantile_edges(spark, sf_dir):
     rows = raw(spark, sf_dir)
-    return _both(lambda m: gates.edges(gates.values(rows, m)).select(F.lit(m).alias("metric"), F.posexplode("edges").alias("edge", "value")).select("metric", (F.col("edge") + 1).cast("long").alias("edge"), F.round("value", 6).alias("value")))
+    found = [(m, k, float(v)) for m in gates.METRICS for k, v in enumerate(gates.measured(rows, m)[0] or [], 1)]  # nine a metric
+    return spark.createDataFrame(found, "metric string, edge long, value double").withColumn("value", F.round("value", 6))
 
 
 @query_with(_WINDOWS + _VALUES + _COUNTS, "SELECT metric, side, bucket, n FROM ct")
 def psi_buckets(spark, sf_dir):
     rows = raw(spark, sf_dir)
-
-    def one(m):
-        both = gates.values(rows, m)
-        return gates.bucket_counts(both, gates.edges(both)).select(F.lit(m).alias("metric"), "side", "bucket", "n")
-
-    return _both(one)
+    return _both(lambda m: gates.measured(rows, m)[1].select(F.lit(m).alias("metric"), "side", "bucket", "n"))
 
 
 @query_with(
@@ -587,12 +588,25 @@ def lag_percentiles(spark, sf_dir):
     return metrics.quantiles(rows, "lag", ["event_type"])
 
 
-@query("SELECT event_type, date_trunc('minute', timestamp) AS minute, round(count(*) / 60.0, 6) AS per_second FROM one GROUP BY 1, 2", final=False)
+@query_with(
+    """, s AS (SELECT event_type, station_no % 3 AS instance, date_trunc('second', timestamp) AS moment, count(*) AS n FROM one GROUP BY 1, 2, 3),
+t AS (SELECT *, sum(n) OVER (PARTITION BY event_type, instance ORDER BY moment) AS total, row_number() OVER (PARTITION BY event_type, instance ORDER BY moment) AS place FROM s)""",
+    # what a counter grew by between two samples is what was counted at the second one; the first sample grows by nothing
+    "SELECT event_type, date_trunc('minute', moment) AS minute, round(sum(CASE WHEN place > 1 THEN n ELSE 0 END) / 60.0, 6) AS per_second FROM t GROUP BY 1, 2",
+    final=False,
+)
 def event_rates(spark, sf_dir):
-    """Events a second by type and minute."""
-    rows = raw(spark, sf_dir).where("copy_no = 0")
-    minute = F.date_trunc("minute", "timestamp").cast("timestamp_ntz").alias("minute")
-    return rows.groupBy("event_type", minute).agg(F.round(F.count("*") / 60.0, 6).alias("per_second"))
+    """Rates a second, by type and minute, of counters that three instances sample whenever they count.
+
+    Every counter begins anew after each fiftieth sample."""
+    by = ["event_type", "instance"]
+    counted = raw(spark, sf_dir).where("copy_no = 0").groupBy("event_type", (F.col("station_no") % 3).alias("instance"), F.date_trunc("second", "timestamp").alias("at")).agg(F.count("*").alias("n"))
+    place = F.floor((F.row_number().over(Window.partitionBy(*by).orderBy("at")) - 1) / 50)
+    counted = counted.withColumn("life", place)
+    samples = counted.withColumn("value", F.sum("n").over(Window.partitionBy(*by, "life").orderBy("at")))
+    # a reset shows as a fall; lives end high enough for that, as each holds fifty counts and the next begins with few
+    found = metrics.rates(samples, "event_type")
+    return found.select("event_type", F.col("minute").cast("timestamp_ntz").alias("minute"), F.round("per_second", 6).alias("per_second"))
 
 
 @query("SELECT b AS le, (SELECT count(*) FROM one WHERE power_kw <= b) AS n FROM (VALUES (0.0), (5.0), (25.0), (100.0), (250.0), ('inf')) t(b)".replace("(0.0), (5.0)", "(0.0::DOUBLE), (5.0)"), final=False)
@@ -610,3 +624,159 @@ def delayed_arrival_order(spark, sf_dir):
     """The order in which delayed events are released, by key."""
     w = Window.partitionBy("station_id").orderBy("offset")
     return arrivals(spark, sf_dir).select(F.col("station_id").alias("key"), F.row_number().over(w).alias("place"), "n")
+
+
+# ---- stored tables, the daily run, streams' other ends
+
+def _landing(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A landing table of the view's rows in a folder of this call's own, and its rows as stored."""
+    path = f"{versions.scratch(spark)}/events"
+    for k in (0, 1):
+        storage.append(raw(spark, sf_dir).where(f"copy_no = {k}"), path)
+    return path, storage.scan(spark, path)
+
+
+@query_with(_with(30, ""), "SELECT strftime(timestamp, '%Y%m') AS yyyymm, event_type, count(*) AS n FROM raw, b WHERE timestamp BETWEEN win_start AND win_end GROUP BY 1, 2", final=False)
+def landing_scan(spark, sf_dir):
+    """Rows of the last thirty days of a landing table: bounds prune its months."""
+    _, rows = _landing(spark, sf_dir)
+    return reports.inside(rows, 30).groupBy(F.col("yyyymm").cast("string").alias("yyyymm"), "event_type").agg(F.count("*").alias("n"))
+
+
+_DAY = ", d AS (SELECT date_trunc('day', max(timestamp)) AS e FROM raw)"
+
+
+@query_with(
+    _DAY,
+    """SELECT date_trunc('hour', timestamp) AS hour, operator_id, city, tariff_id, is_peak_priced AS is_peak, round(sum(cost_eur), 2) AS revenue_eur, count(*) AS sessions
+       FROM raw, d WHERE event_type = 'SESSION_STOP' AND (copy_no = 0 OR timestamp < e - INTERVAL '1' DAY OR timestamp >= e) GROUP BY ALL""",
+)
+def r1_day_overwritten(spark, sf_dir):
+    """The stored rollup after two batches of parts and the overwriting of the previous day."""
+    rows, path = raw(spark, sf_dir), f"{versions.scratch(spark)}/revenue"
+    for k in (0, 1):
+        rollup.append_parts(rollup.partial(rows.where(f"copy_no = {k}")), path, batch=k)
+    rollup.append_parts(rollup.partial(rows.where("copy_no = 1")), path, batch=1)  # a batch that is given again
+    rollup.overwrite_day(rows, path)
+    return _cents(rollup.stored(spark, path))
+
+
+@query_with(
+    _DAY + _WINDOWS + _VALUES + _COUNTS + """, ps AS (SELECT metric, sum((q - p) * ln(q / p)) AS psi FROM (
+       SELECT metric, bucket, greatest(max(n) FILTER (WHERE side = 'exp')::DOUBLE / max(t) FILTER (WHERE side = 'exp'), 1e-6) AS p, greatest(max(n) FILTER (WHERE side = 'act')::DOUBLE / max(t) FILTER (WHERE side = 'act'), 1e-6) AS q
+       FROM (SELECT *, sum(n) OVER (PARTITION BY metric, side) AS t FROM ct) GROUP BY 1, 2) GROUP BY metric)""",
+    """SELECT 'freshness' AS task, date_diff('second', max(ingested_at), max(ingested_at) + INTERVAL '1' HOUR)::VARCHAR AS found FROM raw
+       UNION ALL SELECT 'compact', strftime(date_trunc('month', max(ingested_at) + INTERVAL '1' HOUR) - INTERVAL '1' DAY, '%Y%m') || CASE WHEN count(DISTINCT CASE WHEN strftime(timestamp, '%Y%m') = strftime(date_trunc('month', (SELECT max(ingested_at) FROM raw) + INTERVAL '1' HOUR) - INTERVAL '1' DAY, '%Y%m') THEN copy_no END) > 1 THEN ' compacted' ELSE ' as it was' END FROM raw
+       UNION ALL SELECT 'reconcile', strftime(e - INTERVAL '1' DAY, '%Y-%m-%d') FROM d
+       UNION ALL SELECT 'quality', CASE WHEN max(psi) > 0.25 THEN 'failed' ELSE string_agg(metric || ' ' || printf('%.6f', psi), ', ' ORDER BY metric) END FROM ps
+       UNION ALL SELECT 'retention', 'none' FROM ps HAVING max(psi) <= 0.25""",
+)
+def daily_run(spark, sf_dir):
+    """The five tasks over a landing table, an hour after its newest row; no dead letters. Where a gate
+    fails its task is the last row, and those after it have none."""
+    path, rows = _landing(spark, sf_dir)
+    revenue = f"{versions.scratch(spark)}/revenue"
+    rollup.append_parts(rollup.partial(rows), revenue)
+    now = datetime.fromisoformat(rows.agg(F.max("ingested_at").cast("string")).first()[0]) + timedelta(hours=1)
+    dead = rows.limit(0).select(F.lit("").alias("raw_payload"), F.lit("").alias("error"), "ingested_at")
+    chain = daily.Daily(spark, path, revenue, dead, now)
+    try:
+        chain.run()
+    except gates.GateFailed:
+        chain.done.append((chain.next, "failed"))
+    return spark.createDataFrame(chain.done, "task string, found string")
+
+
+@query_with(_MUTATED, "SELECT CASE rule WHEN 'invalid_json' THEN 'invalid json' ELSE 'other' END AS kind, count(*) AS n, date_trunc('milliseconds', max(ingested_at)) AS newest FROM i WHERE rule IS NOT NULL GROUP BY 1", final=False)
+def dlq_reader(spark, sf_dir):
+    """Dead letters as messages under their raw keys, with malformed ones among them, read back."""
+    rejected = validate.split(judged(spark, sf_dir))[1].withColumn("key", F.col("n").cast("string"))
+    sent = validate.dead_letter_messages(rejected, ingested_at=F.col("ingested_at"))
+    broken = sent.limit(3).select("key", F.lit('{"raw_payload": ').alias("value"))
+    rows = validate.read_dead_letters(sent.unionByName(broken))
+    kind = F.when(F.col("error") == "invalid json", F.col("error")).otherwise("other")
+    return rows.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"), F.max("ingested_at").cast("timestamp_ntz").alias("newest"))
+
+
+@query("SELECT DISTINCT station_id, c::INT AS connector_id FROM one, range(1, 5) r(c) WHERE station_no % 5 = 0", final=False)
+def registry_connector_orphans(spark, sf_dir):
+    """Connectors whose station is not in the registry: every fifth station is left out of it."""
+    known = adapter.stations(spark, sf_dir)
+    plugs = known.select("station_id", F.explode(F.sequence(F.lit(1), F.col("num_connectors"))).alias("connector_id"))
+    kept = known.where("cast(substring(station_id, 4) AS int) % 5 <> 0")
+    return registry.orphans(plugs, kept, "station_id").select("station_id", "connector_id")
+
+
+@query("SELECT station_id, count(*) AS n FROM (SELECT DISTINCT station_id FROM one UNION ALL SELECT DISTINCT station_id FROM one WHERE station_no % 7 = 0) t GROUP BY 1 HAVING count(*) > 1", final=False)
+def registry_repeated_stations(spark, sf_dir):
+    """Station ids that the registry has twice: every seventh is seeded again."""
+    known = adapter.stations(spark, sf_dir).select("station_id")
+    again = known.where("cast(substring(station_id, 4) AS int) % 7 = 0")
+    return registry.repeated_keys(known.unionByName(again), "station_id")
+
+
+@query_with(
+    """, h AS (SELECT event_type, b AS le, sum(CASE WHEN power_kw <= b THEN 1 ELSE 0 END)::DOUBLE AS n FROM one, (VALUES (0.0::DOUBLE), (5), (25), (100), (250), ('inf')) t(b) GROUP BY 1, 2),
+k AS (SELECT *, max(n) OVER (PARTITION BY event_type) * 0.95 AS rank, lag(n, 1, 0) OVER (PARTITION BY event_type ORDER BY le) AS below, lag(le) OVER (PARTITION BY event_type ORDER BY le) AS low FROM h),
+p AS (SELECT event_type, min(le) AS le FROM k WHERE n >= rank GROUP BY 1)""",
+    """SELECT event_type, round(CASE WHEN isinf(le) THEN low WHEN low IS NULL THEN le ELSE low + (le - low) * (rank - below) / (n - below) END, 6) AS value
+       FROM k JOIN p USING (event_type, le)""",
+    final=False,
+)
+def histogram_p95(spark, sf_dir):
+    """The 95th percentile of power by event type, as estimated from fixed buckets."""
+    rows = raw(spark, sf_dir).where("copy_no = 0")
+    kinds = ("SESSION_START", "METER_UPDATE", "SESSION_STOP", "FAULT_ALERT", "STATUS_CHANGE")
+    parts = [metrics.histogram(rows.where(F.col("event_type") == k), "power_kw", (0, 5, 25, 100, 250)).withColumn("event_type", F.lit(k)) for k in kinds]
+    return metrics.histogram_quantile(reduce(DataFrame.unionByName, parts), 0.95, ["event_type"]).withColumn("value", F.round("value", 6))
+
+
+#: For each rule the field that breaks it, how, and the kinds of events that it judges.
+_FAULTS = [
+    ("missing_event_id", "event_id", "", "*"), ("bad_event_id", "event_id", "x", "*"), ("unknown_event_type", "event_type", "NOPE", "*"), ("unknown_station", "station_id", "ST-none", "*"), ("bad_timestamp", "timestamp", "soon", "*"),
+    ("missing_operator", "operator_id", "", "*"), ("missing_location", "city", "", "*"), ("bad_geo", "lat", 91.0, "*"), ("operator_mismatch", "operator_id", "Other", "*"), ("city_mismatch", "city", "Elsewhere", "*"), ("country_mismatch", "country", "YY", "*"),
+    ("geo_mismatch", "lon", 1.0, "*"), ("bad_connector", "connector_id", 3, "HEARTBEAT"), ("connector_out_of_range", "connector_id", 9, "SESSION_START METER_UPDATE SESSION_STOP STATUS_CHANGE FAULT_ALERT"), ("unknown_tariff", "tariff_id", "ghost", "*"),
+    ("missing_session", "session_id", "", "SESSION_START METER_UPDATE SESSION_STOP"), ("missing_vehicle", "vehicle", None, "SESSION_START"), ("missing_tariff", "tariff_id", "", "SESSION_START METER_UPDATE SESSION_STOP"), ("missing_meter", "meter", None, "SESSION_START METER_UPDATE SESSION_STOP"),
+    ("bad_cost", "cost_eur", -1.0, "SESSION_STOP"), ("bad_status", "status", "Odd", "STATUS_CHANGE"), ("missing_fault", "fault", None, "FAULT_ALERT"), ("soc_out_of_range", "soc_percent", 101, "METERED"), ("bad_power", "power_kw", 1000.5, "METERED"),
+    ("bad_energy", "energy_kwh", -1.0, "METERED"), ("bad_voltage", "voltage_v", -1.0, "METERED"), ("bad_current", "current_a", -1.0, "METERED"),
+]
+_METER = ("power_kw", "energy_kwh", "voltage_v", "current_a", "soc_percent")
+
+
+def _faulty(kind: str, faults: list) -> str:
+    """A valid event of a kind with some faults, as JSON; a meter goes with every kind."""
+    at = {"lat": 0.0, "lon": 0.0, "city": "C", "country": "XX"}
+    meter = dict.fromkeys(_METER, 1)
+    e = {"event_id": "00000000-0000-4000-8000-000000000000", "event_type": kind, "station_id": "ST-0", "connector_id": 0 if kind == "HEARTBEAT" else 1, "session_id": "s", "timestamp": "2024-01-01T00:00:00.000Z", "operator_id": "O", "tariff_id": "standard-v1", "cost_eur": 1.0, "status": "Available", "vehicle": {"brand": "b"}, "fault": {"error_code": "X"}}
+    for _, name, value, _ in faults:
+        (at if name in at else meter if name in meter else e)[name] = value
+    return json.dumps({**e, "location": at, "meter": e.get("meter", meter)})
+
+
+_RULE_ROWS = ", ".join(f"({k}, '{name}', '{field_}', '{kinds}')" for k, (name, field_, _, kinds) in enumerate(_FAULTS))
+
+
+@query_with(
+    f""", f(k, name, part, kinds) AS (VALUES {_RULE_ROWS}), t(kind) AS (VALUES ('SESSION_START'), ('METER_UPDATE'), ('SESSION_STOP'), ('STATUS_CHANGE'), ('FAULT_ALERT'), ('HEARTBEAT')),
+m AS (SELECT *, kinds = '*' OR kinds = 'METERED' OR list_contains(string_split(kinds, ' '), kind) AS judges FROM f, t)""",
+    """SELECT a.kind, a.name AS first, b.name AS second, CASE WHEN a.judges THEN a.name WHEN b.judges THEN b.name ELSE 'valid' END AS rule
+       FROM m a JOIN m b ON a.kind = b.kind AND a.k < b.k AND a.part <> b.part AND NOT (a.part = 'meter' AND b.kinds = 'METERED') AND NOT (a.part = 'event_type' OR b.part = 'event_type')
+       WHERE (a.judges OR a.kinds <> 'HEARTBEAT') AND (b.judges OR b.kinds <> 'HEARTBEAT') AND NOT (a.kind = 'HEARTBEAT' AND (a.name = 'connector_out_of_range' OR b.name = 'connector_out_of_range'))""",
+    final=False,
+)
+def validate_precedence(spark, sf_dir):
+    """Events of every kind with each pair of faults in different fields: the earlier rule that judges
+    such an event names the reason."""
+    rows = []
+    for kind in EVENT_TYPES:
+        for i, a in enumerate(_FAULTS):
+            for b in _FAULTS[i + 1 :]:
+                if a[1] == b[1] or "event_type" in (a[1], b[1]) or a[1] == "meter" and b[1] in _METER:
+                    continue
+                if any(x[3] == "HEARTBEAT" and kind != "HEARTBEAT" or x[0] == "connector_out_of_range" and kind == "HEARTBEAT" for x in (a, b)):
+                    continue
+                rows.append((kind, a[0], b[0], _faulty(kind, [a, b])))
+    payloads = spark.createDataFrame(rows, "kind string, first string, second string, value string")
+    known = spark.createDataFrame([("ST-0", "O", "C", "XX", 0.0, 0.0, 4)], "station_id string, operator_id string, city string, country string, lat double, lon double, num_connectors int")
+    found = validate.judged(validate.decode(payloads), known, registry.tariff_table(spark))
+    return found.select("kind", "first", "second", F.coalesce("rule", F.lit("valid")).alias("rule"))

@@ -1,8 +1,11 @@
 """The analytical reports, as DataFrame plans over stored telemetry.
 
-Windows end at the newest event time, never at the clock. Each plan takes ``raw`` (rows as stored)
-and removes stale versions itself where the report calls for it. Ties in reported orders fall to
-the next columns, so that results are the same every time.
+Windows end at the newest event time, never at the clock. That time is looked up first, by a small
+job over one column, so that a report's bounds are literals: they reach the scan, prune months, and
+stand below the removal of stale versions (event time is part of an event's key: all versions of it
+lie on one side of a bound). Each plan takes ``raw`` (rows as stored) and removes stale versions
+itself where the report calls for it. Ties in reported orders fall to the next columns, so that
+results are the same every time.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.scalars import hour_of, ratio, seconds_between
 from gridloom.functions.schema import SESSION_TYPES
 from gridloom.operators.dedup import latest_version
+from gridloom.operators.storage import between, newest, shifted
 
 #: A session's mean power is unusual from so many standard deviations above the fleet's mean.
 SIGMAS = 2
@@ -23,9 +27,16 @@ def bounds(raw: DataFrame, days: int, time: str = "timestamp") -> DataFrame:
     return end.select((F.col("win_end") - F.expr(f"INTERVAL {days} DAYS")).alias("win_start"), "win_end")
 
 
-def anchored(events: DataFrame, raw: DataFrame, days: int, time: str = "timestamp") -> DataFrame:
-    """events with their bounds(); the broadcast is of one row, whatever the table."""
-    return events.crossJoin(F.broadcast(bounds(raw, days, time)))
+def window(raw: DataFrame, days: int) -> tuple[str, str] | None:
+    """The same bounds as text; None if raw has no rows."""
+    end = newest(raw)
+    return None if end is None else (shifted(raw, end, f"- INTERVAL {days} DAYS"), end)
+
+
+def inside(raw: DataFrame, days: int) -> DataFrame:
+    """raw's rows within its bounds()."""
+    at = window(raw, days)
+    return raw.limit(0) if at is None else between(raw, *at)
 
 
 def register_deltas(events: DataFrame) -> DataFrame:
@@ -37,24 +48,33 @@ def register_deltas(events: DataFrame) -> DataFrame:
 
 def hourly_energy(raw: DataFrame, days: int = 7) -> DataFrame:
     """A1: energy by hour. Deltas come from all history; only then does the window apply."""
+    at = window(raw, days)
     readings = register_deltas(latest_version(raw.where(F.col("event_type").isin(*SESSION_TYPES))))
-    inside = anchored(readings, raw, days).where(F.col("timestamp").between(F.col("win_start"), F.col("win_end")))
-    hours = inside.groupBy(hour_of(F.col("timestamp")).alias("hour"))
+    hours = (readings.limit(0) if at is None else between(readings, *at)).groupBy(hour_of(F.col("timestamp")).alias("hour"))
     return hours.agg(F.round(F.sum(F.greatest("delta_kwh", F.lit(0.0))), 3).alias("energy_kwh")).orderBy("hour")
 
 
+def last_status(changes: DataFrame) -> DataFrame:
+    """station_id, connector_id, operator_id, status, since: each connector's last change, by its newest
+    version. Sums up before the shuffle: a task sends one row a connector, whatever the history."""
+    newest_of = F.struct("timestamp", "event_id", "ingested_at")
+    by = changes.groupBy("station_id", "connector_id")
+    return by.agg(F.max_by(F.struct("operator_id", "status"), newest_of).alias("_last"), F.max("timestamp").alias("since")).select("station_id", "connector_id", "_last.operator_id", "_last.status", "since")
+
+
 def status_segments(raw: DataFrame, days: int = 7) -> DataFrame:
     """operator_id, station_id, connector_id, status, seg_start, seg_end within the window.
 
-    One scan serves both the changes inside and the status carried in: of the changes before the
-    window, each connector's last is moved to its start.
+    Of the changes before the window, each connector's last is carried to its start.
     """
-    changes = anchored(latest_version(raw.where("event_type = 'STATUS_CHANGE'")), raw, days).where("timestamp <= win_end")
-    early = F.col("timestamp") < F.col("win_start")
+    changes, at = raw.where("event_type = 'STATUS_CHANGE'"), window(raw, days)
+    kind = raw.schema["timestamp"].dataType
+    start, end = (F.lit(t).cast(kind) for t in at or (None, None))
+    columns = ("operator_id", "station_id", "connector_id", "status", "timestamp", "event_id")
+    late = latest_version(between(changes, *at) if at else changes.limit(0)).select(*columns)
+    carried = last_status(changes.where(F.col("timestamp") < start)).select("operator_id", "station_id", "connector_id", "status", start.alias("timestamp"), F.lit("").alias("event_id"))
     w = Window.partitionBy("station_id", "connector_id").orderBy("timestamp", "event_id")
-    placed = changes.withColumn("_next", F.lead("timestamp").over(w)).where(~early | F.col("_next").isNull() | (F.col("_next") >= F.col("win_start")))
-    start = F.greatest("timestamp", "win_start")
-    return placed.select("operator_id", "station_id", "connector_id", "status", start.alias("seg_start"), F.coalesce("_next", "win_end").alias("seg_end"))
+    return late.unionByName(carried).select("operator_id", "station_id", "connector_id", "status", F.col("timestamp").alias("seg_start"), F.lead("timestamp", 1).over(w).alias("_next")).select("operator_id", "station_id", "connector_id", "status", "seg_start", F.coalesce("_next", end).alias("seg_end"))
 
 
 def station_uptime(raw: DataFrame, days: int = 7, top: int = 20) -> DataFrame:
@@ -92,7 +112,7 @@ def sessions_by_brand(raw: DataFrame) -> DataFrame:
 
 def revenue(raw: DataFrame, days: int = 30) -> DataFrame:
     """A4: revenue and its share at peak price by operator, city and tariff."""
-    stops = anchored(latest_version(raw.where("event_type = 'SESSION_STOP'")), raw, days).where(F.col("timestamp").between(F.col("win_start"), F.col("win_end")))
+    stops = latest_version(inside(raw, days).where("event_type = 'SESSION_STOP'"))
     cost = F.col("cost_eur").cast("double")
     sums = stops.groupBy("operator_id", "city", "tariff_id").agg(F.sum(cost).alias("_all"), F.sum(F.when(F.col("is_peak_priced") == 1, cost).otherwise(0.0)).alias("_peak"), F.count("*").alias("sessions"))
     out = sums.select("operator_id", "city", "tariff_id", F.round("_all", 2).alias("revenue_eur"), F.round("_peak", 2).alias("peak_revenue_eur"), F.round(ratio(100 * F.col("_peak"), F.col("_all")), 1).alias("peak_pct"), "sessions")
@@ -101,7 +121,7 @@ def revenue(raw: DataFrame, days: int = 30) -> DataFrame:
 
 def fault_geography(raw: DataFrame, days: int = 30) -> DataFrame:
     """A5: faults by city. Counts are of distinct events; positions average the rows as stored."""
-    faults = anchored(raw.where("event_type = 'FAULT_ALERT'"), raw, days).where(F.col("timestamp").between(F.col("win_start"), F.col("win_end")))
+    faults = inside(raw, days).where("event_type = 'FAULT_ALERT'")
     sums = faults.groupBy("city").agg(F.count_distinct("event_id").alias("fault_count"), F.count_distinct("station_id").alias("stations_affected"), F.round(F.avg("lat"), 4).alias("lat"), F.round(F.avg("lon"), 4).alias("lon"))
     out = sums.withColumn("faults_per_station", F.round(ratio(F.col("fault_count"), F.col("stations_affected")), 2))
     return out.orderBy(F.desc("fault_count"), "city")

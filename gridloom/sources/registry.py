@@ -7,12 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.schema import TARIFF, TARIFFS
+from gridloom.operators import versions
 
 TABLES = ("stations", "connectors", "tariffs")
 
 
 def from_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{folder}/{t}") for t in TABLES}
+    """The tables of the newest complete version that seed() wrote; all of one version."""
+    version = versions.newest(spark, folder)
+    if version is None:
+        raise FileNotFoundError(f"{folder} has no complete registry")
+    return {t: spark.read.parquet(f"{versions.place(folder, version)}/{t}") for t in TABLES}
 
 
 def from_jdbc(spark: SparkSession, url: str, properties: dict[str, str]) -> dict[str, DataFrame]:
@@ -24,16 +29,14 @@ def tariff_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, n, float(p), float(m)) for i, n, p, m in TARIFFS], TARIFF)
 
 
-def seed(tables: dict[str, DataFrame], folder: str) -> None:
-    """Replace all tables. Each is complete beside its place before any takes it."""
+def seed(tables: dict[str, DataFrame], folder: str) -> int:
+    """Replace all tables at once: a new version beside the old ones, which counts when it is whole."""
     spark = next(iter(tables.values())).sparkSession
+    version = max((v for v, _ in versions.listed(spark, folder)), default=-1) + 1
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/_new_{name}")
-    for name in tables:
-        old, new = (spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}") for n in (name, f"_new_{name}"))
-        store = old.getFileSystem(spark._jsc.hadoopConfiguration())
-        store.delete(old, True)
-        store.rename(new, old)
+        df.write.mode("overwrite").parquet(f"{versions.place(folder, version)}/{name}")
+    versions.complete(spark, folder, version)
+    return version
 
 
 def load_until_ready(load: Callable[[], dict[str, DataFrame]], seconds: float = 90, pause: float = 2) -> dict[str, DataFrame]:

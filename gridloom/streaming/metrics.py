@@ -1,6 +1,8 @@
 """Counters of the consumers, and the queries that dashboards put to them."""
 
+import json
 from collections import Counter
+from functools import reduce
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Window
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from gridloom.functions.scalars import millis_between
+from gridloom.functions.schema import EVENT_TYPES
 
 
 def lag_seconds(start: str, end: str) -> Column:
@@ -15,10 +18,11 @@ def lag_seconds(start: str, end: str) -> Column:
 
 
 class Metrics:
-    """Named counts with labels. Batches are counted once what they wrote is complete."""
+    """Named counts and levels with labels. Batches are counted once what they wrote is complete."""
 
     def __init__(self):
         self.counts: Counter = Counter()
+        self.levels: dict = {}
         self._lock = Lock()
 
     def add(self, name: str, n: int, **labels) -> None:
@@ -28,11 +32,21 @@ class Metrics:
     def get(self, name: str, **labels) -> int:
         return self.counts[name, tuple(sorted(labels.items()))]
 
-    def count_batch(self, judged: DataFrame, clean: DataFrame) -> None:
-        """Events by type, rejections by rule and reason, clean rows and duplicates: closed vocabularies, so few rows."""
-        fine = 0
-        for r in judged.groupBy(F.when(F.col("rule") == "invalid_json", "unknown").otherwise(F.coalesce("event.event_type", F.lit("unknown"))).alias("kind"), "rule").count().collect():
+    def set(self, name: str, value: float, **labels) -> None:
+        """A level: the last value counts."""
+        with self._lock:
+            self.levels[name, tuple(sorted(labels.items()))] = value
+
+    def count_batch(self, judged: DataFrame, clean: DataFrame, most: int | None = None) -> None:
+        """Events by type, rejections by rule and reason, clean rows and duplicates, and why the batch
+        was closed: by its size, if it has most rows, else by time. Types outside the vocabulary count
+        as one, so that what is gathered stays a few rows whatever producers send."""
+        fine = total = 0
+        kind = F.coalesce("event.event_type", F.lit("unknown"))
+        label = F.when(F.col("rule") == "invalid_json", "unknown").when(kind.isin(*EVENT_TYPES, "unknown"), kind).otherwise("other")
+        for r in judged.groupBy(label.alias("kind"), "rule").count().collect():
             self.add("events_consumed", r["count"], event_type=r["kind"])
+            total += r["count"]
             if r["rule"] is None:
                 fine += r["count"]
             else:
@@ -41,17 +55,65 @@ class Metrics:
         n = clean.count()
         self.add("clean_produced", n)
         self.add("duplicates_dropped", fine - n)
+        self.add("batches", 1, reason="size" if most is not None and total >= most else "timer")
+        self.set("batch_size", total)
+
+    def count_sent(self, sent: DataFrame) -> None:
+        """Generator counters: messages made, by event type, and repeats among them."""
+        kind = F.get_json_object("value", "$.event_type")
+        label = F.when(kind.isin(*EVENT_TYPES), kind).otherwise("other")
+        for r in sent.groupBy(label.alias("kind")).agg(F.count("*").alias("n"), F.count_distinct("value").alias("d")).collect():  # a row a type
+            self.add("events_generated", r["n"], event_type=r["kind"])
+            self.add("duplicates_injected", r["n"] - r["d"], event_type=r["kind"])
 
     def frame(self, spark) -> DataFrame:
         rows = [(n, ",".join(f"{k}={v}" for k, v in labels), c) for (n, labels), c in sorted(self.counts.items())]
         return spark.createDataFrame(rows, "name string, labels string, value long")
 
+    def text(self) -> str:
+        """All counts and levels in the plain text form that scrapers read."""
+        quote = lambda v: str(v).replace("\\", r"\\").replace('"', r"\"").replace("\n", r"\n")
+        out: list[str] = []
+        with self._lock:
+            for kind, values, tail in (("counter", self.counts, "_total"), ("gauge", self.levels, "")):
+                named: dict[str, list] = {}
+                for (n, labels), v in sorted(values.items()):
+                    named.setdefault(n + tail, []).append((labels, v))
+                for n, rows in named.items():
+                    out.append(f"# TYPE {n} {kind}")
+                    out += [n + ("{" + ",".join(f'{k}="{quote(x)}"' for k, x in labels) + "}" if labels else "") + f" {v}" for labels, v in rows]
+        return "\n".join(out) + "\n"
+
+
+def serve(metrics: Metrics, port: int = 0, host: str = "127.0.0.1"):
+    """An HTTP server of metrics.text() at /metrics, in a thread of its own; close it with shutdown()."""
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from threading import Thread
+
+    class Page(BaseHTTPRequestHandler):
+        def do_GET(self):
+            found = self.path.partition("?")[0] == "/metrics"
+            body = metrics.text().encode() if found else b""
+            self.send_response(200 if found else 404)
+            self.send_header("Content-Type", "text/plain; version=0.0.4; charset=utf-8")
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer((host, port), Page)
+    Thread(target=server.serve_forever, daemon=True).start()
+    return server
+
 
 class Progress(StreamingQueryListener):
-    """Rows and durations of each batch, as the engine reports them."""
+    """Rows, durations and source offsets of each batch, as the engine reports them."""
 
     def __init__(self):
         self.batches: list[dict] = []
+        self.offsets: dict[str, list[tuple[str, str]]] = {}
 
     def onQueryStarted(self, event):
         pass
@@ -59,6 +121,7 @@ class Progress(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         self.batches.append({"name": p.name, "batch": p.batchId, "rows": p.numInputRows, "millis": p.batchDuration})
+        self.offsets[p.name] = [(s.endOffset, s.latestOffset) for s in p.sources]
 
     def onQueryIdle(self, event):
         pass
@@ -66,6 +129,20 @@ class Progress(StreamingQueryListener):
     def onQueryTerminated(self, event):
         pass
 
+    def lag(self) -> dict[str, int]:
+        """Events that each query is behind, over all partitions of sources that report offsets as
+        {topic: {partition: offset}}; others count as none."""
+        return {name: sum(behind(end, latest) for end, latest in sources) for name, sources in self.offsets.items()}
+
+
+def behind(end: str | None, latest: str | None) -> int:
+    """Events between two offsets in JSON, {topic: {partition: offset}}; never below 0."""
+    try:
+        done, known = json.loads(end or "{}"), json.loads(latest or "{}")
+        return sum(max(0, int(n) - int(done.get(topic, {}).get(part, 0))) for topic, parts in known.items() for part, n in parts.items())
+    except (ValueError, AttributeError, TypeError):
+        return 0
+
 
 def consumer_lag(newest: DataFrame, committed: DataFrame) -> DataFrame:
     """grp, lag: events each group is behind, over all partitions; never below 0."""
@@ -100,3 +177,49 @@ def histogram(rows: DataFrame, column: str, bounds=LAG_BUCKETS) -> DataFrame:
     spine = rows.sparkSession.createDataFrame([(k, float(b)) for k, b in enumerate([*bounds, float("inf")])], "k int, le double")
     both = F.broadcast(spine).join(F.broadcast(found), "k", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     return both.select("le", F.sum("c").over(Window.orderBy("k")).alias("n"))
+
+
+def histogram_quantile(buckets: DataFrame, q: float, by: list[str] | None = None) -> DataFrame:
+    """by, value: the q-quantile of cumulative counts (le, n), as dashboards estimate it.
+
+    Within the bucket that holds the rank values are taken as evenly spread; the lowest bucket begins
+    at 0, unless its bound is not above 0, which is then the value; ranks in the infinite bucket give
+    the highest finite bound. Null where nothing was counted. Buckets are few: a window a group.
+    """
+    by = by or []
+    w = Window.partitionBy(*by).orderBy("le") if by else Window.orderBy("le")
+    rows = buckets.groupBy(*by, "le").agg(F.sum("n").cast("double").alias("n"))
+    rows = rows.withColumn("_below", F.lag("n", 1, 0.0).over(w)).withColumn("_low", F.lag("le").over(w))
+    whole = Window.partitionBy(*by) if by else Window.partitionBy()
+    rows = rows.withColumn("_rank", F.max("n").over(whole) * q)
+    held = rows.where((F.col("n") >= F.col("_rank")) & (F.col("n") > 0))
+    low = F.coalesce("_low", F.lit(0.0))
+    inside = low + (F.col("le") - low) * (F.col("_rank") - F.col("_below")) / (F.col("n") - F.col("_below"))
+    value = F.when(F.col("le") == float("inf"), F.col("_low")).when(F.col("_low").isNull() & (F.col("le") <= 0), F.col("le")).when(F.col("n") == F.col("_below"), F.col("le")).otherwise(inside)
+    return held.groupBy(*by).agg(F.min_by(value, F.col("le")).alias("value"))
+
+
+#: What each panel of the operations dashboard shows: (counter, label) for rates a second over a
+#: minute, or (histogram, quantile) over five.
+RATE_PANELS = {
+    "produced": ("events_generated", "event_type"), "consumed": ("events_consumed", "event_type"), "clean": ("clean_produced", None), "rejected": ("validation_errors", "rule"),
+    "dead letters": ("dead_letters", "reason"), "duplicates": ("duplicates_dropped", None), "state applied": ("state_applied", None), "state stale": ("state_stale_skipped", None), "batches": ("batches", "reason"),
+}
+QUANTILE_PANELS = {"transport lag": ("transport_s", (0.5, 0.95, 0.99)), "ingestion lag": ("ingestion_s", (0.5, 0.95, 0.99)), "state lag": ("state_s", (0.5, 0.95, 0.99)), "batch size": ("batch_size", (0.5, 0.95)), "flush time": ("flush_s", (0.95,))}
+
+
+def rate_panel(samples: DataFrame, panel: str, seconds: int = 60) -> DataFrame:
+    """label, minute, per_second of a panel from samples (name, labels as a map, instance, at, value)."""
+    name, label = RATE_PANELS[panel]
+    rows = samples.where(F.col("name") == name).withColumn("label", F.col("labels")[label] if label else F.lit(""))
+    # a counter is one instance's labels together; its growth is then summed up by the panel's label
+    rows = rows.withColumn("instance", F.concat_ws("|", "instance", F.array_sort(F.transform(F.map_entries("labels"), lambda e: F.concat_ws("=", e["key"], e["value"])))))
+    return rates(rows, "label", seconds)
+
+
+def quantile_panel(buckets: DataFrame, panel: str) -> DataFrame:
+    """q, value of a panel from grown bucket counts (name, le, n)."""
+    name, qs = QUANTILE_PANELS[panel]
+    rows = buckets.where(F.col("name") == name).select("le", "n")
+    out = [histogram_quantile(rows, q).select(F.lit(q).alias("q"), "value") for q in qs]
+    return reduce(DataFrame.unionByName, out)

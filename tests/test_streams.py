@@ -113,3 +113,135 @@ def test_dashboard_queries(spark):
     assert h == {1.0: 1, 5.0: 2, float("inf"): 3}
     p = metrics.quantiles(spark.range(101).selectExpr("double(id) AS x"), "x").first()
     assert (p["p50"], p["p95"], p["p99"]) == (50, 95, 99)
+
+
+def _raw(spark, rows):
+    return spark.createDataFrame(rows, streams.RAW)
+
+
+def _beat(key, at, n, **more):
+    import json
+
+    e = {"event_id": f"00000000-0000-4000-8000-{n:012d}", "event_type": "STATUS_CHANGE", "station_id": "ST-1", "connector_id": key, "timestamp": f"2024-01-01T00:00:{at:02d}.000Z", "operator_id": "Op", "location": {"lat": 41.0, "lon": 29.0, "city": "C", "country": "TR"}, "status": "Available"}
+    return ("k", json.dumps({**e, **more}), None, n)
+
+
+@pytest.fixture(scope="module")
+def one_station(spark):
+    from gridloom.functions.schema import STATIONS
+
+    return {"stations": spark.createDataFrame([("ST-1", "Op", "C", "TR", 41.0, 29.0, 9, None)], STATIONS), "tariffs": registry.tariff_table(spark)}
+
+
+def test_state_survives_restarts_and_forgets_silent_keys(spark, one_station, tmp_path):
+    from gridloom.operators import versions
+
+    clock = [1000]
+    now = lambda: F.timestamp_seconds(F.lit(clock[0]))
+    consumer = lambda: pipeline.Realtime(str(tmp_path), lambda: one_station, now=now, retry_seconds=0)
+    consumer()(_raw(spark, [_beat(1, 10, 1), _beat(2, 10, 2, status="Charging")]), 0)
+    clock[0] += 200
+    # another process goes on from what is stored: an older event of connector 1 stays stale
+    consumer()(_raw(spark, [_beat(1, 5, 3, status="Faulted"), _beat(1, 20, 4, status="Charging")]), 1)
+    state_of = lambda c: {r["key"]: (r["status"], r["last_seen"].second) for r in c.read(spark).collect()}
+    assert state_of(consumer()) == {"station:ST-1:1": ("Charging", 20), "station:ST-1:2": ("Charging", 10)}
+    # a batch that is given again starts from the version before it
+    again = consumer()
+    again(_raw(spark, [_beat(1, 5, 3, status="Faulted"), _beat(1, 20, 4, status="Charging")]), 1)
+    assert again.metrics.get("state_applied") == 1 and again.metrics.get("state_stale_skipped") == 1
+    # connector 2 has been silent for 310 s and is forgotten; an older event then applies to it
+    clock[0] += 110
+    assert state_of(consumer()) == {"station:ST-1:1": ("Charging", 20)}
+    last = consumer()
+    last(_raw(spark, [_beat(2, 1, 5, status="Faulted"), _beat(9, 1, 6, event_type="NOPE")]), 2)
+    assert state_of(last) == {"station:ST-1:1": ("Charging", 20), "station:ST-1:2": ("Faulted", 1)}
+    assert last.metrics.get("invalid_skipped") == 1 and last.metrics.get("state_errors") == 0
+    assert [v for v, _ in versions.listed(spark, last.root)] == [1, 2]
+    # a version that was cut off counts for nothing
+    spark.range(1).write.parquet(versions.place(last.root, 3))
+    assert state_of(consumer()) == state_of(last)
+
+
+def test_marks_survive_restarts_and_expire(spark, one_station, tmp_path):
+    import os
+
+    clock, folder = [0.0], str(tmp_path / "a")
+    sent, refused = [], []
+    ways = dict(publish=lambda m: sent.extend(m.collect()), reject=lambda m: refused.extend(m.collect()), landing=str(tmp_path / "landing"), revenue=str(tmp_path / "revenue"), most=2)
+    consumer = lambda: pipeline.Analytics(folder, lambda: one_station, clock=lambda: clock[0], **ways)
+    rows = [_beat(1, 10, 1), _beat(2, 10, 2)]
+    first = consumer()
+    first(_raw(spark, rows), 0)
+    assert first.metrics.get("clean_produced") == 2 and first.metrics.get("batches", reason="size") == 1
+    clock[0] = 60.0
+    second = consumer()
+    second(_raw(spark, [rows[0]]), 1)
+    assert second.metrics.get("clean_produced") == 0 and second.metrics.get("duplicates_dropped") == 1 and second.metrics.get("batches", reason="timer") == 1
+    clock[0] = 150.0
+    third = consumer()
+    third(_raw(spark, [rows[0], ("key", "{", None, 9)]), 2)
+    assert third.metrics.get("clean_produced") == 1
+    assert sorted(os.listdir(f"{folder}/seen")) == ["at=150000_batch=2", "at=60000_batch=1"]
+    assert [r["key"] for r in sent] == ["ST-1"] * 3 and [r["key"] for r in refused] == ["key"]
+    letters = validate.read_dead_letters(spark.createDataFrame([tuple(r) for r in refused] + [("x", "{")], "key string, value string")).collect()
+    assert [(r["raw_payload"], r["error"]) for r in letters] == [("{", "invalid json")] and letters[0]["ingested_at"] is not None
+    # marks that cannot be read let duplicates through
+    for f in os.listdir(f"{folder}/seen/at=150000_batch=2"):
+        if f.endswith(".parquet"):
+            with open(f"{folder}/seen/at=150000_batch=2/{f}", "wb") as out:
+                out.write(b"no parquet")
+    fourth = consumer()
+    fourth(_raw(spark, [rows[0]]), 3)
+    assert fourth.metrics.get("dedup_errors") == 1 and fourth.metrics.get("clean_produced") == 1
+    from gridloom.operators import storage
+
+    stored = storage.scan(spark, ways["landing"])
+    assert stored.count() == 4 and dedup.latest_version(stored).count() == 2
+
+
+def test_unknown_types_are_one_label(spark, one_station):
+    m = metrics.Metrics()
+    rows = validate.judged(validate.decode(_raw(spark, [_beat(1, 1, n, event_type=f"T{n}") for n in range(5)])), one_station["stations"], one_station["tariffs"])
+    m.count_batch(rows, rows.limit(0))
+    assert m.get("events_consumed", event_type="other") == 5 and len([k for k in m.counts if k[0] == "events_consumed"]) == 1
+
+
+def test_metrics_endpoint_and_panels(spark):
+    from urllib.error import HTTPError
+    from urllib.request import urlopen
+
+    m = metrics.Metrics()
+    m.add("events_consumed", 3, event_type='a"b')
+    m.set("batch_size", 2.5)
+    server = metrics.serve(m)
+    try:
+        at = f"http://127.0.0.1:{server.server_address[1]}"
+        text = urlopen(f"{at}/metrics").read().decode()
+        with pytest.raises(HTTPError):
+            urlopen(f"{at}/other")
+    finally:
+        server.shutdown()
+    assert text == '# TYPE events_consumed_total counter\nevents_consumed_total{event_type="a\\"b"} 3\n# TYPE batch_size gauge\nbatch_size 2.5\n'
+    buckets = spark.createDataFrame([("transport_s", 1.0, 10), ("transport_s", 2.0, 30), ("transport_s", float("inf"), 30)], "name string, le double, n long")
+    got = {r["q"]: r["value"] for r in metrics.quantile_panel(buckets, "transport lag").collect()}
+    assert got == pytest.approx({0.5: 1.25, 0.95: 1.925, 0.99: 1.985})
+    samples = spark.createDataFrame([("events_consumed", {"event_type": "x"}, i, f"2024-01-01 00:00:{s:02d}", v) for i in "ab" for s, v in ((0, 10), (30, 70))], "name string, labels map<string,string>, instance string, t string, value long").selectExpr("name", "labels", "instance", "to_timestamp(t) AS at", "value")
+    assert metrics.rate_panel(samples, "consumed").first()["per_second"] == pytest.approx(2.0)
+    assert metrics.behind('{"raw": {"0": 5, "1": 9}}', '{"raw": {"0": 8, "1": 7, "2": 4}}') == 7 and metrics.behind(None, "7") == 0
+
+
+def test_generator_counters(spark, made):
+    m = metrics.Metrics()
+    m.count_sent(made[1])
+    assert sum(n for (name, _), n in m.counts.items() if name == "events_generated") == made[1].count()
+    assert sum(n for (name, _), n in m.counts.items() if name == "duplicates_injected") > 0
+
+
+def test_settings():
+    from gridloom.streaming import settings
+
+    assert settings.read({}) == settings.Settings() and settings.read({"realtime": {"batch_rows": 9}}).realtime == settings.Group(9, 25)
+    assert settings.Settings().analytics.trigger() == {"processingTime": "1000 milliseconds"}
+    for bad, why in (({"x": 1}, "unknown"), ({"servers": " "}, "empty"), ({"dedup_ttl_seconds": 0}, "above 0"), ({"raw_topic": "clean"}, "differ"), ({"metrics_port": 70000}, "between"), ({"analytics": {"batch_rows": "x"}}, "whole"), ({"folder": 3}, "text"), ({"realtime": {"batch_millis": 0}}, "realtime.batch_millis")):
+        with pytest.raises(ValueError, match=why):
+            settings.read(bad)

@@ -211,3 +211,101 @@ def test_registry(spark, tmp_path):
         assert snap.get()["n"] == want
     with pytest.raises(TimeoutError):
         registry.load_until_ready(lambda: {"stations": one["stations"].limit(0)}, 0.2, 0.05)
+
+
+def stored(spark, path, rows):
+    storage.append(flat(spark, rows), path)
+    return storage.scan(spark, path)
+
+
+def test_report_bounds_reach_the_scan(spark, tmp_path):
+    """Months are pruned, times pushed down, and only the columns of the report read, below versions."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    rows = stored(spark, str(tmp_path / "events"), [dict(event_type=k, timestamp=T - timedelta(days=40 * n), status="Faulted", cost_eur=1.0) for n in range(4) for k in ("SESSION_STOP", "STATUS_CHANGE")])
+    for report, unread in ((reports.revenue, ("energy_kwh", "lat", "session_id")), (reports.fault_geography, ("energy_kwh", "cost_eur")), (lambda r: rollup.exact_day(r, rollup.day_before(r)), ("energy_kwh", "lat", "status"))):
+        plan = report(rows)._jdf.queryExecution().executedPlan().toString()
+        scan = next(x for x in plan.split("\n") if "FileScan" in x)
+        assert "PartitionFilters" in scan and "yyyymm" in scan.partition("PartitionFilters")[2].partition("]")[0]
+        assert "GreaterThanOrEqual(timestamp," in scan
+        assert not any(c in scan.partition("ReadSchema")[2] for c in unread)
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert reports.revenue(rows).first()["sessions"] == 1 and reports.revenue(rows.limit(0)).count() == 0
+
+
+def test_exact_quantiles_equal_a_sort(spark):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(3)
+    for n in (1, 2, 3, 11, 1000, 30_000):
+        xs = [rng.choice([rng.gauss(0, 1), 7.0, 1e6 * rng.random() ** 9]) for _ in range(n)]
+        df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
+        cuts = [0.0, 0.1, 0.5, 0.9, 0.99, 1.0]
+        assert gates.exact_quantiles(df, "x", cuts) == pytest.approx(np.quantile(xs, cuts).tolist())
+    assert gates.exact_quantiles(df.limit(0), "x", cuts) is None
+
+
+def test_replacement_of_a_month_survives_a_crash(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "events")
+    jan = dict(event_id="a", timestamp=T)
+    for k in range(2):
+        stored(spark, path, [{**jan, "ingested_at": T + timedelta(seconds=k)}])
+    # cut off between setting the month aside and the new one taking its place
+    os.rename(f"{path}/yyyymm=202401", f"{path}/_aside_202401")
+    assert storage.scan(spark, path).count() == 2
+    assert storage.compact(spark, path, "202401")
+    # cut off before the old one was removed
+    os.makedirs(f"{path}/_aside_202401")
+    spark.catalog.refreshByPath(path)
+    assert storage.scan(spark, path).count() == 1 and not os.path.exists(f"{path}/_aside_202401")
+
+
+def test_stored_rollup_and_daily_run(spark, tmp_path):
+    from gridloom.plans import daily
+
+    stop = dict(event_type="SESSION_STOP", event_id="a", cost_eur=3.0, timestamp=T - timedelta(hours=20))
+    events = [stop, {**stop, "ingested_at": T + timedelta(seconds=9)}, {**stop, "event_id": "b", "timestamp": T - timedelta(days=3)}, dict(timestamp=T + timedelta(hours=1), ingested_at=T + timedelta(hours=1))]
+    rows, revenue = stored(spark, str(tmp_path / "events"), events), str(tmp_path / "revenue")
+    for _ in range(2):  # the second is the same batch again
+        rollup.append_parts(rollup.partial(rows), revenue, batch=4)
+    read = lambda: sorted((r["revenue_eur"], r["sessions"]) for r in rollup.stored(spark, revenue).collect())
+    assert read() == [(3.0, 1), (6.0, 2)]
+    dead = spark.createDataFrame([], "raw_payload string, error string, ingested_at timestamp")
+    run = daily.Daily(spark, str(tmp_path / "events"), revenue, dead, T + timedelta(hours=2))
+    done = run.run()
+    assert [n for n, _ in done] == list(daily.TASKS) and done[2] == ("reconcile", "2024-01-09") and done[4] == ("retention", "none")
+    assert read() == [(3.0, 1), (3.0, 1)]
+    assert rollup.overwrite_day(rows, revenue) and read() == [(3.0, 1), (3.0, 1)]
+    late = daily.Daily(spark, str(tmp_path / "events"), revenue, dead, T + timedelta(days=3))
+    with pytest.raises(gates.GateFailed):
+        late.run()
+    assert late.done == [] and late.next == "freshness"
+
+
+def test_sql_files_and_charts(spark, tmp_path):
+    from gridloom.plans import runner
+
+    runner.views(flat(spark, [dict(event_id="a"), dict(event_id="a", ingested_at=T + timedelta(seconds=1)), dict(event_id="b")]))
+    (tmp_path / "A1_all.sql").write_text("SELECT count(*) AS n FROM events_raw;\n")
+    (tmp_path / "A2_final.sql").write_text("-- one row an event\nSELECT event_id, count(*) AS n FROM events_final GROUP BY 1 ORDER BY 1 ;")
+    (tmp_path / "notes.txt").write_text("no query")
+    found = runner.run(spark, str(tmp_path), str(tmp_path / "out"))
+    assert list(found) == ["A1_all", "A2_final"] and found["A1_all"].first()["n"] == 3 and found["A2_final"].count() == 2
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "A2_final")).count() == 2
+    import xml.dom.minidom
+
+    rows = found["A2_final"].collect()
+    for kind in ("bar", "barh", "line"):
+        svg = runner.chart(rows, "event_id", "n", kind, "a < b")
+        xml.dom.minidom.parseString(svg)
+        assert "a &lt; b" in svg
+    xml.dom.minidom.parseString(runner.chart([], "x", "y"))
+
+
+def test_best_effort_times(spark):
+    texts = ["2024-01-10T08:00:00Z", "2024-01-10 08:00:00", "2024-01-10T10:00:00+02:00", "20240110080000", "10.1.2024 8:00:00", "1704873600", "1704873600000", " 2024-01-10T08:00:00.000Z "]
+    rows = spark.createDataFrame([(t,) for t in texts + ["soon", ""]], "t string").select(scalars.best_effort_time(F.col("t")).cast("string").alias("x"))
+    assert [r["x"] for r in rows.collect()] == ["2024-01-10 08:00:00"] * len(texts) + [None, None]
