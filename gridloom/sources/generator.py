@@ -1,8 +1,8 @@
 """A synthetic fleet and its events, as DataFrame expressions over hashed seeds.
 
 Every random choice is a hash of the seed, a name and the row's own keys, so that any partition can
-be made again by itself. Sessions of a connector follow one another: running sums over its sessions
-place them in time, where a tick-by-tick simulation would carry state.
+be made again by itself. Sessions of a connector follow one another: a fold over its sessions
+carries its own clock, which the gaps between them depend on.
 """
 
 from dataclasses import dataclass, field
@@ -13,16 +13,14 @@ from pyspark.sql import functions as F
 from gridloom.functions.scalars import current_of, format_rfc3339, in_peak, taper_power
 from gridloom.functions.schema import FAULTS, PEAK_WINDOWS, TARIFFS
 
-# Brand, model, battery in kWh, most power in kW, weight.
+#: Invented defaults of a fleet: brand, model, battery in kWh, most power in kW, weight.
 VEHICLES = (
-    ("Tesla", "Model 3", 60, 250, 22), ("Tesla", "Model Y", 75, 250, 20), ("Volvo", "EX30", 64, 153, 8), ("Volvo", "XC40 Recharge", 78, 150, 7),
-    ("Volkswagen", "ID.4", 77, 135, 9), ("Hyundai", "IONIQ 5", 77, 233, 8), ("Kia", "EV6", 77, 233, 6), ("Renault", "Megane E-Tech", 60, 130, 5),
-    ("BMW", "i4", 80, 205, 5), ("Mercedes-Benz", "EQB", 66, 100, 4), ("Togg", "T10X", 88, 180, 6),
+    ("Aster", "One", 52, 110, 18), ("Aster", "Two", 64, 170, 14), ("Borea", "Coupe", 70, 200, 9), ("Cirrus", "Van", 88, 120, 6),
+    ("Delphin", "City", 40, 80, 16), ("Delphin", "Tour", 76, 220, 11), ("Ember", "S", 95, 270, 5), ("Fjord", "Cross", 82, 150, 7),
 )
-# Code, name, latitude, longitude, weight.
+#: Invented defaults of a fleet: code, name, latitude, longitude, weight.
 CITIES = (
-    ("IST", "Istanbul", 41.0082, 28.9784, 30), ("ANK", "Ankara", 39.9334, 32.8597, 12), ("IZM", "Izmir", 38.4237, 27.1428, 10), ("BUR", "Bursa", 40.1885, 29.0610, 6),
-    ("ANT", "Antalya", 36.8969, 30.7133, 6), ("ADA", "Adana", 37.0, 35.3213, 4), ("KON", "Konya", 37.8746, 32.4932, 3),
+    ("NOR", "Northport", 41.2, 29.1, 24), ("MID", "Midvale", 39.6, 32.4, 14), ("WES", "Westbay", 38.3, 27.0, 11), ("SOU", "Southmere", 37.1, 30.6, 8), ("EAS", "Eastholm", 38.8, 35.2, 5),
 )
 
 
@@ -35,11 +33,14 @@ class Fleet:
     sessions: int = 4
     operators: tuple[str, ...] = ("North Grid", "Volt & Co", "Parkside", "Autobahn Energy", "Citycharge")
     cities: tuple = CITIES
+    vehicles: tuple = VEHICLES
+    country: str = "TR"
     start: str = "2026-07-01 00:00:00"
     session_minutes: tuple[float, float, float, float] = (35, 15, 10, 90)
     meter_seconds: tuple[int, int] = (60, 300)
     idle_minutes: float = 8.0
-    fault_rate: float = 0.02
+    #: faults an hour of charging
+    fault_rate: float = 0.05
     duplicate_rate: float = 0.02
     late_rate: float = 0.01
     late_seconds: tuple[float, float] = (2, 10)
@@ -54,6 +55,7 @@ class Fleet:
             "sessions": self.sessions < 0,
             "operators": not self.operators,
             "cities": not self.cities or sum(c[4] for c in self.cities) <= 0 or any(c[4] < 0 for c in self.cities),
+            "vehicles": not self.vehicles or sum(v[4] for v in self.vehicles) <= 0 or any(v[4] < 0 for v in self.vehicles),
             "session_minutes": not (0 < low <= mean <= high and std >= 0),
             "meter_seconds": not 0 < self.meter_seconds[0] <= self.meter_seconds[1],
             "idle_minutes": self.idle_minutes <= 0,
@@ -100,9 +102,9 @@ def stations(spark: SparkSession, fleet: Fleet) -> DataFrame:
     rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("c").orderBy("id")))
     lo, hi = fleet.connectors
     return rows.select(
-        F.concat(F.lit("TR-"), of(0), F.lit("-"), F.when(F.col("n") < 10000, F.lpad(F.col("n").cast("string"), 4, "0")).otherwise(F.col("n").cast("string"))).alias("station_id"),
+        F.concat(F.lit(f"{fleet.country}-"), of(0), F.lit("-"), F.when(F.col("n") < 10000, F.lpad(F.col("n").cast("string"), 4, "0")).otherwise(F.col("n").cast("string"))).alias("station_id"),
         F.element_at(F.array(*map(F.lit, fleet.operators)), (F.floor(_draw(fleet, "operator", k) * len(fleet.operators)) + 1).cast("int")).alias("operator_id"),
-        of(1).alias("city"), F.lit("TR").alias("country"),
+        of(1).alias("city"), F.lit(fleet.country).alias("country"),
         (of(2) + (_draw(fleet, "lat", k) - 0.5) * 0.12).alias("lat"), (of(3) + (_draw(fleet, "lon", k) - 0.5) * 0.12).alias("lon"),
         (F.floor(_draw(fleet, "connectors", k) * (hi - lo + 1)) + lo).cast("int").alias("num_connectors"), F.to_timestamp(F.lit(fleet.start)).alias("created_at"),
     )
@@ -119,23 +121,46 @@ def _uuid(*keys: Column) -> Column:
     return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
+_RUN = "struct<s:int,start:double,minutes:double,faulted:boolean,down:double>"
+
+
+def _runs(fleet: Fleet) -> Column:
+    """A connector's sessions in order: start and length in minutes, whether a fault cut it short, and
+    how long that took to mend.
+
+    The fold's clock is the connector's own: the exponential gap before a session is shorter where it
+    begins at peak. While a session charges, a fault comes with the rate's chance in every moment.
+    """
+    place = (F.col("station_id"), F.col("connector_id"))
+    begin = F.to_timestamp(F.lit(fleet.start))
+    opened = F.hour(begin) * 60 + F.minute(begin)
+
+    def step(held, s):
+        hour = F.floor(F.pmod(opened + held["t"], F.lit(1440.0)) / 60)
+        weight = F.lit(1.0)
+        for a, b, w in fleet.peak_windows:
+            weight = F.when((hour >= a) & (hour < b), F.lit(w)).otherwise(weight)
+        idle = F.greatest(F.lit(0.25), -F.log(1 - _draw(fleet, "idle", *place, s)) * fleet.idle_minutes / weight)
+        planned = _normal(fleet, "minutes", *fleet.session_minutes, *place, s)
+        until = -F.log(1 - _draw(fleet, "fault", *place, s)) * (60.0 / fleet.fault_rate) if fleet.fault_rate else F.lit(float("inf"))
+        faulted = until < planned
+        down = F.when(faulted, 5 + 25 * _draw(fleet, "down", *place, s)).otherwise(0.0)
+        start, minutes = held["t"] + idle, F.least(planned, F.greatest(until, F.lit(1.0)))
+        run = F.struct(s.alias("s"), start.alias("start"), minutes.alias("minutes"), faulted.alias("faulted"), down.alias("down"))
+        return F.struct((start + minutes + down).alias("t"), F.concat(held["out"], F.array(run)).alias("out"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, fleet.sessions))), F.struct(F.lit(0.0).alias("t"), F.array().cast(f"array<{_RUN}>").alias("out")), step, lambda held: held["out"])
+
+
 def sessions(roster: DataFrame, plugs: DataFrame, fleet: Fleet) -> DataFrame:
     """Sessions of each connector, one after another with an idle gap before each, shorter at peak."""
     keys = [F.col("station_id"), F.col("connector_id"), F.col("s")]
-    rows = plugs.join(roster, "station_id").withColumn("s", F.explode(F.sequence(F.lit(1), F.lit(fleet.sessions)))) if fleet.sessions else plugs.join(roster, "station_id").withColumn("s", F.lit(1)).limit(0)
-    car = _pick(_draw(fleet, "car", *keys), [(i, v[4]) for i, v in enumerate(VEHICLES)])
-    of = lambda j: F.element_at(F.array(*[F.lit(v[j]) for v in VEHICLES]), F.col("car") + 1)
-    rows = rows.withColumn("car", car).withColumn("minutes", _normal(fleet, "minutes", *fleet.session_minutes, *keys))
-    # where in the day a gap falls is told by its number alone, so that gaps need no earlier times
-    hour = F.floor(_draw(fleet, "hour", *keys) * 24)
-    weight = F.lit(1.0)
-    for a, b, w in fleet.peak_windows:
-        weight = F.when((hour >= a) & (hour < b), F.lit(w)).otherwise(weight)
-    rows = rows.withColumn("idle", F.greatest(F.lit(0.25), -F.log(1 - _draw(fleet, "idle", *keys)) * fleet.idle_minutes / weight))
-    rows = rows.withColumn("faulted", _draw(fleet, "fault", *keys) < fleet.fault_rate).withColumn("down", F.when(F.col("faulted"), 5 + 25 * _draw(fleet, "down", *keys)).otherwise(0.0))
-    w = Window.partitionBy("station_id", "connector_id").orderBy("s")
-    rows = rows.withColumn("end_min", F.sum(F.col("idle") + F.col("minutes") + F.col("down")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    start = F.timestamp_millis((F.unix_millis(F.to_timestamp(F.lit(fleet.start))) + (F.col("end_min") - F.col("down") - F.col("minutes")) * 60000).cast("long"))
+    rows = plugs.join(roster, "station_id").withColumn("_run", F.explode(_runs(fleet))).select("*", "_run.*").drop("_run")
+    rows = rows if fleet.sessions else rows.limit(0)
+    car = _pick(_draw(fleet, "car", *keys), [(i, v[4]) for i, v in enumerate(fleet.vehicles)])
+    of = lambda j: F.element_at(F.array(*[F.lit(v[j]) for v in fleet.vehicles]), F.col("car") + 1)
+    rows = rows.withColumn("car", car)
+    start = F.timestamp_millis((F.unix_millis(F.to_timestamp(F.lit(fleet.start))) + F.col("start") * 60000).cast("long"))
     rows = rows.withColumn("t_start", start).withColumn("t_stop", F.timestamp_millis((F.unix_millis(start) + F.col("minutes") * 60000).cast("long")))
     alphabet = "ABCDEFGHJKLMNPRSTUVWXYZ0123456789"
     vin = F.concat(*[F.substring(F.lit(alphabet), (F.floor(_draw(fleet, f"vin{i}", *keys) * len(alphabet)) + 1).cast("int"), F.lit(1)) for i in range(17)])

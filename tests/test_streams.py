@@ -24,11 +24,30 @@ def made(spark):
 def test_roster(spark):
     many = generator.stations(spark, generator.Fleet(stations=50_000))
     assert many.select("station_id").distinct().count() == 50_000 and many.select("operator_id").distinct().count() == 5
-    for bad in (dict(stations=0), dict(connectors=(3, 2)), dict(sessions=-1), dict(operators=()), dict(cities=()), dict(session_minutes=(5, 1, 10, 90)), dict(meter_seconds=(0, 5)), dict(idle_minutes=0), dict(fault_rate=1.5), dict(late_seconds=(5, 2)), dict(peak_windows=((9, 7, 1.0),))):
+    for bad in (dict(stations=0), dict(connectors=(3, 2)), dict(sessions=-1), dict(operators=()), dict(cities=()), dict(vehicles=()), dict(session_minutes=(5, 1, 10, 90)), dict(meter_seconds=(0, 5)), dict(idle_minutes=0), dict(fault_rate=1.5), dict(late_seconds=(5, 2)), dict(peak_windows=((9, 7, 1.0),))):
         with pytest.raises(ValueError):
             generator.Fleet(**bad).check()
 
 
+def test_faults_and_gaps_follow_their_rates(spark):
+    """Faults come by hours of charging, and gaps are shorter where a connector's own clock is at peak."""
+    fleet = generator.Fleet(stations=150, sessions=6, fault_rate=0.5, idle_minutes=60, start="2026-07-01 15:30:00", peak_windows=((17, 20, 6.0),))
+    roster = generator.stations(spark, fleet)
+    plugs = generator.connectors(roster, fleet)
+    runs = generator.sessions(roster, plugs, fleet).cache()
+    r = runs.agg((F.sum("minutes") / 60).alias("hours"), F.count_if("faulted").alias("faults"), F.min("down").alias("least")).first()
+    assert r["faults"] / r["hours"] == pytest.approx(0.5, rel=0.15) and r["least"] == 0
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("station_id", "connector_id").orderBy("s")
+    # a gap begins where the session before, and the repair after it, ended
+    freed = F.unix_millis(F.lag("t_stop").over(w)) + F.lag("down").over(w) * 60000
+    gaps = runs.select(F.hour(F.timestamp_millis(freed.cast("long"))).alias("h"), ((F.unix_millis("t_start") - freed) / 60000).alias("gap")).where("gap IS NOT NULL")
+    mean = {r["peak"]: r["m"] for r in gaps.groupBy(F.col("h").between(17, 19).alias("peak")).agg(F.avg("gap").alias("m")).collect()}
+    assert mean[True] == pytest.approx(10, rel=0.2) and mean[False] == pytest.approx(60, rel=0.2) and gaps.agg(F.min("gap")).first()[0] > 0.24
+    assert generator.sessions(roster, plugs, generator.Fleet(sessions=0)).count() == 0
+
+
 def test_generated_events_are_valid(spark, made):
     roster, rows = made
     out = validate.judged(validate.decode(rows), roster, registry.tariff_table(spark))
