@@ -172,7 +172,8 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
     """key, n_tokens, ids_sha256, decoded_sha256 (and ids, decoded) for every row of docs.
 
     The text is encoded whole, and the ids are decoded again. Null text is empty; repeated keys and
-    null keys are rows like any other. Each row depends on itself alone: no shuffle.
+    null keys are rows like any other; an empty table gives no rows. Each row depends on itself alone:
+    no shuffle.
     """
     given = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256"] + (["ids", "decoded"] if with_ids else [])

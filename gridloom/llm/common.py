@@ -4,6 +4,7 @@ import ctypes
 import gc
 import os
 import tempfile
+from contextlib import contextmanager
 from functools import wraps
 import uuid
 
@@ -34,17 +35,39 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/gridloom-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write df below the shared folder and read it back: the lineage ends there, and a lost
-    executor costs no recomputation of what came before. Shuffle files of plans that nothing refers
-    to any more, such as those that earlier stages wrote, are given free first, if the session has a
-    JVM at hand (the engine's own cleaner gets to them later otherwise)."""
-    spark = df.sparkSession
+def settle(spark: SparkSession) -> None:
+    """Let the engine's cleaner know of plans that nothing refers to any more, so that it removes their
+    shuffle files now and not when the driver next happens to collect its garbage."""
     gc.collect()
     if hasattr(spark, "_jvm"):
         spark._jvm.System.gc()
+
+
+#: Folders that stage() wrote, for each staged_folders() block that is open.
+_open: list[list[str]] = []
+
+
+@contextmanager
+def staged_folders():
+    """A list of all that stage() writes within the block, for callers that materialise what comes of
+    it and then remove the rest."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open.remove(made)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write df below the shared folder and read it back: the lineage ends there, and a lost
+    executor costs no recomputation of what came before."""
+    spark = df.sparkSession
+    settle(spark)
     path = shared_folder(spark)
     df.write.parquet(path)
+    for made in _open:
+        made.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
     return out

@@ -168,7 +168,8 @@ def write_corpus(docs: DataFrame, path: str, pattern: str, end_id: int = 2, key:
     """Tokenise docs, count ids over all of them, write the files; returns the folder.
 
     Documents go in ascending key order, those without a key first; rows that repeat a key each
-    count. Null text is empty: such a document is its end id alone. vocabulary bounds the ids, and
+    count. Null text is empty: such a document is its end id alone. An empty table gives files without
+    documents. vocabulary bounds the ids, and
     with them what the driver gathers: one count an id.
     """
     spark = docs.sparkSession

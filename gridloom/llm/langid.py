@@ -21,6 +21,9 @@ DIM = 16
 #: Labelled documents a language, at most, that the classifier is fitted on.
 SAMPLE_PER_LANG = 1500
 EPOCHS = 6
+#: Languages that are learned, at most: those with most labelled documents. It bounds the model, and
+#: what the driver gathers where the column holds anything but languages.
+MOST_LANGS = 200
 #: Texts are turned into features in pieces of about so many bytes at once.
 CHUNK = 1 << 20
 #: Accepted predictions must reach this accuracy on the calibration part.
@@ -217,15 +220,16 @@ def least_met(share: np.ndarray) -> float:
     return max(2 * low - 1, np.finfo(np.float32).tiny)
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = SAMPLE_PER_LANG) -> Model:
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = SAMPLE_PER_LANG, most: int = MOST_LANGS) -> Model:
     """Train on labelled rows of docs whose crc32 of the key mod 4 is not 2.
 
-    About per_lang rows of each language are taken, by a hash of the key; features are counted on
-    the executors over whole texts, so that the driver gets at most per_lang sparse rows a language.
+    About per_lang rows of each of the most frequent languages are taken, by a hash of the key;
+    features are counted on the executors over whole texts, so that the driver gets at most per_lang
+    sparse rows a language. Rows with a null key, text or language teach nothing.
     """
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("y"))
     rows = rows.where(F.col("y").isNotNull() & F.col("t").isNotNull() & F.col("k").isNotNull() & ~held_out(F.col("k")))
-    share = {r["y"]: min(1.0, per_lang / r["count"]) for r in rows.groupBy("y").count().collect()}
+    share = {r["y"]: min(1.0, per_lang / r["count"]) for r in rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(most).collect()}
     if not share:
         return train([])
     slots = 1 << 20
@@ -272,7 +276,9 @@ def with_language(docs: DataFrame, model: Model, text: str = "text", columns: tu
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected: a row for each row of docs.
 
-    held_out rows take no part in training. Rows without a key count as not held out.
+    held_out rows take no part in training. Rows without a key count as not held out. Null texts and
+    texts without a letter (empty ones too) are "und" with score 0. Repeated rows are predicted alike;
+    an empty table gives no rows.
     """
     out = with_language(docs, fit(docs), columns=("doc_id",))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
@@ -282,7 +288,8 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, whose language is recognised (not rejected).
 
     Where no language was learned, those with a letter. An error, rather than no rows, where the
-    model accepts nothing.
+    model accepts nothing. Null and empty texts go; repeated rows are judged alike; columns may have
+    any name; an empty table stays empty.
     """
     names, model = tuple(docs.columns), fit(docs)
     if model.langs and model.threshold > 1:

@@ -296,7 +296,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     Null and empty texts, and those of white space alone, have empty sets and are linked with
     nothing, not even each other. Rows that share a key are one document, whose set is the union of
     theirs; rows without one name no document. Texts of fewer than five words have one n-gram, all
-    their words; it equals no five-word one.
+    their words; it equals no five-word one. Repeated rows and repeated n-grams count once; an empty
+    table gives no rows.
     """
     given = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return _components(given.groupBy("doc_id").agg(F.collect_set("text").alias("text")) if repeats(given) else given)
@@ -320,21 +321,25 @@ def _components(given: DataFrame) -> DataFrame:
     checked = stage(_linked(pairs, able))
     missed = checked.where("not linked").select("a", "b")
     links = checked.where("linked").select("a", "b")
+    spread: list[DataFrame] = []
     if missed.limit(1).count():
         # a row that its hub does not link to may link to others of the column
         columns = found.where("docs is not null").select("hub", "docs")
         lost = missed.select(F.col("a").alias("hub"), F.col("b").alias("doc")).unionByName(missed.select(F.col("b").alias("hub"), F.col("a").alias("doc")))
-        more = _residual(columns, lost).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        more, entries = _residual(columns, lost)
+        spread.append(entries)
+        more = more.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         links = links.unionByName(_linked(more, able).where("linked").select("a", "b"))
     parts = connected(links)
-    release(able, found, checked)  # the links are written
+    release(able, found, checked, *spread)  # the links are written
     top = parts.select(F.col("id").alias("rep"), "component")
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(same, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     return out.join(top, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
 
 
-def _residual(columns: DataFrame, lost: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each lost row with the others of its hub's columns, where a link is possible."""
+def _residual(columns: DataFrame, lost: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of each lost row with the others of its hub's columns, where a link is possible; and
+    the staged entries that they are read from."""
     hubs = lost.select("hub").distinct()
 
     def spread(batches):
@@ -351,7 +356,7 @@ def _residual(columns: DataFrame, lost: DataFrame) -> DataFrame:
     both = x.join(entries.select("column", "doc", "n", "pos"), "column").where("x <> doc")
     needs = F.expr(f"ceil({PERCENT} * (n + nx) / {100 + PERCENT}D)")
     both = both.where(F.least(F.col("n") - F.col("pos"), F.col("nx") - F.col("px")) >= needs)
-    return both.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b")).distinct()
+    return both.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b")).distinct(), entries
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:

@@ -122,7 +122,9 @@ class Packer:
 def pack_examples(examples: DataFrame, item: str, tokens: str = "tokens", loss: str = "loss", max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss: int | None = None, cut: bool = False) -> DataFrame:
     """item, skip, tokens, sequence_id, offset for examples of given sizes (instruction data).
 
-    Null or non-positive sizes take no place and give no row; null loss counts as all tokens.
+    Null or non-positive sizes take no place and give no row; null loss counts as all tokens. A null
+    item is an item like any other, and repeated ones are examples of their own; equal sizes go in
+    order of arrival; an empty table gives no rows.
     """
     given = examples.select(F.col(f"`{item}`").cast("string").alias("item"), F.coalesce(F.col(f"`{tokens}`").cast("long"), F.lit(0)).alias("n"), F.col(f"`{loss}`").cast("long").alias("loss"))
 
@@ -156,7 +158,7 @@ def pack_documents(docs: DataFrame, path: str, pattern: str, end_id: int = 1, ke
     A row for each piece: where it starts in its document, its length, the crc32 of its ids, the
     document's tokens, and where it lies. with_ids adds the ids themselves. Null text is empty, so
     such a document is its end id alone. Every row of docs is a document of its own, repeated keys
-    too. sequence_id is the task's partition number and a count within it, so that a repeated task
+    too; an empty table gives no pieces. sequence_id is the task's partition number and a count within it, so that a repeated task
     gives the same rows.
     """
     given = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
