@@ -1,38 +1,43 @@
 """The corpus pipeline: documents in, packed training sequences out.
 
 Each stage takes all that its predecessor kept and writes Parquet for its successor; all but the
-last return the columns of documents.
+last return the columns of documents, whatever their names, and an empty table where they get one.
 """
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm import langid, ngrams, packing, quality, substrings
-from gridloom.llm.common import read, stage
+from gridloom.llm.common import read, remove, stage, staged_folders
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail a base rule, or whose host does, go."""
+    """Documents that fail a base rule, or whose host does, go: null and empty texts among them.
+    Repeated rows are judged alike."""
     return quality.kept_documents(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language isn't recognised go."""
+    """Documents whose language isn't recognised go, and those without a letter; where no label teaches
+    any language, those with a letter stay."""
     return langid.kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates one row stays: that with the smallest id, of those the one with
+    the least text; rows without an id come last. Null and empty texts equal nothing and stay."""
     return ngrams.kept_documents(docs)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of 50 bytes that an earlier document has are cut."""
+    """Spans of 50 bytes that a document with a smaller id has are cut. No row goes; rows without an id,
+    and null and short texts, stay as they are."""
     return substrings.cut_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, tokenised and packed into sequences: each piece with its token ids."""
+    """What is left, tokenised and packed into sequences: each piece with its token ids. Null and empty
+    texts are their end id alone; every row is a document of its own."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, with_ids=True)
 
 
@@ -49,7 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
+    """The last stage's rows. What a stage wrote on its way, and what its predecessor kept, is removed
+    once its own rows are written."""
+    docs, before = read(spark, sf_dir, "documents"), []
+    for _, step in STAGES[:-1]:
+        with staged_folders() as made:
+            docs = stage(step(spark, docs, sf_dir))
+        for path in [*before, *made[:-1]]:
+            remove(spark, path)
+        before = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
