@@ -93,6 +93,32 @@ def test_dedup_of_repeated_rows_and_empty_tables(spark):
     assert substrings.by_bytes(empty).count() == substrings.by_words(empty).count() == substrings.cut_documents(empty).count() == 0
 
 
+def test_cut_documents_with_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    rows = planted(random.Random(6))
+    names = ["copy", "start", "until", "_id", "low", "owner", "c0", "c1", "digest", "first", "copies", "key", "a b", "a.b"]
+    df = spark.createDataFrame(rows + [(None, rows[0][1], "en", "s", 1)], DOCS)
+    wide = df.select("text", *[F.lit(i).alias(n) for i, n in enumerate(names)], *[c for c in df.columns if c != "text"])
+    plain = sorted((r["doc_id"] or -1, r["text"], r["n_chars"]) for r in substrings.cut_documents(df).collect())
+    cut = substrings.cut_documents(wide)
+    assert cut.dtypes == wide.dtypes and sorted((r["doc_id"] or -1, r["text"], r["n_chars"]) for r in cut.collect()) == plain
+    assert all(r[n] == i for r in cut.collect() for i, n in enumerate(names))
+
+
+def test_texts_are_exchanged_once(spark):
+    """All steps of the cut read one exchange of the texts."""
+    df = spark.createDataFrame(planted(random.Random(6)), DOCS)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan then shows what is used again before it runs
+    try:
+        plans = [f(df)._jdf.queryExecution().executedPlan().toString() for f in (substrings.cut_documents, substrings.by_words, substrings.by_bytes)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for plan in plans:
+        dealt = [x for x in plan.split("\n") if "Exchange hashpartitioning(doc_id" in x and "REPARTITION_BY_NUM" in x]
+        assert len([x for x in dealt if "ReusedExchange" not in x]) == 1 and len(dealt) == 3
+
+
 def sharing_ids(rng):
     """Rows of which many share an id with other texts, some repeat one, and some have none."""
     rows = [r for r in planted(rng) if r[1]]
