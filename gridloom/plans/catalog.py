@@ -45,7 +45,7 @@ def _with(bound_days: int, body: str) -> str:
 
 def _oracle(ctes: str, select: str, final: bool = True) -> str:
     """SQL with further CTEs after the view's."""
-    return f"WITH {adapter.view('duckdb')}{',' + adapter.FINAL if final else ''}{ctes}\n{select}"
+    return f"WITH {adapter.view()}{',' + adapter.FINAL if final else ''}{ctes}\n{select}"
 
 
 def query_with(ctes: str, select: str, final: bool = True):
@@ -67,12 +67,12 @@ def a1_hourly_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.hourly_energy(raw(spark, sf_dir))
 
 
-_CHANGES = """, s AS (SELECT * FROM final WHERE event_type = 'STATUS_CHANGE'),
-c AS (SELECT operator_id, station_id, connector_id, status, timestamp AS ts, event_id FROM s, b WHERE timestamp BETWEEN win_start AND win_end
-      UNION ALL
-      SELECT min(operator_id), station_id, connector_id, arg_max(status, timestamp), any_value(win_start), '' FROM s, b WHERE timestamp < win_start GROUP BY station_id, connector_id),
-g AS (SELECT operator_id, station_id, connector_id, status, ts AS seg_start, lead(ts, 1, win_end) OVER (PARTITION BY station_id, connector_id ORDER BY ts, event_id) AS seg_end FROM c, b),
-t AS (SELECT *, greatest(date_diff('second', seg_start, seg_end), 0) AS sec FROM g)"""
+# every change is numbered along its connector; the one numbered next ends it, and the window clips both
+_CHANGES = """, s AS (SELECT *, row_number() OVER (PARTITION BY station_id, connector_id ORDER BY timestamp, event_id) AS k FROM final WHERE event_type = 'STATUS_CHANGE'),
+t AS (SELECT x.operator_id, x.station_id, x.connector_id, x.status, greatest(x.timestamp, win_start) AS seg_start, coalesce(y.timestamp, win_end) AS seg_end,
+             greatest(date_diff('second', greatest(x.timestamp, win_start), coalesce(y.timestamp, win_end)), 0) AS sec
+      FROM b, s x LEFT JOIN s y ON y.station_id = x.station_id AND y.connector_id = x.connector_id AND y.k = x.k + 1
+      WHERE x.timestamp >= win_start OR coalesce(y.timestamp, win_end) >= win_start)"""
 
 
 @query_with(
@@ -85,9 +85,11 @@ def a2_station_uptime(spark, sf_dir):
     return reports.station_uptime(raw(spark, sf_dir))
 
 
-_SESSIONS = """, s AS (SELECT session_id, min(vehicle_brand) FILTER (WHERE event_type = 'SESSION_START') AS brand, min(timestamp) FILTER (WHERE event_type = 'SESSION_START') AS t_start,
-   max(timestamp) FILTER (WHERE event_type = 'SESSION_STOP') AS t_stop, max(energy_kwh) - min(energy_kwh) AS energy_kwh
-   FROM final WHERE event_type IN ('SESSION_START', 'METER_UPDATE', 'SESSION_STOP') GROUP BY session_id)"""
+# starts, stops and registers are looked up apart, and only sessions that have all of them are left
+_SESSIONS = """, starts AS (SELECT session_id, min(timestamp) AS t_start, min(vehicle_brand) AS brand FROM final WHERE event_type = 'SESSION_START' GROUP BY 1),
+stops AS (SELECT session_id, max(timestamp) AS t_stop FROM final WHERE event_type = 'SESSION_STOP' GROUP BY 1),
+registers AS (SELECT session_id, max(energy_kwh) - min(energy_kwh) AS energy_kwh FROM final WHERE session_id IN (SELECT session_id FROM starts) AND energy_kwh IS NOT NULL AND event_type IN ('SESSION_START', 'METER_UPDATE', 'SESSION_STOP') GROUP BY 1),
+s AS (SELECT * FROM starts JOIN stops USING (session_id) JOIN registers USING (session_id))"""
 
 
 @query_with(
@@ -120,10 +122,11 @@ def a5_fault_geo(spark, sf_dir):
     return reports.fault_geography(raw(spark, sf_dir))
 
 
-_POWER = """, p AS (SELECT session_id, min(station_id) AS station_id, min(vehicle_brand) FILTER (WHERE event_type = 'SESSION_START') AS brand,
-   avg(power_kw) FILTER (WHERE event_type = 'METER_UPDATE') AS a, count(*) FILTER (WHERE event_type = 'METER_UPDATE') AS readings
-   FROM final WHERE event_type IN ('SESSION_START', 'METER_UPDATE') GROUP BY session_id HAVING readings >= 3),
-f AS (SELECT avg(a) AS mu, stddev_pop(a) AS sigma FROM p)"""
+# readings and starts are summed up apart; the spread is written out from its definition
+_POWER = """, readings AS (SELECT session_id, sum(power_kw) / count(*) AS a, min(station_id) AS station_id FROM final WHERE event_type = 'METER_UPDATE' GROUP BY 1 HAVING count(*) > 2),
+starts AS (SELECT session_id, min(vehicle_brand) AS brand, min(station_id) AS first_station FROM final WHERE event_type = 'SESSION_START' GROUP BY 1),
+p AS (SELECT session_id, a, brand, least(station_id, coalesce(first_station, station_id)) AS station_id FROM readings LEFT JOIN starts USING (session_id)),
+m AS (SELECT sum(a) / count(*) AS mu FROM p), f AS (SELECT any_value(mu) AS mu, sqrt(sum((a - mu) * (a - mu)) / count(*)) AS sigma FROM p, m)"""
 
 
 @query_with(

@@ -1,18 +1,21 @@
 """The generic event table seen as charging telemetry.
 
-The view is plain SQL that Spark and the oracle engine both run; only reading a number out of JSON
-differs. Registers are whole cents until the end, so that both engines sum them exactly.
+It is written twice, as DataFrame expressions for the engine and as SQL for the oracles, so that a
+slip in one shows against the other. Registers are whole cents until the end, so that both engines
+sum them exactly.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-_JSON = {"spark": "CAST(get_json_object(props, '$.k') AS INT)", "duckdb": "CAST(json_extract_string(props, '$.k') AS INT)"}
+from gridloom.functions.scalars import in_peak
+from gridloom.functions.schema import SESSION_TYPES
 
 
-def view(dialect: str, events: str = "events", nation: str = "nation", region: str = "region") -> str:
-    """CTEs up to ``raw``: every stored row, copies of every fiftieth event among them."""
+def view(events: str = "events", nation: str = "nation", region: str = "region") -> str:
+    """CTEs up to ``raw``, for oracles: every stored row, copies of every fiftieth event among them."""
     return f"""
-e0 AS (SELECT event_id AS n, ts, user_id, value, event_type AS kind, {_JSON[dialect]} AS k,
+e0 AS (SELECT event_id AS n, ts, user_id, value, event_type AS kind, CAST(json_extract_string(props, '$.k') AS INT) AS k,
               CAST(floor(user_id / 4.0) AS BIGINT) AS station_no, CAST(round(value * 100) AS BIGINT) AS cents FROM {events}),
 e1 AS (SELECT *, concat(CAST(user_id AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING)) AS session_id FROM e0),
 e2 AS (SELECT *, sum(cents) OVER (PARTITION BY session_id ORDER BY ts, n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS register FROM e1),
@@ -43,13 +46,38 @@ final AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_id, c
 
 def sql(query: str, final: bool = True) -> str:
     """An oracle query over raw (and final)."""
-    return f"WITH {view('duckdb')}{',' + FINAL if final else ''}\n{query}"
+    return f"WITH {view()}{',' + FINAL if final else ''}\n{query}"
+
+
+#: What each kind of generic event stands for; every other kind is a change of status.
+_KINDS = {"signup": "SESSION_START", "view": "METER_UPDATE", "purchase": "SESSION_STOP", "error": "FAULT_ALERT"}
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stored rows of the telemetry view, duplicates included."""
-    tables = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in ("events", "nation", "region")}
-    return spark.sql(f"WITH {view('spark', **tables)} SELECT * FROM raw")
+    events, nation, region = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("events", "nation", "region"))
+    n, station, kind, cost = F.col("n"), F.col("station_no"), F.col("event_type"), F.col("value").cast("double")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("operator_id"))
+    meaning = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in _KINDS.items()], F.lit("STATUS_CHANGE"))
+    e = events.select(F.col("event_id").alias("n"), F.col("ts").alias("timestamp"), "user_id", "value", F.get_json_object("props", "$.k").cast("int").alias("k"), meaning.alias("event_type"))
+    e = e.withColumn("station_no", F.floor(F.col("user_id") / 4).cast("long")).withColumn("session_id", F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("timestamp", "yyyy-MM-dd")))
+    so_far = Window.partitionBy("session_id").orderBy("timestamp", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    e = e.withColumn("register", F.sum(F.round(F.col("value") * 100).cast("long")).over(so_far)).join(places, F.col("n_nationkey") == station % 25)
+    of = lambda when, value, other: F.when(when, value).otherwise(other)
+    metered, stop = kind.isin(*SESSION_TYPES), kind == "SESSION_STOP"
+    status = F.element_at(F.array(F.lit("Available"), F.lit("Charging"), F.lit("Faulted")), (n % 3 + 1).cast("int"))
+    tariff = F.element_at(F.array(*map(F.lit, ("standard-v1", "peak-rate-v2", "off-peak-v1", "fleet-v1"))), (n % 4 + 1).cast("int"))
+    one = e.select(
+        n.cast("string").alias("event_id"), "n", "event_type", F.concat(F.lit("ST-"), station.cast("string")).alias("station_id"), "station_no",
+        (F.col("user_id") % 4 + 1).cast("int").alias("connector_id"), "session_id", "timestamp", "operator_id",
+        (station % 90).cast("double").alias("lat"), (station % 180).cast("double").alias("lon"), "city", F.lit("XX").alias("country"),
+        of(metered, cost, F.lit(0.0)).alias("power_kw"), of(metered, F.col("register").cast("double") / 100, F.lit(0.0)).alias("energy_kwh"),
+        of(kind == "SESSION_START", F.concat(F.lit("brand"), (F.col("k") % 9).cast("string")), F.lit("")).alias("vehicle_brand"), tariff.alias("tariff_id"),
+        of(stop, cost, F.lit(0.0)).alias("cost_eur"), of(kind == "STATUS_CHANGE", status, F.lit("")).alias("status"),
+        (stop & (n % 4 == 1) & in_peak(F.hour("timestamp"))).cast("int").alias("is_peak_priced"),
+    )
+    stored = lambda rows, late, copy: rows.select("*", (F.col("timestamp") + F.expr("INTERVAL 1 SECOND")).alias("produced_at"), (F.col("timestamp") + F.expr(f"INTERVAL {late} SECONDS")).alias("ingested_at"), F.lit(copy).alias("copy_no"))
+    return stored(one, 2, 0).unionByName(stored(one.where(n % 50 == 0), 62, 1))
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:

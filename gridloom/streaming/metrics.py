@@ -23,6 +23,7 @@ class Metrics:
     def __init__(self):
         self.counts: Counter = Counter()
         self.levels: dict = {}
+        self.spreads: dict = {}
         self._lock = Lock()
 
     def add(self, name: str, n: int, **labels) -> None:
@@ -37,6 +38,14 @@ class Metrics:
         with self._lock:
             self.levels[name, tuple(sorted(labels.items()))] = value
 
+    def observe(self, name: str, value: float, bounds: tuple) -> None:
+        """One more value of a histogram with fixed upper bounds, the last of them infinite."""
+        with self._lock:
+            counts, total = self.spreads.setdefault(name, ([0] * (len(bounds) + 1), [0.0]))
+            counts[sum(value > b for b in bounds)] += 1
+            total[0] += value
+            self.spreads[name, "bounds"] = bounds
+
     def count_batch(self, judged: DataFrame, clean: DataFrame, most: int | None = None) -> None:
         """Events by type, rejections by rule and reason, clean rows and duplicates, and why the batch
         was closed: by its size, if it has most rows, else by time. Types outside the vocabulary count
@@ -56,7 +65,8 @@ class Metrics:
         self.add("clean_produced", n)
         self.add("duplicates_dropped", fine - n)
         self.add("batches", 1, reason="size" if most is not None and total >= most else "timer")
-        self.set("batch_size", total)
+        self.set("last_batch_size", total)
+        self.observe("batch_size", total, SIZE_BUCKETS)
 
     def count_sent(self, sent: DataFrame) -> None:
         """Generator counters: messages made, by event type, and repeats among them."""
@@ -82,6 +92,13 @@ class Metrics:
                 for n, rows in named.items():
                     out.append(f"# TYPE {n} {kind}")
                     out += [n + ("{" + ",".join(f'{k}="{quote(x)}"' for k, x in labels) + "}" if labels else "") + f" {v}" for labels, v in rows]
+            for name in sorted(k for k in self.spreads if isinstance(k, str)):
+                (counts, total), bounds, so_far = self.spreads[name], self.spreads[name, "bounds"], 0
+                out.append(f"# TYPE {name} histogram")
+                for b, n in zip([*bounds, "+Inf"], counts, strict=True):
+                    so_far += n
+                    out.append(f'{name}_bucket{{le="{b}"}} {so_far}')
+                out += [f"{name}_sum {total[0]}", f"{name}_count {so_far}"]
         return "\n".join(out) + "\n"
 
 

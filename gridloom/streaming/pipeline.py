@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.operators import dedup, flatten, rollup, state, storage, validate, versions
-from gridloom.streaming.metrics import Metrics, lag_seconds
+from gridloom.streaming.metrics import LAG_BUCKETS, Metrics, lag_seconds
 
 
 @dataclass
@@ -52,7 +52,7 @@ class Analytics:
         return f"{self.folder}/{table}/batch={batch}"
 
     def __call__(self, raw: DataFrame, batch: int) -> None:
-        spark, known = raw.sparkSession, self.registry()
+        spark, known, began = raw.sparkSession, self.registry(), time.monotonic()
         rows = validate.judged(validate.decode(raw), known["stations"], known["tariffs"]).withColumn("ingested_at", self.now()).persist()
         clean = seen = None
         try:
@@ -73,6 +73,7 @@ class Analytics:
                 rollup.append_parts(rollup.partial(clean), self.revenue, batch)
             self._mark(clean, batch)
             self.metrics.count_batch(rows, clean, self.most)
+            self.metrics.observe("flush_s", time.monotonic() - began, LAG_BUCKETS)
         finally:
             for df in (rows, clean, seen):
                 if df is not None:

@@ -232,6 +232,8 @@ def test_metrics_endpoint_and_panels(spark):
     m = metrics.Metrics()
     m.add("events_consumed", 3, event_type='a"b')
     m.set("batch_size", 2.5)
+    for x in (0.5, 3, 99):
+        m.observe("flush_s", x, (1, 5))
     server = metrics.serve(m)
     try:
         at = f"http://127.0.0.1:{server.server_address[1]}"
@@ -240,7 +242,7 @@ def test_metrics_endpoint_and_panels(spark):
             urlopen(f"{at}/other")
     finally:
         server.shutdown()
-    assert text == '# TYPE events_consumed_total counter\nevents_consumed_total{event_type="a\\"b"} 3\n# TYPE batch_size gauge\nbatch_size 2.5\n'
+    assert text == '# TYPE events_consumed_total counter\nevents_consumed_total{event_type="a\\"b"} 3\n# TYPE batch_size gauge\nbatch_size 2.5\n# TYPE flush_s histogram\nflush_s_bucket{le="1"} 1\nflush_s_bucket{le="5"} 2\nflush_s_bucket{le="+Inf"} 3\nflush_s_sum 102.5\nflush_s_count 3\n'
     buckets = spark.createDataFrame([("transport_s", 1.0, 10), ("transport_s", 2.0, 30), ("transport_s", float("inf"), 30)], "name string, le double, n long")
     got = {r["q"]: r["value"] for r in metrics.quantile_panel(buckets, "transport lag").collect()}
     assert got == pytest.approx({0.5: 1.25, 0.95: 1.925, 0.99: 1.985})
