@@ -1,13 +1,13 @@
 """Equal windows of a collection of strings, by merging Burrows-Wheeler transforms of shards.
 
-The strings are dealt into shards. Each shard sorts its own suffixes and writes its transform: the
-symbol before each suffix, in suffix order. The shards' transforms are then merged without sorting
+The strings of one sending task lie in one shard. Each shard sorts its own suffixes and writes its
+transform: the symbol before each suffix, in suffix order. The shards' transforms are then merged without sorting
 suffixes again: an interleave says which shard each merged row comes from, and one pass over it,
 which deals the rows out stably by their symbols, makes an interleave that is right for suffixes
 of depth h into one that is right for depth h + 1. Rows whose suffixes agree up to the present
-depth form blocks; a block that falls apart at depth h has common prefixes of h - 1 symbols
-between its parts, and the blocks that are left at the depth of a window are the intervals of
-windows that repeat.
+depth form blocks; where a block falls apart at depth h, the neighbours have h - 1 symbols in
+common: so the common prefixes of all neighbours come out of the passes, and from them the intervals
+of windows that repeat, without looking at any text.
 
 A symbol is a run of neighbouring bytes (ten for windows of 50) and the suffix after it starts as
 many bytes on, so that a window takes few passes; every byte starts a suffix all the same. Each
@@ -16,6 +16,7 @@ string ends in a symbol of its own kind, smaller than all others.
 
 import numpy as np
 
+#: Shards that are merged at once; tasks whose numbers leave the same rest share one.
 SHARDS = 4
 
 
@@ -69,20 +70,31 @@ def transform(symbol: np.ndarray, order: np.ndarray, starts: np.ndarray, step: i
 
 
 def merge(columns: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of the shards (a shard number for each merged row) and block of each row, at depth."""
+    """Interleave of the shards (a shard number for each merged row), and the symbols that each row's
+    suffix has in common with the one before it, up to depth (below 256)."""
     all_ = np.concatenate(columns)
     source = np.repeat(np.arange(len(columns), dtype=np.uint8), [len(c) for c in columns])
     block = np.zeros(len(all_), np.int32)
     symbol = np.empty_like(all_)
-    for _ in range(depth):
+    common = np.full(len(all_), depth, np.uint8)
+    common[:1] = 0
+    for have in range(depth):
         # the rows of a shard lie in its own order: they take its transform's symbols one by one
         symbol[np.argsort(source, kind="stable")] = all_
         dealt, now = ordered(symbol)
         source, block = source[dealt], block[dealt]
         edge = (now[1:] != now[:-1]) | (block[1:] != block[:-1])
+        # places only fall apart further: where they do for the first time now, the suffixes share what
+        # was seen before
+        np.minimum(common[1:], np.where(edge, np.uint8(have), np.uint8(255)), out=common[1:])
         np.cumsum(edge, out=block[1:])
         block[:1] = 0
-    return source, block
+    return source, common
+
+
+def intervals(common: np.ndarray, depth: int) -> np.ndarray:
+    """The number of each row's interval: a longest run of rows with depth symbols in common."""
+    return np.cumsum(common < depth, dtype=np.int32)
 
 
 def _alphabet(data: np.ndarray, n: int, step: int) -> np.ndarray:
@@ -96,33 +108,52 @@ def _alphabet(data: np.ndarray, n: int, step: int) -> np.ndarray:
     return ranked(key) + 1
 
 
-def window_classes(strings: list[bytes], width: int, shards: int = SHARDS) -> list[np.ndarray]:
+class Merged:
+    """Strings dealt into shards, the shards' own suffix orders and transforms, and their merge."""
+
+    def __init__(self, strings: list[bytes], width: int, shards: int = SHARDS, shard: np.ndarray | None = None):
+        self.step = step = max(s for s in (1, 2, 3, 4, 5, 10) if width % s == 0)
+        self.depth = width // step
+        shard = np.arange(len(strings)) % shards if shard is None else np.asarray(shard) % shards
+        #: strings lie by shard
+        self.at = np.argsort(shard, kind="stable")
+        strings = [strings[k] for k in self.at]
+        sizes = np.array([len(s) + step for s in strings], np.int64)
+        self.firsts = firsts = np.cumsum(sizes) - sizes
+        data = np.frombuffer((b"\0" * step).join(strings) + b"\0" * (3 * step), np.uint8)
+        self.n = n = int(sizes.sum())
+        # symbols from a row to its string's end; the last step rows of a string are its end
+        left = (np.repeat(firsts + sizes - step, sizes) - np.arange(n) + step - 1) // step
+        symbol = np.where(left <= 0, 0, _alphabet(data, n, step)).astype(np.int32)
+        left = np.maximum(left, 0)
+        bounds = np.searchsorted(shard[self.at], np.arange(shards + 1))
+        self.orders, columns = [], []
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            if a < b:
+                x, y = int(firsts[a]), int(firsts[b - 1] + sizes[b - 1])
+                order = suffix_order(symbol[x:y], left[x:y], step, self.depth)
+                self.orders.append(x + order)
+                columns.append(transform(symbol[x:y], order, (firsts[a:b, None] - x + np.arange(step)).reshape(-1), step))
+        self.source, self.common = merge(columns, self.depth) if columns else (np.zeros(0, np.uint8), np.zeros(0, np.uint8))
+
+    def rows(self) -> np.ndarray:
+        """The text position of each merged row: shards give theirs in order."""
+        out = np.empty(self.n, np.int64)
+        out[np.argsort(self.source, kind="stable")] = np.concatenate(self.orders) if self.orders else out
+        return out
+
+
+def window_classes(strings: list[bytes], width: int, shards: int = SHARDS, shard: np.ndarray | None = None) -> list[np.ndarray]:
     """For each string, a class number for each of its windows of width bytes.
 
-    Two windows have the same class exactly if they are equal. Strings shorter than width have none.
+    Two windows have the same class exactly if they are equal: they lie in one interval of the merged
+    transform. Strings shorter than width have none. shard, taken modulo shards, tells which strings
+    were sent together.
     """
-    step = max(s for s in (1, 2, 3, 4, 5, 10) if width % s == 0)
-    depth = width // step
-    sizes = np.array([len(s) + step for s in strings], np.int64)
-    firsts = np.cumsum(sizes) - sizes
-    data = np.frombuffer((b"\0" * step).join(strings) + b"\0" * (3 * step), np.uint8)
-    n = int(sizes.sum())
-    ends = firsts + sizes
-    # symbols from a row to its string's end; the last step rows of a string are its end
-    left = (np.repeat(ends - step, sizes) - np.arange(n) + step - 1) // step
-    symbol = np.where(left <= 0, 0, _alphabet(data, n, step)).astype(np.int32)
-    left = np.maximum(left, 0)
-    out = np.zeros(n, np.int32)
-    bounds = np.searchsorted(ends, np.linspace(0, n, shards + 1)[1:-1])
-    cuts = sorted({0, n, *firsts[np.minimum(bounds, len(firsts) - 1)].tolist()})
-    orders, columns = [], []
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        orders.append(suffix_order(symbol[a:b], left[a:b], step, depth))
-        own = firsts[(firsts >= a) & (firsts < b)] - a
-        columns.append(transform(symbol[a:b], orders[-1], (own[:, None] + np.arange(step)).reshape(-1), step))
-    source, block = merge(columns, depth)
-    by, at = np.argsort(source, kind="stable"), 0
-    for a, order in zip(cuts, orders, strict=False):
-        out[a + order] = block[by[at : at + len(order)]]
-        at += len(order)
-    return [out[f : f + max(0, len(s) - width + 1)] for f, s in zip(firsts, strings, strict=True)]
+    m = Merged(strings, width, shards, shard)
+    out = np.zeros(m.n, np.int32)
+    out[m.rows()] = intervals(m.common, m.depth)
+    found: list = [None] * len(strings)
+    for k, f in zip(m.at.tolist(), m.firsts.tolist(), strict=True):
+        found[k] = out[f : f + max(0, len(strings[k]) - width + 1)]
+    return found

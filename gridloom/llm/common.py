@@ -56,7 +56,7 @@ def staged_folders():
     try:
         yield made
     finally:
-        _open.remove(made)
+        _open.pop()
 
 
 def stage(df: DataFrame) -> DataFrame:

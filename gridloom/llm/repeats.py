@@ -7,9 +7,10 @@ it also starts in one with a smaller id. To bring equal windows together without
    windows have equal anchors at equal places. Blocks of anchors' hashes find those that two
    documents have. A window whose anchor is in one document only cannot repeat.
 2. The runs of windows that share a repeating anchor are sent, as strings, to the part of the hash
-   space of their anchor. Equal strings are joined there; the distinct ones, in groups by anchor
-   that fit in memory, go to the operator's own method, which says which of their windows are
-   equal: merged Burrows-Wheeler transforms for bytes, prefix-partitioned suffix trees for words.
+   space of their anchor; equal ones of one batch of texts travel once. A part joins equal strings;
+   the distinct ones go to the operator's own method, which says which of their windows are equal:
+   merged Burrows-Wheeler transforms for bytes (the shards are what the sending tasks gave),
+   prefix-partitioned suffix trees for words.
 3. The least document of each class follows, and with it what every other document loses. Ranges
    return to the documents in blocks.
 
@@ -31,22 +32,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, low48, messages, mix, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
-from gridloom.llm.common import ROW, lean, partitions, repeats, rows_of, stage
+from gridloom.llm.common import ROW, lean, partitions, release, repeats, rows_of, stage
 from gridloom.llm.words import _BASE, _BYTE, _SPACE, Words
 
-#: Bytes of text whose symbols are looked at together, and bytes of strings that a method gets at once.
+#: Bytes of text whose symbols are looked at together, and bytes of strings that are merged at once.
 CHUNK, GROUP = 1 << 19, 3 << 18
 _MAX = np.uint64((1 << 64) - 1)
 
 
 @dataclass(frozen=True)
 class Kind:
-    """What a document's symbols are: layout(texts) gives a Layout; classes(strings, width) the method."""
+    """What a document's symbols are: layout(texts) gives a Layout; classes(strings, width) the method.
+
+    sharded says that the method merges shards: it gets strings by anchor, about GROUP bytes at a
+    time, and as shard the task that sent each. Otherwise it gets all strings of a part, and bounds
+    its own memory.
+    """
 
     width: int
     gram: int
     layout: Callable
     classes: Callable
+    sharded: bool
 
 
 class Layout:
@@ -117,6 +124,7 @@ def anchors(layout: Layout, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _groups(batches, columns):
+    """Lists of rows, with text as the last of columns, of about CHUNK bytes."""
     rows, size = [], 0
     for b in batches:
         for row in zip(*(b[c].to_pylist() for c in columns), strict=True):
@@ -157,16 +165,17 @@ def _repeating(answers: DataFrame, n: int) -> DataFrame:
     return answers.repartition(n, "dst").mapInArrow(lean(run), "doc_id long, low binary")
 
 
-STRINGS = "p int, dst int, ids binary, owner binary, doc binary, start binary, size binary, gram binary, body binary"
+#: doc, start and which for each occurrence; size, gram and body for each distinct string.
+STRINGS = "p int, dst int, ids binary, owner binary, doc binary, start binary, which binary, size binary, gram binary, body binary"
+#: Occurrences in one row: which takes two bytes.
+_MOST = 1 << 16
 
 
-def _send_strings(docs: DataFrame, kind: Kind, keys: list[int]) -> DataFrame:
-    """The runs of windows that share a repeating anchor, from (doc_id, low, text) rows; owner may
-    come after doc_id."""
-    columns = docs.columns
-    owned = "owner" in columns
+def _send_strings(docs: DataFrame, kind: Kind, keys: list[int], owned: bool) -> DataFrame:
+    """The runs of windows that share a repeating anchor, from (doc_id, owner if owned, low, text) rows."""
+    columns = ["doc_id", *(["owner"] if owned else []), "low", "text"]
     names = [c.split()[0] for c in STRINGS.split(", ")]
-    types = [pa.int32(), pa.int32()] + [pa.binary()] * 7
+    types = [pa.int32(), pa.int32()] + [pa.binary()] * 8
 
     def run(batches):
         dst = keys[TaskContext.get().partitionId() % len(keys)]
@@ -187,9 +196,13 @@ def _send_strings(docs: DataFrame, kind: Kind, keys: list[int]) -> DataFrame:
             begin, until = x.begin[first], x.until[last]
             ids, out = np.array([r[0] for r in rows], "<i8").tobytes(), []
             owner = np.array([r[1] for r in rows], "<i8").tobytes() if owned else None
-            for p, at in by_part(part_of(h, len(keys)), len(keys)):
-                body = b"".join([x.data[a:b] for a, b in zip(begin[at].tolist(), until[at].tolist(), strict=True)])
-                out.append((keys[p], dst, ids, owner, doc[at].astype(np.uint8).tobytes(), (first[at] - x.first[doc[at]]).astype("<u4").tobytes(), (until[at] - begin[at]).astype("<u4").tobytes(), h[at].tobytes(), body))
+            for p, whole in by_part(part_of(h, len(keys)), len(keys)):
+                for at in (whole[k : k + _MOST] for k in range(0, len(whole), _MOST)):
+                    number: dict[bytes, int] = {}
+                    which = np.array([number.setdefault(x.data[a:b], len(number)) for a, b in zip(begin[at].tolist(), until[at].tolist(), strict=True)], "<u2")
+                    one = at[np.unique(which, return_index=True)[1]]
+                    sizes, grams = np.array([len(s) for s in number], "<u4"), (h[one] >> np.uint64(32)).astype("<u4")
+                    out.append((keys[p], dst, ids, owner, doc[at].astype(np.uint8).tobytes(), (first[at] - x.first[doc[at]]).astype("<u4").tobytes(), which.tobytes(), sizes.tobytes(), grams.tobytes(), b"".join(number)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
@@ -199,55 +212,67 @@ def _send_strings(docs: DataFrame, kind: Kind, keys: list[int]) -> DataFrame:
 RANGES = "dst int, ids binary, start binary, until binary"
 
 
+def _gathered(batches):
+    """All strings of a part: the distinct ones with their grams and first sender, and for every
+    occurrence its string, document, owner, sender and start."""
+    number: dict[bytes, int] = {}
+    grams, senders, which, ids, owners, dsts, starts = [], [], [], [], [], [], []
+    for b in batches:
+        for dst, i, owner, doc, start, own, size, gram, body in zip(*(b[c].to_pylist() for c in ("dst", "ids", "owner", "doc", "start", "which", "size", "gram", "body")), strict=True):
+            at, map_ = 0, []
+            for n, g in zip(np.frombuffer(size, "<u4").tolist(), np.frombuffer(gram, "<u4").tolist(), strict=True):
+                k = number.setdefault(body[at : at + n], len(number))
+                if k == len(grams):
+                    grams.append(g)
+                    senders.append(dst)
+                map_.append(k)
+                at += n
+            which.append(np.array(map_, np.int64)[np.frombuffer(own, "<u2")])
+            doc = np.frombuffer(doc, np.uint8)
+            ids.append(np.frombuffer(i, "<i8")[doc])
+            owners.append(np.frombuffer(owner, "<i8")[doc] if owner is not None else ids[-1])
+            starts.append(np.frombuffer(start, "<u4").astype(np.int64))
+            dsts.append(np.full(len(doc), dst, np.int32))
+    if not number:
+        return None
+    return list(number), np.array(grams, np.uint32), np.array(senders), *map(np.concatenate, (which, ids, owners, dsts, starts))
+
+
 def _judge(strings: DataFrame, kind: Kind, n: int) -> DataFrame:
     """Ranges of symbols that documents lose, from all strings of a part."""
 
     def run(batches):
-        number: dict[bytes, int] = {}
-        grams, which, ids, owners, dsts, starts = [], [], [], [], [], []
-        for b in batches:
-            for dst, i, owner, doc, start, size, gram, body in zip(*(b[c].to_pylist() for c in ("dst", "ids", "owner", "doc", "start", "size", "gram", "body")), strict=True):
-                ends = np.cumsum(np.frombuffer(size, "<u4").astype(np.int64)).tolist()
-                at = 0
-                for end, g in zip(ends, np.frombuffer(gram, np.uint64).tolist(), strict=True):
-                    k = number.setdefault(body[at:end], len(number))
-                    if k == len(grams):
-                        grams.append(g)
-                    which.append(k)
-                    at = end
-                ids.append(np.frombuffer(i, "<i8")[np.frombuffer(doc, np.uint8)])
-                if owner is not None:
-                    owners.append(np.frombuffer(owner, "<i8")[np.frombuffer(doc, np.uint8)])
-                starts.append(np.frombuffer(start, "<u4").astype(np.int64))
-                dsts.append(np.full(len(starts[-1]), dst, np.int32))
-        if not number:
+        got = _gathered(batches)
+        if got is None:
             return
-        bodies, which = list(number), np.array(which)
-        number.clear()
-        ids, dsts, starts = np.concatenate(ids), np.concatenate(dsts), np.concatenate(starts)
-        owners = np.concatenate(owners) if owners else ids
+        bodies, grams, senders, which, ids, owners, dsts, starts = got
         least = np.full(len(bodies), np.iinfo(np.int64).max)
         np.minimum.at(least, which, owners)
-        # the least document of each window's class, for all distinct strings, group by group
-        order = np.argsort(np.array(grams, np.uint64), kind="stable")
+        # the least document of each window's class, for all distinct strings
         windows: list = [None] * len(bodies)
-        group, size = [], 0
-        ordered = np.array(grams, np.uint64)[order]
-        for a, b in runs(ordered):
-            group += order[a:b].tolist()
-            size += sum(len(bodies[k]) for k in order[a:b])
-            if size >= GROUP or b == len(order):
-                found = kind.classes([bodies[k] for k in group], kind.width)
-                flat = np.concatenate(found)
-                owner = np.repeat(least[group], [len(f) for f in found])
-                _, flat = np.unique(flat, return_inverse=True)
-                low = np.full(int(flat.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-                np.minimum.at(low, flat, owner)
-                at = 0
-                for k, f in zip(group, found, strict=True):
-                    windows[k] = low[flat[at : at + len(f)]]
-                    at += len(f)
-                group, size = [], 0
+
+        def classified(group, found):
+            flat = np.concatenate(found)
+            owner = np.repeat(least[group], [len(f) for f in found])
+            _, flat = np.unique(flat, return_inverse=True)
+            low = np.full(int(flat.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+            np.minimum.at(low, flat, owner)
+            at = 0
+            for k, f in zip(group, found, strict=True):
+                windows[k] = low[flat[at : at + len(f)]]
+                at += len(f)
+
+        if kind.sharded:
+            order = np.argsort(grams, kind="stable")
+            group, size = [], 0
+            for a, b in runs(grams[order]):
+                group += order[a:b].tolist()
+                size += sum(len(bodies[k]) for k in order[a:b])
+                if size >= GROUP or b == len(order):
+                    classified(group, kind.classes([bodies[k] for k in group], kind.width, shard=senders[group]))
+                    group, size = [], 0
+        else:
+            classified(list(range(len(bodies))), kind.classes(bodies, kind.width))
         counts = np.array([len(w) for w in windows])
         firsts = np.cumsum(counts) - counts
         windows = np.concatenate(windows)
@@ -290,47 +315,46 @@ def _merged(ranges: DataFrame, n: int) -> DataFrame:
     return ranges.repartition(n, "dst").mapInArrow(lean(run), "doc_id long, start binary, until binary")
 
 
-def _found(docs: DataFrame, kind: Kind, key: str, text: str, owner: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """doc_id (the key) and text dealt out by key, with copy; the copies; and the ranges that others lose.
+def _found(docs: DataFrame, kind: Kind, key: str, text: str, owner: str | None, carried: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """doc_id (the key), text and c0, c1, ... (the carried columns) dealt out by key, with copy; and
+    the ranges that those which are no copies lose.
 
-    Keys are unique. Where they are not the documents' ids, owner is, and is kept.
+    Keys are unique. Where they are not the documents' ids, owner is, and is kept. Carried columns
+    go with the text from the start, so that one exchange of texts serves every step: a column left
+    out by one of them would make another exchange of it.
     """
     n = partitions(docs.sparkSession)
     keys = part_keys(docs.sparkSession, n)
     own_id, names = ("owner", ["doc_id", "owner"]) if owner else ("doc_id", ["doc_id"])
-    given = docs.where(F.col(owner or key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), *([F.col(owner).cast("long").alias("owner")] if owner else []), F.col(text).cast("string").alias("text"))
+    wide = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carried)]
+    given = docs.where(F.col(f"`{owner or key}`").isNotNull())
+    given = given.select(F.col(f"`{key}`").cast("long").alias("doc_id"), *([F.col(f"`{owner}`").cast("long").alias("owner")] if owner else []), *wide, F.col(f"`{text}`").cast("string").alias("text"))
     named = stage(given.where("text is not null").select(*names, F.sha2("text", 256).alias("digest")))
-    first = named.groupBy("digest").agg(F.min(own_id).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("digest", "first")
+    # written, so that the join reads two plain exchanges, of which Spark can split a large digest
+    first = stage(named.groupBy("digest").agg(F.min(own_id).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("digest", "first"))
     copies = stage(named.join(first, "digest").where(f"{own_id} <> first").select("doc_id", F.lit(True).alias("copy")))
+    release(named, first)
     dealt = given.repartition(n, "doc_id").join(copies.hint("shuffle_hash"), "doc_id", "left")
     # no condition on text, which would reach the scan and make this another exchange
-    own = dealt.where("copy is null").select(*names, "text")
+    own = dealt.where("copy is null")
     low = _repeating(shared_entries(_send_anchors(own, kind, keys), n), n)
-    strings = _send_strings(own.join(low.hint("shuffle_hash"), "doc_id").select(*names, "low", "text"), kind, keys)
-    return dealt, copies, _merged(_judge(strings, kind, n), n)
+    strings = _send_strings(own.join(low.hint("shuffle_hash"), "doc_id"), kind, keys, owner is not None)
+    return dealt, _merged(_judge(strings, kind, n), n)
 
 
-def lost_ranges(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text, copy, start, until for every row of docs that has a key.
+def lost_ranges(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, copy, start, until (then c0, c1, ...: the carried columns) for every row of docs
+    that has a key.
 
     copy says that a document with a smaller id has the same text; such rows lose all windows
     and have no ranges. start and until are null where nothing is lost. Rows that share a key do
     not lose to each other, but each loses what documents with smaller ids have; null text has no
-    symbols.
+    symbols; an empty table gives none.
     """
-    docs = docs.where(F.col(key).isNotNull()).select(key, text)
+    docs = docs.where(F.col(f"`{key}`").isNotNull())
+    if not carried:
+        docs = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"))
     alike = repeats(docs, key)
-    dealt, _, lost = _found(rows_of(docs, key, text), kind, ROW, text, key) if alike else _found(docs, kind, key, text, None)
+    dealt, lost = _found(rows_of(docs, key, text), kind, ROW, text, key, carried) if alike else _found(docs, kind, key, text, None, carried)
     out = dealt.join(lost.hint("shuffle_hash"), "doc_id", "left")
-    return out.select(F.col("owner" if alike else "doc_id").alias("doc_id"), "text", F.coalesce("copy", F.lit(False)).alias("copy"), "start", "until")
-
-
-def losses(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "text", owner: str | None = None) -> DataFrame:
-    """doc_id (the key), copy, start, until of the rows that lose anything, written to the shared folder.
-
-    For callers that keep other columns: they join their rows to it. Keys must be unique; where
-    rows share ids, key is ROW (see rows_of) and owner the id.
-    """
-    _, copies, lost = _found(docs, kind, key, text, owner)
-    none = F.lit(None).cast("binary")
-    return stage(lost.select("doc_id", F.lit(False).alias("copy"), "start", "until").unionByName(copies.select("doc_id", "copy", none.alias("start"), none.alias("until"))))
+    return out.select(F.col("owner" if alike else "doc_id").alias("doc_id"), "text", F.coalesce("copy", F.lit(False)).alias("copy"), "start", "until", *[f"c{k}" for k in range(len(carried))])

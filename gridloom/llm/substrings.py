@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import bwt, subtrees
-from gridloom.llm.common import ROW, lean, repeats, rows_of
-from gridloom.llm.repeats import Kind, bytes_of, losses, lost_ranges, words_of
+from gridloom.llm.common import lean
+from gridloom.llm.repeats import Kind, bytes_of, lost_ranges, words_of
 
-WORDS = Kind(13, 5, words_of, subtrees.window_classes)
-BYTES = Kind(50, 24, bytes_of, bwt.window_classes)
+WORDS = Kind(13, 5, words_of, subtrees.window_classes, sharded=False)
+BYTES = Kind(50, 24, bytes_of, bwt.window_classes, sharded=True)
 
 
 def _ranges(start, until) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +74,8 @@ def by_words(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     n counts words. Words are split at ASCII white space and compared as they are; the kept ones
     are joined by one space. Null and empty texts have no words; texts of fewer words than a window
-    lose none.
+    lose none. Rows without an id have no row here; rows that share one each have theirs, and lose
+    nothing to each other; an empty table gives none.
     """
     return _apply(lost_ranges(docs, WORDS), WORDS, _cut_words, with_text)
 
@@ -82,7 +83,9 @@ def by_words(docs: DataFrame, with_text: bool = False) -> DataFrame:
 def by_bytes(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n, n_removed, n_spans, kept_sha256 (and kept as text) by windows of 50 bytes.
 
-    n counts bytes of UTF-8. Null text is empty; texts shorter than a window lose nothing.
+    n counts bytes of UTF-8. Null text is empty; texts shorter than a window lose nothing. Rows
+    without an id have no row here; rows that share one each have theirs, and lose nothing to each
+    other; an empty table gives none.
     """
     return _apply(lost_ranges(docs, BYTES), BYTES, _cut_bytes, with_text)
 
@@ -91,35 +94,38 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     """docs with its columns and rows, repeated spans of 50 bytes cut from text.
 
     A character of which only some bytes remain is dropped. n_chars, where there is one, counts
-    what is left. Rows without a key stay as they are; of rows that share one, each loses what
-    documents with smaller ids have of its own text.
+    what is left. Rows without a key, and null and empty texts, stay as they are; of rows that share
+    a key, each loses what documents with smaller ids have of its own text. Columns may have any
+    name. An empty table stays empty.
     """
     names = docs.columns
-    rows, key, owner = (rows_of(docs), ROW, "doc_id") if repeats(docs) else (docs, "doc_id", None)
-    found = losses(rows, BYTES, key, owner=owner).select(F.col("doc_id").alias("_id"), "copy", "start", "until")
-    wide = rows.join(found.hint("shuffle_hash"), F.col(key).cast("long") == F.col("_id"), "left")
-    wide = wide.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], "_id", "copy", "start", "until")
-    body, count = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+    others = [c for c in names if c != "text"]
+    found = lost_ranges(docs, BYTES, carried=tuple(others))
+    place = {c: f"c{k}" for k, c in enumerate(others)} | {"text": "text"}
+    out = [place[c] for c in names]
 
     def run(batches):
         for b in batches:
-            columns = list(b.columns[: len(names)])
-            texts = columns[body].to_pylist()
-            counts = columns[count].to_pylist() if count is not None else None
-            for r, (i, copy, start, until) in enumerate(zip(*(b[c].to_pylist() for c in ("_id", "copy", "start", "until")), strict=True)):
-                if i is not None and texts[r] is not None:
+            columns = {c: b[c] for c in out}
+            texts = b["text"].to_pylist()
+            counts = columns[place["n_chars"]].to_pylist() if "n_chars" in place else None
+            for r, (copy, start, until) in enumerate(zip(*(b[c].to_pylist() for c in ("copy", "start", "until")), strict=True)):
+                if texts[r] is not None and (copy or start is not None):
                     kept, _, removed, _ = _cut_bytes(texts[r].encode("utf-8", "surrogatepass"), copy, *_ranges(start, until), BYTES.width)
                     if removed:
                         texts[r] = kept.decode("utf-8", "ignore")
                         if counts is not None:
                             counts[r] = len(texts[r])
-            columns[body] = pa.array(texts, columns[body].type)
+            columns["text"] = pa.array(texts, columns["text"].type)
             if counts is not None:
-                columns[count] = pa.array(counts, columns[count].type)
-            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[: len(names)])
-
-    schema = ", ".join(f"c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(names))
-    return wide.mapInArrow(lean(run), schema).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+                columns[place["n_chars"]] = pa.array(counts, columns[place["n_chars"]].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=out)
+
+    schema = ", ".join(f"{place[c]} {'string' if c == 'text' else docs.schema[c].dataType.simpleString()}" for c in names)
+    # the key goes along, though nothing reads it: else the texts would be exchanged once more without it
+    cut = found.select("doc_id", *out, "copy", "start", "until").mapInArrow(lean(run), schema)
+    cut = cut.select(*[F.col(place[c]).cast(docs.schema[c].dataType).alias(c) for c in names])
+    return cut.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 ORACLE_WORDS = r"""
