@@ -2,7 +2,7 @@
 
 Base rules judge each document by itself. Failures are then summed by host (the document's
 source), each host's failure rate is shrunk towards the corpus by a Beta prior fitted to the
-hosts (method of moments), and hosts whose shrunk rate passes a limit lose all their documents.
+hosts (method of moments, less binomial chance), and hosts whose shrunk rate passes a limit lose all their documents.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -66,14 +66,17 @@ def host_verdicts(base: DataFrame, host: str = "host", max_rate: float = MAX_HOS
 
     Only sums by host are shuffled, so a host with a third of all rows costs no more than any
     other. The prior is one row: its mean is the corpus rate, its weight comes from how far the
-    hosts' rates spread beyond that mean.
+    hosts' rates spread beyond that mean, less what chance alone spreads the rates of hosts of
+    their sizes: many small hosts that differ by chance only are shrunk as far as the bounds allow.
+    No hosts give no rows.
     """
     hosts = base.where(F.col(host).isNotNull()).groupBy(host).agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
     total = hosts.agg(F.sum("n_docs").alias("n"), F.sum("n_failed").alias("f"), F.count("*").alias("k")).first()
     if not total["n"]:
         return hosts.select(host, "n_docs", "n_failed", F.lit(0.0).alias("host_rate"), F.lit(False).alias("host_failed"))
     mean = total["f"] / total["n"]
-    spread = hosts.agg(F.avg(F.pow(F.col("n_failed") / F.col("n_docs") - F.lit(mean), 2)).alias("v")).first()["v"]
+    chance = F.lit(mean * (1 - mean)) / F.col("n_docs")
+    spread = hosts.agg(F.avg(F.pow(F.col("n_failed") / F.col("n_docs") - F.lit(mean), 2) - chance).alias("v")).first()["v"]
     weight = LEAST_WEIGHT if mean in (0.0, 1.0) else min(MOST_WEIGHT, max(LEAST_WEIGHT, mean * (1 - mean) / max(spread, 1e-12) - 1))
     rate = (F.col("n_failed") + mean * weight) / (F.col("n_docs") + weight)
     return hosts.select(host, "n_docs", "n_failed", rate.alias("host_rate"), (rate > max_rate).alias("host_failed"))
@@ -82,29 +85,35 @@ def host_verdicts(base: DataFrame, host: str = "host", max_rate: float = MAX_HOS
 def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """key, host, the base columns and kept, a row for each row of docs.
 
-    kept is false for documents that fail a base rule, else what the host verdict says. The base
+    kept is false for documents that fail a base rule, else what the host verdict says; a null source
+    has none. Null and empty texts have no words and fail; repeated rows are judged alike; an empty
+    table gives no rows. The base
     columns are staged once and used twice: for the sums by host and for the join back, whose
     build side Spark broadcasts only while it is below its own size limit; beyond it the join
     shuffles, and adaptive execution splits a host that holds too many rows.
     """
     base = stage(with_base_rules(docs.select(F.col(f"`{key}`").alias(key), host_of(source).alias("host"), F.col(f"`{text}`").alias("text"))).drop("text"))
-    bad = host_verdicts(base, "host", max_rate).where("host_failed").select("host", "host_failed")
+    # written, so that its size is known: broadcast below Spark's limit, two plain exchanges beyond
+    bad = stage(host_verdicts(base, "host", max_rate).where("host_failed").select("host", "host_failed"))
     joined = base.join(bad, "host", "left")
     return joined.select(key, "host", *BASE, (~F.col("base_failed") & ~F.coalesce("host_failed", F.lit(False))).alias("kept"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, that quality() keeps. Repeated rows are judged alike."""
+    """The rows of docs, with all their columns, that quality() keeps. Repeated rows are judged alike;
+    null and empty texts fail; a null source has no host verdict; an empty table stays empty.
+
+    The rows are written once with what the base rules say of them: the rules run once, the sums by
+    host read two columns, and the filter stands on a stored column, below no expression.
+    """
     columns = docs.columns
-    wide = docs.select(*[F.col(f"`{c}`") for c in columns], host_of().alias("_host"))
-    base = with_base_rules(docs.select(host_of().alias("host"), "text")).select("host", "base_failed")
-    bad = host_verdicts(stage(base), "host").where("host_failed").select(F.col("host").alias("_host"), F.lit(True).alias("_bad"))
-    flags = with_base_rules(wide.select(*[F.col(f"`{c}`").alias(f"d_{c}") for c in columns], "_host"), "d_text")
-    # a filter would be pushed below the projections, which nests their expressions into one another
-    # beyond all measure; a row for each element of an array of one or none selects as well
-    flags = flags.withColumn("_passed", F.explode(F.when(~F.col("base_failed"), F.array(F.lit(True)))))
-    flags = flags.join(bad, "_host", "left").where(F.col("_bad").isNull())
-    return flags.select(*[F.col(f"`d_{c}`").alias(c) for c in columns])
+    given = docs.select(*[F.col(f"`{c}`").alias(f"d_{k}") for k, c in enumerate(columns)], host_of().alias("host"))
+    judged = stage(with_base_rules(given, f"d_{columns.index('text')}").select(*given.columns, "base_failed"))
+    # written, so that its size is known: rows are not dealt by host, which may hold a third of them,
+    # unless the hosts that fail are too many to broadcast; Spark can split a large host even then
+    bad = stage(host_verdicts(judged.select("host", "base_failed"), "host").where("host_failed").select("host", F.lit(True).alias("_bad")))
+    flags = judged.where("NOT base_failed").join(bad, "host", "left").where(F.col("_bad").isNull())
+    return flags.select(*[F.col(f"d_{k}").alias(c) for k, c in enumerate(columns)])
 
 
 ORACLE = r"""
@@ -122,7 +131,7 @@ b AS (SELECT c.doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, coales
              n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words AS base_failed FROM c LEFT JOIN v USING (doc_id)),
 h AS (SELECT host, count(*) AS n, sum(base_failed::INT) AS f FROM b WHERE host IS NOT NULL GROUP BY host),
 m AS (SELECT sum(f)::DOUBLE / sum(n) AS m FROM h),
-s AS (SELECT avg(pow(f::DOUBLE / n - m, 2)) AS v, any_value(m) AS m FROM h, m),
+s AS (SELECT avg(pow(f::DOUBLE / n - m, 2) - m * (1 - m) / n) AS v, any_value(m) AS m FROM h, m),
 p AS (SELECT m, CASE WHEN m IN (0, 1) THEN 2.0::DOUBLE ELSE least(10000.0::DOUBLE, greatest(2.0::DOUBLE, m * (1 - m) / greatest(v, 1e-12) - 1)) END AS k FROM s),
 x AS (SELECT host FROM h, p WHERE (f + m * k) / (n + k) > 0.5)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
