@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import lean
+
 BUCKETS = 1 << 16
 DIM = 16
 #: Labelled documents a language, at most, that the classifier is fitted on.
@@ -242,7 +244,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
                 ids, share = features(t)
                 yield pa.RecordBatch.from_pydict({"k": [k], "y": [y], "ids": [ids.tobytes()], "share": [share.tobytes()]}, pa.schema([("k", pa.int64()), ("y", pa.string()), ("ids", pa.binary()), ("share", pa.binary())]))
 
-    found = picked.withColumn("k", F.col("k").cast("long")).mapInArrow(count, "k long, y string, ids binary, share binary").collect()
+    found = picked.withColumn("k", F.col("k").cast("long")).mapInArrow(lean(count), "k long, y string, ids binary, share binary").collect()
     found.sort(key=lambda r: (r["k"], r["y"], bytes(r["ids"])))
     return train([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["share"], np.float32), r["y"]) for r in found])
 
@@ -251,8 +253,8 @@ def held_out(key):
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def with_language(docs: DataFrame, model: Model, text: str = "text", columns: tuple[str, ...] = ()) -> DataFrame:
-    """columns of docs, then lang_pred, score and rejected; the text is the only input.
+def _predicted(docs: DataFrame, model: Model, text: str, columns: tuple[str, ...]) -> DataFrame:
+    """c0, c1, ... (columns of docs, whatever their names), lang_pred, score and rejected.
 
     Texts are taken whole, a batch at a time; the model travels once to each executor
     (its size is BUCKETS x languages numbers, whatever the corpus).
@@ -269,8 +271,13 @@ def with_language(docs: DataFrame, model: Model, text: str = "text", columns: tu
             yield pa.RecordBatch.from_arrays(arrays, names=[*b.schema.names[:-1], "lang_pred", "score", "rejected"])
 
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in fields), "lang_pred string, score double, rejected boolean"])
-    out = given.mapInArrow(predict, schema)
-    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], "lang_pred", "score", "rejected")
+    return given.mapInArrow(lean(predict), schema)
+
+
+def with_language(docs: DataFrame, model: Model, text: str = "text", columns: tuple[str, ...] = ()) -> DataFrame:
+    """columns of docs, then lang_pred, score and rejected; the text is the only input. Columns of
+    these three names stay beside the new ones if they are asked for."""
+    return _predicted(docs, model, text, columns).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], "lang_pred", "score", "rejected")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -294,4 +301,4 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     names, model = tuple(docs.columns), fit(docs)
     if model.langs and model.threshold > 1:
         raise ValueError(f"no score of the language model makes {TARGET:.0%} of its predictions right: check the labels")
-    return with_language(docs, model, columns=names).where(~F.col("rejected")).select(*[f"`{c}`" for c in names])
+    return _predicted(docs, model, "text", names).where(~F.col("rejected")).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
