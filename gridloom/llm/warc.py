@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import partitions, remove, shared_folder
+from gridloom.llm.common import partitions, remove, settle, shared_folder
 
 #: Records with shorter payloads are never revisits.
 LEAST_REVISIT = 100
@@ -229,8 +229,8 @@ def archive(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
     Of records with equal payloads of at least least bytes the one with the smallest key is the
     response (rows that repeat that key too); null html is an empty payload; a null key never is
-    the smallest unless all are null. Only digests with more than one record are joined back;
-    adaptive execution splits a payload that a third of the pages share.
+    the smallest unless all are null; an empty table gives no files. Only digests with more than one
+    record are joined back; adaptive execution splits a payload that a third of the pages share.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{url}`").cast("string").alias("url"), F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).cast("binary").alias("payload"))
@@ -240,6 +240,8 @@ def archive(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     raw, out = shared_folder(spark), shared_folder(spark)
     listed, made = shared_folder(spark), shared_folder(spark)
     write_archives(joined.select("key", "url", "payload", "digest", "refers_to"), raw).write.parquet(listed)
+    del rows, many, joined
+    settle(spark)  # the exchanged payloads are in the archives now
     files = spark.read.schema("path string, n long").parquet(listed).where("n > 0")
     normalise(files.repartition(partitions(spark), "path"), out).write.parquet(made)
     remove(spark, raw)
