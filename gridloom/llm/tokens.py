@@ -16,7 +16,7 @@ import numpy as np
 NARROW = 0x250
 _OTHER = re.compile(f"[^\x00-{chr(NARROW - 1)}]")
 #: Words kept by a worker, give or take those of one text; beyond, it begins anew.
-CACHE = 1_000_000
+CACHE = 750_000
 #: Texts whose ids by words must equal the library's before words are used.
 _SAMPLES = ["It's a test,  of 3 words\n\n and we'll see: \t\"ÀÉîõü ßçñ\" \xa0x\x85y\x1fz 12345 a--b \x00\x7f", " leading and trailing  ", "\n", "don't DON'T 'em 's"]
 
