@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import bpe, huffman, langid, maxscore, ngrams, packing, quality, substrings, warc
+from gridloom.llm import bpe, huffman, langid, maxscore, ngrams, packing, periodic, quality, substrings, warc
 from gridloom.llm.common import read
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -65,6 +65,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents")).drop("host")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's runs. Null texts, repeated keys and empty tables: see periodic.find_runs."""
+    return periodic.digest(periodic.find_runs(periodic.with_tails(read(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_vector_packing": op2_vector_packing,
@@ -76,6 +81,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_warc_round_trip": op9_warc_round_trip,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES = {
@@ -85,4 +91,5 @@ ORACLES = {
     "op7_suffix_array_dedup": substrings.ORACLE_BYTES,
     "op9_warc_round_trip": warc.ORACLE,
     "op10_quality_rules": quality.ORACLE,
+    "op11_periodic_runs": periodic.ORACLE,
 }
