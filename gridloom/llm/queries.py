@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import bpe, huffman, langid, maxscore, ngrams, packing, periodic, quality, substrings, warc
+from gridloom.llm import bpe, huffman, langid, maxscore, ngrams, packing, periodic, quality, substrings, tagpaths, warc
 from gridloom.llm.common import read
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -70,6 +70,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.find_runs(periodic.with_tails(read(spark, sf_dir, "documents"))))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's article. Null and empty pages, repeated keys: see tagpaths.extract."""
+    return tagpaths.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_vector_packing": op2_vector_packing,
@@ -82,6 +87,7 @@ QUERIES = {
     "op9_warc_round_trip": op9_warc_round_trip,
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_main_text": op12_main_text,
 }
 
 ORACLES = {
@@ -92,4 +98,5 @@ ORACLES = {
     "op9_warc_round_trip": warc.ORACLE,
     "op10_quality_rules": quality.ORACLE,
     "op11_periodic_runs": periodic.ORACLE,
+    "op12_main_text": tagpaths.ORACLE,
 }
