@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import bpe, huffman, langid, maxscore, ngrams, packing, periodic, quality, substrings, tagpaths, warc
+from gridloom.llm import bpe, huffman, langid, maxscore, ngrams, packing, periodic, quality, substrings, tagpaths, warc, whitening
 from gridloom.llm.common import read
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -75,6 +75,11 @@ def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagpaths.extract(read(spark, sf_dir, "pages"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's whitened components. Bad vectors, repeated rows and empty tables: see whitening.whiten."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_vector_packing": op2_vector_packing,
@@ -88,6 +93,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_main_text": op12_main_text,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
