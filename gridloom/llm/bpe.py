@@ -33,6 +33,9 @@ DIRECT = 192
 SCAN = 64
 #: Pieces of up to so many bytes are remembered, and so many of them, and of pairs of tokens.
 SHORT, KEPT = 8, 400_000
+#: Pieces of a long word of so many bytes or more are remembered while it is encoded: where it repeats
+#: itself, its halves and the windows at their boundaries come again and again.
+LARGE = 48
 #: Tokens that a leaf of the decoding tree looks up.
 DECODE_LEAF = 4096
 
@@ -52,7 +55,8 @@ class Codec:
         self.split, self.split_any = narrow(pattern), regex.compile(pattern).findall
         self.pairs: dict[tuple[int, int], list[int]] = {}
         self.pieces: dict[bytes, list[int]] = {}
-        self.cache = WordCache(lambda word: array("I", self.encode(word.encode())).tobytes())
+        self.large: dict[bytes, list[int]] = {}
+        self.cache = WordCache(lambda word: array("I", self.word(word.encode())).tobytes())
 
     @classmethod
     def of(cls, path: str, pattern: str) -> "Codec":
@@ -109,12 +113,23 @@ class Codec:
             i = after[i]
         return out
 
+    def word(self, data: bytes) -> list[int]:
+        """encode, and then forget the word's large pieces."""
+        out = self.encode(data)
+        self.large.clear()
+        return out
+
     def encode(self, data: bytes) -> list[int]:
         """The ids of one word: halves are encoded by themselves and joined."""
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
         n = len(data)
+        if n >= LARGE:
+            known = self.large.get(data)
+            if known is None:
+                known = self.large[data] = self.join(self.encode(data[: n // 2]), self.encode(data[n // 2 :]))
+            return known
         if n > SHORT:
             return self.join(self.encode(data[: n // 2]), self.encode(data[n // 2 :]))
         known = self.pieces.get(data)

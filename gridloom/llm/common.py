@@ -5,10 +5,11 @@ import gc
 import os
 import tempfile
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import wraps
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space that separates words, as a character class for Java, Python and RE2 patterns.
@@ -35,16 +36,8 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/gridloom-{uuid.uuid4().hex}"
 
 
-def settle(spark: SparkSession) -> None:
-    """Let the engine's cleaner know of plans that nothing refers to any more, so that it removes their
-    shuffle files now and not when the driver next happens to collect its garbage."""
-    gc.collect()
-    if hasattr(spark, "_jvm"):
-        spark._jvm.System.gc()
-
-
-#: Folders that stage() wrote, for each staged_folders() block that is open.
-_open: list[list[str]] = []
+#: Folders that stage() wrote, for each staged_folders() block that this thread is in.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("staged", default=())
 
 
 @contextmanager
@@ -52,21 +45,36 @@ def staged_folders():
     """A list of all that stage() writes within the block, for callers that materialise what comes of
     it and then remove the rest."""
     made: list[str] = []
-    _open.append(made)
+    token = _open.set((*_open.get(), made))
     try:
         yield made
     finally:
-        _open.pop()
+        _open.reset(token)
+
+
+#: The engine's switch for removing a query's shuffle files when it ends, not when its plan is collected.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession):
+    """Writes within the block leave no shuffle files."""
+    before = spark.conf.get(TIDY, "false")
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(TIDY, before)
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Write df below the shared folder and read it back: the lineage ends there, and a lost
     executor costs no recomputation of what came before."""
     spark = df.sparkSession
-    settle(spark)
     path = shared_folder(spark)
-    df.write.parquet(path)
-    for made in _open:
+    with tidy(spark):
+        df.write.parquet(path)
+    for made in _open.get():
         made.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
@@ -109,18 +117,30 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def column(name: str) -> Column:
+    """The column of this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns called c0, c1, ..., so that no name of theirs meets one of ours; and what each
+    is called now. toDF(*names) gives the names back."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]), {c: f"c{k}" for k, c in enumerate(df.columns)}
+
+
 #: A row's own key, where ids don't tell rows apart (see rows_of).
 ROW = "__row"
 
 
 def repeats(df: DataFrame, key: str = "doc_id") -> bool:
     """Whether rows share a non-null key: a count over the key column alone."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(1).count() > 0
+    return df.select(column(key).alias("k")).where("k IS NOT NULL").groupBy("k").count().where("count > 1").limit(1).count() > 0
 
 
 def rows_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """df with ROW, a number for each row in the order of key (nulls last) and text; written to the
-    shared folder, as the numbers must not change between readers."""
+    shared folder, as the numbers must not change between readers. df has no column of that name: its
+    own are numbered() where they can be anything."""
     ordered = df.orderBy(F.col(key).cast("long").asc_nulls_last(), F.col(text).cast("string"))
     return stage(ordered.withColumn(ROW, F.monotonically_increasing_id()))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.blocks import part_keys
-from gridloom.llm.common import lean, partitions, remove, shared_folder
+from gridloom.llm.common import column, lean, partitions, remove, shared_folder
 from gridloom.llm.tokens import Encoder
 
 MAX_BITS = 18
@@ -164,16 +164,20 @@ def _tokenised(docs: DataFrame, path: str, pattern: str, end_id: int, n: int, vo
     return _in_order(docs, n).mapInArrow(lean(run), TOKENS)
 
 
-def write_corpus(docs: DataFrame, path: str, pattern: str, end_id: int = 2, key: str = "doc_id", text: str = "text", vocabulary: int = 1 << 17) -> str:
+def write_corpus(docs: DataFrame, path: str, pattern: str, end_id: int = 2, key: str = "doc_id", text: str = "text", vocabulary: int | None = None) -> str:
     """Tokenise docs, count ids over all of them, write the files; returns the folder.
 
     Documents go in ascending key order, those without a key first; rows that repeat a key each
     count. Null text is empty: such a document is its end id alone. An empty table gives files without
-    documents. vocabulary bounds the ids, and
-    with them what the driver gathers: one count an id.
+    documents. vocabulary is the number of
+    ids, that of the tokenizer if none is given; it bounds what the driver gathers: one count an id.
     """
     spark = docs.sparkSession
-    given = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
+    if end_id > np.iinfo(Encoder.of(path, pattern).dtype).max:
+        raise ValueError(f"end_id {end_id} is larger than the ids that this tokenizer's files hold")
+    if vocabulary is None:
+        vocabulary = max(max(Encoder.of(path, pattern).library.get_vocab().values()), end_id) + 1
+    given = docs.select(column(key).cast("long").alias("k"), column(text).cast("string").alias("t"))
     root, staged = shared_folder(spark), shared_folder(spark)
     _tokenised(given, path, pattern, end_id, partitions(spark), vocabulary).write.option("compression", "zstd").parquet(staged)
     read = spark.read.schema(TOKENS).parquet(staged)
@@ -239,7 +243,8 @@ def read_corpus(spark: SparkSession, root: str, with_ids: bool = False) -> DataF
     """doc_id, start, n_tokens, ids_crc32 (and ids) from the files, decoded block by block.
 
     start is the number of ids of all documents before: those of earlier range partitions (one
-    number a partition), then those before it in its own.
+    number a partition), then those before it in its own. A corpus without documents gives no rows;
+    rows that shared a key each come back.
     """
     row = spark.read.parquet(f"{root}/code").first()
     lengths = np.frombuffer(bytes(row["lengths"]), np.uint8)

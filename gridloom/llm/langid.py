@@ -15,17 +15,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from gridloom.llm.common import lean
+from gridloom.llm.common import column, lean
 
 BUCKETS = 1 << 16
 DIM = 16
-#: Labelled documents a language, at most, that the classifier is fitted on.
-SAMPLE_PER_LANG = 1500
+#: Labelled documents a language, and of all languages together, that the classifier is fitted on at
+#: most. Every language is learned: the more there are, the fewer documents of each.
+SAMPLE_PER_LANG, SAMPLE = 1500, 12_000
+#: Buckets of a labelled document that are learned from: those with the largest shares. With the
+#: bound above it bounds what the driver gathers.
+FEATURES = 8192
 EPOCHS = 6
-#: Languages that are learned, at most: those with most labelled documents. It bounds the model, and
-#: what the driver gathers where the column holds anything but languages.
-MOST_LANGS = 200
 #: Texts are turned into features in pieces of about so many bytes at once.
 CHUNK = 1 << 20
 #: Accepted predictions must reach this accuracy on the calibration part.
@@ -77,17 +79,24 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Languages, the table of logits a bucket, temperature and thresholds: what prediction needs.
+    """Languages, embeddings and weights, temperature and thresholds: what prediction needs.
 
-    The table's last column is 1 for buckets met in training.
+    The table has a row for each bucket: its logits where the languages are fewer than the embedding's
+    dimensions, else its embedding, and out has the weights that make logits of a mean. So its size
+    doesn't grow with the languages. Its last column is 1 for buckets met in training.
     """
 
-    def __init__(self, langs: list[str], table: np.ndarray, met: np.ndarray, temperature: float = 1.0, threshold: float = 1.0, least_met: float = 1.0):
-        self.langs, self.table = langs, np.column_stack([table, met]).astype(np.float32)
+    def __init__(self, langs: list[str], emb: np.ndarray, out: np.ndarray, met: np.ndarray, temperature: float = 1.0, threshold: float = 1.0, least_met: float = 1.0):
+        few = out.shape[1] <= out.shape[0]
+        self.langs, self.table, self.out = langs, np.column_stack([emb @ out if few else emb, met]).astype(np.float32), None if few else out
         self.temperature, self.threshold, self.least_met = temperature, threshold, least_met
 
     def means(self, texts: list) -> np.ndarray:
         """A row for each text: logits, and the share of its n-grams that were met in training."""
+        x = self._means(texts)
+        return x if self.out is None else np.column_stack([x[:, :-1] @ self.out, x[:, -1]])
+
+    def _means(self, texts: list) -> np.ndarray:
         out, batch, size = [], [], 0
         for t in texts:
             data = _prepared(t)
@@ -149,7 +158,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, epochs:
     """Fit on (buckets, shares, language) rows; every tenth row calibrates instead."""
     langs = sorted({lang for _, _, lang in rows})
     if not langs:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(BUCKETS))
+        return Model([], np.zeros((BUCKETS, DIM)), np.zeros((DIM, 0)), np.zeros(BUCKETS))
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1, 1, (BUCKETS, DIM)) / DIM
     emb[0] = 0
@@ -171,8 +180,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, epochs:
             back = out @ g
             out -= step * np.outer(x, g)
             emb[ids] -= step * share[:, None] * back[None, :] * len(ids) ** 0.5
-    table = emb @ out
-    z = np.array([share @ table[ids] if len(ids) else np.zeros(len(langs)) for ids, share, _ in (rows[r] for r in held)])
+    z = np.array([(share @ emb[ids]) @ out if len(ids) else np.zeros(len(langs)) for ids, share, _ in (rows[r] for r in held)])
     truth = np.array([number[rows[r][2]] for r in held])
     heats = np.geomspace(0.02, 20, 60)
     # half of one text and half of another language's count as both: without them separable
@@ -190,7 +198,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7, epochs:
     met = np.bincount(np.concatenate([rows[r][0] for r in fit]), minlength=BUCKETS)
     own = held is fit
     share_met = np.array([share[met[ids] > own].sum() for ids, share, _ in (rows[r] for r in held)])
-    return Model(langs, table, met > 0, heat, accept_from(score, right), least_met(share_met[right]))
+    return Model(langs, emb, out, met > 0, heat, accept_from(score, right), least_met(share_met[right]))
 
 
 def accept_from(score: np.ndarray, right: np.ndarray) -> float:
@@ -222,31 +230,40 @@ def least_met(share: np.ndarray) -> float:
     return max(2 * low - 1, np.finfo(np.float32).tiny)
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = SAMPLE_PER_LANG, most: int = MOST_LANGS) -> Model:
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = SAMPLE_PER_LANG, most: int = SAMPLE) -> Model:
     """Train on labelled rows of docs whose crc32 of the key mod 4 is not 2.
 
-    About per_lang rows of each of the most frequent languages are taken, by a hash of the key;
-    features are counted on the executors over whole texts, so that the driver gets at most per_lang
-    sparse rows a language. Rows with a null key, text or language teach nothing.
+    About per_lang rows of each language are taken, by a hash of the key, and fewer where there are
+    so many languages that all together would be more than most; features are counted on the executors
+    over whole texts, so that the driver gets a bounded number of sparse rows. Every language is
+    learned; more languages than most are an error: such a column holds something else. Rows with a null key, text
+    or language teach nothing.
     """
-    rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("y"))
+    rows = docs.select(column(key).alias("k"), column(text).cast("string").alias("t"), column(lang).cast("string").alias("y"))
     rows = rows.where(F.col("y").isNotNull() & F.col("t").isNotNull() & F.col("k").isNotNull() & ~held_out(F.col("k")))
-    share = {r["y"]: min(1.0, per_lang / r["count"]) for r in rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(most).collect()}
-    if not share:
+    found = rows.groupBy("y").count().orderBy("y").limit(most + 1).collect()
+    if not found:
         return train([])
-    slots = 1 << 20
-    wanted = F.create_map(*[F.lit(x) for y, s in sorted(share.items()) for x in (y, int(s * slots))])
-    picked = rows.where(F.pmod(F.xxhash64("k"), F.lit(slots)) < F.element_at(wanted, F.col("y")))
+    if len(found) > most:
+        raise ValueError(f"column {lang} has more than {most} values: these are no languages")
+    quota = min(per_lang, max(1, most // len(found)))
+    slots = 1 << 30
+    wanted = docs.sparkSession.createDataFrame([(r["y"], min(slots, -(-quota * slots // r["count"]))) for r in found], "y string, slots long")
+    # a row a language, most at most: bounded, whatever the corpus
+    picked = rows.join(F.broadcast(wanted), "y").where(F.pmod(F.xxhash64("k"), F.lit(slots)) < F.col("slots"))
 
     def count(batches):
         for b in batches:
             for k, t, y in zip(b["k"].to_pylist(), b["t"].to_pylist(), b["y"].to_pylist(), strict=True):
                 ids, share = features(t)
+                if len(ids) > FEATURES:
+                    top = np.sort(np.argsort(-share, kind="stable")[:FEATURES])
+                    ids, share = ids[top], share[top]
                 yield pa.RecordBatch.from_pydict({"k": [k], "y": [y], "ids": [ids.tobytes()], "share": [share.tobytes()]}, pa.schema([("k", pa.int64()), ("y", pa.string()), ("ids", pa.binary()), ("share", pa.binary())]))
 
-    found = picked.withColumn("k", F.col("k").cast("long")).mapInArrow(lean(count), "k long, y string, ids binary, share binary").collect()
-    found.sort(key=lambda r: (r["k"], r["y"], bytes(r["ids"])))
-    return train([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["share"], np.float32), r["y"]) for r in found])
+    sample = picked.select(F.col("k").cast("long").alias("k"), "t", "y").mapInArrow(lean(count), "k long, y string, ids binary, share binary").collect()
+    sample.sort(key=lambda r: (r["k"], r["y"], bytes(r["ids"])))
+    return train([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["share"], np.float32), r["y"]) for r in sample])
 
 
 def held_out(key):
@@ -257,11 +274,10 @@ def _predicted(docs: DataFrame, model: Model, text: str, columns: tuple[str, ...
     """c0, c1, ... (columns of docs, whatever their names), lang_pred, score and rejected.
 
     Texts are taken whole, a batch at a time; the model travels once to each executor
-    (its size is BUCKETS x languages numbers, whatever the corpus).
+    (its size is BUCKETS x DIM numbers at most, whatever the corpus).
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    given = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)], F.col(f"`{text}`").cast("string").alias("_t"))
-    fields = given.schema.fields[:-1]
+    given = docs.select(*[column(c).alias(f"c{k}") for k, c in enumerate(columns)], column(text).cast("string").alias("_t"))
 
     def predict(batches):
         m = shared.value
@@ -270,8 +286,8 @@ def _predicted(docs: DataFrame, model: Model, text: str, columns: tuple[str, ...
             arrays = [*b.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*b.schema.names[:-1], "lang_pred", "score", "rejected"])
 
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in fields), "lang_pred string, score double, rejected boolean"])
-    return given.mapInArrow(lean(predict), schema)
+    kinds = [("lang_pred", StringType()), ("score", DoubleType()), ("rejected", BooleanType())]
+    return given.mapInArrow(lean(predict), StructType([*given.schema.fields[:-1], *[StructField(n, t) for n, t in kinds]]))
 
 
 def with_language(docs: DataFrame, model: Model, text: str = "text", columns: tuple[str, ...] = ()) -> DataFrame:
@@ -301,4 +317,4 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     names, model = tuple(docs.columns), fit(docs)
     if model.langs and model.threshold > 1:
         raise ValueError(f"no score of the language model makes {TARGET:.0%} of its predictions right: check the labels")
-    return _predicted(docs, model, "text", names).where(~F.col("rejected")).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+    return _predicted(docs, model, "text", names).where(~F.col("rejected")).select(*[f"c{k}" for k in range(len(names))]).toDF(*names)

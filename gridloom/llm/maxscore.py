@@ -25,6 +25,8 @@ K = 20
 SCALE = 64.0
 #: Queries in a block, and candidates in a shard.
 QUERY_BLOCK, SHARD = 4096, 32768
+#: Candidates that give each query a first floor.
+PROBE = 2048
 #: Candidates that are scored together.
 TILE = 2048
 
@@ -41,6 +43,11 @@ def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding"
     return rows.select(F.col(f"`{key}`").cast("long").alias("key"), F.transform(x, lambda c: F.floor(F.lit(scale) * c.cast("double")).cast("long")).alias("v"))
 
 
+def magnitude(v: np.ndarray) -> int:
+    """The largest absolute value, as a number without bounds."""
+    return max(int(v.max(initial=0)), -int(v.min(initial=0)))
+
+
 class Shard:
     """Postings of some candidates: by term, the candidates that have it and their weights."""
 
@@ -48,7 +55,7 @@ class Shard:
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
         width = max((len(v) for v in vectors), default=0)
-        big = max((int(np.abs(v).max()) for v in vectors if len(v)), default=0)
+        big = max((magnitude(v) for v in vectors), default=0)
         #: 32 bits hold every score if the weights are small; callers ask for 64 otherwise
         self.big, self.width = big, width
         self.weights = np.zeros((width, len(keys)), np.int64)
@@ -59,17 +66,22 @@ class Shard:
             w = np.ascontiguousarray(self.weights[:, at : at + TILE])
             self.tiles.append((at, w, w.max(1, initial=0), w.min(1, initial=0), w.astype(np.float64)))
 
-    def top(self, query: np.ndarray, own, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and scores of the k best candidates, but for the key own, smaller keys first among ties."""
+    def top(self, query: np.ndarray, own, k: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and scores of the k best candidates, but for the key own, smaller keys first among ties;
+        those below floor, where there is one, may be left out. An error where a score may not fit 64 bits."""
+        known = floor
         keys, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
         terms = np.flatnonzero(query[: self.width])
-        exact = int(np.abs(query).max(initial=0)) * self.big * max(1, len(terms)) < 1 << 53
+        most = magnitude(query) * self.big * max(1, len(terms))
+        if most >= 1 << 63:
+            raise OverflowError("inner products of these weights may not fit 64 bits")
+        exact = most < 1 << 53
         for at, w, high, low, dense in self.tiles:
             q = query[terms]
             bound = np.maximum(q * high[terms], q * low[terms])
             order = np.argsort(-bound, kind="stable")
             rest = np.append(np.cumsum(bound[order][::-1])[::-1], 0)
-            floor = scores[-1] if len(scores) == k else None
+            floor = max(known, int(scores[-1])) if len(scores) == k and known is not None else scores[-1] if len(scores) == k else known
             # essential: the shortest prefix after which the bounds that remain are below what the
             # essential part leaves typically open; at least one, all while no k-th score is known
             n = len(order) if floor is None else int(np.searchsorted(-rest, -max(1, floor), side="left"))
@@ -111,16 +123,34 @@ def _flat(column: pa.ListArray) -> list[np.ndarray]:
     return np.split(column.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]], ends[1:-1] - ends[0]) if len(column) else []
 
 
+def _floors(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """queries with floor, the k-th best score among PROBE candidates: no list of all candidates ends below
+    it. Every shard starts from it, so that it prunes from its first tile and sends little that doesn't last."""
+    some = [np.array(r["v"], np.int64) for r in candidates.select("v").limit(PROBE).collect()]  # PROBE rows at most
+    schema = "q long, key long, v array<long>, floor long"
+    if len(some) < k:
+        return queries.select("q", "key", "v", F.lit(None).cast("long").alias("floor"))
+    shared = queries.sparkSession.sparkContext.broadcast((np.arange(len(some)), some))
+
+    def run(batches):
+        s = Shard(*shared.value)
+        for b in batches:
+            floor = [int(s.top(v, None, k)[1][-1]) for v in _flat(b["v"])]
+            yield pa.RecordBatch.from_arrays([b["q"], b["key"], b["v"], pa.array(floor, pa.int64())], names=["q", "key", "v", "floor"])
+
+    return queries.mapInArrow(lean(run), schema)
+
+
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest inner products of each query over candidates.
 
     Both frames have (key, v). Ties go to the smaller key. A query is one row: where rows repeat a
     key each has a list of its own, and one candidate with its key and vector is the query itself and
     takes no part; other rows of its key do. Vectors of different lengths meet in the components that
-    both have; an empty side gives no rows.
+    both have; an empty side gives no rows. Weights whose inner products may not fit 64 bits are an error.
     """
     spark = candidates.sparkSession
-    asked = stage(queries.select(F.monotonically_increasing_id().alias("q"), "key", "v"))
+    asked = stage(_floors(queries.select(F.monotonically_increasing_id().alias("q"), "key", "v"), candidates, k + 1))
     where = asked._staged
 
     def meet(batches):
@@ -131,11 +161,11 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, shard: int = SH
 
         def best():
             s = Shard(np.concatenate(keys), vectors)
-            for some in files.to_batches(columns=["q", "key", "v"], batch_size=block):
+            for some in files.to_batches(columns=["q", "key", "v", "floor"], batch_size=block):
                 out = []
-                for q, key, v in zip(some["q"].to_pylist(), some["key"].to_pylist(), _flat(some["v"]), strict=True):
+                for q, key, v, floor in zip(some["q"].to_pylist(), some["key"].to_pylist(), _flat(some["v"]), some["floor"].to_pylist(), strict=True):
                     # one more than asked for: the query itself may be among them
-                    found, score = s.top(v, None, k + 1)
+                    found, score = s.top(v, None, k + 1, floor)
                     out.append((np.full(len(found), q), np.full(len(found), key), found, score, (found == key) & (score == int(v @ v))))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*out, strict=True), _FOUND, strict=True)], schema=_FOUND)

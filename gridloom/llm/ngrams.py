@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, messages, mix, note, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
-from gridloom.llm.common import ROW, lean, partitions, release, repeats, rows_of, stage
+from gridloom.llm.common import ROW, column, lean, numbered, partitions, release, remove, repeats, rows_of, stage, staged_folders
 from gridloom.llm.components import connected
 from gridloom.llm.words import Words, grams
 
@@ -201,10 +201,10 @@ def _candidates(rows: DataFrame, keys: list[int]) -> DataFrame:
                         seen.add(key)
                         pairs.append((*key, None, None))
             if ok.sum() > 1:
-                column = (int(h["doc"]), rest[ok | (~ok)].tobytes())
-                if hash(column) not in columns:
-                    columns.add(hash(column))
-                    pairs.append((None, None, *column))
+                entries = (int(h["doc"]), rest.tobytes())
+                if entries not in columns:
+                    columns.add(entries)
+                    pairs.append((None, None, *entries))
             if len(pairs) >= 4096:
                 yield _pairs(pairs)
                 pairs = []
@@ -299,7 +299,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     their words; it equals no five-word one. Repeated rows and repeated n-grams count once; an empty
     table gives no rows.
     """
-    given = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    given = docs.where(column(key).isNotNull()).select(column(key).cast("long").alias("doc_id"), column(text).cast("string").alias("text"))
     return _components(given.groupBy("doc_id").agg(F.collect_set("text").alias("text")) if repeats(given) else given)
 
 
@@ -364,13 +364,20 @@ def kept_documents(docs: DataFrame) -> DataFrame:
 
     Every row is judged by its own text, rows that share an id and rows without one too; the
     first is the one with the smallest id, of those the one with the least text, and rows without
-    an id come last.
+    an id come last. Null and empty texts equal nothing and stay; an empty table stays empty. Columns
+    may have any name.
     """
-    alike = repeats(docs) or docs.where("doc_id is null").limit(1).count()
-    rows, key = (rows_of(docs), ROW) if alike else (docs, "doc_id")
-    parts = _components(rows.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    gone = parts.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    return rows.join(gone, F.col(key).cast("long") == F.col("_gone"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    given, names = numbered(docs)
+    key, text = names["doc_id"], names["text"]
+    alike = repeats(given, key) or given.where(F.col(key).isNull()).limit(1).count()
+    rows, own = (rows_of(given, key, text), ROW) if alike else (given, key)
+    with staged_folders() as made:
+        parts = _components(rows.select(F.col(own).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
+    gone = stage(parts.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")))
+    for path in made:
+        remove(docs.sparkSession, path)
+    kept = rows.join(gone, F.col(own).cast("long") == F.col("gone"), "left_anti")
+    return kept.select(*given.columns).toDF(*docs.columns)
 
 
 ORACLE = r"""

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import lean
+from gridloom.llm.common import column, lean
 from gridloom.llm.tokens import Encoder
 
 MAX_TOKENS = 2048
@@ -149,6 +149,36 @@ def _examples(rows: list, base: int):
         rows.clear()
 
 
+#: A sequence of conversations holds at most so many tokens, conversations, and tokens that bear loss.
+CHAT = {"max_tokens": 8192, "max_segments": 6, "max_loss": 4096}
+
+
+def conversation_sizes(turns: DataFrame, path: str, pattern: str, key: str = "conv_id", role: str = "role", text: str = "text", learned: str = "assistant") -> DataFrame:
+    """key, tokens, loss: what each conversation asks for. Every turn ends in an id of its own; those of
+    the learned role bear loss.
+
+    Turns are tokenised where they are, and only their sizes are summed up by conversation. Null text is
+    empty; a null role bears no loss; turns without a key are one conversation; an empty table gives no rows.
+    """
+    given = turns.select(column(key).cast("long").alias("k"), F.coalesce(column(role) == learned, F.lit(False)).alias("learned"), column(text).cast("string").alias("t"))
+
+    def run(batches):
+        encoder = Encoder.of(path, pattern)
+        for b in batches:
+            n = [len(x) + 1 for x in encoder.encode(b["t"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([b["k"], b["learned"], pa.array(n, pa.int64())], names=["k", "learned", "n"])
+
+    sizes = given.mapInArrow(lean(run), "k long, learned boolean, n long")
+    return sizes.groupBy(F.col("k").alias(key)).agg(F.sum("n").alias("tokens"), F.coalesce(F.sum(F.when(F.col("learned"), F.col("n"))), F.lit(0)).alias("loss"))
+
+
+def pack_conversations(turns: DataFrame, path: str, pattern: str, **limits) -> DataFrame:
+    """conv_id, skip, tokens, sequence_id, offset: conversations packed under limits on tokens, conversations
+    and tokens that bear loss (CHAT unless given). Longer ones are cut; see conversation_sizes for nulls."""
+    sizes = conversation_sizes(turns, path, pattern)
+    return pack_examples(sizes, "conv_id", cut=True, **CHAT | limits).withColumn("conv_id", F.col("conv_id").cast("long"))
+
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 

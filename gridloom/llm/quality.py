@@ -8,7 +8,7 @@ hosts (method of moments, less binomial chance), and hosts whose shrunk rate pas
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import SPACE, stage
+from gridloom.llm.common import SPACE, column, numbered, stage
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -28,8 +28,8 @@ def with_base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     compared by a 64-bit hash within their own document.
     """
     keep = [c for c in docs.columns if c not in BASE]
-    here = [F.col(f"`{c}`") for c in keep]
-    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    here = [column(c) for c in keep]
+    body = F.coalesce(column(text).cast("string"), F.lit(""))
     words = docs.select(
         *here,
         F.array_remove(F.split(body, f"{SPACE}+"), "").alias("_w"),
@@ -58,7 +58,7 @@ def with_base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def host_of(source: str = "source") -> Column:
     """The host: the source in lower case; null stays null and has no host verdict."""
-    return F.lower(F.col(f"`{source}`").cast("string"))
+    return F.lower(column(source).cast("string"))
 
 
 def host_verdicts(base: DataFrame, host: str = "host", max_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -70,7 +70,8 @@ def host_verdicts(base: DataFrame, host: str = "host", max_rate: float = MAX_HOS
     their sizes: many small hosts that differ by chance only are shrunk as far as the bounds allow.
     No hosts give no rows.
     """
-    hosts = base.where(F.col(host).isNotNull()).groupBy(host).agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
+    # written, as the fit and the verdicts read the sums again: base is looked at once
+    hosts = stage(base.groupBy(host).agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))).where(F.col(host).isNotNull())
     total = hosts.agg(F.sum("n_docs").alias("n"), F.sum("n_failed").alias("f"), F.count("*").alias("k")).first()
     if not total["n"]:
         return hosts.select(host, "n_docs", "n_failed", F.lit(0.0).alias("host_rate"), F.lit(False).alias("host_failed"))
@@ -101,19 +102,22 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that quality() keeps. Repeated rows are judged alike;
-    null and empty texts fail; a null source has no host verdict; an empty table stays empty.
+    null and empty texts fail; a null source has no host verdict; an empty table stays empty. Columns
+    may have any name.
 
-    The rows are written once with what the base rules say of them: the rules run once, the sums by
-    host read two columns, and the filter stands on a stored column, below no expression.
+    The base rules run twice, once for the sums by host and once for the rows that stay: only the
+    hosts that fail are written in between.
     """
-    columns = docs.columns
-    given = docs.select(*[F.col(f"`{c}`").alias(f"d_{k}") for k, c in enumerate(columns)], host_of().alias("host"))
-    judged = stage(with_base_rules(given, f"d_{columns.index('text')}").select(*given.columns, "base_failed"))
+    given, names = numbered(docs)
+    judged = with_base_rules(given.withColumn("host", host_of(names["source"])), names["text"])
     # written, so that its size is known: rows are not dealt by host, which may hold a third of them,
     # unless the hosts that fail are too many to broadcast; Spark can split a large host even then
     bad = stage(host_verdicts(judged.select("host", "base_failed"), "host").where("host_failed").select("host", F.lit(True).alias("_bad")))
-    flags = judged.where("NOT base_failed").join(bad, "host", "left").where(F.col("_bad").isNull())
-    return flags.select(*[F.col(f"d_{k}").alias(c) for k, c in enumerate(columns)])
+    # a filter would be pushed below the projections, which nests their expressions into one another
+    # beyond all measure; a row for each element of an array of one or none selects as well
+    passed = judged.withColumn("_passed", F.explode(F.when(~F.col("base_failed"), F.array(F.lit(True)))))
+    flags = passed.join(bad, "host", "left").where(F.col("_bad").isNull())
+    return flags.select(*given.columns).toDF(*docs.columns)
 
 
 ORACLE = r"""

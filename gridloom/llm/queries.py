@@ -21,6 +21,11 @@ def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), LIBRARY_FILE, PATTERN, end_id=1)
 
 
+def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, packed by tokens, count and loss: the packer of op2 where each limit can bind."""
+    return packing.pack_conversations(read(spark, sf_dir, "conversations"), LIBRARY_FILE, PATTERN)
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document and its component. Empty sets, repeated ids and empty tables: see ngrams.jaccard_components."""
     return ngrams.jaccard_components(read(spark, sf_dir, "documents"))
@@ -94,6 +99,7 @@ QUERIES = {
     "op11_periodic_runs": op11_periodic_runs,
     "op12_main_text": op12_main_text,
     "op13_whitening": op13_whitening,
+    "conversation_packing": conversation_packing,
 }
 
 ORACLES = {

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.blocks import DOCS, MESSAGE, by_part, gathered, low48, messages, mix, pack48, part_keys, part_of, per_document, runs, shared_entries, unpack48
-from gridloom.llm.common import ROW, lean, partitions, release, repeats, rows_of, stage
+from gridloom.llm.common import ROW, column, lean, partitions, release, repeats, rows_of, stage
 from gridloom.llm.words import _BASE, _BYTE, _SPACE, Words
 
 #: Bytes of text whose symbols are looked at together, and bytes of strings that are merged at once.
@@ -351,9 +351,9 @@ def lost_ranges(docs: DataFrame, kind: Kind, key: str = "doc_id", text: str = "t
     not lose to each other, but each loses what documents with smaller ids have; null text has no
     symbols; an empty table gives none.
     """
-    docs = docs.where(F.col(f"`{key}`").isNotNull())
+    docs = docs.where(column(key).isNotNull())
     if not carried:
-        docs = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"))
+        docs, (key, text) = docs.select(column(key).alias("c0"), column(text).alias("c1")), ("c0", "c1")
     alike = repeats(docs, key)
     dealt, lost = _found(rows_of(docs, key, text), kind, ROW, text, key, carried) if alike else _found(docs, kind, key, text, None, carried)
     out = dealt.join(lost.hint("shuffle_hash"), "doc_id", "left")

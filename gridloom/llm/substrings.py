@@ -11,9 +11,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gridloom.llm import bwt, subtrees
-from gridloom.llm.common import lean
+from gridloom.llm.common import lean, numbered
 from gridloom.llm.repeats import Kind, bytes_of, lost_ranges, words_of
 
 WORDS = Kind(13, 5, words_of, subtrees.window_classes, sharded=False)
@@ -98,17 +99,18 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     a key, each loses what documents with smaller ids have of its own text. Columns may have any
     name. An empty table stays empty.
     """
-    names = docs.columns
-    others = [c for c in names if c != "text"]
-    found = lost_ranges(docs, BYTES, carried=tuple(others))
-    place = {c: f"c{k}" for k, c in enumerate(others)} | {"text": "text"}
-    out = [place[c] for c in names]
+    given, names = numbered(docs)
+    key, text, chars = names["doc_id"], names["text"], names.get("n_chars")
+    others = [c for c in given.columns if c != text]
+    found = lost_ranges(given, BYTES, key, text, carried=tuple(others))
+    place = {c: f"c{k}" for k, c in enumerate(others)} | {text: "text"}
+    out = [place[c] for c in given.columns]
 
     def run(batches):
         for b in batches:
             columns = {c: b[c] for c in out}
             texts = b["text"].to_pylist()
-            counts = columns[place["n_chars"]].to_pylist() if "n_chars" in place else None
+            counts = columns[place[chars]].to_pylist() if chars else None
             for r, (copy, start, until) in enumerate(zip(*(b[c].to_pylist() for c in ("copy", "start", "until")), strict=True)):
                 if texts[r] is not None and (copy or start is not None):
                     kept, _, removed, _ = _cut_bytes(texts[r].encode("utf-8", "surrogatepass"), copy, *_ranges(start, until), BYTES.width)
@@ -118,14 +120,14 @@ def cut_documents(docs: DataFrame) -> DataFrame:
                             counts[r] = len(texts[r])
             columns["text"] = pa.array(texts, columns["text"].type)
             if counts is not None:
-                columns[place["n_chars"]] = pa.array(counts, columns[place["n_chars"]].type)
+                columns[place[chars]] = pa.array(counts, columns[place[chars]].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=out)
 
-    schema = ", ".join(f"{place[c]} {'string' if c == 'text' else docs.schema[c].dataType.simpleString()}" for c in names)
+    schema = StructType([StructField(place[c], StringType() if c == text else given.schema[c].dataType) for c in given.columns])
     # the key goes along, though nothing reads it: else the texts would be exchanged once more without it
     cut = found.select("doc_id", *out, "copy", "start", "until").mapInArrow(lean(run), schema)
-    cut = cut.select(*[F.col(place[c]).cast(docs.schema[c].dataType).alias(c) for c in names])
-    return cut.unionByName(docs.where(F.col("doc_id").isNull()))
+    cut = cut.select(*[F.col(place[c]).cast(given.schema[c].dataType) for c in given.columns])
+    return cut.union(given.where(F.col(key).isNull())).toDF(*docs.columns)
 
 
 ORACLE_WORDS = r"""

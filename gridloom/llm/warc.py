@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import partitions, remove, settle, shared_folder
+from gridloom.llm.common import partitions, remove, shared_folder, tidy
 
 #: Records with shorter payloads are never revisits.
 LEAST_REVISIT = 100
@@ -239,9 +239,8 @@ def archive(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     joined = rows.join(many, "digest", "left").withColumn("refers_to", F.when(~F.col("key").eqNullSafe(F.col("first")), F.col("first")))
     raw, out = shared_folder(spark), shared_folder(spark)
     listed, made = shared_folder(spark), shared_folder(spark)
-    write_archives(joined.select("key", "url", "payload", "digest", "refers_to"), raw).write.parquet(listed)
-    del rows, many, joined
-    settle(spark)  # the exchanged payloads are in the archives now
+    with tidy(spark):  # the exchanged payloads are in the archives then
+        write_archives(joined.select("key", "url", "payload", "digest", "refers_to"), raw).write.parquet(listed)
     files = spark.read.schema("path string, n long").parquet(listed).where("n > 0")
     normalise(files.repartition(partitions(spark), "path"), out).write.parquet(made)
     remove(spark, raw)
