@@ -3,13 +3,11 @@
 Each stage takes all that its predecessor kept and writes Parquet for its successor; all but the
 last return the columns of documents, whatever their names, and an empty table where they get one.
 
-A stage's rows are written before the next stage begins. What a stage staged in the shared folder
-on its way is then of no use any more, and the next one removes it (unless its own input still reads
-it, as where stages are put together without writing).
+What a stage's rows still read below the shared folder is small (hosts, ids of documents that went, or copies;
+the documents themselves only where their ids repeat) and stays as long as its caller wants; run()
+removes it once the rows are written.
 """
 
-from functools import wraps
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,56 +15,30 @@ from gridloom.llm import langid, ngrams, packing, quality, substrings
 from gridloom.llm.common import read, release, remove, stage, staged_folders
 
 
-#: What the last stage that ran has left in the shared folder.
-_left: list[str] = []
-
-
-def stage_of(step):
-    """A stage that removes what the one before it staged."""
-
-    @wraps(step)
-    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        read_now = docs.inputFiles() if _left else ()
-        for path in [p for p in _left if not any(p.rpartition("/")[2] in f for f in read_now)]:
-            remove(spark, path)
-            _left.remove(path)
-        with staged_folders() as made:
-            out = step(spark, docs, sf_dir)
-        _left.extend(made)
-        return out
-
-    return run_step
-
-
-@stage_of
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a base rule, or whose host does, go: null and empty texts among them.
     Repeated rows are judged alike."""
     return quality.kept_documents(docs)
 
 
-@stage_of
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language isn't recognised go, and those without a letter; where no label teaches
     any language, those with a letter stay."""
     return langid.kept_documents(docs)
 
 
-@stage_of
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one row stays: that with the smallest id, of those the one with
     the least text; rows without an id come last. Null and empty texts equal nothing and stay."""
     return ngrams.kept_documents(docs)
 
 
-@stage_of
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of 50 bytes that a document with a smaller id has are cut. No row goes; rows without an id,
     and null and short texts, stay as they are."""
     return substrings.cut_documents(docs)
 
 
-@stage_of
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, tokenised and packed into sequences: each piece with its token ids. Null and empty
     texts are their end id alone; every row is a document of its own."""
@@ -86,10 +58,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. What a stage kept is removed once its successor's rows are written."""
+    """The last stage's rows: a row a piece of each document that the others keep. Nulls, repeated rows and
+    ids, and columns of any name are treated as each stage says; an empty table gives no rows.
+
+    Each stage's rows are written and read again as the next one's documents. What it read on its way
+    is removed then, and its own rows once its successor's are written.
+    """
     docs, before = read(spark, sf_dir, "documents"), None
     for _, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
+        with staged_folders() as made:
+            kept = step(spark, docs, sf_dir)
+        docs = stage(kept)
+        for path in made:
+            remove(spark, path)
         if before is not None:
             release(before)
         before = docs
