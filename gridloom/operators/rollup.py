@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import hour_of
 from gridloom.operators.dedup import latest_version
+from gridloom.operators.ledger import Ledger, Segment, fresh
 from gridloom.operators.storage import between, newest, shifted
-from gridloom.operators.versions import store_of
 
 KEY = ("hour", "operator_id", "city", "tariff_id", "is_peak")
 
@@ -63,48 +63,45 @@ def reconciled(parts: DataFrame, raw: DataFrame) -> DataFrame:
     return merged(parts.where(outside)).unionByName(exact_day(raw, day))
 
 
-def append_parts(parts: DataFrame, path: str, batch: int | None = None) -> None:
-    """Add parts to the stored rollup, a folder a day. The parts of a stream's batch bear its number
-    and replace what the same batch wrote before."""
-    rows = parts.withColumn("day", F.date_format("hour", "yyyy-MM-dd")).withColumn("part", F.lit(-1 if batch is None else batch))
-    # only the folders (day, part) that rows have are replaced
-    rows.repartition("day").write.mode("append" if batch is None else "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "part").parquet(path)
+def _ledger(spark: SparkSession, path: str) -> Ledger:
+    return Ledger(spark, path, "day")
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame:
-    """The rollup as read: all parts, and exact days, summed up by key."""
-    recover_days(spark, path)
-    return merged(spark.read.parquet(path))
+def _write(rows: DataFrame, path: str, label: str | None = None) -> list[Segment]:
+    """Write parts as new segments of their days. They don't count yet."""
+    name = fresh()
+    days = rows.withColumn("day", F.date_format("hour", "yyyy-MM-dd")).withColumn("seg", F.lit(name))
+    days.repartition("day").write.mode("append").partitionBy("day", "seg").parquet(path)
+    return _ledger(rows.sparkSession, path).written(name, label)
+
+
+def append_parts(parts: DataFrame, path: str, batch: int | None = None) -> None:
+    """Add parts to the stored rollup, by day. The parts of a stream's batch bear its number and take the
+    place of what the same batch wrote before."""
+    label = None if batch is None else f"batch {batch}"
+    made, ledger = _write(parts, path, label), _ledger(parts.sparkSession, path)
+    before = [s for s in ledger.live() if label is not None and s.label == label]
+    ledger.commit(made, before)
 
 
-def recover_days(spark: SparkSession, path: str) -> None:
-    """Undo or finish a replacement of a day that was cut off."""
-    store, of = store_of(spark, path)
-    for f in store.listStatus(of(path)) if store.exists(of(path)) else ():
-        name = f.getPath().getName()
-        if name.startswith("_aside_"):
-            place = of(f"{path.rstrip('/')}/day={name[len('_aside_') :]}")
-            if store.exists(place):
-                store.delete(f.getPath(), True)
-            else:
-                store.rename(f.getPath(), place)
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The rollup as read: all parts that count at this moment, and exact days, summed up by key."""
+    rows = _ledger(spark, path).read()
+    if rows is None:
+        raise FileNotFoundError(f"there is no rollup at {path}")
+    return merged(rows)
 
 
 def overwrite_day(raw: DataFrame, path: str) -> tuple[str, str] | None:
     """Put the exact rows of the previous day in place of its parts in the stored rollup; returns the day.
 
-    A day whose events are all gone loses its parts. A complete copy of the day exists at any moment.
+    A day whose events are all gone loses its parts. Parts that come while the exact ones are made stay
+    beside them, until the next time; so do readers with what they have bound to.
     """
     spark, day = raw.sparkSession, day_before(raw)
     if day is None:
         return None
-    recover_days(spark, path)
-    store, of = store_of(spark, path)
-    root, name = path.rstrip("/"), day[0][:10]
-    exact_day(raw, day).withColumn("part", F.lit(-1)).coalesce(1).write.mode("overwrite").partitionBy("part").parquet(f"{root}/_fresh_{name}")
-    place, fresh, aside = (of(f"{root}/{n}") for n in (f"day={name}", f"_fresh_{name}", f"_aside_{name}"))
-    if store.exists(place):
-        store.rename(place, aside)
-    store.rename(fresh, place)
-    store.delete(aside, True)
-    return day
+    ledger = _ledger(spark, path)
+    old = [s for s in ledger.live() if s.slice == day[0][:10]]
+    made = _write(exact_day(raw, day), path)
+    return day if ledger.commit(made, old) else None

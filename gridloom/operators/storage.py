@@ -1,28 +1,118 @@
-"""The landing table: monthly partitions, sorted files, compaction, retention."""
+"""The landing table: by month, bucketed by event, read and replaced by a ledger; compaction, retention.
 
+Files of a month are dealt into buckets by event id, a part of the version key, and sorted by that key.
+So versions of one event lie in one bucket, and whoever removes stale ones reads buckets where they lie
+instead of shuffling. Event ids are spread evenly whatever a station sends.
+
+Bloom filters on event and session ids, and the sort order, let readers skip row groups. Buckets need a table in the
+session's catalog: one is registered for each path, and knows the months and segments that reads have
+met; what counts is told by the ledger.
+"""
+
+import hashlib
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridloom.functions.scalars import year_month
 from gridloom.functions.schema import VERSION_KEY
 from gridloom.operators.dedup import latest_version
+from gridloom.operators.ledger import KEEP_SECONDS, Ledger, Segment, fresh
 from gridloom.operators.versions import store_of
 
 RETENTION_MONTHS = 13
+#: Buckets of a table, unless it is made with another number; a file each in a month. At a hundred
+#: terabytes and thousands of cores, take thousands.
+BUCKETS = 8
+BUCKET_BY = "event_id"
+#: Bytes of a row group: what one skip saves, against what each costs.
+ROW_GROUP = 32 << 20
+#: Columns with a bloom filter, and how many ids one is made for.
+BLOOM, BLOOM_IDS = ("event_id", "session_id"), 200_000
+
+
+def _ledger(spark: SparkSession, path: str) -> Ledger:
+    return Ledger(spark, path, "yyyymm")
+
 
+def _options(columns: list[str]) -> dict[str, str]:
+    """How files are written: codec, row groups, bloom filters and the pages that they rest on."""
+    bloom = {f"parquet.bloom.filter.{k}#{c}": v for c in BLOOM if c in columns for k, v in (("enabled", "true"), ("expected.ndv", str(BLOOM_IDS)))}
+    return {"compression": "zstd", "parquet.block.size": str(ROW_GROUP), **bloom}
 
-def append(clean: DataFrame, path: str, time: str = "timestamp") -> None:
-    """Add rows to the table: a folder a month, files sorted by key so that scans skip row groups."""
-    rows = clean.withColumn("yyyymm", year_month(F.col(time)))
-    rows.repartition("yyyymm", "station_id").sortWithinPartitions("yyyymm", *VERSION_KEY).write.mode("append").partitionBy("yyyymm").option("compression", "zstd").parquet(path)
+
+def _table(spark: SparkSession, path: str, schema: StructType | None = None, buckets: int = BUCKETS) -> str:
+    """The name under which the session's catalog knows the table at path; registered if it doesn't.
+
+    The table's columns and buckets are kept beside its ledger, so that any session can register it.
+    """
+    root = path.rstrip("/")
+    name = "default.gridloom_" + hashlib.sha256(root.encode()).hexdigest()[:16]
+    if spark.catalog.tableExists(name):
+        return name
+    store, of = store_of(spark, root)
+    layout = of(f"{root}/_ledger/layout")
+    if not store.exists(layout):
+        if schema is None:
+            raise FileNotFoundError(f"there is no table at {path}")
+        out = store.create(layout, True)
+        out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "buckets": buckets}).encode()))
+        out.close()
+    stream = store.open(layout)
+    told = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    kept = StructType.fromJson(told["schema"])
+    # nulls may come in any column: the catalog is not told otherwise
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    order = ", ".join(c for c in VERSION_KEY if c in kept.names)
+    where = store.makeQualified(of(root)).toString()
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, yyyymm INT, seg STRING) USING parquet PARTITIONED BY (yyyymm, seg) CLUSTERED BY ({BUCKET_BY}) SORTED BY ({order}) INTO {told['buckets']} BUCKETS LOCATION '{where}'")
+    return name
+
+
+def _buckets(spark: SparkSession, name: str) -> int:
+    return int(next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Num Buckets"))
+
+
+def _write(rows: DataFrame, path: str, buckets: int = BUCKETS, label: str | None = None) -> list[Segment]:
+    """Write rows, which have yyyymm, as new segments of their months. They don't count yet."""
+    spark, seg = rows.sparkSession, fresh()
+    own = [c for c in rows.columns if c != "yyyymm"]
+    name = _table(spark, path, rows.select(*own).schema, buckets)
+    n = _buckets(spark, name)
+    kept = [f for f in spark.table(name).schema if f.name not in ("yyyymm", "seg")]
+    # dealt out as buckets are: a task writes the one file of its bucket in each month
+    dealt = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in kept], F.col("yyyymm").cast("int").alias("yyyymm"), F.lit(seg).alias("seg")).repartition(n, BUCKET_BY)
+    order = [c for c in VERSION_KEY if c in own]
+    dealt.write.mode("append").format("parquet").options(**_options(own)).partitionBy("yyyymm", "seg").bucketBy(n, BUCKET_BY).sortBy(*order).saveAsTable(name)
+    return _ledger(spark, path).written(seg, label)
+
+
+def append(clean: DataFrame, path: str, time: str = "timestamp", buckets: int = BUCKETS) -> None:
+    """Add rows to the table; they count all at once."""
+    made = _write(clean.withColumn("yyyymm", year_month(F.col(time))), path, buckets)
+    _ledger(clean.sparkSession, path).commit(made)
+
+
+def _bound(spark: SparkSession, path: str, segments: list[Segment]) -> DataFrame:
+    """The rows of some segments, with yyyymm: buckets are read where they lie."""
+    name, root = _table(spark, path), path.rstrip("/")
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    new = [s for s in segments if f"yyyymm={s.slice}/seg={s.name}" not in known]
+    store, of = store_of(spark, root)
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION (yyyymm={s.slice}, seg='{s.name}') LOCATION '{store.makeQualified(of(f'{root}/yyyymm={s.slice}/seg={s.name}'))}'" for s in new))
+    names = sorted({s.name for s in segments})
+    rows = spark.table(name)
+    return (rows.where(F.col("seg").isin(names)) if names else rows.limit(0)).drop("seg")
 
 
 def scan(spark: SparkSession, path: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
-    """The table as stored. Bounds on event time prune whole months as well as rows."""
-    recover(spark, path)
-    rows = spark.read.parquet(path)
+    """The rows that count at this moment, whatever is replaced later. Bounds on event time prune whole months as well as rows."""
+    rows = _bound(spark, path, _ledger(spark, path).live())
     since, until = (None if t is None else f"{t:%Y-%m-%d %H:%M:%S.%f}" for t in (since, until))
     return between(rows, since, until)
 
@@ -76,45 +166,29 @@ def closed_month(now: datetime) -> str:
     return f"{now.year - (now.month == 1)}{(now.month - 2) % 12 + 1:02d}"
 
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish or undo a replacement of a month that was cut off: a month that was set aside comes
-    back if nothing took its place, and goes if something did."""
-    root = path.rstrip("/")
-    store, of = store_of(spark, root)
-    if not store.exists(of(root)):
-        return
-    for f in store.listStatus(of(root)):
-        name = f.getPath().getName()
-        if name.startswith("_aside_"):
-            month = of(f"{root}/yyyymm={name[len('_aside_') :]}")
-            if store.exists(month):
-                store.delete(f.getPath(), True)
-            else:
-                store.rename(f.getPath(), month)
-
-
-def replace_month(spark: SparkSession, path: str, month: str, rows: DataFrame) -> None:
-    """Put rows in place of a month. At any moment a complete copy of the month exists under a name
-    that recover() knows; Spark does not read names that begin with an underscore."""
-    root = path.rstrip("/")
-    recover(spark, root)
-    store, of = store_of(spark, root)
-    fresh, aside, place = (of(f"{root}/{n}") for n in (f"_fresh_{month}", f"_aside_{month}", f"yyyymm={month}"))
-    rows.repartition("station_id").sortWithinPartitions(*VERSION_KEY).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/_fresh_{month}")
-    if store.exists(place):
-        store.rename(place, aside)
-    store.rename(fresh, place)
-    store.delete(aside, True)
+def replace_month(spark: SparkSession, path: str, month: str, rows: DataFrame, instead_of: list[Segment]) -> bool:
+    """Put rows in place of some segments of a month, which they were made from; segments that came meanwhile
+    stay. Readers see the one or the other. False if another writer replaced them first."""
+    made = _write(rows.withColumn("yyyymm", F.lit(int(month))), path)
+    return _ledger(spark, path).commit(made, instead_of)
 
 
 def compact(spark: SparkSession, path: str, month: str) -> bool:
-    """Rewrite one month with its latest versions only; False if it is one file already."""
-    recover(spark, path)
-    rows = spark.read.parquet(path).where(F.col("yyyymm").cast("string") == month)
-    if rows.select(F.col("_metadata.file_path")).distinct().limit(2).count() < 2:
+    """Rewrite one month with its latest versions only; False if it is one segment already."""
+    old = [s for s in _ledger(spark, path).live() if s.slice == month]
+    if len(old) < 2:
         return False
-    replace_month(spark, path, month, latest_version(rows.drop("yyyymm")))
-    return True
+    return replace_month(spark, path, month, latest_version(_bound(spark, path, old).drop("yyyymm")), old)
+
+
+def vacuum(spark: SparkSession, path: str, seconds: float = KEEP_SECONDS) -> int:
+    """Delete segments that were replaced so long ago; how many."""
+    gone = _ledger(spark, path).vacuum(seconds)
+    name = _table(spark, path)
+    for folder in gone:
+        month, seg = (x.partition("=")[2] for x in folder.split("/")[-2:])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (yyyymm={month}, seg='{seg}')")
+    return len(gone)
 
 
 def cutoff(now: datetime, months: int = RETENTION_MONTHS) -> datetime:
@@ -134,14 +208,14 @@ def unexpired(rows: DataFrame, now: datetime, months: int = RETENTION_MONTHS) ->
 
 
 def drop_expired(spark: SparkSession, path: str, now: datetime) -> list[str]:
-    """Delete months that ended before retention began; returns them."""
-    gone = []
-    for r in spark.read.parquet(path).groupBy("yyyymm").agg(F.max("timestamp").alias("newest")).collect():  # a row a month
-        if r["newest"].replace(tzinfo=None) < cutoff(now):
-            store, of = store_of(spark, path)
-            store.delete(of(f"{path.rstrip('/')}/yyyymm={r['yyyymm']}"), True)
-            gone.append(str(r["yyyymm"]))
-    return sorted(gone)
+    """Take out months that ended before retention began; returns them. Their files go by vacuum()."""
+    ledger = _ledger(spark, path)
+    held = ledger.live()
+    newest_of = _bound(spark, path, held).groupBy("yyyymm").agg(F.max("timestamp").alias("newest")).collect()  # a row a month
+    gone = sorted(str(r["yyyymm"]) for r in newest_of if r["newest"].replace(tzinfo=None) < cutoff(now))
+    if gone:
+        ledger.commit([], [s for s in held if s.slice in gone])
+    return gone
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

@@ -47,12 +47,11 @@ class Daily:
     def compact(self) -> str:
         month = storage.closed_month(self.now)
         done = storage.compact(self.spark, self.landing, month)
-        self.spark.catalog.refreshByPath(self.landing)
+        storage.vacuum(self.spark, self.landing)  # what was replaced by earlier runs
         return f"{month} {'compacted' if done else 'as it was'}"
 
     def reconcile(self) -> str:
         day = rollup.overwrite_day(self.rows(), self.revenue)
-        self.spark.catalog.refreshByPath(self.revenue)
         return day[0][:10] if day else "no day"
 
     def quality(self) -> str:
