@@ -1,11 +1,12 @@
 """Whole new versions beside the old: a folder a version, of which the newest complete one counts.
 
 A version is complete once its marker exists, and a marker appears at once or not at all; whoever
-reads meanwhile goes on with the version before. Older versions are removed later.
+reads meanwhile goes on with the version before. Older versions are removed by age.
 """
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,13 +53,20 @@ def newest(spark: SparkSession, root: str, below: int | None = None) -> int | No
     return max((v for v, done in listed(spark, root) if done and (below is None or v < below)), default=None)
 
 
-def complete(spark: SparkSession, root: str, version: int, keep: int = 2) -> None:
-    """Mark a version as complete, and remove all but the newest keep complete ones and what was cut
-    off before them."""
+#: Seconds that a version stays for its readers after the next one is complete.
+KEEP_SECONDS = 60.0
+
+
+def complete(spark: SparkSession, root: str, version: int, keep_seconds: float = KEEP_SECONDS) -> None:
+    """Mark a version as complete, and remove those that nobody can be reading any more: a reader binds to
+    the newest, so a version stays for so long after the next one was marked; the one before the newest stays in any
+    case, as a batch that is given again starts from it. What was cut off goes, too, once a later version is that old."""
     store, of = store_of(spark, root)
-    store.create(of(f"{place(root, version)}/{MARK}"), True).close()
-    found = listed(spark, root)
-    least = min([v for v, done in found if done and v <= version][-keep:])
-    for v, _ in found:
-        if v < least:
+    mark = of(f"{place(root, version)}/{MARK}")
+    store.create(mark, True).close()
+    now = time.time()
+    marked = [(v, store.getFileStatus(of(f"{place(root, v)}/{MARK}")).getModificationTime() / 1000) for v, done in listed(spark, root) if done]
+    old = max((v for v, at in [x for x in marked if x[0] <= version][:-1] if now - at >= keep_seconds), default=None)
+    for v, _ in listed(spark, root):
+        if old is not None and v < old:
             store.delete(of(place(root, v)), True)

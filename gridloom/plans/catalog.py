@@ -429,13 +429,19 @@ def r5_liveness(spark, sf_dir):
     return state.current_state(state.writes(beats, "offset", F.lit(False))).select("key", "last_seen")
 
 
-@query_with(_ARRIVAL, """SELECT key, max(ts) AS last_seen FROM c WHERE applied GROUP BY key HAVING max(arrival) >= (SELECT max(arrival) FROM c WHERE applied) - 2000""", final=False)
+@query_with(
+    _ARRIVAL + """, h AS (SELECT key, max(ts) AS last_seen, floor((SELECT max(arrival) FROM c WHERE applied)) - floor(max(arrival)) AS silence FROM c WHERE applied GROUP BY key),
+q AS (SELECT quantile_disc(silence, 0.5) AS ttl FROM h)""",
+    "SELECT key, last_seen FROM h, q WHERE silence <= ttl",
+    final=False,
+)
 def state_ttl_live(spark, sf_dir):
-    """Keys that an event refreshed among the last 2000 to arrive: here arrival is the clock, in seconds."""
-    held = state.current_state(state.writes(arrivals(spark, sf_dir), "offset"))
-    newest = held.agg(F.max("applied_at")).first()[0] or 0.0
-    clock = lambda c: F.timestamp_micros((c * 1e6).cast("long"))
-    return state.live(held.withColumn("applied_at", clock(F.col("applied_at"))), clock(F.lit(float(newest))), 2000).select("key", "last_seen")
+    """Keys that an event refreshed within the TTL, which is the median silence of all keys in whole seconds:
+    about half of them have expired. Arrival is the clock."""
+    held = state.current_state(state.writes(arrivals(spark, sf_dir), "offset")).withColumn("at", F.floor("applied_at"))
+    newest = held.agg(F.max("at")).first()[0] or 0
+    silence = held.selectExpr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {newest} - at)").first()[0]
+    return state.live(held.withColumn("applied_at", F.timestamp_seconds("at")), F.timestamp_seconds(F.lit(newest)), int(silence or 0)).select("key", "last_seen")
 
 
 # ---- quality, storage, clocks
@@ -738,48 +744,47 @@ def histogram_p95(spark, sf_dir):
 _FAULTS = [
     ("missing_event_id", "event_id", "", "*"), ("bad_event_id", "event_id", "x", "*"), ("unknown_event_type", "event_type", "NOPE", "*"), ("unknown_station", "station_id", "ST-none", "*"), ("bad_timestamp", "timestamp", "soon", "*"),
     ("missing_operator", "operator_id", "", "*"), ("missing_location", "city", "", "*"), ("bad_geo", "lat", 91.0, "*"), ("operator_mismatch", "operator_id", "Other", "*"), ("city_mismatch", "city", "Elsewhere", "*"), ("country_mismatch", "country", "YY", "*"),
-    ("geo_mismatch", "lon", 1.0, "*"), ("bad_connector", "connector_id", 3, "HEARTBEAT"), ("connector_out_of_range", "connector_id", 9, "SESSION_START METER_UPDATE SESSION_STOP STATUS_CHANGE FAULT_ALERT"), ("unknown_tariff", "tariff_id", "ghost", "*"),
+    ("geo_mismatch", "lon", -170.0, "*"), ("bad_connector", "connector_id", 3, "HEARTBEAT"), ("connector_out_of_range", "connector_id", 9, "SESSION_START METER_UPDATE SESSION_STOP STATUS_CHANGE FAULT_ALERT"), ("unknown_tariff", "tariff_id", "ghost", "*"),
     ("missing_session", "session_id", "", "SESSION_START METER_UPDATE SESSION_STOP"), ("missing_vehicle", "vehicle", None, "SESSION_START"), ("missing_tariff", "tariff_id", "", "SESSION_START METER_UPDATE SESSION_STOP"), ("missing_meter", "meter", None, "SESSION_START METER_UPDATE SESSION_STOP"),
     ("bad_cost", "cost_eur", -1.0, "SESSION_STOP"), ("bad_status", "status", "Odd", "STATUS_CHANGE"), ("missing_fault", "fault", None, "FAULT_ALERT"), ("soc_out_of_range", "soc_percent", 101, "METERED"), ("bad_power", "power_kw", 1000.5, "METERED"),
     ("bad_energy", "energy_kwh", -1.0, "METERED"), ("bad_voltage", "voltage_v", -1.0, "METERED"), ("bad_current", "current_a", -1.0, "METERED"),
 ]
 _METER = ("power_kw", "energy_kwh", "voltage_v", "current_a", "soc_percent")
-
-
-def _faulty(kind: str, faults: list) -> str:
-    """A valid event of a kind with some faults, as JSON; a meter goes with every kind."""
-    at = {"lat": 0.0, "lon": 0.0, "city": "C", "country": "XX"}
-    meter = dict.fromkeys(_METER, 1)
-    e = {"event_id": "00000000-0000-4000-8000-000000000000", "event_type": kind, "station_id": "ST-0", "connector_id": 0 if kind == "HEARTBEAT" else 1, "session_id": "s", "timestamp": "2024-01-01T00:00:00.000Z", "operator_id": "O", "tariff_id": "standard-v1", "cost_eur": 1.0, "status": "Available", "vehicle": {"brand": "b"}, "fault": {"error_code": "X"}}
-    for _, name, value, _ in faults:
-        (at if name in at else meter if name in meter else e)[name] = value
-    return json.dumps({**e, "location": at, "meter": e.get("meter", meter)})
-
-
-_RULE_ROWS = ", ".join(f"({k}, '{name}', '{field_}', '{kinds}')" for k, (name, field_, _, kinds) in enumerate(_FAULTS))
+#: Pairs of faults in different parts of an event, the earlier rule first.
+_PAIRS = [(a, b) for i, a in enumerate(_FAULTS) for b in _FAULTS[i + 1 :] if a[1] != b[1] and "event_type" not in (a[1], b[1]) and not (a[1] == "meter" and b[1] in _METER)]
+_PAIR_ROWS = ", ".join(f"({k}, '{a[0]}', '{a[3]}', '{b[0]}', '{b[3]}')" for k, (a, b) in enumerate(_PAIRS))
 
 
 @query_with(
-    f""", f(k, name, part, kinds) AS (VALUES {_RULE_ROWS}), t(kind) AS (VALUES ('SESSION_START'), ('METER_UPDATE'), ('SESSION_STOP'), ('STATUS_CHANGE'), ('FAULT_ALERT'), ('HEARTBEAT')),
-m AS (SELECT *, kinds = '*' OR kinds = 'METERED' OR list_contains(string_split(kinds, ' '), kind) AS judges FROM f, t)""",
-    """SELECT a.kind, a.name AS first, b.name AS second, CASE WHEN a.judges THEN a.name WHEN b.judges THEN b.name ELSE 'valid' END AS rule
-       FROM m a JOIN m b ON a.kind = b.kind AND a.k < b.k AND a.part <> b.part AND NOT (a.part = 'meter' AND b.kinds = 'METERED') AND NOT (a.part = 'event_type' OR b.part = 'event_type')
-       WHERE (a.judges OR a.kinds <> 'HEARTBEAT') AND (b.judges OR b.kinds <> 'HEARTBEAT') AND NOT (a.kind = 'HEARTBEAT' AND (a.name = 'connector_out_of_range' OR b.name = 'connector_out_of_range'))""",
+    f""", p(k, first, first_kinds, second, second_kinds) AS (VALUES {_PAIR_ROWS}), x AS (SELECT CASE WHEN n % 11 = 0 THEN 'HEARTBEAT' ELSE event_type END AS kind, n % {len(_PAIRS)} AS k FROM one),
+j AS (SELECT *, first_kinds IN ('*', 'METERED') OR list_contains(string_split(first_kinds, ' '), kind) AS one_judges, second_kinds IN ('*', 'METERED') OR list_contains(string_split(second_kinds, ' '), kind) AS two_judges FROM x JOIN p USING (k))""",
+    """SELECT kind, first, second, CASE WHEN one_judges THEN first WHEN two_judges THEN second ELSE 'valid' END AS rule, count(*) AS n FROM j
+       WHERE (kind = 'HEARTBEAT') = ('bad_connector' IN (first, second)) OR 'bad_connector' NOT IN (first, second) AND NOT (kind = 'HEARTBEAT' AND 'connector_out_of_range' IN (first, second)) GROUP BY ALL""",
     final=False,
 )
 def validate_precedence(spark, sf_dir):
-    """Events of every kind with each pair of faults in different fields: the earlier rule that judges
-    such an event names the reason."""
-    rows = []
-    for kind in EVENT_TYPES:
-        for i, a in enumerate(_FAULTS):
-            for b in _FAULTS[i + 1 :]:
-                if a[1] == b[1] or "event_type" in (a[1], b[1]) or a[1] == "meter" and b[1] in _METER:
-                    continue
-                if any(x[3] == "HEARTBEAT" and kind != "HEARTBEAT" or x[0] == "connector_out_of_range" and kind == "HEARTBEAT" for x in (a, b)):
-                    continue
-                rows.append((kind, a[0], b[0], _faulty(kind, [a, b])))
-    payloads = spark.createDataFrame(rows, "kind string, first string, second string, value string")
-    known = spark.createDataFrame([("ST-0", "O", "C", "XX", 0.0, 0.0, 4)], "station_id string, operator_id string, city string, country string, lat double, lon double, num_connectors int")
-    found = validate.judged(validate.decode(payloads), known, registry.tariff_table(spark))
-    return found.select("kind", "first", "second", F.coalesce("rule", F.lit("valid")).alias("rule"))
+    """The table's events, each with a pair of faults in different parts of it: the earlier rule that judges
+    such an event names the reason. Every eleventh is a heartbeat; faults that its kind can't have are left out."""
+    pairs = F.broadcast(spark.createDataFrame([(k, a[0], b[0]) for k, (a, b) in enumerate(_PAIRS)], "k int, first string, second string"))
+    e = raw(spark, sf_dir).where("copy_no = 0").withColumn("k", (F.col("n") % len(_PAIRS)).cast("int")).join(pairs, "k")
+    e = e.withColumn("kind", F.when(F.col("n") % 11 == 0, "HEARTBEAT").otherwise(F.col("event_type")))
+    has = lambda name: (F.col("first") == name) | (F.col("second") == name)
+    beat = F.col("kind") == "HEARTBEAT"
+    e = e.where((beat == has("bad_connector")) | ~has("bad_connector") & ~(beat & has("connector_out_of_range")))
+
+    def put(part: str, good):
+        """A part of the event, or what a fault of it makes of that."""
+        for name, own, value, _ in _FAULTS:
+            if own == part:
+                good = F.when(has(name), F.lit(value)).otherwise(good)
+        return good.alias(part)
+
+    at = F.struct(*[put(c, F.col(c)) for c in ("lat", "lon", "city", "country")])
+    meter = F.struct(*[put(c, F.lit(1) if c == "soc_percent" else F.lit(1.0)) for c in _METER])
+    event = F.struct(
+        put("event_id", _uuid(F.col("n"))), put("event_type", F.col("kind")), put("station_id", F.col("station_id")), put("connector_id", F.when(beat, 0).otherwise(F.col("connector_id"))), put("session_id", F.col("session_id")),
+        put("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.'000Z'")), put("operator_id", F.col("operator_id")), put("tariff_id", F.col("tariff_id")), put("cost_eur", F.lit(1.0)), put("status", F.lit("Available")),
+        put("vehicle", F.struct(F.lit("b").alias("brand"))), put("fault", F.struct(F.lit("OverVoltage").alias("error_code"))), at.alias("location"), put("meter", meter),
+    )
+    found = validate.judged(validate.decode(e.select("kind", "first", "second", F.to_json(event).alias("value"))), adapter.stations(spark, sf_dir), registry.tariff_table(spark))
+    return found.groupBy("kind", "first", "second", F.coalesce("rule", F.lit("valid")).alias("rule")).agg(F.count("*").alias("n"))

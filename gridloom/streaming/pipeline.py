@@ -134,7 +134,8 @@ class Realtime:
 
     A batch starts from the newest complete version before it, so that one that is given again, or
     the first after a restart, finds what was known. ``now`` is the time at which events apply; a
-    key that none refreshed for the TTL is forgotten, and then any event applies to it. Every batch
+    key that none refreshed for the TTL is forgotten, and then any event applies to it. A version stays
+    for keep_seconds after the next one, for those who read it. Every batch
     writes all live keys: for fleets whose state is large against a batch, state.streaming_state
     keeps it in the engine's own store.
     """
@@ -145,6 +146,7 @@ class Realtime:
     metrics: Metrics = field(default_factory=Metrics)
     now: Callable[[], Column] = F.current_timestamp
     ttl_seconds: int = state.TTL_SECONDS
+    keep_seconds: float = versions.KEEP_SECONDS
 
     @property
     def root(self) -> str:
@@ -179,7 +181,7 @@ class Realtime:
             # the time of what is held stays where nothing new applied
             now = marked.where("applied").groupBy("key").agg(F.max("ts").alias("last_seen"), *[last(c) for c in names], F.max("at").alias("applied_at"))
             now.write.mode("overwrite").parquet(versions.place(self.root, batch))
-            versions.complete(spark, self.root, batch)
+            versions.complete(spark, self.root, batch, self.keep_seconds)
             lag = F.when(F.col("applied"), F.unix_millis("at") - F.unix_millis("produced_at")) / 1000
             counts = marked.where("arrival >= 0").agg(F.count_if("applied").alias("a"), F.count_if(~F.col("applied")).alias("s"), F.max(lag).alias("lag")).first()
             self.metrics.add("state_applied", counts["a"])

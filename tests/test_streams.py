@@ -157,7 +157,7 @@ def test_state_survives_restarts_and_forgets_silent_keys(spark, one_station, tmp
 
     clock = [1000]
     now = lambda: F.timestamp_seconds(F.lit(clock[0]))
-    consumer = lambda: pipeline.Realtime(str(tmp_path), lambda: one_station, now=now, retry_seconds=0)
+    consumer = lambda: pipeline.Realtime(str(tmp_path), lambda: one_station, now=now, retry_seconds=0, keep_seconds=0)
     consumer()(_raw(spark, [_beat(1, 10, 1), _beat(2, 10, 2, status="Charging")]), 0)
     clock[0] += 200
     # another process goes on from what is stored: an older event of connector 1 stays stale
@@ -181,6 +181,22 @@ def test_state_survives_restarts_and_forgets_silent_keys(spark, one_station, tmp
     assert state_of(consumer()) == state_of(last)
 
 
+def test_a_read_state_outlives_the_next_batches(spark, one_station, tmp_path):
+    """A frame from read() serves while later batches replace what it reads."""
+    consumer = pipeline.Realtime(str(tmp_path), lambda: one_station, retry_seconds=0)
+    consumer(_raw(spark, [_beat(1, 10, 1)]), 0)
+    held = consumer.read(spark)
+    for k in range(1, 5):
+        consumer(_raw(spark, [_beat(1, 10 + k, 1 + k, status="Charging")]), k)
+    assert [r["status"] for r in held.collect()] == ["Available"] and [r["status"] for r in consumer.read(spark).collect()] == ["Charging"]
+    # kept by age, not by number
+    from gridloom.operators import versions
+
+    assert len(versions.listed(spark, consumer.root)) == 5
+    versions.complete(spark, consumer.root, 4, keep_seconds=0)
+    assert [v for v, _ in versions.listed(spark, consumer.root)] == [3, 4]
+
+
 def test_marks_survive_restarts_and_expire(spark, one_station, tmp_path):
     import os
 
