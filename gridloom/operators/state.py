@@ -55,10 +55,12 @@ def live(state: DataFrame, now: Column, seconds: int = TTL_SECONDS, at: str = "a
 
 STATE = f"last_seen timestamp, {FIELDS}"
 OUTPUT = f"key string, arrival long, ts timestamp, applied boolean, last_seen timestamp, {FIELDS}"
+_NAMES = ("status", "power", "soc", "session")
 
 
 def apply_in_order(held: tuple | None, events, ttl: float | None = None):
-    """Sequential compare-and-set: yields (event, applied, state). Events are dicts in arrival order.
+    """The definition, one event after another, which tests hold the others against: yields (event,
+    applied, state). Events are dicts in arrival order.
 
     ttl expires by the events' ``at`` (seconds of arrival time), where they have one.
     """
@@ -74,37 +76,56 @@ def apply_in_order(held: tuple | None, events, ttl: float | None = None):
         yield e, applied, state
 
 
+def after_each(held: tuple | None, events):
+    """Compare-and-set of one key's events (a pandas frame with ts and the fields), in order of arrival:
+    applied, last_seen and the fields after each event, as columns.
+
+    held is (last_seen, fields...) before them. What applies never goes back in time, so an event applies if
+    it is at least as new as the newest so far; a field is that of the last event that applied and carried it.
+    No event is looked at by itself.
+    """
+    import numpy as np
+    import pandas as pd
+
+    ts = pd.to_datetime(events["ts"]).astype("datetime64[us]").astype("int64").to_numpy()
+    start = np.iinfo(np.int64).min if held is None else pd.Timestamp(held[0]).tz_localize(None).to_datetime64().astype("datetime64[us]").astype("int64")
+    newest = np.maximum.accumulate(np.append(start, ts))
+    applied = ts >= newest[:-1]
+    out = {"applied": applied, "last_seen": pd.to_datetime(newest[1:], unit="us")}
+    for k, name in enumerate(_NAMES, 1):
+        carries = np.append(True, applied & events[name].notna().to_numpy())
+        values = np.empty(len(carries), object)
+        values[0], values[1:] = None if held is None else held[k], events[name].to_numpy(object)
+        # each place takes the value of the last one that carries any; what was held carries
+        out[name] = values[np.maximum.accumulate(np.where(carries, np.arange(len(carries)), 0))][1:]
+    return pd.DataFrame(out, index=events.index)
+
+
 def streaming_state(rows: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
     """The same as a stateful stream over writes(): one output row for each event.
 
-    Without a TTL the state runs under any trigger. With one, the engine expires states by
-    processing time, for queries that run on until they are stopped.
+    State lies in the engine's store by key, and only keys of a batch are read and written. Without a
+    TTL the state runs under any trigger. With one, the engine expires keys that no event refreshed, by
+    processing time, for queries that run on until they are stopped. stored_state() reads it from outside.
     """
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
     class CompareAndSet(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            extra = {} if ttl_seconds is None else {"ttl_duration_ms": ttl_seconds * 1000}
+            extra = {} if ttl_seconds is None else {"ttlDurationMs": ttl_seconds * 1000}
             self.held = handle.getValueState("held", STATE, **extra)
 
         def handleInputRows(self, key, batches, timer_values):
-            events = pd.concat(list(batches)).sort_values("arrival", kind="stable")
-            names = ("status", "power", "soc", "session")
-            held = None
-            if self.held.exists():
-                values = self.held.get()
-                held = (dict(zip(("last_seen", *names), values, strict=True)), None)
-                held[0]["last_seen"] = pd.Timestamp(held[0]["last_seen"]).tz_localize(None)
-            fields = [{k: None if pd.isna(v) else v for k, v in e.items()} for e in events.to_dict("records")]
-            out = []
-            state = None
-            for e, applied, state in apply_in_order(held, fields):
-                out.append({"key": key[0], "arrival": e["arrival"], "ts": e["ts"], "applied": applied, **state})
-            s = state
-            self.held.update((s["last_seen"].to_pydatetime(), s["status"], s["power"], None if s["soc"] is None else int(s["soc"]), s["session"]))
-            frame = pd.DataFrame(out)[["key", "arrival", "ts", "applied", "last_seen", *names]]
-            frame["soc"] = frame["soc"].astype("Int32")
+            events = pd.concat(list(batches), ignore_index=True).sort_values("arrival", kind="stable", ignore_index=True)
+            after = after_each(self.held.get() if self.held.exists() else None, events)
+            if after["applied"].any():  # a stale event refreshes nothing
+                last = after.iloc[-1]
+                soc = last["soc"]
+                self.held.update((last["last_seen"].to_pydatetime(), last["status"], None if last["power"] is None else float(last["power"]), None if soc is None else int(soc), last["session"]))
+            frame = pd.concat([events[["arrival", "ts"]], after], axis=1)
+            frame.insert(0, "key", key[0])
+            frame["soc"], frame["power"] = frame["soc"].astype("Int32"), frame["power"].astype("Float64")
             yield frame
 
         def close(self) -> None:
@@ -112,3 +133,13 @@ def streaming_state(rows: DataFrame, ttl_seconds: int | None = None) -> DataFram
 
     mode = "None" if ttl_seconds is None else "ProcessingTime"
     return rows.groupBy("key").transformWithStateInPandas(CompareAndSet(), OUTPUT, "Update", mode)
+
+
+def stored_state(spark, checkpoint: str) -> DataFrame:
+    """key, last_seen and fields as streaming_state() last committed them, read from the store below the
+    query's checkpoint: no event is looked at. Expired keys are not there."""
+    held = spark.read.format("statestore").option("stateVarName", "held").load(checkpoint)
+    value = F.col("value.value") if "value" in held.schema["value"].dataType.names else F.col("value")
+    rows = held.select(F.col("key.key").alias("key"), value.alias("v"), *([F.col("value.ttlExpirationMs").alias("until")] if "ttlExpirationMs" in held.schema["value"].dataType.names else []))
+    live = rows.where(F.col("until") > F.unix_millis(F.current_timestamp())) if "until" in rows.columns else rows
+    return live.select("key", "v.last_seen", *[f"v.{n}" for n in _NAMES])

@@ -1,5 +1,7 @@
 """Generator and streams: what is made is valid, and streams give what batches give."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +127,62 @@ def test_stateful_stream_equals_batch(spark, tmp_path):
     assert sorted(map(str, last.select("key", "status", "power").collect())) == sorted(map(str, final.select("key", "status", "power").collect()))
 
 
+def test_state_after_each_event_is_that_of_the_definition():
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(4)
+    pick = lambda x: x if rng.random() < 0.5 else None
+    for _ in range(60):
+        events = [dict(ts=pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=rng.randrange(20)), status=pick(f"s{rng.random():.2f}"), power=pick(rng.random()), soc=pick(rng.randrange(100)), session=pick("x")) for _ in range(rng.randrange(1, 12))]
+        cut = rng.randrange(len(events) + 1)
+        want = [(a, s["last_seen"], s["status"], s["power"], s["soc"], s["session"]) for _, a, s in state.apply_in_order(None, events)]
+        got, held = [], None
+        for part in (events[:cut], events[cut:]):
+            if part:
+                frame = state.after_each(held, pd.DataFrame(part))
+                got += [tuple(None if isinstance(v, float) and v != v else v for v in r) for r in frame.itertuples(index=False)]
+                held = got[-1][1:]
+        assert got == want
+
+
+def test_state_in_the_store_survives_a_restart_and_is_read_from_outside(spark, tmp_path):
+    """Two batches, a key that falls silent, a restart from the checkpoint, reads of the store by key."""
+    import time
+
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    source, checkpoint = str(tmp_path / "s"), str(tmp_path / "c")
+    kind = "key string, arrival long, ts timestamp, status string, power double, soc int, session string"
+
+    def batch(rows, ttl=None):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(kind).parquet(source)
+        trigger = {"availableNow": True} if ttl is None else {"processingTime": "200 milliseconds"}
+        q = state.streaming_state(stream, ttl).writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint if ttl is None else checkpoint + "t").trigger(**trigger).start()
+        if ttl is None:
+            assert q.awaitTermination(240)
+        else:
+            end = time.monotonic() + 60  # such a query runs on, also without rows
+            while sum(p["numInputRows"] for p in q.recentProgress) < len(rows) and time.monotonic() < end:
+                time.sleep(0.2)
+            q.stop()
+
+    at = lambda s: datetime(2024, 1, 1, 0, 0, s)
+    batch([("a", 1, at(10), "Charging", 5.0, 40, "x"), ("b", 2, at(10), "Available", None, None, None)])
+    batch([("a", 3, at(5), "Faulted", None, None, None), ("a", 4, at(20), None, 7.0, None, "")])  # another process; b is silent
+    read = lambda c=checkpoint: {r["key"]: (r["status"], r["power"], r["soc"], r["session"], r["last_seen"].second) for r in state.stored_state(spark, c).collect()}
+    assert read() == {"a": ("Charging", 7.0, 40, "", 20), "b": ("Available", None, None, None, 10)}
+    one = state.stored_state(spark, checkpoint).where("key = 'a'")
+    assert [r["power"] for r in one.collect()] == [7.0]
+    # with a time to live, keys that nothing refreshed are gone for readers, and then any event applies
+    batch([("a", 1, at(10), "Charging", 5.0, 40, "x"), ("b", 2, at(10), "Available", None, None, None)], ttl=25)
+    assert set(read(checkpoint + "t")) == {"a", "b"}
+    time.sleep(26)
+    batch([("a", 5, at(1), "Faulted", None, None, None)], ttl=25)
+    assert {k: v[:2] for k, v in read(checkpoint + "t").items()} == {"a": ("Faulted", None)}
+
+
 def test_dashboard_queries(spark):
     samples = spark.createDataFrame([("a", "i", f"2024-01-01 00:00:{s:02d}", v) for s, v in ((0, 10), (20, 40), (40, 5))], "kind string, instance string, t string, value long").selectExpr("kind", "instance", "to_timestamp(t) AS at", "value")
     assert metrics.rates(samples, "kind").first()["per_second"] == pytest.approx(35 / 60)
