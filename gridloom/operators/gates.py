@@ -1,6 +1,7 @@
 """Data quality: drift between two windows, dead-letter rate, freshness. Clocks are parameters."""
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from gridloom.functions.scalars import bucket_of, ratio
 from gridloom.functions.schema import SESSION_TYPES
 from gridloom.operators.dedup import latest_version
 from gridloom.operators.storage import between, newest, shifted
+from gridloom.operators.versions import scratch
 
 BUCKETS = 10
 EPSILON = 1e-6
@@ -96,6 +98,66 @@ def exact_quantiles(rows: DataFrame, column: str, cuts: list[float]) -> list[flo
     return [value(k, math.floor(p)) * (1 - (p - math.floor(p))) + value(k, math.ceil(p)) * (p - math.floor(p)) for k, p in enumerate(places)]
 
 
+#: Values that a cut's bracket may hold when it is ranked, and the steps in which brackets are narrowed.
+RANKED, STEPS = 100_000, 100
+
+
+def _brackets(base: DataFrame, state: DataFrame, by: list[str], n: int) -> DataFrame:
+    """base beside its group's brackets: b, an array of n (lo, hi)."""
+    wide = state.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "lo", "hi"))), lambda x: F.struct(x["lo"].alias("lo"), x["hi"].alias("hi"))).alias("b"))  # n entries
+    there = wide.select(*[F.col(c).alias(f"_{c}") for c in by], "b")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return base.join(there, reduce(lambda x, y: x & y, same)).select(*by, "v", "b")
+
+
+def exact_quantiles_by(rows: DataFrame, column: str, by: list[str], cuts: list[float], ranked: int = RANKED) -> DataFrame:
+    """by, k (the number of the cut), value: each group's exact quantiles, linear between neighbours, for all
+    groups at once. Groups without values have no rows; null keys are a group.
+
+    Each cut of each group has a bracket, at first all of the group's values. Sketches of what lies in brackets narrow
+    them a hundredth part at a time, and counts tell what lies below, until none holds more than ``ranked``
+    values, or only equal ones; these are then ranked. No task holds a group's values, and no group is
+    brought together but by counts and sketches that are summed up first.
+    """
+    names = [f"g{k}" for k in range(len(by) + 1)]
+    base = rows.select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=False)], F.lit(0).alias(names[-1]), F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    each = base.groupBy(*names).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    cut = F.posexplode(F.array(*[F.lit(float(q)) for q in cuts])).alias("k", "q")
+    state = kept(each.select(*names, "n", "lo", "hi", cut).withColumn("below", F.lit(0).cast("long")).withColumn("m", F.col("n")).withColumn("before", F.lit(None).cast("long")))
+    # a bracket that no longer shrinks holds few values, each of them many times
+    while (state.where("lo < hi AND (before IS NULL OR m < before)").agg(F.max("m")).first()[0] or 0) > ranked:
+        inside = _brackets(base, state, names, len(cuts)).select(*names, "v", F.posexplode("b").alias("k", "x")).where("v >= x.lo AND v <= x.hi")
+        grid = inside.groupBy(*names, "k").agg(F.percentile_approx("v", [j / STEPS for j in range(STEPS + 1)], 10 * STEPS).alias("s"))
+        both = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*names, "k")]
+        place = ((F.col("n") - 1) * F.col("q") - F.col("below")) / F.greatest(F.col("m") - 1, F.lit(1)) * STEPS
+        at = lambda j: F.element_at("s", F.least(F.greatest(j, F.lit(0)), F.lit(STEPS)).cast("int") + 1)
+        near = state.alias("a").join(grid.alias("b"), reduce(lambda x, y: x & y, both)).select("a.*", "s")
+        # two steps on either side: more than the sketch's error and the neighbour that a cut may lie between
+        near = near.withColumn("lo_", F.when(F.col("m") > ranked, F.greatest("lo", at(F.floor(place) - 2))).otherwise(F.col("lo"))).withColumn("hi_", F.when(F.col("m") > ranked, F.least("hi", at(F.ceil(place) + 2))).otherwise(F.col("hi")))
+        narrowed = kept(near.select(*names, "n", "k", "q", F.col("lo_").alias("lo"), F.col("hi_").alias("hi"), F.col("m").alias("before")))
+        x = _brackets(base, narrowed, names, len(cuts))
+        tally = [F.struct(F.count_if(F.col("v") < F.col("b")[j]["lo"]).alias("below"), F.count_if((F.col("v") >= F.col("b")[j]["lo"]) & (F.col("v") <= F.col("b")[j]["hi"])).alias("m")) for j in range(len(cuts))]
+        counts = x.groupBy(*names).agg(*[t.alias(f"t{j}") for j, t in enumerate(tally)]).select(*names, F.posexplode(F.array(*[f"t{j}" for j in range(len(cuts))])).alias("k", "t"))
+        state = kept(narrowed.alias("a").join(counts.alias("b"), reduce(lambda p, q: p & q, both)).select(*[f"a.{c}" for c in (*names, "n", "k", "q", "lo", "hi")], "t.below", "t.m", "a.before"))
+    inside = _brackets(base, state, names, len(cuts)).select(*names, "v", F.posexplode("b").alias("k", "x")).where("v >= x.lo AND v <= x.hi")
+    tallies = inside.groupBy(*names, "k", "v").agg(F.count("*").alias("c"))
+    both = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*names, "k")]
+    w = Window.partitionBy(*names, "k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    last = tallies.alias("a").join(state.alias("b"), reduce(lambda x, y: x & y, both)).select("a.*", ((F.col("n") - 1) * F.col("q")).alias("place"), F.col("below").alias("under"))
+    last = last.withColumn("last", F.col("under") + F.sum("c").over(w) - 1).withColumn("first", F.col("last") - F.col("c") + 1)
+    held = lambda r: F.max(F.when((F.col("first") <= r) & (F.col("last") >= r), F.col("v")))
+    low, part = F.floor("place"), F.max(F.col("place") - F.floor("place"))
+    found = last.groupBy(*names, "k").agg((held(low) * (1 - part) + held(F.ceil("place")) * part).alias("value"))
+    return found.select(*[F.col(n).alias(c) for c, n in zip(by, names, strict=False)], "k", "value")
+
+
+def kept(rows: DataFrame) -> DataFrame:
+    """rows, written to the shared folder and read again: a few numbers a group, which later steps read."""
+    path = scratch(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def edges(both: DataFrame, exact: bool = True) -> list[float] | None:
     """The nine inner deciles of the expected side; None without values or two distinct edges.
 

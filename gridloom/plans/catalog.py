@@ -625,7 +625,8 @@ def histogram_buckets(spark, sf_dir):
 
 @query("SELECT operator_id, median(cost_eur) AS median_cost FROM final WHERE event_type = 'SESSION_STOP' GROUP BY 1")
 def median_cost(spark, sf_dir):
-    return dedup.latest_version(raw(spark, sf_dir).where("event_type = 'SESSION_STOP'")).groupBy("operator_id").agg(F.median("cost_eur").alias("median_cost"))
+    stops = dedup.latest_version(raw(spark, sf_dir).where("event_type = 'SESSION_STOP'"))
+    return gates.exact_quantiles_by(stops, "cost_eur", ["operator_id"], [0.5]).select("operator_id", F.col("value").alias("median_cost"))
 
 
 @query("SELECT key, row_number() OVER (PARTITION BY key ORDER BY arrival)::INT AS place, n FROM (SELECT station_id AS key, n, n + CASE WHEN n % 10 = 3 THEN 400 ELSE 0 END + n / 1000000000.0 AS arrival FROM one)", final=False)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from gridloom.functions.scalars import millis_between
 from gridloom.functions.schema import EVENT_TYPES
+from gridloom.operators import gates
 
 
 def lag_seconds(start: str, end: str) -> Column:
@@ -177,9 +178,12 @@ def rates(samples: DataFrame, label: str, seconds: int = 60) -> DataFrame:
 
 
 def quantiles(lags: DataFrame, column: str, by: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """p50, p95, p99 of a lag column."""
-    at = (lambda q: F.percentile(column, F.lit(q))) if exact else (lambda q: F.percentile_approx(column, q, 10_000).cast("double"))
-    return lags.groupBy(*(by or [])).agg(*[at(q).alias(f"p{int(q * 100)}") for q in (0.5, 0.95, 0.99)])
+    """p50, p95, p99 of a lag column, by group; exact ones hold no group's values in one task."""
+    by, cuts = by or [], (0.5, 0.95, 0.99)
+    if exact:
+        found = gates.exact_quantiles_by(lags, column, by, list(cuts))
+        return found.groupBy(*by).agg(*[F.max(F.when(F.col("k") == k, F.col("value"))).alias(f"p{int(q * 100)}") for k, q in enumerate(cuts)])
+    return lags.groupBy(*by).agg(*[F.percentile_approx(column, q, 10_000).cast("double").alias(f"p{int(q * 100)}") for q in cuts])
 
 
 # Upper bounds of the histograms of lags (seconds) and of batch sizes.

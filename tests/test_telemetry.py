@@ -245,6 +245,25 @@ def test_exact_quantiles_equal_a_sort(spark):
     assert gates.exact_quantiles(df.limit(0), "x", cuts) is None
 
 
+@pytest.mark.parametrize("ranked", [100_000, 40])
+def test_quantiles_of_all_groups_at_once(spark, ranked):
+    """Equal to a sort, whether brackets hold whole groups or are narrowed; one group holds most rows."""
+    import random
+
+    import numpy as np
+
+    rng, groups = random.Random(3), {}
+    for name, n in (("one", 1), ("two", 2), ("ties", 500), ("hot", 6000), (None, 90)):
+        groups[name] = [7.0 if name == "ties" and rng.random() < 0.9 else rng.choice([rng.gauss(0, 1), 1e6 * rng.random() ** 9]) for _ in range(n)]
+    rows = [(g, x) for g, xs in groups.items() for x in xs] + [("none", None), ("one", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    cuts = [0.0, 0.1, 0.5, 0.95, 1.0]
+    got = {(r["g"], r["k"]): r["value"] for r in gates.exact_quantiles_by(df, "x", ["g"], cuts, ranked).collect()}
+    want = {(g, k): v for g, xs in groups.items() for k, v in enumerate(np.quantile(xs, cuts).tolist())}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert gates.exact_quantiles_by(df.limit(0), "x", ["g"], cuts).count() == 0
+
+
 def test_stored_rollup_and_daily_run(spark, tmp_path):
     from gridloom.plans import daily
 
