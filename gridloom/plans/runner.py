@@ -29,15 +29,37 @@ def query(spark: SparkSession, path: str) -> DataFrame:
     return spark.sql(text.strip().rstrip(";").rstrip())
 
 
-def run(spark: SparkSession, folder: str, out: str | None = None, pattern: str = "*.sql") -> dict[str, DataFrame]:
-    """Each file's name (without its ending) and rows; with out, each report's rows as CSV below it."""
+def drawn(df: DataFrame) -> dict | None:
+    """How a report is drawn unless told: its first number by its first other column, as a line over time and
+    else as bars with the largest on top. None without both."""
+    plain = [(f.name, f.dataType.typeName()) for f in df.schema]
+    number = next((n for n, t in plain if t in ("double", "float", "long", "integer", "decimal")), None)
+    label, kind = next(((n, t) for n, t in plain if t in ("string", "timestamp", "timestamp_ntz", "date")), (None, ""))
+    return {"label": label, "value": number, "kind": "barh" if kind == "string" else "line"} if number and label else None
+
+
+def run(spark: SparkSession, folder: str, out: str | None = None, pattern: str = "*.sql", charts: dict[str, dict] | None = None) -> dict[str, DataFrame]:
+    """Each file's name (without its ending) and rows; with out, each report's rows as CSV below it, and beside
+    them an SVG, as charts says (arguments of chart() by name) or drawn() does."""
     found = {PurePosixPath(p).stem: query(spark, p) for p in files(spark, folder, pattern)}
     if out:
+        store, of = store_of(spark, out)
         for name, df in found.items():
             write_csv(df, f"{out.rstrip('/')}/{name}")
+            how = (charts or {}).get(name) or drawn(df)
+            if how:
+                # a report limits itself; a chart of more rows than anyone can see shows the first
+                svg = chart(df.limit(MOST_DRAWN).collect(), **{"title": name, "top": 20 if how.get("kind") == "barh" else None, **how})
+                to = store.create(of(f"{out.rstrip('/')}/{name}.svg"), True)
+                to.write(bytearray(svg.encode()))
+                to.close()
     return found
 
 
+#: Rows of a report that its chart takes.
+MOST_DRAWN = 1000
+
+
 def chart(rows: Iterable, label: str, value: str, kind: str = "bar", title: str = "", top: int | None = None) -> str:
     """An SVG of a report's rows (few, as reports limit themselves): bars, horizontal bars with the
     largest on top ("barh"), or a line. Nulls count as 0; no rows give an empty chart."""

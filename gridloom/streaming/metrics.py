@@ -19,9 +19,13 @@ def lag_seconds(start: str, end: str) -> Column:
 
 
 class Metrics:
-    """Named counts and levels with labels. Batches are counted once what they wrote is complete."""
+    """Named counts and levels with labels. Batches are counted once what they wrote is complete.
 
-    def __init__(self):
+    group, where given, is a label of all of them: which consumer group counts.
+    """
+
+    def __init__(self, group: str | None = None):
+        self.own = () if group is None else (("group", group),)
         self.counts: Counter = Counter()
         self.levels: dict = {}
         self.spreads: dict = {}
@@ -47,6 +51,15 @@ class Metrics:
             total[0] += value
             self.spreads[name, "bounds"] = bounds
 
+    def merge(self, name: str, counts: list[int], total: float, bounds: tuple) -> None:
+        """Values that were counted elsewhere, by the same bounds: counts of each bucket alone."""
+        with self._lock:
+            held, so_far = self.spreads.setdefault(name, ([0] * (len(bounds) + 1), [0.0]))
+            for k, n in enumerate(counts):
+                held[k] += n
+            so_far[0] += total
+            self.spreads[name, "bounds"] = bounds
+
     def count_batch(self, judged: DataFrame, clean: DataFrame, most: int | None = None) -> None:
         """Events by type, rejections by rule and reason, clean rows and duplicates, and why the batch
         was closed: by its size, if it has most rows, else by time. Types outside the vocabulary count
@@ -78,7 +91,7 @@ class Metrics:
             self.add("duplicates_injected", r["n"] - r["d"], event_type=r["kind"])
 
     def frame(self, spark) -> DataFrame:
-        rows = [(n, ",".join(f"{k}={v}" for k, v in labels), c) for (n, labels), c in sorted(self.counts.items())]
+        rows = [(n, ",".join(f"{k}={v}" for k, v in (*self.own, *labels)), c) for (n, labels), c in sorted(self.counts.items())]
         return spark.createDataFrame(rows, "name string, labels string, value long")
 
     def text(self) -> str:
@@ -89,17 +102,19 @@ class Metrics:
             for kind, values, tail in (("counter", self.counts, "_total"), ("gauge", self.levels, "")):
                 named: dict[str, list] = {}
                 for (n, labels), v in sorted(values.items()):
-                    named.setdefault(n + tail, []).append((labels, v))
+                    named.setdefault(n + tail, []).append(((*self.own, *labels), v))
                 for n, rows in named.items():
                     out.append(f"# TYPE {n} {kind}")
                     out += [n + ("{" + ",".join(f'{k}="{quote(x)}"' for k, x in labels) + "}" if labels else "") + f" {v}" for labels, v in rows]
+            own = "".join(f'{k}="{quote(x)}",' for k, x in self.own)
+            only = "{" + own[:-1] + "}" if own else ""
             for name in sorted(k for k in self.spreads if isinstance(k, str)):
                 (counts, total), bounds, so_far = self.spreads[name], self.spreads[name, "bounds"], 0
                 out.append(f"# TYPE {name} histogram")
                 for b, n in zip([*bounds, "+Inf"], counts, strict=True):
                     so_far += n
-                    out.append(f'{name}_bucket{{le="{b}"}} {so_far}')
-                out += [f"{name}_sum {total[0]}", f"{name}_count {so_far}"]
+                    out.append(f'{name}_bucket{{{own}le="{b}"}} {so_far}')
+                out += [f"{name}_sum{only} {total[0]}", f"{name}_count{only} {so_far}"]
         return "\n".join(out) + "\n"
 
 
@@ -191,6 +206,19 @@ LAG_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 20, 30,
 SIZE_BUCKETS = (1, 5, 10, 25, 50, 100, 200, 350, 500, 750, 1000)
 
 
+def spread(lag: Column, name: str, bounds=LAG_BUCKETS) -> list[Column]:
+    """Aggregates that count a column by fixed bounds, and sum it up: for an observation of a write, or beside
+    other aggregates. absorb() takes what they gave."""
+    edges = [None, *bounds, None]
+    fits = [(F.lit(True) if a is None else lag > a) & (F.lit(True) if b is None else lag <= b) for a, b in zip(edges, edges[1:], strict=False)]
+    return [F.coalesce(F.sum(lag), F.lit(0.0)).alias(f"{name}_sum"), *[F.count_if(lag.isNotNull() & f).alias(f"{name}_{k}") for k, f in enumerate(fits)]]
+
+
+def absorb(metrics: Metrics, found: dict, name: str, bounds=LAG_BUCKETS) -> None:
+    """Add what the aggregates of spread() gave to a histogram."""
+    metrics.merge(name, [int(found[f"{name}_{k}"]) for k in range(len(bounds) + 1)], float(found[f"{name}_sum"]), bounds)
+
+
 def histogram(rows: DataFrame, column: str, bounds=LAG_BUCKETS) -> DataFrame:
     """le, n: cumulative counts of values up to each bound; the last bound is infinite."""
     at = F.aggregate(F.array(*[F.lit(float(b)) for b in bounds]), F.lit(0), lambda n, b: n + (F.col(column) > b).cast("int"))

@@ -15,12 +15,12 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.operators import dedup, flatten, rollup, state, storage, validate, versions
-from gridloom.streaming.metrics import LAG_BUCKETS, Metrics, lag_seconds
+from gridloom.streaming.metrics import LAG_BUCKETS, Metrics, absorb, lag_seconds, spread
 
 
 @dataclass
@@ -39,7 +39,7 @@ class Analytics:
     registry: Callable[[], dict[str, DataFrame]]
     now: Callable[[], object] = F.current_timestamp
     ttl_seconds: int = 120
-    metrics: Metrics = field(default_factory=Metrics)
+    metrics: Metrics = field(default_factory=lambda: Metrics("analytics"))
     clock: Callable[[], float] = time.time
     publish: Callable[[DataFrame], None] | None = None
     reject: Callable[[DataFrame], None] | None = None
@@ -61,7 +61,10 @@ class Analytics:
             seen = self._seen(spark, batch)
             fresh = first if seen is None else dedup.unseen(first, seen)
             clean = flatten.flatten(fresh, F.col("ingested_at"), F.col("produced_at")).persist()
-            clean.write.mode("overwrite").parquet(self.path("clean", batch))
+            # lags are counted while the rows are written: no job of their own
+            seen_lags = Observation()
+            watched = clean.observe(seen_lags, *spread(lag_seconds("produced_at", "ingested_at"), "transport_s"), *spread(lag_seconds("timestamp", "ingested_at"), "ingestion_s"))
+            watched.write.mode("overwrite").parquet(self.path("clean", batch))
             validate.dead_letters(rejected, ingested_at=F.col("ingested_at")).write.mode("overwrite").parquet(self.path("dead_letter", batch))
             if self.publish:
                 self.publish(flatten.to_json(clean))
@@ -73,6 +76,8 @@ class Analytics:
                 rollup.append_parts(rollup.partial(clean), self.revenue, batch)
             self._mark(clean, batch)
             self.metrics.count_batch(rows, clean, self.most)
+            for name in ("transport_s", "ingestion_s"):
+                absorb(self.metrics, seen_lags.get, name)
             self.metrics.observe("flush_s", time.monotonic() - began, LAG_BUCKETS)
         finally:
             for df in (rows, clean, seen):
@@ -143,7 +148,7 @@ class Realtime:
     folder: str
     registry: Callable[[], dict[str, DataFrame]]
     retry_seconds: float = 0.05
-    metrics: Metrics = field(default_factory=Metrics)
+    metrics: Metrics = field(default_factory=lambda: Metrics("realtime"))
     now: Callable[[], Column] = F.current_timestamp
     ttl_seconds: int = state.TTL_SECONDS
     keep_seconds: float = versions.KEEP_SECONDS
@@ -183,10 +188,11 @@ class Realtime:
             now.write.mode("overwrite").parquet(versions.place(self.root, batch))
             versions.complete(spark, self.root, batch, self.keep_seconds)
             lag = F.when(F.col("applied"), F.unix_millis("at") - F.unix_millis("produced_at")) / 1000
-            counts = marked.where("arrival >= 0").agg(F.count_if("applied").alias("a"), F.count_if(~F.col("applied")).alias("s"), F.max(lag).alias("lag")).first()
+            counts = marked.where("arrival >= 0").agg(F.count_if("applied").alias("a"), F.count_if(~F.col("applied")).alias("s"), F.max(lag).alias("lag"), *spread(lag, "state_s")).first()
             self.metrics.add("state_applied", counts["a"])
             self.metrics.add("state_stale_skipped", counts["s"])
             self.metrics.add("invalid_skipped", rows.where("rule IS NOT NULL").count())
+            absorb(self.metrics, counts.asDict(), "state_s")
             if counts["lag"] is not None:
                 self.metrics.set("produce_to_state_s", counts["lag"])
         finally:

@@ -325,6 +325,30 @@ def test_metrics_endpoint_and_panels(spark):
     assert metrics.behind('{"raw": {"0": 5, "1": 9}}', '{"raw": {"0": 8, "1": 7, "2": 4}}') == 7 and metrics.behind(None, "7") == 0
 
 
+def test_every_panel_has_a_source(spark, one_station, tmp_path):
+    """Lags are counted in the write of each batch, by group; quantiles of panels come from them."""
+    moment = lambda s: F.timestamp_seconds(F.lit(1704067200 + s))
+    raw = _raw(spark, [_beat(1, 10, 1), _beat(2, 10, 2)]).withColumn("produced_at", moment(11))
+    a = pipeline.Analytics(str(tmp_path / "a"), lambda: one_station, now=lambda: moment(14))
+    b = pipeline.Realtime(str(tmp_path / "b"), lambda: one_station, now=lambda: moment(12), retry_seconds=0)
+    started = []
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("batch", "")
+    a(raw, 0)
+    b(raw, 0)
+    started += jobs.getJobIdsForGroup("batch")
+    assert b.metrics.get("state_errors") == 0
+    text = a.metrics.text() + b.metrics.text()
+    for name, total in (("transport_s", 6.0), ("ingestion_s", 8.0)):
+        assert f'{name}_sum{{group="analytics"}} {total}' in text and f'{name}_count{{group="analytics"}} 2' in text
+    assert 'transport_s_bucket{group="analytics",le="2.5"} 0' in text and 'transport_s_bucket{group="analytics",le="5"} 2' in text
+    assert 'state_s_sum{group="realtime"} 2.0' in text and 'state_applied_total{group="realtime"} 2' in text
+    made_ = set(a.metrics.spreads) | set(b.metrics.spreads)
+    assert {name for name, _ in metrics.QUANTILE_PANELS.values()} <= made_
+    counters = {n for m in (a.metrics, b.metrics) for n, _ in m.counts}
+    assert {n for n, _ in metrics.RATE_PANELS.values()} - {"events_generated", "validation_errors", "dead_letters"} <= counters
+
+
 def test_generator_counters(spark, made):
     m = metrics.Metrics()
     m.count_sent(made[1])
