@@ -4,8 +4,11 @@ Stored parts lie by day; a stream adds the parts of each batch, and once a day t
 parts give way to exact ones.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.functions.scalars import hour_of
 from gridloom.operators.dedup import latest_version
@@ -105,3 +108,37 @@ def overwrite_day(raw: DataFrame, path: str) -> tuple[str, str] | None:
     old = [s for s in ledger.live() if s.slice == day[0][:10]]
     made = _write(exact_day(raw, day), path)
     return day if ledger.commit(made, old) else None
+
+
+def upsert(totals: DataFrame, path: str, batch: int) -> None:
+    """Put whole sums, such as a streaming aggregate in update mode gives, in place of the stored ones of
+    their keys; days without any stay as they are. A batch that is given again changes nothing.
+
+    For days that are kept in this way only: parts that append_parts adds are summed up instead.
+    """
+    spark, label = totals.sparkSession, f"totals {batch}"
+    ledger, fresh_totals = _ledger(spark, path), totals.select(*KEY, "revenue_eur", "sessions").persist()
+    try:
+        days = {r[0] for r in fresh_totals.select(F.date_format("hour", "yyyy-MM-dd")).distinct().collect()}  # days of one batch
+        held = [s for s in ledger.live() if s.slice in days]
+        if not days or any(s.label == label for s in ledger.live()):
+            return
+        before = ledger.read(held)
+        rows = fresh_totals
+        if before is not None:
+            same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in KEY]
+            stay = before.alias("a").join(fresh_totals.alias("b"), reduce(lambda x, y: x & y, same), "left_anti").select(*KEY, "revenue_eur", "sessions")
+            rows = rows.unionByName(stay)
+        ledger.commit(_write(rows, path, label), held)
+    finally:
+        fresh_totals.unpersist()
+
+
+def start_totals(clean: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """The rollup as a streaming aggregate of clean rows: each batch's changed sums take the place of the stored ones.
+
+    Copies count as often as they come, as in partial(). State is a row a key, without a watermark: late rows
+    change their hour whenever they come.
+    """
+    sums = partial(clean)
+    return sums.writeStream.outputMode("update").foreachBatch(lambda totals, batch: upsert(totals, path, batch)).option("checkpointLocation", checkpoint).queryName("totals").trigger(**(trigger or {"processingTime": "1 second"})).start()
