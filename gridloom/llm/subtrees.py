@@ -16,8 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Suffixes of a group.
-LIMIT = 1 << 16
+#: Suffixes of a group: few enough that its subtree is built within a processor's cache.
+LIMIT = 1 << 10
 
 
 def numbered(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
