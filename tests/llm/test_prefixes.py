@@ -4,7 +4,7 @@ import os
 
 from gridloom.llm import queries, repeats, subtrees, substrings
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 def test_prefixes_are_lengthened_in_the_query(spark, tmp_path):
