@@ -134,7 +134,11 @@ class _Whole:
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Write (key, url, payload binary, digest, refers_to) rows; returns one row (path, n) a file."""
+    """Write (key, url, payload binary, digest, refers_to) rows; returns one row (path, n) a file.
+
+    Every row is a record, rows that repeat a key too; a task without rows writes a file without records,
+    and an empty table such files only. A null url has no header of its own.
+    """
 
     def run(batches):
         path, n, z = f"{folder}/part-{TaskContext.get().partitionId():06d}.warc.gz", 0, zlib.compressobj(1, zlib.DEFLATED, 31)
@@ -190,7 +194,8 @@ def read_archives(files: DataFrame) -> DataFrame:
     """A row for each record of normalised archives, opened one by one through their sidecars.
 
     A response's digest and length are those of the payload that was read (a digest that differs
-    from the header's is an error); a revisit has those its headers state, and no payload.
+    from the header's is an error); a revisit has those its headers state, and no payload. Records that share a
+    key each come back; files without records, and no files, give no rows.
     """
 
     def run(batches):
@@ -249,7 +254,8 @@ def archive(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Every record of pages, read back from its archive."""
+    """Every record of pages, read back from its archive: a row for each row of pages, repeated and null keys
+    too; an empty table gives none."""
     return read_archives(archive(pages).repartition(partitions(spark), "path"))
 
 

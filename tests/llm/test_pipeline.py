@@ -48,8 +48,23 @@ def test_stages(spark, tmp_path):
         assert all(zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes()) == p["ids_crc32"] for p in pieces[i])
 
 
-def test_run_of_whole_pipeline(spark):
-    assert corpus_pipeline.run(spark, SF).count() > 0
+def test_run_of_whole_pipeline(spark, tmp_path):
+    """Its rows are those of the stages one after another: the same documents, and of each the same ids in order."""
+    found = corpus_pipeline.run(spark, SF).collect()
+    assert len(found) > 0
+    held = spark.read.parquet(f"{SF}/documents.parquet")
+    for k, (_, step) in enumerate(corpus_pipeline.STAGES):
+        step(spark, held, SF).write.parquet(f"{tmp_path}/{k}")
+        held = spark.read.parquet(f"{tmp_path}/{k}")
+
+    def whole(rows):
+        out = defaultdict(list)
+        for r in sorted(rows, key=lambda r: (r["doc_id"], r["start"])):
+            assert r["start"] == len(out[r["doc_id"]])
+            out[r["doc_id"]] += r["ids"]
+        return out
+
+    assert whole(found) == whole(held.collect())
 
 
 def test_sequences_come_with_their_ids(spark):
