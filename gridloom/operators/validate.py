@@ -1,8 +1,8 @@
 """Validation: an ordered list of rules, of which the first that an event breaks names the reason.
 
 Rules are data (name, condition, message); they become one CASE expression, so that a whole batch
-is judged in one pass of generated code. The registry is a snapshot of stations and tariffs; Spark
-broadcasts it while it is below its own limit and joins it by shuffle beyond.
+is judged in one pass of generated code. The registry is a snapshot of stations and tariffs. Tariffs
+are broadcast; stations are while they are below Spark's own limit, and joined by shuffle beyond.
 """
 
 from dataclasses import dataclass
@@ -107,7 +107,8 @@ def judged(decoded: DataFrame, stations: DataFrame, tariffs: DataFrame) -> DataF
         F.col("station_id").alias("known_station"), F.col("operator_id").alias("known_operator"), F.col("city").alias("known_city"), F.col("country").alias("known_country"),
         F.col("lat").alias("known_lat"), F.col("lon").alias("known_lon"), F.col("num_connectors").cast("int").alias("known_connectors"),
     )
-    priced = tariffs.select(F.col("tariff_id").alias("known_tariff")).distinct()
+    # a price list has a handful of rows; dealt out by it, all events would go to as many tasks
+    priced = F.broadcast(tariffs.select(F.col("tariff_id").alias("known_tariff")).distinct())
     joined = decoded.join(known, F.col("event.station_id") == F.col("known_station"), "left").join(priced, F.col("event.tariff_id") == F.col("known_tariff"), "left")
     name, message = F, F
     for k, r in enumerate(rules()):

@@ -5,7 +5,7 @@ slip in one shows against the other. Registers are whole cents until the end, so
 sum them exactly.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import in_peak
@@ -53,24 +53,42 @@ def sql(query: str, final: bool = True) -> str:
 _KINDS = {"signup": "SESSION_START", "view": "METER_UPDATE", "purchase": "SESSION_STOP", "error": "FAULT_ALERT"}
 
 
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations and their regions, 25 rows at any size of the tables; broadcast, as events dealt out by them would go to 25 tasks at most."""
+    nation, region = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("nation", "region"))
+    known = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    return F.broadcast(known.select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("operator_id")))
+
+
+def _station_no(user: Column) -> Column:
+    return F.floor(user / 4).cast("long")
+
+
+def _station(number: Column) -> dict[str, Column]:
+    """What the number of a station tells of it."""
+    return {
+        "station_id": F.concat(F.lit("ST-"), number.cast("string")), "country": F.lit("XX"),
+        "lat": (number % 90).cast("double"), "lon": (number % 180).cast("double"),
+    }
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stored rows of the telemetry view, duplicates included."""
-    events, nation, region = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("events", "nation", "region"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     n, station, kind, cost = F.col("n"), F.col("station_no"), F.col("event_type"), F.col("value").cast("double")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("operator_id"))
     meaning = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in _KINDS.items()], F.lit("STATUS_CHANGE"))
     e = events.select(F.col("event_id").alias("n"), F.col("ts").alias("timestamp"), "user_id", "value", F.get_json_object("props", "$.k").cast("int").alias("k"), meaning.alias("event_type"))
-    e = e.withColumn("station_no", F.floor(F.col("user_id") / 4).cast("long")).withColumn("session_id", F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("timestamp", "yyyy-MM-dd")))
+    e = e.withColumn("station_no", _station_no(F.col("user_id"))).withColumn("session_id", F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("timestamp", "yyyy-MM-dd")))
     so_far = Window.partitionBy("session_id").orderBy("timestamp", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    e = e.withColumn("register", F.sum(F.round(F.col("value") * 100).cast("long")).over(so_far)).join(places, F.col("n_nationkey") == station % 25)
+    e = e.withColumn("register", F.sum(F.round(F.col("value") * 100).cast("long")).over(so_far)).join(_places(spark, sf_dir), F.col("n_nationkey") == station % 25)
     of = lambda when, value, other: F.when(when, value).otherwise(other)
-    metered, stop = kind.isin(*SESSION_TYPES), kind == "SESSION_STOP"
+    metered, stop, known = kind.isin(*SESSION_TYPES), kind == "SESSION_STOP", _station(station)
     status = F.element_at(F.array(F.lit("Available"), F.lit("Charging"), F.lit("Faulted")), (n % 3 + 1).cast("int"))
     tariff = F.element_at(F.array(*map(F.lit, ("standard-v1", "peak-rate-v2", "off-peak-v1", "fleet-v1"))), (n % 4 + 1).cast("int"))
     one = e.select(
-        n.cast("string").alias("event_id"), "n", "event_type", F.concat(F.lit("ST-"), station.cast("string")).alias("station_id"), "station_no",
+        n.cast("string").alias("event_id"), "n", "event_type", known["station_id"].alias("station_id"), "station_no",
         (F.col("user_id") % 4 + 1).cast("int").alias("connector_id"), "session_id", "timestamp", "operator_id",
-        (station % 90).cast("double").alias("lat"), (station % 180).cast("double").alias("lon"), "city", F.lit("XX").alias("country"),
+        known["lat"].alias("lat"), known["lon"].alias("lon"), "city", known["country"].alias("country"),
         of(metered, cost, F.lit(0.0)).alias("power_kw"), of(metered, F.col("register").cast("double") / 100, F.lit(0.0)).alias("energy_kwh"),
         of(kind == "SESSION_START", F.concat(F.lit("brand"), (F.col("k") % 9).cast("string")), F.lit("")).alias("vehicle_brand"), tariff.alias("tariff_id"),
         of(stop, cost, F.lit(0.0)).alias("cost_eur"), of(kind == "STATUS_CHANGE", status, F.lit("")).alias("status"),
@@ -81,5 +99,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row a station, as the registry would have it."""
-    return raw_events(spark, sf_dir).select("station_id", "operator_id", "city", "country", "lat", "lon").distinct().selectExpr("*", "4 AS num_connectors")
+    """One row a station, as the registry would have it: the numbers of raw_events() once each, then what is known of them."""
+    numbers = spark.read.parquet(f"{sf_dir}/events.parquet").select(_station_no(F.col("user_id")).alias("station_no")).distinct()
+    found = numbers.join(F.broadcast(_places(spark, sf_dir).distinct()), F.col("n_nationkey") == F.col("station_no") % 25)
+    known = {**{c: F.col(c) for c in ("operator_id", "city")}, **_station(F.col("station_no"))}
+    return found.select(*[known[c].alias(c) for c in ("station_id", "operator_id", "city", "country", "lat", "lon")]).selectExpr("*", "4 AS num_connectors")
