@@ -35,3 +35,8 @@ def test_stations_are_those_of_the_events(spark):
     found = adapter.stations(spark, SF)
     assert found.columns == [*columns, "num_connectors"]
     assert sorted(tuple(r)[:6] for r in found.collect()) == sorted(map(tuple, of_events))
+
+
+def test_messages_are_read_apart_from_where_they_are_written(spark, no_broadcasts):
+    plan = catalog.QUERIES["json_roundtrip"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(value#\d+", plan)
