@@ -179,6 +179,9 @@ def pack_conversations(turns: DataFrame, path: str, pattern: str, **limits) -> D
     return pack_examples(sizes, "conv_id", cut=True, **CHAT | limits).withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
+#: Words whose ids a packing task keeps (some 60 MB); none are kept when it ends.
+WORDS = 250_000
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -209,13 +212,17 @@ def pack_documents(docs: DataFrame, path: str, pattern: str, end_id: int = 1, ke
                 rows.clear()
 
         packer = Packer(placed)
-        for b in batches:
-            keys, texts = b["k"].to_pylist(), b["t"].to_pylist()
-            for at in range(0, len(texts), 256):
-                for k, ids in zip(keys[at : at + 256], encoder.encode(texts[at : at + 256]), strict=False):
-                    ids = np.append(ids.astype("<u4"), np.array([end_id], "<u4"))
-                    packer.add((k, ids), len(ids))
-                yield from flush()
+        try:
+            for b in batches:
+                for at in range(0, b.num_rows, 256):
+                    keys, texts = (c.to_pylist() for c in b.slice(at, 256).columns)
+                    for k, ids in zip(keys, encoder.encode(texts), strict=True):
+                        ids = np.append(ids.astype("<u4"), np.array([end_id], "<u4"))
+                        packer.add((k, ids), len(ids))
+                    encoder.forget(WORDS)
+                    yield from flush()
+        finally:
+            encoder.forget()
         packer.close()
         yield from flush()
 

@@ -36,7 +36,7 @@ from gridloom.llm.common import ROW, column, lean, partitions, release, repeats,
 from gridloom.llm.words import _BASE, _BYTE, _SPACE, Words
 
 #: Bytes of text whose symbols are looked at together, and bytes of strings that are merged at once.
-CHUNK, GROUP = 1 << 19, 3 << 18
+CHUNK, GROUP = 1 << 19, 3 << 16
 _MAX = np.uint64((1 << 64) - 1)
 
 
@@ -214,10 +214,10 @@ RANGES = "dst int, ids binary, start binary, until binary"
 
 def _gathered(batches):
     """All strings of a part: the distinct ones with their grams and first sender, and for every
-    occurrence its string, document, owner, sender and start."""
+    occurrence its string, document, owner, sender and start. Rows are taken out of their batch a few at a time."""
     number: dict[bytes, int] = {}
     grams, senders, which, ids, owners, dsts, starts = [], [], [], [], [], [], []
-    for b in batches:
+    for b in (whole.slice(k, 32) for whole in batches for k in range(0, whole.num_rows, 32)):
         for dst, i, owner, doc, start, own, size, gram, body in zip(*(b[c].to_pylist() for c in ("dst", "ids", "owner", "doc", "start", "which", "size", "gram", "body")), strict=True):
             at, map_ = 0, []
             for n, g in zip(np.frombuffer(size, "<u4").tolist(), np.frombuffer(gram, "<u4").tolist(), strict=True):
@@ -227,40 +227,50 @@ def _gathered(batches):
                     senders.append(dst)
                 map_.append(k)
                 at += n
-            which.append(np.array(map_, np.int64)[np.frombuffer(own, "<u2")])
+            which.append(np.array(map_, np.int32)[np.frombuffer(own, "<u2")])
             doc = np.frombuffer(doc, np.uint8)
             ids.append(np.frombuffer(i, "<i8")[doc])
             owners.append(np.frombuffer(owner, "<i8")[doc] if owner is not None else ids[-1])
-            starts.append(np.frombuffer(start, "<u4").astype(np.int64))
+            starts.append(np.frombuffer(start, "<u4"))
             dsts.append(np.full(len(doc), dst, np.int32))
     if not number:
         return None
     return list(number), np.array(grams, np.uint32), np.array(senders), *map(np.concatenate, (which, ids, owners, dsts, starts))
 
 
+#: Occurrences whose windows are looked at together, and that share a row of ranges at most.
+_FEW, _MANY = 1 << 13, 1 << 16
+
+
 def _judge(strings: DataFrame, kind: Kind, n: int) -> DataFrame:
-    """Ranges of symbols that documents lose, from all strings of a part."""
+    """Ranges of symbols that documents lose, from all strings of a part.
+
+    A part holds its distinct strings and four bytes for each of their windows; what else is as long
+    as windows is made for GROUP bytes of strings or _FEW occurrences at a time.
+    """
 
     def run(batches):
         got = _gathered(batches)
         if got is None:
             return
         bodies, grams, senders, which, ids, owners, dsts, starts = got
-        least = np.full(len(bodies), np.iinfo(np.int64).max)
+        del got
+        # the order of owners is all that counts
+        owners = np.unique(owners, return_inverse=True)[1].astype(np.int32)
+        least = np.full(len(bodies), np.iinfo(np.int32).max, np.int32)
         np.minimum.at(least, which, owners)
-        # the least document of each window's class, for all distinct strings
-        windows: list = [None] * len(bodies)
+        # the least document of each window's class, for all distinct strings, and where a string's windows lie
+        counts, firsts, windows, have = np.zeros(len(bodies), np.int64), np.zeros(len(bodies), np.int64), [], 0
 
         def classified(group, found):
-            flat = np.concatenate(found)
-            owner = np.repeat(least[group], [len(f) for f in found])
-            _, flat = np.unique(flat, return_inverse=True)
-            low = np.full(int(flat.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-            np.minimum.at(low, flat, owner)
-            at = 0
-            for k, f in zip(group, found, strict=True):
-                windows[k] = low[flat[at : at + len(f)]]
-                at += len(f)
+            nonlocal have
+            sizes = np.array([len(f) for f in found])
+            _, flat = np.unique(np.concatenate(found), return_inverse=True)
+            low = np.full(int(flat.max(initial=-1)) + 1, np.iinfo(np.int32).max, np.int32)
+            np.minimum.at(low, flat, np.repeat(least[group], sizes))
+            windows.append(low[flat])
+            counts[group], firsts[group] = sizes, have + np.cumsum(sizes) - sizes
+            have += len(flat)
 
         if kind.sharded:
             order = np.argsort(grams, kind="stable")
@@ -271,25 +281,30 @@ def _judge(strings: DataFrame, kind: Kind, n: int) -> DataFrame:
                 if size >= GROUP or b == len(order):
                     classified(group, kind.classes([bodies[k] for k in group], kind.width, shard=senders[group]))
                     group, size = [], 0
+            del order, group
         else:
-            classified(list(range(len(bodies))), kind.classes(bodies, kind.width))
-        counts = np.array([len(w) for w in windows])
-        firsts = np.cumsum(counts) - counts
+            classified(np.arange(len(bodies)), kind.classes(bodies, kind.width))
+        del bodies, grams, senders, least
         windows = np.concatenate(windows)
+
+        def lost(few):
+            """Document, start and end of the ranges that these occurrences lose."""
+            c = counts[which[few]]
+            inside = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+            gone = windows[np.repeat(firsts[which[few]], c) + inside] < np.repeat(owners[few], c)
+            from_ = gone & ~(np.append(False, gone[:-1]) & (inside > 0))
+            to = gone & ~(np.append(gone[1:], False) & np.append(inside[1:] > 0, False))
+            f, t = np.flatnonzero(from_), np.flatnonzero(to)
+            x = np.repeat(few, c)[f]
+            return ids[x], starts[x] + inside[f], starts[x] + inside[t] + kind.width
+
         by = np.argsort(dsts, kind="stable")
         for a, b in runs(dsts[by]):
-            mine = by[a:b]
-            for few in np.array_split(mine, max(1, len(mine) // 65536)):
-                c = counts[which[few]]
-                inside = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-                gone = windows[np.repeat(firsts[which[few]], c) + inside] < np.repeat(owners[few], c)
-                owner = np.repeat(few, c)
-                from_ = gone & ~(np.append(False, gone[:-1]) & (inside > 0))
-                to = gone & ~(np.append(gone[1:], False) & np.append(inside[1:] > 0, False))
-                f, t = np.flatnonzero(from_), np.flatnonzero(to)
-                if len(f):
-                    x = owner[f]
-                    yield pa.RecordBatch.from_pydict({"dst": pa.array([int(dsts[x[0]])], pa.int32()), "ids": [ids[x].tobytes()], "start": [(starts[x] + inside[f]).tobytes()], "until": [(starts[x] + inside[t] + kind.width).tobytes()]})
+            for many in np.array_split(by[a:b], max(1, (b - a) // _MANY)):
+                parts = [lost(few) for few in np.array_split(many, max(1, len(many) // _FEW))]
+                row = [b"".join(x.tobytes() for x in part) for part in zip(*parts, strict=True)]
+                if row[0]:
+                    yield pa.RecordBatch.from_pydict({"dst": pa.array([int(dsts[many[0]])], pa.int32()), "ids": [row[0]], "start": [row[1]], "until": [row[2]]})
 
     return strings.repartition(n, "p").mapInArrow(lean(run), RANGES)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gridloom.llm import bwt, subtrees
-from gridloom.llm.common import lean, numbered
+from gridloom.llm.common import few, lean, numbered
 from gridloom.llm.repeats import Kind, bytes_of, lost_ranges, words_of
 
 WORDS = Kind(13, 5, words_of, subtrees.window_classes, sharded=False)
@@ -31,7 +31,7 @@ def _apply(docs: DataFrame, kind: Kind, cut, with_text: bool) -> DataFrame:
     types = [pa.int64()] * 4 + [pa.string()] + ([pa.string()] if with_text else [])
 
     def run(batches):
-        for b in batches:
+        for b in few(batches):
             rows = []
             for i, text, copy, start, until in zip(*(b[c].to_pylist() for c in ("doc_id", "text", "copy", "start", "until")), strict=True):
                 kept, n, removed, spans = cut((text or "").encode("utf-8", "surrogatepass"), copy, *_ranges(start, until), kind.width)
@@ -107,7 +107,7 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     out = [place[c] for c in given.columns]
 
     def run(batches):
-        for b in batches:
+        for b in few(batches):
             columns = {c: b[c] for c in out}
             texts = b["text"].to_pylist()
             counts = columns[place[chars]].to_pylist() if chars else None

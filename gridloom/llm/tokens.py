@@ -116,6 +116,11 @@ class Encoder:
             cls._loaded[path] = cls(path, pattern)
         return cls._loaded[path]
 
+    def forget(self, beyond: int = 0) -> None:
+        """Drop the words met so far if there are more than that many: workers live on."""
+        if len(self.cache) > beyond:
+            self.cache.clear()
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).astype(self.dtype)
 

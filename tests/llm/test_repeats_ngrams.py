@@ -3,14 +3,16 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gridloom.llm import bwt, components, ngrams, subtrees, substrings
-from tests.llm.helpers import DOCS, awkward, with_clashes
+from gridloom.llm import bwt, components, ngrams, repeats, subtrees, substrings
+from tests.llm.helpers import DOCS, Given, awkward, with_clashes
 
 
 def same(classes):
@@ -106,6 +108,26 @@ def test_cut_documents_with_columns_of_any_name(spark):
     assert all(r[n] == i for r in cut.collect() for i, n in enumerate(names))
 
 
+def test_a_part_takes_a_few_bytes_a_window():
+    """Of 3 MB of strings that two documents have, the second loses all; what is as long as windows is made piece by piece."""
+    rng, n = np.random.default_rng(3), 40_000
+    sizes, grams = np.full(n, 76, "<u4"), np.arange(n, dtype="<u4")
+    row = {"p": 0, "owner": None, "doc": bytes(n), "start": (100 * np.arange(n)).astype("<u4").tobytes(), "which": np.arange(n).astype("<u2").tobytes(), "size": sizes.tobytes(), "gram": grams.tobytes(), "body": rng.bytes(76 * n)}
+    batch = pa.RecordBatch.from_pylist([row | {"dst": k, "ids": np.array([k], "<i8").tobytes()} for k in (1, 2)], pa.schema([(c.split()[0], pa.int32() if c.endswith("int") else pa.binary()) for c in repeats.STRINGS.split(", ")]))
+    judged = repeats._judge(Given(), substrings.BYTES, 1)
+    tracemalloc.start()
+    try:
+        out = [r for b in judged.run([batch]) for r in b.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert {r["dst"] for r in out} == {2}
+    found = [np.concatenate([np.frombuffer(r[c], np.int64) for r in out]) for c in ("ids", "start", "until")]
+    assert set(found[0].tolist()) == {2}
+    assert found[1].tolist() == list(range(0, 100 * n, 100)) and (found[2] - found[1] == 76).all()
+    assert peak < 50e6
+
+
 def test_texts_are_exchanged_once(spark):
     """All steps of the cut read one exchange of the texts."""
     df = spark.createDataFrame(planted(random.Random(6)), DOCS)

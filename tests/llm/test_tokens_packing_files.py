@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 
 from gridloom.llm import huffman, packing
 from gridloom.llm.tokens import Encoder
-from tests.llm.helpers import DOCS, awkward, with_clashes
+from tests.llm.helpers import DOCS, Given, Task, awkward, with_clashes
 
 FILE = P.path("byte_bpe_50k.json")
 
@@ -73,6 +74,15 @@ def test_packing_places_every_id_once(spark):
     assert padding == 0
 
 
+def test_a_packing_task_leaves_no_words_behind(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    texts = [f"only{k} here{k}" for k in range(3000)]
+    packed = packing.pack_documents(Given(), FILE, P.PATTERN)
+    batch = pa.RecordBatch.from_pydict({"k": list(range(3000)), "t": texts})
+    assert sum(b.num_rows for b in packed.run([batch])) >= 3000
+    assert not Encoder.of(FILE, P.PATTERN).cache
+
+
 def test_packing_of_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], DOCS), FILE, P.PATTERN).count() == 0
 
